@@ -103,3 +103,232 @@ def q_flatten_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("flatten_index_pivot", _INDEX_SQL)
 def q_flatten_index_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrays_as_text(FL.flatten_index_pivot(D.index_records(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- facets / checks
+from florafold.operators import checks as CK  # noqa: E402
+
+_OLD_IV = """SELECT CAST(event_id AS VARCHAR) AS id,
+  'dr' || CAST(user_id % 25 AS VARCHAR) AS dataResourceUid, event_type AS country,
+  'state' || CAST(user_id % 7 AS VARCHAR) AS stateProvince,
+  CASE WHEN event_id % 10 = 0 THEN 'generalised' END AS sensitive,
+  CASE WHEN user_id % 3 = 0 THEN 'Endangered' WHEN user_id % 3 = 1 THEN 'Vulnerable' END AS stateConservation,
+  ['sl' || CAST(user_id % 5 AS VARCHAR), 'sl' || CAST(event_id % 3 AS VARCHAR)] AS speciesListUid,
+  'lga' || CAST(user_id % 11 AS VARCHAR) AS cl959, 'ibra' || CAST(event_id % 13 AS VARCHAR) AS cl1048,
+  'meso' || CAST(user_id % 4 AS VARCHAR) AS cl966, 'imcra' || CAST(event_id % 2 AS VARCHAR) AS cl21,
+  event_type, value, CASE WHEN event_id % 50 = 0 THEN 'flagged' END AS userAssertions
+FROM events"""
+
+_NEW_IV = """SELECT CAST(event_id AS VARCHAR) AS id,
+  'dr' || CAST(user_id % 25 AS VARCHAR) AS dataResourceUid, event_type AS country,
+  'state' || CAST(user_id % 7 AS VARCHAR) AS stateProvince,
+  CASE WHEN event_id % 20 = 0 THEN NULL WHEN event_id % 10 = 0 THEN 'generalised' END AS sensitive,
+  CASE WHEN user_id % 3 = 0 THEN 'Endangered' WHEN user_id % 3 = 1 THEN 'Vulnerable' END AS stateConservation,
+  ['sl' || CAST(user_id % 5 AS VARCHAR), 'sl' || CAST(event_id % 3 AS VARCHAR)] AS speciesListUid,
+  CASE WHEN event_id % 23 = 0 THEN NULL ELSE 'lga' || CAST(user_id % 11 AS VARCHAR) END AS cl959,
+  CASE WHEN event_id % 13 = 1 THEN 'ibra_x' ELSE 'ibra' || CAST(event_id % 13 AS VARCHAR) END AS cl1048,
+  CASE WHEN event_id % 23 = 0 THEN NULL ELSE 'meso' || CAST(user_id % 4 AS VARCHAR) END AS cl966,
+  CASE WHEN event_id % 23 = 0 THEN NULL ELSE 'imcra' || CAST(event_id % 2 AS VARCHAR) END AS cl21,
+  event_type, value, CAST(NULL AS VARCHAR) AS userAssertions,
+  CASE WHEN event_id % 19 = 0 THEN 'x' END AS extra
+FROM (SELECT * FROM events WHERE event_id % 37 <> 0
+      UNION ALL SELECT * FROM events WHERE event_id % 37 <> 0 AND event_id % 41 = 0)"""
+
+IV_FIELDS_OLD = ["id", "dataResourceUid", "country", "stateProvince", "sensitive", "stateConservation",
+                 "speciesListUid", "cl959", "cl1048", "cl966", "cl21", "event_type", "value", "userAssertions"]
+IV_FIELDS_NEW = IV_FIELDS_OLD + ["extra"]
+MULTI_VALUED = {"speciesListUid"}
+
+
+def _iv_ctes() -> str:
+    return f"old_iv AS ({_OLD_IV}), new_iv AS ({_NEW_IV})"
+
+
+def sql_facet(rel: str, field: str, limit: int = -1, sort: str = "index") -> str:
+    if field in MULTI_VALUED:
+        vals = f"SELECT unnest(list_distinct({field})) AS value FROM {rel}"
+    else:
+        vals = f"SELECT {field} AS value FROM {rel}"
+    order = "value ASC" if sort == "index" else "cnt DESC, value ASC"
+    lim = f" LIMIT {limit}" if limit >= 0 else ""
+    return (f"SELECT value, count(*) AS cnt FROM ({vals}) v WHERE value IS NOT NULL "
+            f"GROUP BY value ORDER BY {order}{lim}")
+
+
+def sql_facet_compare(field: str, check_size: int = -1, fetch_size: int = -1, sort: str = "index",
+                      old: str = "old_iv", new: str = "new_iv") -> str:
+    pct = "round_even(CAST(o.cnt - n.cnt AS DOUBLE) / o.cnt * 100, 0)"
+    return f"""SELECT '{field}' AS field, CAST(o.value AS VARCHAR) AS value,
+  CAST(o.cnt AS BIGINT) AS old_count, CAST(n.cnt AS BIGINT) AS new_count,
+  CAST({pct} AS BIGINT) AS drop_pct,
+  CASE WHEN n.cnt IS NULL THEN 'FAIL'
+       WHEN {pct} > 2 AND NOT (o.cnt < 1000 AND n.cnt > 0) THEN 'FAIL'
+       WHEN n.cnt < o.cnt THEN 'WARN' ELSE 'PASS' END AS status
+FROM ({sql_facet(old, field, check_size, sort)}) o
+LEFT JOIN ({sql_facet(new, field, fetch_size, sort)}) n ON o.value = n.value
+WHERE o.cnt > 0"""
+
+
+@register("facet_counts_index", """
+SELECT event_type AS value, CAST(count(*) AS BIGINT) AS count FROM events
+WHERE event_type IS NOT NULL GROUP BY event_type""")
+def q_facet_counts_index(spark, sf_dir):
+    return CK.facet_counts(D.load_table(spark, sf_dir, "events"), "event_type")
+
+
+@register("facet_counts_topk", """
+SELECT o_custkey AS value, CAST(count(*) AS BIGINT) AS count FROM orders
+WHERE o_custkey IS NOT NULL GROUP BY o_custkey ORDER BY count DESC, value ASC LIMIT 10""")
+def q_facet_counts_topk(spark, sf_dir):
+    return CK.facet_counts(D.load_table(spark, sf_dir, "orders"), "o_custkey", limit=10, sort="count")
+
+
+@register("facet_counts_multivalued", """
+SELECT value, CAST(count(*) AS BIGINT) AS count FROM
+  (SELECT DISTINCT l_orderkey, l_returnflag AS value FROM lineitem WHERE l_returnflag IS NOT NULL) d
+GROUP BY value""")
+def q_facet_counts_multivalued(spark, sf_dir):
+    li = D.load_table(spark, sf_dir, "lineitem")
+    per_order = li.groupBy("l_orderkey").agg(F.collect_list("l_returnflag").alias("flags"))
+    return CK.facet_counts(per_order, "flags")
+
+
+@register("dataset_counts", f"""
+WITH {_iv_ctes()}
+SELECT dataResourceUid AS dataset_id, CAST(count(*) AS BIGINT) AS count FROM old_iv
+WHERE dataResourceUid IS NOT NULL GROUP BY 1""")
+def q_dataset_counts(spark, sf_dir):
+    return CK.dataset_counts(D.index_version(spark, sf_dir, "old"))
+
+
+@register("search_count", """
+SELECT CAST(count(*) AS BIGINT) AS count FROM events WHERE event_type = 'click' AND value > 50""")
+def q_search_count(spark, sf_dir):
+    ev = D.load_table(spark, sf_dir, "events")
+    cnt, _, _ = CK.search(ev, q=F.col("event_type") == "click", fq=[F.col("value") > 50])
+    return cnt
+
+
+@register("facet_compare_all", f"WITH {_iv_ctes()} {sql_facet_compare('dataResourceUid')}")
+def q_facet_compare_all(spark, sf_dir):
+    return CK.facet_compare(D.index_version(spark, sf_dir, "old"), D.index_version(spark, sf_dir, "new"),
+                            "dataResourceUid")
+
+
+@register("facet_compare_topk", f"WITH {_iv_ctes()} {sql_facet_compare('cl1048', 10, 100, 'count')}")
+def q_facet_compare_topk(spark, sf_dir):
+    return CK.facet_compare(D.index_version(spark, sf_dir, "old"), D.index_version(spark, sf_dir, "new"),
+                            "cl1048", 10, 100, "count")
+
+
+@register("facet_compare_multivalued",
+          f"WITH {_iv_ctes()} {sql_facet_compare('speciesListUid', 100, 100, 'count')}")
+def q_facet_compare_multivalued(spark, sf_dir):
+    return CK.facet_compare(D.index_version(spark, sf_dir, "old"), D.index_version(spark, sf_dir, "new"),
+                            "speciesListUid", 100, 100, "count")
+
+
+@register("check_total_count", f"""
+WITH {_iv_ctes()}, c AS (SELECT (SELECT count(*) FROM old_iv) AS o, (SELECT count(*) FROM new_iv) AS n)
+SELECT 'check_total_count' AS "check", CAST(o AS BIGINT) AS old_count, CAST(n AS BIGINT) AS new_count,
+  CAST(n - o AS BIGINT) AS diff, CASE WHEN n < o THEN 'FAIL' ELSE 'PASS' END AS status FROM c""")
+def q_check_total_count(spark, sf_dir):
+    return CK.check_total_count(D.index_version(spark, sf_dir, "old"), D.index_version(spark, sf_dir, "new"))
+
+
+@register("check_asserted", f"""
+WITH {_iv_ctes()}, c AS (SELECT (SELECT count(userAssertions) FROM old_iv) AS o,
+                              (SELECT count(userAssertions) FROM new_iv) AS n)
+SELECT 'check_asserted' AS "check", CAST(o AS BIGINT) AS pre_count, CAST(n AS BIGINT) AS post_count,
+  CASE WHEN o > 0 AND n < o THEN 'FAIL' ELSE 'PASS' END AS status FROM c""")
+def q_check_asserted(spark, sf_dir):
+    return CK.check_asserted(D.index_version(spark, sf_dir, "old"), D.index_version(spark, sf_dir, "new"))
+
+
+def sql_sample(rel: str = "old_iv", n: int = 50, seed: int = 42) -> str:
+    return f"""ds AS (SELECT dataResourceUid AS dataset_id, count(*) AS cnt,
+                 row_number() OVER (ORDER BY dataResourceUid) - 1 AS ds_idx
+          FROM {rel} WHERE dataResourceUid IS NOT NULL GROUP BY 1),
+nds AS (SELECT count(*) AS n FROM ds),
+draws AS (SELECT r.range AS draw,
+            ((r.range * 2654435761 + {seed * 40503 + 12345}) % 2147483647) % nds.n AS ds_idx,
+            ((r.range * 1597334677 + {seed * 69069 + 12345}) % 2147483647) AS h2
+          FROM range({n}) r, nds),
+picks AS (SELECT d.draw, ds.dataset_id, d.h2 % least(ds.cnt, 20000) AS "offset"
+          FROM draws d JOIN ds ON d.ds_idx = ds.ds_idx),
+recs AS (SELECT dataResourceUid AS dataset_id, CAST(id AS VARCHAR) AS id,
+           row_number() OVER (PARTITION BY dataResourceUid ORDER BY CAST(id AS VARCHAR) ASC NULLS FIRST) - 1 AS pos
+         FROM {rel} WHERE dataResourceUid IN (SELECT dataset_id FROM picks)),
+sample AS (SELECT p.draw, p.dataset_id, CAST(p."offset" AS BIGINT) AS "offset", r.id
+           FROM picks p JOIN recs r ON r.dataset_id = p.dataset_id AND r.pos = p."offset")"""
+
+
+@register("sample_records", f"WITH {_iv_ctes()}, {sql_sample()} SELECT * FROM sample")
+def q_sample_records(spark, sf_dir):
+    return CK.sample_records(D.index_version(spark, sf_dir, "old"), n=50, seed=42)
+
+
+def _fill_sql(fields: list[str]) -> str:
+    return " + ".join(f"CAST({f} IS NOT NULL AS INTEGER)" for f in fields)
+
+
+_MIN_FIELDS_SQL = f"""
+per_id AS (SELECT id AS _id, count(*) AS n_rows, max({_fill_sql(IV_FIELDS_NEW)}) AS n_fields
+           FROM new_iv WHERE id IN (SELECT id FROM sample) GROUP BY id),
+min_fields AS (
+  SELECT s.draw, s.id, CAST(coalesce(p.n_rows, 0) AS BIGINT) AS n_rows,
+    CAST(CASE WHEN coalesce(p.n_rows, 0) = 1 THEN p.n_fields END AS BIGINT) AS n_fields,
+    CASE WHEN s.id IS NULL OR lower(s.id) = 'null' THEN 'FAIL'
+         WHEN coalesce(p.n_rows, 0) <> 1 THEN 'FAIL'
+         WHEN p.n_fields < 10 THEN 'FAIL' ELSE 'PASS' END AS status
+  FROM sample s LEFT JOIN per_id p ON s.id = p._id)"""
+
+
+@register("check_min_fields", f"WITH {_iv_ctes()}, {sql_sample()}, {_MIN_FIELDS_SQL} SELECT * FROM min_fields")
+def q_check_min_fields(spark, sf_dir):
+    old = D.index_version(spark, sf_dir, "old")
+    new = D.index_version(spark, sf_dir, "new")
+    return CK.check_min_fields(CK.sample_records(old, n=50, seed=42), new, minimum=10)
+
+
+def sql_compare_records(ids_filter: str = "") -> str:
+    both = sorted(set(IV_FIELDS_OLD) | set(IV_FIELDS_NEW) - {"id"})
+    fo, fn = set(IV_FIELDS_OLD), set(IV_FIELDS_NEW)
+    ign = {x.lower() for x in CK.ASSERTION_FIELDS}
+
+    def ov(f):
+        return f"o.r_{f}" if f in fo else "NULL"
+
+    def nv(f):
+        return f"n.r_{f}" if f in fn else "NULL"
+
+    miss = [f"CASE WHEN {ov(f)} IS NOT NULL AND {nv(f)} IS NULL THEN '{f}' END"
+            for f in both if f.lower() not in ign and f != "id"]
+    chg = [f"CASE WHEN {nv(f)} IS NOT NULL AND {ov(f)} IS NOT NULL AND {nv(f)} IS DISTINCT FROM {ov(f)} "
+           f"THEN '{f}' END" for f in both if f != "id"]
+    add = [f"CASE WHEN {nv(f)} IS NOT NULL AND {ov(f)} IS NULL THEN '{f}' END" for f in both if f != "id"]
+
+    def names(xs):
+        return f"array_to_string(list_filter([{', '.join(xs)}], lambda x: x IS NOT NULL), ',')"
+
+    def side(rel, fields, tag):
+        cols = ", ".join(f"first({f}) AS r_{f}" for f in fields if f != "id")
+        return (f"SELECT id, count(*) AS n_{tag}, {cols} FROM {rel} WHERE id IS NOT NULL {ids_filter} "
+                f"GROUP BY id")
+
+    return f"""cmp AS (
+  SELECT coalesce(o.id, n.id) AS id,
+    CAST(coalesce(o.n_old, 0) AS BIGINT) AS n_old, CAST(coalesce(n.n_new, 0) AS BIGINT) AS n_new,
+    CASE WHEN o.n_old = 1 AND n.n_new = 1 THEN {names(miss)} END AS missing,
+    CASE WHEN o.n_old = 1 AND n.n_new = 1 THEN {names(chg)} END AS changed,
+    CASE WHEN o.n_old = 1 AND n.n_new = 1 THEN {names(add)} END AS added
+  FROM ({side('old_iv', IV_FIELDS_OLD, 'old')}) o
+  FULL OUTER JOIN ({side('new_iv', IV_FIELDS_NEW, 'new')}) n ON o.id = n.id),
+cmp_status AS (SELECT *, CASE WHEN NOT (n_old = 1 AND n_new = 1) THEN 'FAIL'
+    WHEN missing <> '' THEN 'FAIL' WHEN changed <> '' OR added <> '' THEN 'WARN' ELSE 'PASS' END AS status
+  FROM cmp)"""
+
+
+@register("compare_records", f"WITH {_iv_ctes()}, {sql_compare_records()} SELECT * FROM cmp_status")
+def q_compare_records(spark, sf_dir):
+    return CK.compare_records(D.index_version(spark, sf_dir, "old"), D.index_version(spark, sf_dir, "new"))

@@ -69,3 +69,45 @@ def index_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     strings.alias("strings"), doubles.alias("doubles"), ints.alias("ints"),
                     longs.alias("longs"), booleans.alias("booleans"), dates.alias("dates"),
                     multi.alias("multiValues"))
+
+
+def index_version(spark: SparkSession, sf_dir: str, which: str = "old") -> DataFrame:
+    """A flat index version from events (k = event_id, u = user_id).
+
+    old: every event. new: drops k % 37 = 0, repeats k % 41 = 0 (two rows),
+    changes cl1048 when k % 13 = 1, loses 'sensitive' when k % 20 = 0, loses
+    cl959/cl966/cl21 when k % 23 = 0, has no assertions, and adds 'extra'
+    when k % 19 = 0.
+    """
+    e = load_table(spark, sf_dir, "events")
+    k, u = F.col("event_id"), F.col("user_id")
+    s = lambda c: c.cast("string")
+    base = {
+        "id": s(k),
+        "dataResourceUid": F.concat(F.lit("dr"), s(u % 25)),
+        "country": F.col("event_type"),
+        "stateProvince": F.concat(F.lit("state"), s(u % 7)),
+        "sensitive": F.when(k % 10 == 0, F.lit("generalised")),
+        "stateConservation": F.when(u % 3 == 0, F.lit("Endangered")).when(u % 3 == 1, F.lit("Vulnerable")),
+        "speciesListUid": F.array(F.concat(F.lit("sl"), s(u % 5)), F.concat(F.lit("sl"), s(k % 3))),
+        "cl959": F.concat(F.lit("lga"), s(u % 11)),
+        "cl1048": F.concat(F.lit("ibra"), s(k % 13)),
+        "cl966": F.concat(F.lit("meso"), s(u % 4)),
+        "cl21": F.concat(F.lit("imcra"), s(k % 2)),
+        "event_type": F.col("event_type"),
+        "value": F.col("value"),
+        "userAssertions": F.when(k % 50 == 0, F.lit("flagged")),
+    }
+    if which == "old":
+        return e.select(*[v.alias(n) for n, v in base.items()])
+    new = dict(base)
+    new["cl1048"] = F.when(k % 13 == 1, F.lit("ibra_x")).otherwise(base["cl1048"])
+    new["sensitive"] = F.when(k % 20 == 0, F.lit(None).cast("string")).otherwise(base["sensitive"])
+    for c in ("cl959", "cl966", "cl21"):
+        new[c] = F.when(k % 23 == 0, F.lit(None).cast("string")).otherwise(base[c])
+    new["userAssertions"] = F.lit(None).cast("string")
+    new["extra"] = F.when(k % 19 == 0, F.lit("x"))
+    kept = e.filter(k % 37 != 0)
+    twice = kept.filter(k % 41 == 0)
+    rows = kept.unionByName(twice)
+    return rows.select(*[v.alias(n) for n, v in new.items()])
