@@ -245,8 +245,8 @@ def q_check_asserted(spark, sf_dir):
     return CK.check_asserted(D.index_version(spark, sf_dir, "old"), D.index_version(spark, sf_dir, "new"))
 
 
-def sql_sample(rel: str = "old_iv", n: int = 50, seed: int = 42) -> str:
-    return f"""ds AS (SELECT dataResourceUid AS dataset_id, count(*) AS cnt,
+def sql_sample(rel: str = "old_iv", n: int = 50, seed: int = 42, sfx: str = "") -> str:
+    out = f"""ds AS (SELECT dataResourceUid AS dataset_id, count(*) AS cnt,
                  row_number() OVER (ORDER BY dataResourceUid) - 1 AS ds_idx
           FROM {rel} WHERE dataResourceUid IS NOT NULL GROUP BY 1),
 nds AS (SELECT count(*) AS n FROM ds),
@@ -261,6 +261,11 @@ recs AS (SELECT dataResourceUid AS dataset_id, CAST(id AS VARCHAR) AS id,
          FROM {rel} WHERE dataResourceUid IN (SELECT dataset_id FROM picks)),
 sample AS (SELECT p.draw, p.dataset_id, CAST(p."offset" AS BIGINT) AS "offset", r.id
            FROM picks p JOIN recs r ON r.dataset_id = p.dataset_id AND r.pos = p."offset")"""
+    if sfx:
+        for name in ("nds", "ds", "draws", "picks", "recs", "sample"):
+            import re as _re
+            out = _re.sub(rf"\b{name}\b", name + sfx, out)
+    return out
 
 
 @register("sample_records", f"WITH {_iv_ctes()}, {sql_sample()} SELECT * FROM sample")
@@ -272,19 +277,20 @@ def _fill_sql(fields: list[str]) -> str:
     return " + ".join(f"CAST({f} IS NOT NULL AS INTEGER)" for f in fields)
 
 
-_MIN_FIELDS_SQL = f"""
+def sql_min_fields(sample: str = "sample") -> str:
+    return f"""
 per_id AS (SELECT id AS _id, count(*) AS n_rows, max({_fill_sql(IV_FIELDS_NEW)}) AS n_fields
-           FROM new_iv WHERE id IN (SELECT id FROM sample) GROUP BY id),
+           FROM new_iv WHERE id IN (SELECT id FROM {sample}) GROUP BY id),
 min_fields AS (
   SELECT s.draw, s.id, CAST(coalesce(p.n_rows, 0) AS BIGINT) AS n_rows,
     CAST(CASE WHEN coalesce(p.n_rows, 0) = 1 THEN p.n_fields END AS BIGINT) AS n_fields,
     CASE WHEN s.id IS NULL OR lower(s.id) = 'null' THEN 'FAIL'
          WHEN coalesce(p.n_rows, 0) <> 1 THEN 'FAIL'
          WHEN p.n_fields < 10 THEN 'FAIL' ELSE 'PASS' END AS status
-  FROM sample s LEFT JOIN per_id p ON s.id = p._id)"""
+  FROM {sample} s LEFT JOIN per_id p ON s.id = p._id)"""
 
 
-@register("check_min_fields", f"WITH {_iv_ctes()}, {sql_sample()}, {_MIN_FIELDS_SQL} SELECT * FROM min_fields")
+@register("check_min_fields", f"WITH {_iv_ctes()}, {sql_sample()}, {sql_min_fields()} SELECT * FROM min_fields")
 def q_check_min_fields(spark, sf_dir):
     old = D.index_version(spark, sf_dir, "old")
     new = D.index_version(spark, sf_dir, "new")
@@ -332,3 +338,96 @@ cmp_status AS (SELECT *, CASE WHEN NOT (n_old = 1 AND n_new = 1) THEN 'FAIL'
 @register("compare_records", f"WITH {_iv_ctes()}, {sql_compare_records()} SELECT * FROM cmp_status")
 def q_compare_records(spark, sf_dir):
     return CK.compare_records(D.index_version(spark, sf_dir, "old"), D.index_version(spark, sf_dir, "new"))
+
+
+# ---------------------------------------------------------------- C2 publish / retention
+from florafold.operators import retention as RT  # noqa: E402
+from florafold.plans import publish as PB  # noqa: E402
+
+
+def _sql_worst(inner: str, check: str, empty: str = "PASS") -> str:
+    sev = {"SKIP": 0, "PASS": 1, "WARN": 2, "FAIL": 3}[empty]
+    return f"""SELECT '{check}' AS "check",
+  CASE coalesce(max(CASE status WHEN 'FAIL' THEN 3 WHEN 'WARN' THEN 2 WHEN 'PASS' THEN 1 ELSE 0 END), {sev})
+    WHEN 3 THEN 'FAIL' WHEN 2 THEN 'WARN' WHEN 1 THEN 'PASS' ELSE 'SKIP' END AS status
+FROM ({inner}) x"""
+
+
+def sql_checks() -> str:
+    parts = [_sql_worst(sql_facet_compare(f, cs, fs, srt), name) for name, f, cs, fs, srt in PB.FACET_CHECKS]
+    parts.append("""SELECT 'check_total_count' AS "check",
+  CASE WHEN (SELECT count(*) FROM new_iv) < (SELECT count(*) FROM old_iv) THEN 'FAIL' ELSE 'PASS' END AS status""")
+    parts.append(_sql_worst("SELECT status FROM min_fields", "check_min_fields_for_random_records", "FAIL"))
+    parts.append(_sql_worst("""SELECT status FROM cmp_status
+        UNION ALL SELECT 'FAIL' AS status FROM sample_c WHERE id IS NULL OR lower(id) = 'null'""",
+                            "check_compare_random_records", "FAIL"))
+    ctes = (f"{_iv_ctes()}, {sql_sample()}, {sql_min_fields()}, {sql_sample(seed=43, sfx='_c')}, "
+            f"{sql_compare_records('AND id IN (SELECT id FROM sample_c)')}")
+    return f"WITH {ctes}, checks AS ({' UNION ALL '.join(parts)})"
+
+
+def _validate(spark, sf_dir):
+    old = D.index_version(spark, sf_dir, "old")
+    new = D.index_version(spark, sf_dir, "new")
+    return PB.validate_and_publish(old, new, "biocache", "biocache-2024-06-30-10-05")
+
+
+@register("validate_checks", f"{sql_checks()} SELECT * FROM checks")
+def q_validate_checks(spark, sf_dir):
+    return _validate(spark, sf_dir)[0]
+
+
+_ROLLUP_SQL = """SELECT CASE max(CASE status WHEN 'FAIL' THEN 3 WHEN 'WARN' THEN 2 WHEN 'PASS' THEN 1 ELSE 0 END)
+    WHEN 3 THEN 'FAIL' WHEN 2 THEN 'WARN' WHEN 1 THEN 'PASS' ELSE 'SKIP' END AS status,
+  CAST(count(*) AS BIGINT) AS n_checks,
+  CAST(count(*) FILTER (WHERE status = 'FAIL') AS BIGINT) AS n_fail,
+  CAST(count(*) FILTER (WHERE status = 'WARN') AS BIGINT) AS n_warn,
+  count(*) FILTER (WHERE status = 'FAIL') = 0 AS publish
+FROM checks"""
+
+
+@register("rollup_status", f"{sql_checks()} {_ROLLUP_SQL}")
+def q_rollup_status(spark, sf_dir):
+    return _validate(spark, sf_dir)[1]
+
+
+@register("publish_decision", f"""{sql_checks()}, roll AS ({_ROLLUP_SQL})
+SELECT 'biocache' AS alias, 'biocache-2024-06-30-10-05' AS version, status AS checks_status,
+  CASE WHEN publish THEN 'switch' ELSE 'blocked' END AS action,
+  CASE WHEN publish THEN 'PASS' ELSE 'FAIL' END AS status FROM roll""")
+def q_publish_decision(spark, sf_dir):
+    return _validate(spark, sf_dir)[2]
+
+
+_VERSIONS_SQL = """v AS (SELECT DISTINCT CASE WHEN day(o_orderdate) % 5 = 0
+      THEN 'biocache_' || strftime(o_orderdate, '%d_%m_%H_%M_%S')
+      ELSE 'biocache-' || strftime(o_orderdate, '%Y-%m-%d-%H-%M') END AS name FROM orders)"""
+PROTECTED = ["biocache-1999-01-02-00-00"]
+LIVE = "biocache-2001-07-31-00-00"
+
+
+@register("retain_versions", f"""WITH {_VERSIONS_SQL},
+c AS (SELECT name FROM v WHERE regexp_matches(name, '^biocache-[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}}$')
+        AND name NOT IN ('{PROTECTED[0]}', '{LIVE}'))
+SELECT name, CAST(row_number() OVER (ORDER BY name DESC) - 1 AS BIGINT) AS rank,
+  CASE WHEN row_number() OVER (ORDER BY name DESC) - 1 < 1 THEN 'keep' ELSE 'delete' END AS action FROM c""")
+def q_retain_versions(spark, sf_dir):
+    return RT.retain_versions(D.version_names(spark, sf_dir), "biocache", keep=1,
+                              protected=PROTECTED, live=LIVE)
+
+
+@register("remove_all_except", f"""WITH {_VERSIONS_SQL}
+SELECT name, 'delete' AS action FROM v WHERE name <> 'biocache_05_01_00_00_00'
+  AND regexp_matches(name, 'biocache_[0-9]{{2}}_[0-9]{{2}}_[0-9]{{2}}_[0-9]{{2}}_[0-9]{{2}}')""")
+def q_remove_all_except(spark, sf_dir):
+    return RT.remove_all_except(D.version_names(spark, sf_dir), "biocache", "biocache_05_01_00_00_00")
+
+
+@register("retain_by_size", """WITH d AS (
+  SELECT 'biocache-' || strftime(o_orderdate, '%Y-%m-%d-%H-%M') AS name,
+         CAST(count(*) * 1000000 + sum(o_custkey) AS BIGINT) AS size FROM orders GROUP BY o_orderdate),
+b AS (SELECT * FROM d WHERE size > 3000000)
+SELECT name, size, CAST(row_number() OVER (ORDER BY name DESC) - 1 AS BIGINT) AS rank,
+  CASE WHEN row_number() OVER (ORDER BY name DESC) - 1 < 4 THEN 'keep' ELSE 'delete' END AS action FROM b""")
+def q_retain_by_size(spark, sf_dir):
+    return RT.retain_by_size(D.version_dirs(spark, sf_dir))
