@@ -431,3 +431,220 @@ SELECT name, size, CAST(row_number() OVER (ORDER BY name DESC) - 1 AS BIGINT) AS
   CASE WHEN row_number() OVER (ORDER BY name DESC) - 1 < 4 THEN 'keep' ELSE 'delete' END AS action FROM b""")
 def q_retain_by_size(spark, sf_dir):
     return RT.retain_by_size(D.version_dirs(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- catalogue / planning
+from florafold.operators import planning as PL  # noqa: E402
+from florafold.sources import catalog as CT  # noqa: E402
+
+EXCLUDED = ["dr3", "dr7"]
+
+_INV_SQL = """o AS (SELECT o_orderkey AS k, o_custkey AS c,
+    CASE WHEN o_custkey % 13 = 0 THEN 'dataset' || CAST(o_custkey AS VARCHAR)
+         ELSE 'dr' || CAST(o_custkey AS VARCHAR) END AS ds,
+    TIMESTAMP '2024-01-01 00:00:00' + (o_orderkey % 30) * INTERVAL 1 DAY
+      + ((o_orderkey * 7919) % 86400) * INTERVAL 1 SECOND AS mod
+  FROM orders),
+inv AS (
+  SELECT CASE WHEN k % 3 = 0 THEN 'pipelines-all-datasets/index-record/' || ds || '/' || ds || '-' || CAST(k AS VARCHAR) || '-of-99999.avro'
+              ELSE 'pipelines-data/' || ds || '/1/verbatim/verbatim-' || CAST(k AS VARCHAR) || '-of-99999.avro' END AS key,
+         CAST(k % 1000 + 1 AS BIGINT) AS size, mod AS modified FROM o WHERE k % 3 <> 2
+  UNION ALL SELECT 'dwca-imports/' || ds || '/' || ds || '.zip', CAST(sum(k % 1000 + 1) * 1000 AS BIGINT), max(mod)
+    FROM o GROUP BY c, ds
+  UNION ALL SELECT 'dwca-imports/' || ds || '/notes.txt', CAST(10 AS BIGINT), max(mod) FROM o WHERE c % 7 = 0 GROUP BY c, ds
+  UNION ALL SELECT 'pipelines-data/' || ds || '/1/interpretation-metrics.yml', CAST(c % 50 + 100 AS BIGINT), max(mod)
+    FROM o WHERE k % 3 = 2 GROUP BY c, ds)"""
+
+
+def sql_dataset_sizes(profile: str, lo: str | None = None, hi: str | None = None, excluded=()) -> str:
+    prefix, regex, sub = CT.PROFILES[profile]
+    iso = "strftime(modified, '%Y-%m-%dT%H:%M:%S') || '+00:00'"
+    conds = ["regexp_matches(dataset_id, '^dr[0-9]+$')",
+             f"starts_with(key, '{prefix}' || dataset_id || '/{sub}')", f"regexp_matches(key, '{regex}')"]
+    if excluded:
+        conds.append("dataset_id NOT IN (" + ", ".join(f"'{e}'" for e in excluded) + ")")
+    if lo:
+        conds.append(f"{iso} >= '{lo}'")
+    if hi:
+        conds.append(f"{iso} <= '{hi}'")
+    return f"""SELECT dataset_id, CAST(sum(size) AS BIGINT) AS size FROM (
+  SELECT *, CASE WHEN starts_with(key, '{prefix}')
+                 THEN regexp_extract(substr(key, {len(prefix) + 1}), '^([^/]+)/', 1) ELSE '' END AS dataset_id
+  FROM inv) d WHERE {' AND '.join(conds)} GROUP BY dataset_id"""
+
+
+@register("dataset_sizes", f"WITH {_INV_SQL} {sql_dataset_sizes('dwca', excluded=EXCLUDED)}")
+def q_dataset_sizes(spark, sf_dir):
+    return CT.catalog(D.inventory(spark, sf_dir), "dwca", excluded=EXCLUDED)
+
+
+@register("catalog_index", f"WITH {_INV_SQL} {sql_dataset_sizes('index_avro', '2024-01-05', '2024-01-20')}")
+def q_catalog_index(spark, sf_dir):
+    return CT.catalog(D.inventory(spark, sf_dir), "index_avro", time_range=("2024-01-05", "2024-01-20"))
+
+
+@register("catalog_verbatim", f"WITH {_INV_SQL} {sql_dataset_sizes('verbatim_avro')}")
+def q_catalog_verbatim(spark, sf_dir):
+    return CT.catalog(D.inventory(spark, sf_dir), "verbatim_avro")
+
+
+@register("catalog_ingested_since", f"WITH {_INV_SQL} {sql_dataset_sizes('ingested_since', '2024-01-10')}")
+def q_catalog_ingested_since(spark, sf_dir):
+    return CT.catalog(D.inventory(spark, sf_dir), "ingested_since", time_range=("2024-01-10", None))
+
+
+@register("named_dataset_sizes", f"""WITH {_INV_SQL},
+ids AS (SELECT DISTINCT 'dr' || CAST(c_custkey AS VARCHAR) AS dataset_id FROM customer WHERE c_nationkey = 5),
+d AS (SELECT *, CASE WHEN starts_with(key, 'dwca-imports/')
+        THEN regexp_extract(substr(key, 14), '^([^/]+)/', 1) ELSE '' END AS dataset_id FROM inv)
+SELECT dataset_id, CAST(sum(size) AS BIGINT) AS size FROM d
+WHERE dataset_id IN (SELECT dataset_id FROM ids)
+  AND starts_with(key, 'dwca-imports/' || dataset_id || '/' || dataset_id || '.zip')
+GROUP BY dataset_id""")
+def q_named_dataset_sizes(spark, sf_dir):
+    c = D.load_table(spark, sf_dir, "customer")
+    ids = c.filter(F.col("c_nationkey") == 5).select(
+        F.concat(F.lit("dr"), F.col("c_custkey").cast("string")).alias("dataset_id"))
+    return CT.named_dataset_sizes(D.inventory(spark, sf_dir), ids)
+
+
+_PART_SIZES_SQL = """ps AS (SELECT 'dr' || CAST(p_partkey AS VARCHAR) AS dataset_id,
+  CAST((p_partkey % 101) * p_size * 1000000 AS BIGINT) AS size FROM part)"""
+_CLASS_SQL = "CASE WHEN size <= 5000000 THEN 'small' WHEN size < 5000000000 THEN 'large' ELSE 'xlarge' END"
+
+
+def _part_sizes(spark, sf_dir):
+    p = D.load_table(spark, sf_dir, "part")
+    return p.select(F.concat(F.lit("dr"), F.col("p_partkey").cast("string")).alias("dataset_id"),
+                    ((F.col("p_partkey") % 101) * F.col("p_size") * 1000000).cast("bigint").alias("size"))
+
+
+@register("size_class", f"WITH {_PART_SIZES_SQL} SELECT dataset_id, size, {_CLASS_SQL} AS size_class FROM ps")
+def q_size_class(spark, sf_dir):
+    return _part_sizes(spark, sf_dir).withColumn("size_class", PL.size_class("size"))
+
+
+@register("size_class_as_batches", f"""WITH {_PART_SIZES_SQL}
+SELECT {_CLASS_SQL} AS size_class,
+  CAST(row_number() OVER (PARTITION BY {_CLASS_SQL} ORDER BY size DESC, dataset_id ASC) - 1 AS BIGINT) AS position,
+  dataset_id, size FROM ps""")
+def q_size_class_as_batches(spark, sf_dir):
+    return PL.size_class_as_batches(_part_sizes(spark, sf_dir))
+
+
+@register("workload_class", """SELECT CAST(max(n) AS BIGINT) AS max_count,
+  CASE WHEN max(n) > 20 THEN 'xlarge' ELSE 'small' END AS workload
+FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) t""")
+def q_workload_class(spark, sf_dir):
+    counts = D.load_table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("count"))
+    return PL.workload_class(counts, 20)
+
+
+@register("dispatch_mode", """SELECT s_nationkey AS nation, CAST(count(*) AS BIGINT) AS n,
+  CASE WHEN count(*) = 0 THEN 'skip' WHEN count(*) > 3 THEN 'batch' ELSE 'direct' END AS mode
+FROM supplier GROUP BY s_nationkey""")
+def q_dispatch_mode(spark, sf_dir):
+    s = D.load_table(spark, sf_dir, "supplier")
+    g = s.groupBy(F.col("s_nationkey").alias("nation")).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    return g.withColumn("mode", PL.dispatch_mode(F.col("n"), 3))
+
+
+@register("round_robin_batches", """WITH ids AS (
+  SELECT 'dr' || CAST(s_suppkey AS VARCHAR) AS dataset_id, row_number() OVER (ORDER BY s_suppkey) - 1 AS i,
+         count(*) OVER () AS c FROM supplier),
+nb AS (SELECT least(CAST(ceil(max(c) / 40.0) AS BIGINT), 6) AS n FROM ids)
+SELECT CAST(i % n AS INTEGER) AS batch,
+  CAST(floor((c - 1 - i % n) / n) + 1 - 1 - floor(i / n) AS BIGINT) AS position,
+  dataset_id, CAST(n AS INTEGER) AS n_batches FROM ids, nb""")
+def q_round_robin_batches(spark, sf_dir):
+    s = D.load_table(spark, sf_dir, "supplier")
+    ids = s.select(F.concat(F.lit("dr"), F.col("s_suppkey").cast("string")).alias("dataset_id"), "s_suppkey")
+    return PL.round_robin_batches(ids, 40, 6, order=[F.col("s_suppkey").asc()])
+
+
+def sql_partition_by_size(src: str, specs) -> str:
+    ctes = [f"r0 AS (SELECT dataset_id, size, row_number() OVER (ORDER BY size, dataset_id) - 1 AS r FROM {src})"]
+    outs = []
+    start = "0"
+    for i, (name, nb, cap) in enumerate(specs):
+        ctes.append(f"""t{i} AS (SELECT dataset_id, size, r - ({start}) AS t, (r - ({start})) % {nb} AS b
+  FROM r0 WHERE r >= ({start}))""")
+        if cap is None:
+            outs.append(f"SELECT dataset_id, size, '{name}' AS category, CAST(b + 1 AS INTEGER) AS batch, "
+                        f"CAST(t AS BIGINT) AS position FROM t{i}")
+            break
+        ctes.append(f"""l{i} AS (SELECT *, sum(size) OVER (PARTITION BY b ORDER BY t) AS load FROM t{i}),
+c{i} AS (SELECT coalesce(min(t) FILTER (WHERE load > {cap}), (SELECT count(*) FROM t{i})) AS cut FROM l{i})""")
+        outs.append(f"SELECT dataset_id, size, '{name}' AS category, CAST(b + 1 AS INTEGER) AS batch, "
+                    f"CAST(t AS BIGINT) AS position FROM t{i} WHERE t < (SELECT cut FROM c{i})")
+        start = f"{start} + (SELECT cut FROM c{i})"
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(outs)
+
+
+ORDER_SPECS = [("small", 4, 200), ("large", 3, 1200), ("xlarge", 2, None)]
+
+
+@register("partition_by_size", sql_partition_by_size(
+    "(SELECT 'dr' || CAST(o_custkey AS VARCHAR) AS dataset_id, CAST(count(*) AS BIGINT) AS size "
+    "FROM orders GROUP BY o_custkey)", ORDER_SPECS))
+def q_partition_by_size(spark, sf_dir):
+    o = D.load_table(spark, sf_dir, "orders")
+    sizes = o.groupBy(F.concat(F.lit("dr"), F.col("o_custkey").cast("string")).alias("dataset_id")).agg(
+        F.count(F.lit(1)).alias("size"))
+    return PL.partition_by_size(sizes, ORDER_SPECS)
+
+
+_IMAGES_SQL = """img AS (SELECT CASE WHEN user_id % 20 = 0 THEN 'no_dataresource'
+    ELSE 'dr' || CAST(user_id % 20 AS VARCHAR) END AS dataset_id, CAST(ts AS DATE) AS uploaded,
+    CAST(count(*) AS BIGINT) AS images FROM events GROUP BY 1, 2)"""
+
+
+@register("recent_image_counts", f"""WITH {_IMAGES_SQL}
+SELECT dataset_id, CAST(sum(images) AS BIGINT) AS images FROM img
+WHERE uploaded BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' AND dataset_id <> 'no_dataresource'
+GROUP BY dataset_id""")
+def q_recent_image_counts(spark, sf_dir):
+    return PL.recent_image_counts(D.image_uploads(spark, sf_dir), "2024-01-10", "2024-01-20")
+
+
+SYNC_VERSION = "biocache-2024-01-25-10-05"
+
+
+def _sync_cutoff() -> str:
+    import datetime as _dt
+    import re as _re
+    d = _re.findall(r".*-(\d{4}-\d{2}-\d{2})-.*", SYNC_VERSION)[0]
+    return (_dt.date.fromisoformat(d) - _dt.timedelta(days=PL.IMAGE_LOOKBACK_DAYS)).isoformat()
+
+
+@register("image_sync_candidates", f"""WITH {_IMAGES_SQL}, {_INV_SQL},
+recent AS (SELECT dataset_id FROM img WHERE uploaded >= DATE '{_sync_cutoff()}'
+           AND uploaded <= current_date AND dataset_id <> 'no_dataresource'),
+reidx AS ({sql_dataset_sizes('index_avro', _sync_cutoff())})
+SELECT dataset_id FROM recent INTERSECT SELECT dataset_id FROM reidx""")
+def q_image_sync_candidates(spark, sf_dir):
+    cutoff = _sync_cutoff()
+    recent = PL.recent_image_counts(D.image_uploads(spark, sf_dir), cutoff)
+    reidx = CT.catalog(D.inventory(spark, sf_dir), "index_avro", time_range=(cutoff, None))
+    return PL.image_sync_candidates(recent, reidx)
+
+
+@register("expand_providers", """SELECT 'dr' || CAST(n_nationkey AS VARCHAR) AS dataset_id, 'dp1' AS via, true AS valid
+FROM nation WHERE n_regionkey = 1""")
+def q_expand_providers(spark, sf_dir):
+    r = D.load_table(spark, sf_dir, "region")
+    ids = r.filter(F.col("r_regionkey") == 1).select(F.concat(F.lit("dp"), F.col("r_regionkey").cast("string")).alias("uid"))
+    return PL.expand_providers(ids, D.provider_registry(spark, sf_dir))
+
+
+@register("touch_registry", """SELECT 'dr' || CAST(s_suppkey AS VARCHAR) AS uid,
+  CASE WHEN s_suppkey % 10 = 9 THEN NULL ELSE s_name END AS name,
+  CASE WHEN s_suppkey % 3 = 0 THEN 'CC-BY 4.0' WHEN s_suppkey % 3 = 1 THEN '' END AS rights,
+  CASE WHEN s_suppkey % 2 = 0 THEN 'CC0' END AS licenseType,
+  CASE WHEN s_nationkey = 3 THEN '2024-02-01T00:00:00'
+       WHEN s_suppkey % 4 = 0 THEN '2023-12-01T00:00:00' END AS lastChecked,
+  s_nationkey FROM supplier""")
+def q_touch_registry(spark, sf_dir):
+    reg = D.dataset_registry(spark, sf_dir)
+    ids = reg.filter(F.col("s_nationkey") == 3).select(F.col("uid").alias("dataset_id"))
+    return PL.touch_registry(reg, ids, "2024-02-01T00:00:00")

@@ -127,3 +127,75 @@ def version_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.groupBy("o_orderdate").agg(
         F.concat(F.lit("biocache-"), F.date_format(F.first("o_orderdate"), "yyyy-MM-dd-HH-mm")).alias("name"),
         (F.count(F.lit(1)) * 1000000 + F.sum("o_custkey")).cast("bigint").alias("size")).drop("o_orderdate")
+
+
+def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Object-store listing ``(key, size, modified)`` derived from orders.
+
+    Dataset = customer ('dr<c>'; folder 'dataset<c>' when c % 13 = 0, which
+    is not a dataset id). Per customer: one archive 'dwca-imports/<ds>/<ds>.zip'
+    (size = sum over its orders of (k % 1000 + 1) * 1000) and, when c % 7 = 0,
+    a non-matching 'notes.txt'; per order k: an index avro file when k % 3 = 0,
+    a verbatim avro file when k % 3 = 1; per customer with a k % 3 = 2 order:
+    '1/interpretation-metrics.yml'. Modified times fall in January 2024.
+    """
+    o = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    ds = F.when(c % 13 == 0, F.concat(F.lit("dataset"), c.cast("string"))).otherwise(
+        F.concat(F.lit("dr"), c.cast("string")))
+    mod = (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+           + F.make_dt_interval(F.pmod(k, F.lit(30)), F.lit(0), F.lit(0), F.pmod(k * 7919, F.lit(86400))))
+    o = o.withColumn("ds", ds).withColumn("mod", mod)
+    per_order = o.select(
+        F.when(k % 3 == 0, F.concat(F.lit("pipelines-all-datasets/index-record/"), F.col("ds"), F.lit("/"),
+                                    F.col("ds"), F.lit("-"), k.cast("string"), F.lit("-of-99999.avro")))
+        .when(k % 3 == 1, F.concat(F.lit("pipelines-data/"), F.col("ds"), F.lit("/1/verbatim/verbatim-"),
+                                   k.cast("string"), F.lit("-of-99999.avro"))).alias("key"),
+        (k % 1000 + 1).cast("bigint").alias("size"), F.col("mod").alias("modified")).filter(F.col("key").isNotNull())
+    per_cust = o.groupBy("o_custkey", "ds").agg(
+        (F.sum(k % 1000 + 1) * 1000).cast("bigint").alias("zsize"), F.max("mod").alias("zmod"),
+        F.max(F.when(k % 3 == 2, F.col("mod"))).alias("mmod"))
+    zips = per_cust.select(F.concat(F.lit("dwca-imports/"), F.col("ds"), F.lit("/"), F.col("ds"), F.lit(".zip")).alias("key"),
+                           F.col("zsize").alias("size"), F.col("zmod").alias("modified"))
+    notes = per_cust.filter(F.col("o_custkey") % 7 == 0).select(
+        F.concat(F.lit("dwca-imports/"), F.col("ds"), F.lit("/notes.txt")).alias("key"),
+        F.lit(10).cast("bigint").alias("size"), F.col("zmod").alias("modified"))
+    metrics = per_cust.filter(F.col("mmod").isNotNull()).select(
+        F.concat(F.lit("pipelines-data/"), F.col("ds"), F.lit("/1/interpretation-metrics.yml")).alias("key"),
+        (F.col("o_custkey") % 50 + 100).cast("bigint").alias("size"), F.col("mmod").alias("modified"))
+    return per_order.unionByName(zips).unionByName(notes).unionByName(metrics)
+
+
+def image_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images uploaded per dataset and day, from events (dataset 'dr<u % 20>',
+    'no_dataresource' when u % 20 = 0)."""
+    e = load_table(spark, sf_dir, "events")
+    u = F.col("user_id")
+    ds = F.when(u % 20 == 0, F.lit("no_dataresource")).otherwise(F.concat(F.lit("dr"), (u % 20).cast("string")))
+    return e.groupBy(ds.alias("dataset_id"), F.to_date("ts").alias("uploaded")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("images"))
+
+
+def provider_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry of providers: region 'dp<r>' with its nations 'dr<n>' as members."""
+    r = load_table(spark, sf_dir, "region")
+    n = load_table(spark, sf_dir, "nation")
+    members = n.groupBy("n_regionkey").agg(F.collect_list(F.struct(
+        F.concat(F.lit("dr"), F.col("n_nationkey").cast("string")).alias("uid"),
+        F.concat(F.lit("/ws/dataResource/dr"), F.col("n_nationkey").cast("string")).alias("uri"))).alias("dataResources"))
+    return r.join(members, r.r_regionkey == members.n_regionkey, "left").select(
+        F.concat(F.lit("dp"), F.col("r_regionkey").cast("string")).alias("uid"), F.col("r_name").alias("name"),
+        "dataResources")
+
+
+def dataset_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry of datasets from suppliers: uid 'dr<s>', name, rights, licenseType, lastChecked."""
+    s = load_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    return s.select(
+        F.concat(F.lit("dr"), k.cast("string")).alias("uid"),
+        F.when(k % 10 == 9, F.lit(None).cast("string")).otherwise(F.col("s_name")).alias("name"),
+        F.when(k % 3 == 0, F.lit("CC-BY 4.0")).when(k % 3 == 1, F.lit("")).alias("rights"),
+        F.when(k % 2 == 0, F.lit("CC0")).alias("licenseType"),
+        F.when(k % 4 == 0, F.lit("2023-12-01T00:00:00")).alias("lastChecked"),
+        F.col("s_nationkey"))
