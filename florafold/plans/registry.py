@@ -648,3 +648,184 @@ def q_touch_registry(spark, sf_dir):
     reg = D.dataset_registry(spark, sf_dir)
     ids = reg.filter(F.col("s_nationkey") == 3).select(F.col("uid").alias("dataset_id"))
     return PL.touch_registry(reg, ids, "2024-02-01T00:00:00")
+
+
+# ---------------------------------------------------------------- lifecycle / export / scalar
+from florafold import functions as FN  # noqa: E402
+from florafold.operators import export as EX  # noqa: E402
+from florafold.session import scratch_dir  # noqa: E402
+from florafold.sources import sinks as SK  # noqa: E402
+
+
+def _orders_by_priority(spark, sf_dir):
+    o = D.load_table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderpriority").alias("dataset_id"))
+
+
+@register("replace_dataset", """SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority AS dataset_id
+FROM orders WHERE o_orderpriority <> '5-LOW' AND (o_orderpriority <> '1-URGENT' OR o_orderkey % 2 = 0)""")
+def q_replace_dataset(spark, sf_dir):
+    table = scratch_dir(spark, "replace")
+    base = _orders_by_priority(spark, sf_dir)
+    base.write.mode("overwrite").partitionBy("dataset_id").parquet(table)
+    SK.replace_dataset(base.filter((F.col("dataset_id") == "1-URGENT") & (F.col("o_orderkey") % 2 == 0)), table)
+    SK.delete_datasets(spark, [table], ["5-LOW"])
+    return spark.read.parquet(table).select("o_orderkey", "o_custkey", "o_totalprice",
+                                            F.col("dataset_id").cast("string").alias("dataset_id"))
+
+
+@register("write_timestamped", """SELECT o_orderkey, o_orderstatus FROM orders""")
+def q_write_timestamped(spark, sf_dir):
+    import datetime as _dt
+    path = SK.write_timestamped(D.load_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"),
+                                scratch_dir(spark, "stamped"), _dt.datetime(2024, 1, 2, 3, 4, 5))
+    assert path.endswith("/20240102T030405")
+    return spark.read.parquet(path)
+
+
+@register("deletion_plan", f"""WITH {_INV_SQL},
+ids AS (SELECT 'dr' || CAST(c_custkey AS VARCHAR) AS ds FROM customer WHERE c_nationkey = 7),
+k AS (SELECT key, CASE WHEN regexp_extract(key, '^dwca-exports/([^/]+)[.]zip', 1) <> ''
+        THEN regexp_extract(key, '^dwca-exports/([^/]+)[.]zip', 1)
+        ELSE regexp_extract(key, '^(?:pipelines-all-datasets/index-record|dwca-imports|pipelines-data)/([^/]+)/', 1) END AS ds
+      FROM inv)
+SELECT key, CASE WHEN starts_with(key, 'dwca-imports/' || ds || '/') THEN 'dwca'
+  WHEN starts_with(key, 'pipelines-all-datasets/index-record/' || ds || '/') THEN 'index-record'
+  WHEN starts_with(key, 'dwca-exports/' || ds || '.zip') THEN 'dwca-exports-zip'
+  WHEN starts_with(key, 'pipelines-data/' || ds || '/') AND NOT contains(key, 'identifiers/')
+       AND NOT contains(key, 'identifiers-backup/') THEN 'pipelines-data' END AS kind
+FROM k WHERE ds IN (SELECT ds FROM ids) AND kind IS NOT NULL""")
+def q_deletion_plan(spark, sf_dir):
+    c = D.load_table(spark, sf_dir, "customer")
+    ids = c.filter(F.col("c_nationkey") == 7).select(
+        F.concat(F.lit("dr"), F.col("c_custkey").cast("string")).alias("dataset_id"))
+    return SK.deletion_plan(D.inventory(spark, sf_dir), ids)
+
+
+PREDICATE = {"type": "and", "predicates": [
+    {"type": "in", "key": "o_orderstatus", "values": ["F"]},
+    {"type": "in", "key": "o_orderpriority", "values": ["1-URGENT", "2-HIGH"]}]}
+
+
+@register("predicate_filter", """SELECT * FROM orders
+WHERE o_orderstatus IN ('F') AND o_orderpriority IN ('1-URGENT', '2-HIGH')""")
+def q_predicate_filter(spark, sf_dir):
+    return EX.predicate_filter(D.load_table(spark, sf_dir, "orders"), PREDICATE)
+
+
+@register("predicate_filter_tree", """SELECT * FROM events
+WHERE (event_type IN ('click', 'view') OR (value BETWEEN 10 AND 20)) AND NOT (user_id IN (1, 2, 3))
+  AND props IS NOT NULL""")
+def q_predicate_filter_tree(spark, sf_dir):
+    pred = {"type": "and", "predicates": [
+        {"type": "or", "predicates": [{"type": "in", "key": "event_type", "values": ["click", "view"]},
+                                      {"type": "range", "key": "value", "from": 10, "to": 20}]},
+        {"type": "not", "predicate": {"type": "in", "key": "user_id", "values": [1, 2, 3]}},
+        {"type": "isNotNull", "key": "props"}]}
+    return EX.predicate_filter(D.load_table(spark, sf_dir, "events"), pred)
+
+
+@register("export_download", """WITH core AS (
+  SELECT o_orderkey, 'dr' || CAST(o_custkey % 10 AS VARCHAR) AS dataset_id FROM orders
+  WHERE o_orderstatus IN ('F') AND o_orderpriority IN ('1-URGENT', '2-HIGH'))
+SELECT 'core' AS resource, dataset_id, CAST(count(*) AS BIGINT) AS n_rows FROM core GROUP BY dataset_id
+UNION ALL
+SELECT 'lineitem' AS resource, c.dataset_id, CAST(count(*) AS BIGINT) FROM lineitem l
+JOIN core c ON l.l_orderkey = c.o_orderkey GROUP BY c.dataset_id""")
+def q_export_download(spark, sf_dir):
+    o = D.load_table(spark, sf_dir, "orders").withColumn(
+        "dataset_id", F.concat(F.lit("dr"), (F.col("o_custkey") % 10).cast("string")))
+    li = D.load_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity", "l_extendedprice")
+    dest = scratch_dir(spark, "export")
+    EX.export_download(o, PREDICATE, {"lineitem": li}, dest, core_id="o_orderkey")
+    parts = []
+    for res in ("core", "lineitem"):
+        r = spark.read.option("sep", "\t").option("header", "true").csv(f"{dest}/{res}")
+        parts.append(r.groupBy(F.col("dataset_id").cast("string").alias("dataset_id"))
+                     .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")).withColumn("resource", F.lit(res)))
+    return parts[0].unionByName(parts[1]).select("resource", "dataset_id", "n_rows")
+
+
+@register("export_manifest", f"""WITH {_INV_SQL},
+z AS ({sql_dataset_sizes('dwca')}),
+r AS (SELECT 'dr' || CAST(s_suppkey AS VARCHAR) AS uid, CASE WHEN s_suppkey % 10 = 9 THEN NULL ELSE s_name END AS name,
+        CASE WHEN s_suppkey % 3 = 0 THEN 'CC-BY 4.0' WHEN s_suppkey % 3 = 1 THEN '' END AS rights,
+        CASE WHEN s_suppkey % 2 = 0 THEN 'CC0' END AS licenseType FROM supplier),
+j AS (SELECT z.dataset_id, z.size, r.name, r.rights, r.licenseType,
+        (z.size * 100) // 1048576 AS q, (z.size * 100) % 1048576 AS rem FROM z LEFT JOIN r ON z.dataset_id = r.uid),
+m AS (SELECT *, CAST(q + CASE WHEN rem > 524288 OR (rem = 524288 AND q % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) / 100.0 AS mb FROM j)
+SELECT dataset_id, coalesce(name, 'Untitled dataset') AS name,
+  coalesce(nullif(rights, ''), nullif(licenseType, ''), '') AS licence,
+  CASE WHEN mb > 1024 THEN CAST(round_even(mb / 1024.0, 2) AS VARCHAR) || 'GB' ELSE CAST(mb AS VARCHAR) || 'MB' END AS size_label,
+  'exports/req-1/' || dataset_id || '.zip' AS archive
+FROM m""")
+def q_export_manifest(spark, sf_dir):
+    z = CT.catalog(D.inventory(spark, sf_dir), "dwca")
+    return EX.export_manifest(D.dataset_registry(spark, sf_dir), z, "req-1")
+
+
+@register("scalar_functions", r"""SELECT page_id,
+  CASE WHEN contains(url, 'multimedia') OR contains(url, 'image') OR contains(url, 'images') OR contains(url, 'sounds')
+       THEN 'multimedia' ELSE 'occurrence' END AS media_type,
+  nullif(regexp_extract(url, '([^/]*)$', 1), '') AS file_name,
+  regexp_extract(url, '([^/]*)/[^/]*$', 1) AS folder,
+  regexp_extract(url, '^[a-zA-Z0-9+.-]+://([^/]*)', 1) AS bucket,
+  regexp_extract(url, '^[a-zA-Z0-9+.-]+://[^/]*/?(.*)$', 1) AS path,
+  coalesce(lower(trim(CASE page_id % 4 WHEN 0 THEN ' Yes' WHEN 1 THEN 'off' WHEN 2 THEN 'TRUE ' END))
+           IN ('y', 'yes', 't', 'true', 'on', '1'), false) AS flag,
+  (CASE WHEN page_id % 3 = 0 THEN NULL WHEN page_id % 3 = 1 THEN 'NULL' ELSE CAST(page_id AS VARCHAR) END) IS NULL
+    OR lower(CASE WHEN page_id % 3 = 0 THEN NULL WHEN page_id % 3 = 1 THEN 'NULL' ELSE CAST(page_id AS VARCHAR) END) = 'null'
+    AS null_id,
+  CASE WHEN page_id % 3 = 0 THEN 'dr' WHEN page_id % 3 = 1 THEN 'dp' END AS id_kind
+FROM pages""")
+def q_scalar_functions(spark, sf_dir):
+    p = D.load_table(spark, sf_dir, "pages")
+    k = F.col("page_id")
+    flag_text = F.when(k % 4 == 0, F.lit(" Yes")).when(k % 4 == 1, F.lit("off")).when(k % 4 == 2, F.lit("TRUE "))
+    some_id = F.when(k % 3 == 0, F.lit(None).cast("string")).when(k % 3 == 1, F.lit("NULL")).otherwise(k.cast("string"))
+    uid = F.when(k % 3 == 0, F.concat(F.lit("dr"), k.cast("string"))).when(
+        k % 3 == 1, F.concat(F.lit("dp"), k.cast("string"))).otherwise(F.lit("x1"))
+    sp = FN.split_uri("url")
+    return p.select("page_id", FN.media_type("url").alias("media_type"),
+                    FN.file_name("url", strict=False).alias("file_name"), FN.folder("url").alias("folder"),
+                    sp["bucket"].alias("bucket"), sp["path"].alias("path"),
+                    FN.parse_flag(flag_text).alias("flag"), FN.is_null_id(some_id).alias("null_id"),
+                    FN.id_kind(uid, strict=False).alias("id_kind"))
+
+
+@register("version_name_date", """SELECT event_id,
+  'biocache-' || strftime(ts, '%Y-%m-%d-%H-%M') AS version,
+  strftime(ts, '%Y-%m-%d') AS version_date FROM events""")
+def q_version_name_date(spark, sf_dir):
+    e = D.load_table(spark, sf_dir, "events")
+    v = FN.version_name("biocache", F.col("ts"))
+    return e.select("event_id", v.alias("version"), FN.version_date(v).alias("version_date"))
+
+
+@register("id_list", """SELECT n_nationkey, unnest(['dr' || CAST(n_nationkey AS VARCHAR), 'dp' || CAST(n_regionkey AS VARCHAR)]) AS dataset_id
+FROM nation""")
+def q_id_list(spark, sf_dir):
+    n = D.load_table(spark, sf_dir, "nation")
+    text = F.concat(F.lit("  dr"), F.col("n_nationkey").cast("string"), F.lit(" \t dp"),
+                    F.col("n_regionkey").cast("string"), F.lit("  "))
+    return n.select("n_nationkey", F.explode(FN.id_list(text)).alias("dataset_id"))
+
+
+@register("days_between", """SELECT user_id, CAST(d AS DATE) AS day FROM (
+  SELECT user_id, unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS d
+  FROM events GROUP BY user_id)""")
+def q_days_between(spark, sf_dir):
+    e = D.load_table(spark, sf_dir, "events")
+    r = e.groupBy("user_id").agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi"))
+    return r.select("user_id", F.explode(FN.days_between("lo", "hi")).alias("day"))
+
+
+# ---------------------------------------------------------------- flagship (entry)
+@register("flagship", f"""WITH f AS ({_INDEX_SQL})
+SELECT dataResourceUid AS value, CAST(count(*) AS BIGINT) AS count FROM f
+WHERE dataResourceUid IS NOT NULL GROUP BY dataResourceUid""")
+def q_flagship(spark, sf_dir):
+    """C1 then A3: flatten the index records and facet the flat table by dataset."""
+    flat = FL.flatten_index(D.index_records(spark, sf_dir))
+    return CK.facet_counts(flat, "dataResourceUid")
