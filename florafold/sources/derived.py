@@ -199,3 +199,38 @@ def dataset_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 2 == 0, F.lit("CC0")).alias("licenseType"),
         F.when(k % 4 == 0, F.lit("2023-12-01T00:00:00")).alias("lastChecked"),
         F.col("s_nationkey"))
+
+
+def occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occurrence records from lineitem ⨝ part (k = l_orderkey, n = l_linenumber).
+
+    Coordinates are tenths of a degree (exact in any engine); verbatim text
+    columns carry bad values: latitude 'abc' (n % 7 = 0), '95.5' (n % 7 = 1),
+    ' 0 ' with longitude '0' (n % 7 = 2); empty longitude when k % 17 = 0;
+    'not-a-date' when k % 11 = 0; count 'many' when k % 13 = 0.
+    """
+    li = load_table(spark, sf_dir, "lineitem")
+    p = load_table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    j = li.join(p, li.l_partkey == p.p_partkey, "left")
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    lat10 = F.pmod(k * 7 + n * 13, F.lit(400)) - 200
+    lon10 = F.pmod(F.col("l_partkey") * 11 + k, F.lit(1000)) - 500
+    s = lambda c: c.cast("string")
+    return j.select(
+        F.concat_ws("-", s(k), s(n), s(F.col("l_partkey")), s(F.col("l_suppkey"))).alias("id"),
+        F.concat(F.lit("dr"), s(F.col("l_suppkey") % 20)).alias("dataset_id"),
+        F.col("p_name").alias("scientificName"),
+        F.concat(F.lit("sp"), s(F.col("l_partkey") % 30)).alias("taxon"),
+        (lat10 / 10.0).alias("decimalLatitude"), (lon10 / 10.0).alias("decimalLongitude"),
+        F.col("l_shipdate").cast("date").alias("eventDate"),
+        F.concat(F.lit("cat"), s(k % 997)).alias("catalogNumber"),
+        F.concat(F.lit("zone"), s(F.col("l_suppkey") % 5)).alias("zone"),
+        F.col("l_partkey"), F.col("l_extendedprice"),
+        F.when(n % 7 == 0, F.lit("abc")).when(n % 7 == 1, F.lit("95.5")).when(n % 7 == 2, F.lit(" 0 "))
+        .otherwise(F.concat(s(lat10), F.lit("e-1"))).alias("verbatimLatitude"),
+        F.when(n % 7 == 2, F.lit("0")).when(k % 17 == 0, F.lit(""))
+        .otherwise(F.concat(s(lon10), F.lit("e-1"))).alias("verbatimLongitude"),
+        F.when(k % 11 == 0, F.lit("not-a-date")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+        .alias("verbatimEventDate"),
+        F.when(k % 13 == 0, F.lit("many")).otherwise(s(F.col("l_quantity").cast("int"))).alias("verbatimCount"),
+    )
