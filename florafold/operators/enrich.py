@@ -379,7 +379,7 @@ def jackknife_outliers(df: DataFrame, group_col: str, value_col: str, id_col: st
 
 def image_sync(multimedia: DataFrame, images: DataFrame, url_col: str = "identifier") -> DataFrame:
     """Attach the stored image id to each multimedia row by identifier URL."""
-    im = images.select(F.col(url_col).alias("_u"), F.col("image_id")).dropDuplicates(["_u"])
+    im = images.groupBy(F.col(url_col).alias("_u")).agg(F.min("image_id").alias("image_id"))
     return multimedia.join(im, multimedia[url_col] == im["_u"], "left").drop("_u")
 
 

@@ -190,3 +190,225 @@ def q_restrict_sensitive(spark, sf_dir):
     out = EN.restrict_sensitive(occ, _sens_rules(spark, sf_dir))
     return out.select("id", "decimalLatitude", "decimalLongitude", "sensitive", "sensitive_decimalLatitude",
                       "sensitive_decimalLongitude")
+
+
+# ---------------------------------------------------------------- geometry
+def _layers(spark, sf_dir):
+    r = D.load_table(spark, sf_dir, "region")
+    n = D.load_table(spark, sf_dir, "nation")
+
+    def pt(x, y):
+        return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+    x0 = F.col("r_regionkey") * 20 - 50
+    sq = r.select(F.lit("cl_region").alias("layer_id"),
+                  F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("region_id"),
+                  F.array(pt(x0, F.lit(-20)), pt(x0 + 20, F.lit(-20)), pt(x0 + 20, F.lit(20)), pt(x0, F.lit(20)))
+                  .alias("ring"))
+    b = F.col("n_nationkey") * 4 - 50
+    tri = n.select(F.lit("cl_band").alias("layer_id"),
+                   F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("region_id"),
+                   F.array(pt(b, F.lit(-20)), pt(b + 4, F.lit(-20)), pt(b + 2, F.lit(20))).alias("ring"))
+    return sq.unionByName(tri)
+
+
+LAYERS_SQL = """polys AS (
+  SELECT 'cl_region' AS layer_id, 'r' || CAST(r_regionkey AS VARCHAR) AS region_id,
+    [{'x': r_regionkey * 20 - 50.0, 'y': -20.0}, {'x': r_regionkey * 20 - 30.0, 'y': -20.0},
+     {'x': r_regionkey * 20 - 30.0, 'y': 20.0}, {'x': r_regionkey * 20 - 50.0, 'y': 20.0}] AS ring FROM region
+  UNION ALL
+  SELECT 'cl_band', 'n' || CAST(n_nationkey AS VARCHAR),
+    [{'x': n_nationkey * 4 - 50.0, 'y': -20.0}, {'x': n_nationkey * 4 - 46.0, 'y': -20.0},
+     {'x': n_nationkey * 4 - 48.0, 'y': 20.0}] FROM nation),
+edges AS (SELECT layer_id, region_id, ring[i].x AS x1, ring[i].y AS y1,
+    ring[(i % len(ring)) + 1].x AS x2, ring[(i % len(ring)) + 1].y AS y2
+  FROM polys, LATERAL generate_series(1, len(ring)) t(i)),
+pts AS (SELECT DISTINCT decimalLongitude AS x, decimalLatitude AS y FROM occ
+  WHERE decimalLongitude IS NOT NULL AND decimalLatitude IS NOT NULL),
+inside AS (SELECT p.x, p.y, e.layer_id, e.region_id FROM pts p JOIN edges e
+  ON e.y1 <> e.y2 AND ((e.y1 > p.y) <> (e.y2 > p.y)) AND p.x < (e.x2 - e.x1) * (p.y - e.y1) / (e.y2 - e.y1) + e.x1
+  GROUP BY p.x, p.y, e.layer_id, e.region_id HAVING count(*) % 2 = 1),
+per_point AS (SELECT x, y, min(region_id) FILTER (WHERE layer_id = 'cl_region') AS cl_region,
+    min(region_id) FILTER (WHERE layer_id = 'cl_band') AS cl_band FROM inside GROUP BY x, y),
+sampled AS (SELECT o.id, p.cl_region, p.cl_band FROM occ o
+  LEFT JOIN per_point p ON o.decimalLongitude = p.x AND o.decimalLatitude = p.y)"""
+
+
+def _sampled(spark, sf_dir):
+    occ = D.occurrences(spark, sf_dir).select("id", "decimalLatitude", "decimalLongitude")
+    return EN.sample_layers(occ, _layers(spark, sf_dir)).select("id", "cl_region", "cl_band")
+
+
+@register("sample_layers", f"WITH {OCC_SQL}, {LAYERS_SQL} SELECT * FROM sampled")
+def q_sample_layers(spark, sf_dir):
+    return _sampled(spark, sf_dir)
+
+
+def _ranges(spark, sf_dir):
+    p = D.load_table(spark, sf_dir, "part")
+    g = p.groupBy(F.pmod(F.col("p_partkey"), F.lit(30)).alias("t")).agg(
+        F.min("p_size").alias("mn"), F.max("p_size").alias("mx"))
+    x0 = F.col("t") * 3 - 45
+    w = F.col("mn") % 20 + 5
+    y0 = -10 - F.col("mx") % 7
+
+    def pt(x, y):
+        return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+    return g.select(F.concat(F.lit("sp"), F.col("t").cast("string")).alias("taxon"),
+                    F.array(pt(x0, y0), pt(x0 + w, y0), pt(x0 + w, y0 + 15), pt(x0, y0 + 15)).alias("ring"))
+
+
+RANGES_SQL = """rg AS (SELECT 'sp' || CAST(t AS VARCHAR) AS taxon,
+    [{'x': CAST(t * 3 - 45 AS DOUBLE), 'y': CAST(-10 - mx % 7 AS DOUBLE)},
+     {'x': CAST(t * 3 - 45 + mn % 20 + 5 AS DOUBLE), 'y': CAST(-10 - mx % 7 AS DOUBLE)},
+     {'x': CAST(t * 3 - 45 + mn % 20 + 5 AS DOUBLE), 'y': CAST(-10 - mx % 7 + 15 AS DOUBLE)},
+     {'x': CAST(t * 3 - 45 AS DOUBLE), 'y': CAST(-10 - mx % 7 + 15 AS DOUBLE)}] AS ring
+  FROM (SELECT p_partkey % 30 AS t, min(p_size) AS mn, max(p_size) AS mx FROM part GROUP BY 1)),
+redges AS (SELECT taxon, ring[i].x AS x1, ring[i].y AS y1, ring[(i % len(ring)) + 1].x AS x2,
+    ring[(i % len(ring)) + 1].y AS y2 FROM rg, LATERAL generate_series(1, len(ring)) t(i)),
+rverts AS (SELECT taxon, ring[i].x AS vx, ring[i].y AS vy FROM rg, LATERAL generate_series(1, len(ring)) t(i)),
+opts AS (SELECT DISTINCT taxon, decimalLongitude AS x, decimalLatitude AS y FROM occ_todo
+  WHERE decimalLongitude IS NOT NULL AND decimalLatitude IS NOT NULL),
+rin AS (SELECT p.taxon, p.x, p.y FROM opts p JOIN redges e ON p.taxon = e.taxon
+  AND e.y1 <> e.y2 AND ((e.y1 > p.y) <> (e.y2 > p.y)) AND p.x < (e.x2 - e.x1) * (p.y - e.y1) / (e.y2 - e.y1) + e.x1
+  GROUP BY p.taxon, p.x, p.y HAVING count(*) % 2 = 1),
+rnear AS (SELECT p.taxon, p.x, p.y, min(2 * 6371.0 * asin(least(1.0, sqrt(
+    pow(sin((radians(v.vy) - radians(p.y)) / 2), 2)
+    + cos(radians(p.y)) * cos(radians(v.vy)) * pow(sin((radians(v.vx) - radians(p.x)) / 2), 2))))) AS d
+  FROM opts p JOIN rverts v ON p.taxon = v.taxon GROUP BY p.taxon, p.x, p.y),
+rdist AS (SELECT n.taxon, n.x, n.y, CASE WHEN i.taxon IS NOT NULL THEN 0.0 ELSE n.d END AS distance
+  FROM rnear n LEFT JOIN rin i ON n.taxon = i.taxon AND n.x = i.x AND n.y = i.y),
+outl AS (SELECT o.id, round(r.distance, 3) AS distance, false AS cached FROM occ_todo o
+  LEFT JOIN rdist r ON o.taxon = r.taxon AND o.decimalLongitude = r.x AND o.decimalLatitude = r.y)"""
+
+
+@register("distribution_outliers", f"""WITH {OCC_SQL},
+occ_todo AS (SELECT * FROM occ WHERE NOT (split_part(id, '-', 1)::BIGINT % 5 = 0)), {RANGES_SQL}
+SELECT * FROM outl UNION ALL
+SELECT id, -1.0 AS distance, true AS cached FROM occ WHERE split_part(id, '-', 1)::BIGINT % 5 = 0""")
+def q_distribution_outliers(spark, sf_dir):
+    occ = D.occurrences(spark, sf_dir)
+    cache = occ.filter(F.split("id", "-")[0].cast("bigint") % 5 == 0).select("id", F.lit(-1.0).alias("distance"))
+    out = EN.distribution_outliers(occ, _ranges(spark, sf_dir), cache)
+    return out.select("id", F.round("distance", 3).alias("distance"), "cached")
+
+
+# ---------------------------------------------------------------- clusters / jackknife
+CLUSTER_SQL = """cb AS (
+  SELECT id, dataset_id AS ds, 'location' AS reason,
+    scientificName || '|' || CAST(eventDate AS VARCHAR) || '|' || CAST(floor(decimalLatitude / 0.01) AS VARCHAR)
+      || '|' || CAST(floor(decimalLongitude / 0.01) AS VARCHAR) AS k
+  FROM occ WHERE scientificName IS NOT NULL AND eventDate IS NOT NULL AND decimalLatitude IS NOT NULL
+    AND decimalLongitude IS NOT NULL
+  UNION ALL SELECT id, dataset_id, 'identifier', catalogNumber FROM occ WHERE catalogNumber IS NOT NULL),
+cs AS (SELECT reason, k, min(id) AS cluster_id, count(*) AS cluster_size, count(DISTINCT ds) AS n_datasets
+  FROM cb GROUP BY reason, k HAVING count(DISTINCT ds) >= 2),
+clusters AS (SELECT b.id, b.reason, s.cluster_id, CAST(s.cluster_size AS BIGINT) AS cluster_size,
+    CAST(s.n_datasets AS BIGINT) AS n_datasets FROM cb b JOIN cs s ON b.reason = s.reason AND b.k = s.k)"""
+
+
+@register("cluster_records", f"WITH {OCC_SQL}, {CLUSTER_SQL} SELECT * FROM clusters")
+def q_cluster_records(spark, sf_dir):
+    return EN.cluster_records(D.occurrences(spark, sf_dir))
+
+
+JACK_SQL = """jd AS (SELECT DISTINCT l_partkey AS g, l_extendedprice AS x FROM lineitem
+  WHERE l_partkey IS NOT NULL AND l_extendedprice IS NOT NULL),
+jw AS (SELECT g, x, lag(x) OVER (PARTITION BY g ORDER BY x) AS px, lead(x) OVER (PARTITION BY g ORDER BY x) AS nx,
+    count(*) OVER (PARTITION BY g) AS n, avg(x) OVER (PARTITION BY g) AS m, stddev_samp(x) OVER (PARTITION BY g) AS s
+  FROM jd),
+jack AS (SELECT g AS l_partkey, x AS l_extendedprice, CAST(n AS BIGINT) AS n,
+  coalesce(n >= 10 AND s > 0 AND (CASE WHEN x >= m THEN (x - px) * (x - m) ELSE (nx - x) * (m - x) END) / s
+           > 0.95 * sqrt(n) + 0.2, false) AS is_outlier FROM jw)"""
+
+
+@register("jackknife_outliers", f"WITH {JACK_SQL} SELECT * FROM jack")
+def q_jackknife_outliers(spark, sf_dir):
+    return EN.jackknife_outliers(D.load_table(spark, sf_dir, "lineitem"), "l_partkey", "l_extendedprice")
+
+
+# ---------------------------------------------------------------- J16 / J17
+@register("image_sync", """SELECT m.page_id, m.url AS identifier, i.image_id FROM pages m
+LEFT JOIN (SELECT url, min('img-' || CAST(page_id AS VARCHAR)) AS image_id FROM pages WHERE page_id % 3 <> 0
+           GROUP BY url) i ON m.url = i.url""")
+def q_image_sync(spark, sf_dir):
+    p = D.load_table(spark, sf_dir, "pages")
+    mm = p.select("page_id", F.col("url").alias("identifier"))
+    images = p.filter(F.col("page_id") % 3 != 0).select(
+        F.col("url").alias("identifier"), F.concat(F.lit("img-"), F.col("page_id").cast("string")).alias("image_id"))
+    return EN.image_sync(mm, images)
+
+
+@register("apply_annotations", """WITH a AS (
+  SELECT doc_id, 'quality=' || CAST(quality AS VARCHAR) AS annotation FROM labels
+  UNION SELECT doc_id, 'toxic=' || CAST(toxic AS VARCHAR) FROM labels),
+per AS (SELECT doc_id, list_sort(list(DISTINCT annotation)) AS l FROM a GROUP BY doc_id)
+SELECT d.doc_id AS id, d.lang, coalesce(array_to_string(p.l, '|'), '') AS annotations_applied
+FROM documents d LEFT JOIN per p ON d.doc_id = p.doc_id""")
+def q_apply_annotations(spark, sf_dir):
+    docs = D.load_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang")
+    lab = D.load_table(spark, sf_dir, "labels")
+    ann = lab.select(F.col("doc_id").alias("id"), F.concat(F.lit("quality="), F.col("quality").cast("string")).alias("annotation")) \
+        .unionByName(lab.select(F.col("doc_id").alias("id"),
+                                F.concat(F.lit("toxic="), F.col("toxic").cast("string")).alias("annotation")))
+    out = EN.apply_annotations(docs, ann)
+    return arrays_as_text(out.withColumn("id", F.col("id").cast("bigint")))
+
+
+# ---------------------------------------------------------------- C8 full index
+@register("assemble_index", f"""WITH {OCC_SQL}, {LAYERS_SQL},
+occ_todo AS (SELECT * FROM occ), {RANGES_SQL}, {CLUSTER_SQL}, {JACK_SQL},
+s1 AS (SELECT id, min(cl_region) AS cl_region, min(cl_band) AS cl_band FROM sampled GROUP BY id),
+s2 AS (SELECT o.id, bool_or(j.is_outlier) AS is_outlier FROM occ o JOIN jack j
+       ON o.l_partkey = j.l_partkey AND o.l_extendedprice = j.l_extendedprice GROUP BY o.id),
+s3 AS (SELECT id, CAST(count(*) AS BIGINT) AS n_dup_reasons FROM clusters GROUP BY id),
+s4 AS (SELECT id, min(distance) AS distance FROM outl GROUP BY id)
+SELECT o.id, o.dataset_id, s1.cl_region, s1.cl_band, s2.is_outlier, s3.n_dup_reasons, s4.distance
+FROM occ o LEFT JOIN s1 ON o.id = s1.id LEFT JOIN s2 ON o.id = s2.id LEFT JOIN s3 ON o.id = s3.id
+LEFT JOIN s4 ON o.id = s4.id""")
+def q_assemble_index(spark, sf_dir):
+    from florafold.plans.jobs import full_index
+    return full_index(spark, D.occurrences(spark, sf_dir), _layers(spark, sf_dir), _ranges(spark, sf_dir)) \
+        .select("id", "dataset_id", "cl_region", "cl_band", "is_outlier", "n_dup_reasons",
+                F.round("distance", 3).alias("distance"))
+
+
+# ---------------------------------------------------------------- S10 / S11 / S12
+@register("archive_roundtrip", """SELECT o.o_orderkey, 'dr' || CAST(o.o_custkey % 10 AS VARCHAR) AS dataset_id,
+  CAST(coalesce(l.n, 0) AS BIGINT) AS n_lineitem, false AS duplicate
+FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) l ON o.o_orderkey = l.l_orderkey""")
+def q_archive_roundtrip(spark, sf_dir):
+    from florafold.session import scratch_dir
+    from florafold.sources.archive import read_archive
+    from florafold.sources.sinks import export_archive
+    o = D.load_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", F.concat(F.lit("dr"), (F.col("o_custkey") % 10).cast("string")).alias("dataset_id"))
+    li = D.load_table(spark, sf_dir, "lineitem").join(o.select("o_orderkey", "dataset_id"),
+                                                      F.col("l_orderkey") == F.col("o_orderkey")) \
+        .select("o_orderkey", "l_linenumber", "l_quantity", "dataset_id")
+    root = scratch_dir(spark, "archive")
+    export_archive(o, {"lineitem": li}, root)
+    core, _ = read_archive(spark, root, "core", ["lineitem"], "o_orderkey")
+    return core.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+                       F.col("dataset_id").cast("string").alias("dataset_id"),
+                       F.col("n_lineitem").cast("bigint").alias("n_lineitem"), "duplicate")
+
+
+@register("event_documents", """SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, CAST(NULL AS VARCHAR) AS parent_id,
+  'event' AS kind, o_orderstatus AS key_field FROM orders
+UNION ALL
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
+  || '-' || CAST(l_suppkey AS VARCHAR), CAST(l_orderkey AS VARCHAR), 'occurrence', CAST(l_linenumber AS VARCHAR)
+FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)""")
+def q_event_documents(spark, sf_dir):
+    from florafold.operators.export import event_documents
+    ev = D.load_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("eventID"), "o_orderstatus",
+                                                       "o_totalprice")
+    li = D.load_table(spark, sf_dir, "lineitem")
+    occ = li.select(F.concat_ws("-", *[F.col(c).cast("string") for c in
+                                       ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("id"),
+                    F.col("l_orderkey").alias("eventID"), "l_linenumber", "l_quantity")
+    docs = event_documents(ev, occ)
+    key = F.coalesce(F.get_json_object("document", "$.o_orderstatus"), F.get_json_object("document", "$.l_linenumber"))
+    return docs.select("doc_id", "parent_id", "kind", key.alias("key_field"))
