@@ -412,3 +412,74 @@ def q_event_documents(spark, sf_dir):
     docs = event_documents(ev, occ)
     key = F.coalesce(F.get_json_object("document", "$.o_orderstatus"), F.get_json_object("document", "$.l_linenumber"))
     return docs.select("doc_id", "parent_id", "kind", key.alias("key_field"))
+
+
+# ---------------------------------------------------------------- composite planning jobs
+from florafold.plans import jobs as JB  # noqa: E402
+from florafold.plans.registry import (_INV_SQL, _IMAGES_SQL, _sync_cutoff, sql_dataset_sizes,  # noqa: E402
+                                      sql_partition_by_size)
+
+ZIP_SPECS = [("small", 4, 50000000), ("large", 3, 200000000), ("xlarge", 2, None)]
+
+
+@register("plan_ingest", f"""WITH {_INV_SQL}, z AS ({sql_dataset_sizes('dwca', excluded=['dr3', 'dr7'])}),
+pb AS ({sql_partition_by_size('z', ZIP_SPECS)}) SELECT * FROM pb""")
+def q_plan_ingest(spark, sf_dir):
+    return JB.plan_ingest(D.inventory(spark, sf_dir), ZIP_SPECS, excluded=["dr3", "dr7"])
+
+
+@register("plan_image_sync", f"""WITH {_IMAGES_SQL}, {_INV_SQL},
+recent AS (SELECT dataset_id FROM img WHERE uploaded >= DATE '{_sync_cutoff()}'
+           AND uploaded <= current_date AND dataset_id <> 'no_dataresource'),
+reidx AS ({sql_dataset_sizes('index_avro', _sync_cutoff())}),
+cand AS (SELECT dataset_id FROM recent INTERSECT SELECT dataset_id FROM reidx),
+ids AS (SELECT dataset_id, row_number() OVER (ORDER BY dataset_id) - 1 AS i, count(*) OVER () AS c FROM cand),
+nb AS (SELECT least(CAST(ceil(max(c) / 4.0) AS BIGINT), 3) AS n FROM ids)
+SELECT CAST(i % n AS INTEGER) AS batch, CAST(floor((c - 1 - i % n) / n) - floor(i / n) AS BIGINT) AS position,
+  dataset_id, CAST(n AS INTEGER) AS n_batches FROM ids, nb""")
+def q_plan_image_sync(spark, sf_dir):
+    return JB.plan_image_sync(D.image_uploads(spark, sf_dir), D.inventory(spark, sf_dir), _sync_cutoff(), 4, 3)
+
+
+@register("plan_dataset_load", f"""WITH {_INV_SQL},
+ids AS (SELECT 'dr' || CAST(n_nationkey AS VARCHAR) AS dataset_id FROM nation WHERE n_regionkey = 2),
+d AS (SELECT *, CASE WHEN starts_with(key, 'dwca-imports/')
+        THEN regexp_extract(substr(key, 14), '^([^/]+)/', 1) ELSE '' END AS dataset_id FROM inv),
+s AS (SELECT dataset_id, CAST(sum(size) AS BIGINT) AS size FROM d
+      WHERE dataset_id IN (SELECT dataset_id FROM ids)
+        AND starts_with(key, 'dwca-imports/' || dataset_id || '/' || dataset_id || '.zip') GROUP BY dataset_id)
+SELECT dataset_id, size, CASE WHEN size <= 5000000 THEN 'small' WHEN size < 5000000000 THEN 'large'
+  ELSE 'xlarge' END AS size_class FROM s""")
+def q_plan_dataset_load(spark, sf_dir):
+    r = D.load_table(spark, sf_dir, "region")
+    ids = r.filter(F.col("r_regionkey") == 2).select(
+        F.concat(F.lit("dp"), F.col("r_regionkey").cast("string")).alias("uid"))
+    classes, _ = JB.plan_dataset_load(ids, D.provider_registry(spark, sf_dir), D.inventory(spark, sf_dir), 2, 3)
+    return classes
+
+
+@register("ingest_dataset")
+def q_ingest_dataset(spark, sf_dir):
+    """C7 end to end into a fresh dataset-partitioned table, read back and flattened
+    (no oracle: every stage has its own)."""
+    from florafold.plans.enrich_queries import RULES, _sens_rules
+    from florafold.session import scratch_dir
+    occ = D.occurrences(spark, sf_dir).drop("decimalLatitude", "decimalLongitude", "eventDate")
+    p = D.load_table(spark, sf_dir, "part")
+    vocab = p.select(F.col("p_name").alias("label"), F.upper("p_name").alias("canonical")).distinct()
+    g = F.split(F.col("p_name"), " ")[0]
+    taxa = p.select(F.col("p_name").alias("name"), F.lit("species").alias("rank"),
+                    F.concat(F.lit("sp:"), F.col("p_name")).alias("taxon_id")).unionByName(
+        p.select(g.alias("name"), F.lit("genus").alias("rank"), F.concat(F.lit("g:"), g).alias("taxon_id"))).distinct()
+    existing = occ.filter(F.split("id", "-")[0].cast("bigint") % 2 == 0).select(
+        F.concat_ws("|", "dataset_id", "id").alias("unique_key"), F.concat(F.lit("u-"), F.col("id")).alias("uuid"))
+    table = scratch_dir(spark, "ingest")
+    JB.ingest_dataset(occ, RULES, vocab, "scientificName", taxa, existing, ["id"], _sens_rules(spark, sf_dir), table)
+    return arrays_as_text(FL.flatten_index(spark.read.parquet(table).drop("dataset_id"), merge_duplicate_ids=False))
+
+
+@register("object_inventory")
+def q_object_inventory(spark, sf_dir):
+    """S2 over the given tables' own files (no oracle: DuckDB cannot list file sizes)."""
+    from florafold.sources.catalog import object_inventory
+    return object_inventory(spark, sf_dir, "*.parquet")
