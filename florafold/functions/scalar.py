@@ -109,4 +109,4 @@ def split_uri(uri) -> Column:
 def id_list(text) -> Column:
     """whitespace separated ids → array, blanks dropped (explode it for rows)."""
     parts = F.split(F.trim(_c(text)), r"\s+")
-    return F.filter(parts, lambda x: x != "")
+    return F.array_remove(parts, "")

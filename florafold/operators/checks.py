@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from florafold.functions.scalar import is_null_id
+from florafold.operators.joins import bounded_broadcast
 from florafold.operators.ranking import with_global_rank
+from florafold.session import ensure_checkpoint_dir
 
 # ---- fixed values that must equal the reference's ----------------------------
 PASS, WARN, FAIL, SKIP = "PASS", "WARN", "FAIL", "SKIP"
@@ -143,6 +145,63 @@ def facet_compare(old: DataFrame, new: DataFrame, field: str, check_size: int =
                     "old_count", "new_count", pct.cast("bigint").alias("drop_pct"), status.alias("status"))
 
 
+def facet_counts_many(df: DataFrame, fields: list[str]) -> DataFrame:
+    """A3 for several fields in one pass: ``(field, value, count)``.
+
+    One scan of the fields and one shuffle for all of them (partial counts
+    per map task), instead of one job per field. Values become text."""
+    parts = []
+    for f in fields:
+        c = F.col(f"`{f}`")
+        if isinstance(df.schema[f].dataType, T.ArrayType):
+            vals = F.array_distinct(c.cast("array<string>"))
+        else:
+            vals = F.array(c.cast("string"))
+        parts.append(F.struct(F.lit(f).alias("field"), vals.alias("vals")))
+    e = df.select(F.explode(F.array(*parts)).alias("p")).select(
+        F.col("p.field").alias("field"), F.explode("p.vals").alias("value"))
+    return (e.filter(F.col("value").isNotNull()).groupBy("field", "value")
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
+def _limit_per_field(fc: DataFrame, specs: dict[str, tuple[int, str]]) -> DataFrame:
+    # top-k per field; Spark pushes a per-partition limit below the shuffle
+    # (WindowGroupLimit), and the input is already one row per distinct value
+    from pyspark.sql import Window
+    limited = [f for f, (k, _) in specs.items() if k is not None and k >= 0]
+    if not limited:
+        return fc
+    by_count = [f for f in limited if specs[f][1] == "count"]
+    w = Window.partitionBy("field").orderBy(
+        F.when(F.col("field").isin(by_count), -F.col("count")).otherwise(F.lit(0)), F.col("value"))
+    ranked = fc.withColumn("_rk", F.row_number().over(w))
+    lim = F.lit(None).cast("int")
+    for f in limited:
+        lim = F.when(F.col("field") == f, F.lit(specs[f][0])).otherwise(lim)
+    return ranked.filter(lim.isNull() | (F.col("_rk") <= lim)).drop("_rk")
+
+
+def facet_compare_many(old: DataFrame, new: DataFrame,
+                       specs: list[tuple[str, int, int, str]]) -> DataFrame:
+    """J2 for several fields at once: ``specs`` = (field, check_size,
+    fetch_size, sort). One facet pass per side; same rule and output as
+    :func:`facet_compare` (values compared as text)."""
+    fields = [s[0] for s in specs]
+    o = _limit_per_field(facet_counts_many(old, fields), {f: (cs, srt) for f, cs, _, srt in specs}) \
+        .select("field", "value", F.col("count").alias("old_count")).filter(F.col("old_count") > 0)
+    n = _limit_per_field(facet_counts_many(new, fields), {f: (fs, srt) for f, _, fs, srt in specs}) \
+        .select("field", "value", F.col("count").alias("new_count"))
+    j = o.join(n, ["field", "value"], "left")
+    pct = F.bround((F.col("old_count") - F.col("new_count")).cast("double") / F.col("old_count") * 100.0, 0)
+    severe = ~((F.col("old_count") < MIN_FACET_RECORD_COUNT) & (F.col("new_count") > 0))
+    status = (F.when(F.col("new_count").isNull(), F.lit(FAIL))
+              .when((pct > MAX_DROP_PCT) & severe, F.lit(FAIL))
+              .when(F.col("new_count") < F.col("old_count"), F.lit(WARN))
+              .otherwise(F.lit(PASS)))
+    return j.select("field", "value", "old_count", "new_count", pct.cast("bigint").alias("drop_pct"),
+                    status.alias("status"))
+
+
 def facet_status(per_value: DataFrame, check: str | None = None) -> DataFrame:
     """Worst status of a J2 result; no old values → PASS."""
     agg = per_value.agg(F.max(severity(F.col("status"))).alias("_s"))
@@ -193,14 +252,18 @@ def sample_records(df: DataFrame, n: int = DEFAULT_SAMPLE_SIZE, seed: int = 42,
     distributed rank (no per-dataset window, so a hot dataset is split).
     """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     ds = dataset_counts(df, dataset_col)
-    ds_ranked = with_global_rank(ds, [F.col("dataset_id").asc()], "ds_idx")
-    n_ds = ds.count()  # one scalar
+    # one row per dataset; written to the checkpoint folder so the count and
+    # the draws below read it instead of re-running the facet
+    ds_ranked = with_global_rank(ds, [F.col("dataset_id").asc()], "ds_idx").checkpoint()
+    n_ds = ds_ranked.count()  # one scalar
     if n_ds == 0:
         return spark.createDataFrame([], "draw bigint, dataset_id string, offset bigint, id string")
     draws = spark.range(n).withColumnRenamed("id", "draw") \
         .withColumn("ds_idx", F.pmod(_draw(F.col("draw"), seed, 2654435761, 40503), F.lit(n_ds)))
-    draws = draws.join(F.broadcast(ds_ranked), "ds_idx") \
+    # the draws are n rows (bounded by the parameter); the dataset table is not
+    draws = ds_ranked.join(F.broadcast(draws), "ds_idx") \
         .withColumn("offset", F.pmod(_draw(F.col("draw"), seed, 1597334677, 69069),
                                      F.least(F.col("count"), F.lit(max_offset))))
     drawn = draws.select("dataset_id").distinct()
@@ -210,7 +273,8 @@ def sample_records(df: DataFrame, n: int = DEFAULT_SAMPLE_SIZE, seed: int = 42,
     starts = ranked.groupBy("dataset_id").agg(F.min("pos").alias("start"))
     want = draws.join(starts, "dataset_id").withColumn("pos", F.col("start") + F.col("offset"))
     picked = ranked.join(F.broadcast(want.select("pos", "draw", "offset")), "pos")
-    return picked.select("draw", "dataset_id", "offset", "id")
+    # n rows: materialised once so every check reuses the same draws
+    return picked.select("draw", "dataset_id", "offset", "id").checkpoint()
 
 
 # ---------------------------------------------------------------- J4
@@ -223,7 +287,7 @@ def check_min_fields(sample: DataFrame, new: DataFrame, minimum: int = DEFAULT_M
     ids = sample.select("draw", F.col("id").cast("string").alias("id"))
     fields = [c for c in new.columns]
     per_id = (new.select(F.col(id_col).cast("string").alias("_id"), field_fill(new, fields).alias("_nf"))
-              .join(F.broadcast(ids.select(F.col("id").alias("_id")).distinct()), "_id", "left_semi")
+              .join(bounded_broadcast(ids.select(F.col("id").alias("_id")).distinct()), "_id", "left_semi")
               .groupBy("_id").agg(F.count(F.lit(1)).alias("n_rows"), F.max("_nf").alias("n_fields")))
     j = ids.join(per_id, ids["id"] == per_id["_id"], "left")
     n_rows = F.coalesce(F.col("n_rows"), F.lit(0)).cast("bigint")
@@ -260,7 +324,7 @@ def compare_records(old: DataFrame, new: DataFrame, ids: DataFrame | None = None
     fields_o = [c for c in old.columns if c != id_col]
     fields_n = [c for c in new.columns if c != id_col]
     if ids is not None:
-        keep = F.broadcast(ids.select(F.col("id").cast("string").alias("_k")).distinct())
+        keep = bounded_broadcast(ids.select(F.col("id").cast("string").alias("_k")).distinct())
         old = old.join(keep, F.col(id_col).cast("string") == keep["_k"], "left_semi")
         new = new.join(keep, F.col(id_col).cast("string") == keep["_k"], "left_semi")
 
@@ -287,7 +351,7 @@ def compare_records(old: DataFrame, new: DataFrame, ids: DataFrame | None = None
         add.append(F.when(nv.isNotNull() & ov.isNull(), F.lit(f)))
 
     def names(xs):
-        return F.array_join(F.filter(F.array(*xs), lambda x: x.isNotNull()), ",") if xs else F.lit("")
+        return F.array_join(F.array(*xs), ",") if xs else F.lit("")
 
     n_old = F.coalesce(F.col("n_old"), F.lit(0)).cast("bigint")
     n_new = F.coalesce(F.col("n_new"), F.lit(0)).cast("bigint")

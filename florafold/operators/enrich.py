@@ -44,15 +44,15 @@ def interpret(df: DataFrame, rules: dict[str, tuple[str, str]], lat: str | None
     Issues: '<NAME>_INVALID' when present but unparseable; with ``lat``/``lon``
     (output names) 'COORDINATE_OUT_OF_RANGE' (|lat| > 90 or |lon| > 180,
     value then nulled) and 'ZERO_COORDINATE' (both 0)."""
-    typed, issues = {}, []
+    texts, typed, issues = {}, {}, []
     for name, (src, typ) in rules.items():
-        t = F.nullif(F.trim(F.col(src)), F.lit(""))
-        if typ == "date":
-            v = F.to_date(F.try_to_timestamp(t, F.lit("yyyy-MM-dd")))
-        elif typ == "int":
-            v = F.try_cast(t, "int") if hasattr(F, "try_cast") else t.try_cast("int")
-        else:
-            v = t.try_cast(typ)
+        texts[name] = F.nullif(F.trim(F.col(src)), F.lit(""))
+    # step 1: parse once (a separate projection, so each parse runs once per row)
+    step1 = df.select(*[F.col(k) for k in keep],
+                      *[t.alias(f"_t_{n}") for n, t in texts.items()],
+                      *[_parse(t, rules[n][1]).alias(n) for n, t in texts.items()])
+    for name in rules:
+        t, v = F.col(f"_t_{name}"), F.col(name)
         typed[name] = v
         issues.append(F.when(t.isNotNull() & v.isNull(), F.lit(name.upper() + ISSUE_INVALID)))
     if lat and lon:
@@ -62,8 +62,19 @@ def interpret(df: DataFrame, rules: dict[str, tuple[str, str]], lat: str | None
         issues.append(F.when((la == 0) & (lo == 0), F.lit(ISSUE_ZERO)))
         typed[lat] = F.when(~F.coalesce(bad, F.lit(False)), la)
         typed[lon] = F.when(~F.coalesce(bad, F.lit(False)), lo)
-    arr = F.filter(F.array(*issues), lambda x: x.isNotNull())
-    return df.select(*[F.col(k) for k in keep], *[v.alias(n) for n, v in typed.items()], arr.alias("issues"))
+    return step1.select(*[F.col(k) for k in keep], *[v.alias(n) for n, v in typed.items()],
+                        drop_nulls(F.array(*issues)).alias("issues"))
+
+
+def _parse(t: Column, typ: str) -> Column:
+    if typ == "date":
+        return F.to_date(F.try_to_timestamp(t, F.lit("yyyy-MM-dd")))
+    return t.try_cast(typ)
+
+
+def drop_nulls(arr: Column) -> Column:
+    """Remove null elements (code-generated; no lambda). Duplicates collapse too."""
+    return F.array_except(arr, F.array(F.lit(None).cast("string")))
 
 
 _MAP_OF_TYPE = [("strings", (T.StringType,)), ("doubles", (T.DoubleType, T.FloatType)),
@@ -94,12 +105,18 @@ def build_index_record(df: DataFrame, id_col: str = "id") -> DataFrame:
         entries = maps.get(mname)
         if not entries:
             continue
-        m = F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value"))
-                                                  for k, v in entries]), lambda e: e["value"].isNotNull()))
+        structs = [F.when(v.isNotNull(), F.struct(F.lit(k).alias("key"), v.alias("value"))) for k, v in entries]
+        arr = F.array(*structs)
+        m = F.map_from_entries(F.array_except(arr, F.array(F.lit(None).cast(arr_type(df, entries)))))
         out.append(m.alias(mname))
     return df.select(*out)
 
 
+def arr_type(df: DataFrame, entries) -> str:
+    sample = df.select(F.struct(F.lit(entries[0][0]).alias("key"), entries[0][1].alias("value")).alias("s"))
+    return sample.schema["s"].dataType.simpleString()
+
+
 def interpretation_metrics(df: DataFrame, dataset_col: str = "dataset_id", fields: list[str] = (),
                            issue_codes: list[str] = ()) -> DataFrame:
     """A10: per dataset: records, parsed values per field, and records per issue code."""

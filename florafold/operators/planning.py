@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from florafold.functions.scalar import id_kind
 from florafold.operators.ranking import with_global_rank, with_running_sum
+from florafold.session import ensure_checkpoint_dir
 
 # ---- fixed values that must equal the reference's ----------------------------
 SMALL_MAX_BYTES = 5000000         # small: size <= this
@@ -90,7 +91,10 @@ def partition_by_size(sizes: DataFrame, specs: list[tuple[str, int, int | None]]
     and one scalar (the cut).
     """
     d = sizes.select(F.col(id_col).alias("dataset_id"), F.col(size_col).cast("bigint").alias("size"))
-    ranked = with_global_rank(d, [F.col("size").asc(), F.col("dataset_id").asc()], "_r")
+    ensure_checkpoint_dir(d.sparkSession)
+    # one row per dataset, written once: every tier's cut reads it instead of
+    # recomputing the listing and the rank
+    ranked = with_global_rank(d, [F.col("size").asc(), F.col("dataset_id").asc()], "_r").checkpoint()
     out = []
     start = 0
     for name, buckets, cap in specs:

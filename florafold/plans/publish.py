@@ -51,9 +51,14 @@ def run_checks(old: DataFrame, new: DataFrame, checks: list[str] | None = None,
     """All (or the named) checks as one ``(check, status)`` frame."""
     wanted = set(checks or ALL_CHECKS)
     parts = []
-    for name, field, cs, fs, sort in FACET_CHECKS:
-        if name in wanted and field in old.columns and field in new.columns:
-            parts.append(_worst(CK.facet_compare(old, new, field, cs, fs, sort), name))
+    facet = [(n, f, cs, fs, srt) for n, f, cs, fs, srt in FACET_CHECKS
+             if n in wanted and f in old.columns and f in new.columns]
+    if facet:
+        per_value = CK.facet_compare_many(old, new, [(f, cs, fs, srt) for _, f, cs, fs, srt in facet])
+        worst = per_value.groupBy("field").agg(F.max(CK.severity(F.col("status"))).alias("_s"))
+        names = old.sparkSession.createDataFrame([(n, f) for n, f, *_ in facet], "check string, field string")
+        parts.append(names.join(worst, "field", "left").select(
+            "check", CK.status_of(F.coalesce(F.col("_s"), F.lit(1))).alias("status")))
     if "check_total_count" in wanted:
         parts.append(_row("check_total_count", CK.check_total_count(old, new)))
     if "check_min_fields_for_random_records" in wanted:

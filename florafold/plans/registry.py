@@ -829,3 +829,11 @@ def q_flagship(spark, sf_dir):
     """C1 then A3: flatten the index records and facet the flat table by dataset."""
     flat = FL.flatten_index(D.index_records(spark, sf_dir))
     return CK.facet_counts(flat, "dataResourceUid")
+
+
+@register("facet_compare_many", f"""WITH {_iv_ctes()}
+{' UNION ALL '.join(f"SELECT * FROM ({sql_facet_compare(f, cs, fs, srt)})" for _, f, cs, fs, srt in PB.FACET_CHECKS)}""")
+def q_facet_compare_many(spark, sf_dir):
+    old = D.index_version(spark, sf_dir, "old")
+    new = D.index_version(spark, sf_dir, "new")
+    return CK.facet_compare_many(old, new, [(f, cs, fs, srt) for _, f, cs, fs, srt in PB.FACET_CHECKS])
