@@ -837,3 +837,63 @@ def q_facet_compare_many(spark, sf_dir):
     old = D.index_version(spark, sf_dir, "old")
     new = D.index_version(spark, sf_dir, "new")
     return CK.facet_compare_many(old, new, [(f, cs, fs, srt) for _, f, cs, fs, srt in PB.FACET_CHECKS])
+
+
+# ---------------------------------------------------------------- S1 / U3, P1-P3, W1, A1 as queries
+from florafold.sources.scan import scan_records  # noqa: E402
+
+
+@register("scan_records", """SELECT o_orderkey, o_custkey, o_orderstatus,
+  CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN NULL ELSE o_totalprice END AS o_totalprice
+FROM orders""")
+def q_scan_records(spark, sf_dir):
+    root = scratch_dir(spark, "scan")
+    o = D.load_table(spark, sf_dir, "orders")
+    hi = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    o.filter(hi).select("o_orderkey", "o_custkey", "o_orderstatus").write.parquet(f"{root}/dr1")
+    o.filter(~hi).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice").write.parquet(f"{root}/dr2")
+    return scan_records(spark, [f"{root}/dr*"]).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+_KEY_ROWS_SQL = """WITH e AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, unnest([
+    'dataResourceUid', 'orderStatus', 'order.priority', 'sensitive_segment',
+    CASE WHEN o_orderkey % 3 = 0 THEN 'Market-Segment' ELSE 'market segment' END, 'comment', 'year']) AS key
+  FROM orders WHERE o_orderkey % 31 <> 0 AND o_orderkey % 37 <> 0
+  UNION ALL SELECT CAST(o_orderkey AS VARCHAR), NULL FROM orders WHERE o_orderkey % 31 = 0 OR o_orderkey % 37 = 0)"""
+
+
+@register("map_entries", f"""{_KEY_ROWS_SQL} SELECT id, key FROM e""")
+def q_map_entries(spark, sf_dir):
+    return FL.map_entries(D.index_records_by_order(spark, sf_dir), "strings").select("id", "key")
+
+
+@register("drop_sensitive", f"""{_KEY_ROWS_SQL}
+SELECT id, regexp_replace(key, '[^0-9a-zA-Z]+', '_', 'g') AS key FROM e WHERE key NOT LIKE 'sensitive\\_%' ESCAPE '\\'""")
+def q_drop_sensitive(spark, sf_dir):
+    rec = D.index_records_by_order(spark, sf_dir)
+    e = FL.drop_sensitive(FL.map_entries(rec, "strings"))
+    return e.select("id", FL.sanitize_key("key").alias("key"))
+
+
+@register("dedupe_keys", f"""{_KEY_ROWS_SQL},
+s0 AS (SELECT id, regexp_replace(key, '[^0-9a-zA-Z]+', '_', 'g') AS key FROM e
+       WHERE key NOT LIKE 'sensitive\\_%' ESCAPE '\\'),
+s AS (SELECT * FROM s0 UNION ALL SELECT id, upper(key) FROM s0 WHERE lower(key) = 'market_segment'),
+r AS (SELECT id, key, row_number() OVER (PARTITION BY id, lower(key) ORDER BY key DESC) AS rn FROM s)
+SELECT id, key FROM r WHERE rn = 1 AND lower(key) <> 'year'""")
+def q_dedupe_keys(spark, sf_dir):
+    rec = D.index_records_by_order(spark, sf_dir)
+    e = FL.drop_sensitive(FL.map_entries(rec, "strings")).withColumn("key", FL.sanitize_key("key"))
+    # every record also gets an upper-case spelling of its segment key
+    e = e.unionByName(e.filter(F.lower("key") == "market_segment").withColumn("key", F.upper("key")))
+    return FL.dedupe_keys(e, existing=["YEAR"]).select("id", "key")
+
+
+@register("pivot_first", """SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS orderStatus, o_orderpriority AS order_priority
+FROM orders WHERE o_orderkey % 31 <> 0 AND o_orderkey % 37 <> 0""")
+def q_pivot_first(spark, sf_dir):
+    rec = D.index_records_by_order(spark, sf_dir)
+    e = FL.map_entries(rec, "strings").withColumn("key", FL.sanitize_key("key")) \
+        .filter(F.col("key").isin("orderStatus", "order_priority"))
+    return FL.pivot_first(e, ["orderStatus", "order_priority"])

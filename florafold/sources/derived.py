@@ -30,13 +30,26 @@ def index_records(spark: SparkSession, sf_dir: str) -> DataFrame:
       key 'CustKey' when k % 4 = 0 else 'custKey' (longs);
       'comment' value null when k % 7 = 0; doubles map null when k % 11 = 0.
     """
-    o = load_table(spark, sf_dir, "orders")
-    c = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    j = o.join(c, o.o_custkey == c.c_custkey, "left")
     k = _k()
     rid = (F.when(k % 97 == 5, F.lit(None).cast("string"))
            .when(k % 53 == 7, (k - 1).cast("string"))
            .otherwise(k.cast("string")))
+    return _records(_orders_customers(spark, sf_dir), rid)
+
+
+def index_records_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records keyed by the plain order key (unique, never null)."""
+    return _records(_orders_customers(spark, sf_dir), _k().cast("string"))
+
+
+def _orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load_table(spark, sf_dir, "orders")
+    c = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return o.join(c, o.o_custkey == c.c_custkey, "left")
+
+
+def _records(j: DataFrame, rid) -> DataFrame:
+    k = _k()
     year = F.year("o_orderdate")
     strings_entries = F.array(
         F.struct(F.lit("dataResourceUid").alias("key"), F.concat(F.lit("dr"), F.col("c_nationkey").cast("string")).alias("value")),
