@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming work (no watermarks, windows, state or late
+data; its only repetition is a poll loop around an external job), so there is
+no Structured Streaming operator to build here.
+"""
