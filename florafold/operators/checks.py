@@ -165,20 +165,21 @@ def facet_counts_many(df: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def _limit_per_field(fc: DataFrame, specs: dict[str, tuple[int, str]]) -> DataFrame:
-    # top-k per field; Spark pushes a per-partition limit below the shuffle
-    # (WindowGroupLimit), and the input is already one row per distinct value
-    from pyspark.sql import Window
+    """Top-k values per limited field: each is its own ``orderBy().limit(k)``
+    (per-partition top-k, then a k-row merge); unlimited fields pass through."""
     limited = [f for f, (k, _) in specs.items() if k is not None and k >= 0]
     if not limited:
         return fc
-    by_count = [f for f in limited if specs[f][1] == "count"]
-    w = Window.partitionBy("field").orderBy(
-        F.when(F.col("field").isin(by_count), -F.col("count")).otherwise(F.lit(0)), F.col("value"))
-    ranked = fc.withColumn("_rk", F.row_number().over(w))
-    lim = F.lit(None).cast("int")
+    # one row per distinct value: written once, so the per-field top-k reads
+    # it instead of re-running the facet scan and shuffle per field
+    ensure_checkpoint_dir(fc.sparkSession)
+    fc = fc.checkpoint()
+    out = fc.filter(~F.col("field").isin(limited))
     for f in limited:
-        lim = F.when(F.col("field") == f, F.lit(specs[f][0])).otherwise(lim)
-    return ranked.filter(lim.isNull() | (F.col("_rk") <= lim)).drop("_rk")
+        k, srt = specs[f]
+        order = [F.col("value").asc()] if srt == "index" else [F.col("count").desc(), F.col("value").asc()]
+        out = out.unionByName(fc.filter(F.col("field") == f).orderBy(*order).limit(k))
+    return out
 
 
 def facet_compare_many(old: DataFrame, new: DataFrame,
