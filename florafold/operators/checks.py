@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from florafold.functions.scalar import is_null_id
 from florafold.operators.joins import bounded_broadcast
-from florafold.operators.ranking import with_global_rank
+from florafold.operators.ranking import smallest_per_group, with_global_rank
 from florafold.session import ensure_checkpoint_dir
 
 # ---- fixed values that must equal the reference's ----------------------------
@@ -249,8 +249,9 @@ def sample_records(df: DataFrame, n: int = DEFAULT_SAMPLE_SIZE, seed: int = 42,
     records (ordered by name), then an offset below ``min(count, max_offset)``
     into its records ordered by id (nulls first). Returns draw, dataset, offset, id.
 
-    Only the drawn datasets' ``(dataset, id)`` columns are ranked, with the
-    distributed rank (no per-dataset window, so a hot dataset is split).
+    Only the drawn datasets' ``(dataset, id)`` columns are read, and only their
+    first ``max_offset`` ids per dataset are kept (tree top-k with bounded
+    groups), so a dataset holding a third of all rows is never sorted whole.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -270,10 +271,11 @@ def sample_records(df: DataFrame, n: int = DEFAULT_SAMPLE_SIZE, seed: int = 42,
     drawn = draws.select("dataset_id").distinct()
     recs = df.select(F.col(dataset_col).alias("dataset_id"), F.col(id_col).cast("string").alias("id")) \
         .join(F.broadcast(drawn), "dataset_id", "left_semi")
-    ranked = with_global_rank(recs, [F.col("dataset_id").asc(), F.col("id").asc_nulls_first()], "pos")
-    starts = ranked.groupBy("dataset_id").agg(F.min("pos").alias("start"))
-    want = draws.join(starts, "dataset_id").withColumn("pos", F.col("start") + F.col("offset"))
-    picked = ranked.join(F.broadcast(want.select("pos", "draw", "offset")), "pos")
+    # offsets are below max_offset: only each drawn dataset's first max_offset
+    # ids (by id) are needed — an exact tree top-k, never a sort of the dataset
+    first_ids = smallest_per_group(recs, "dataset_id", "id", max_offset, rank_col="pos")
+    want = draws.select("draw", "dataset_id", F.col("offset").alias("pos"), "offset")
+    picked = first_ids.join(F.broadcast(want), ["dataset_id", "pos"])
     # n rows: materialised once so every check reuses the same draws
     return picked.select("draw", "dataset_id", "offset", "id").checkpoint()
 

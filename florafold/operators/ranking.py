@@ -69,3 +69,42 @@ def with_running_sum(df: DataFrame, rank_col: str, group_col: Column | str, valu
     return (d.join(F.broadcast(carry), ["_rs_p", "_rs_g"], "left")
             .withColumn(out_col, F.col("_rs_local") + F.coalesce(F.col("_rs_carry"), F.lit(0)))
             .drop("_rs_p", "_rs_g", "_rs_local", "_rs_carry"))
+
+
+def smallest_per_group(df: DataFrame, group_col: str, order_col: str, k: int, fan_in: int = 64,
+                       rank_col: str = "pos") -> DataFrame:
+    """The ``k`` smallest ``order_col`` values per group (nulls first), with
+    their 0-based position in the group — exact, with bounded work per task.
+
+    1. Inside every input partition keep the ``k`` smallest per group
+       (``mapInPandas``; no shuffle, memory ≤ groups × k + one batch).
+    2. Merge partition results in a tree: partitions are bucketed
+       ``fan_in`` at a time and each (group, bucket) keeps its ``k`` smallest,
+       so no window group ever holds more than ``fan_in × k`` rows, however
+       large the group is.
+    """
+    import pandas as pd
+
+    sub = df.select(group_col, order_col)
+    schema = sub.schema
+
+    def keep_smallest(batches):
+        acc = None
+        for pdf in batches:
+            acc = pdf if acc is None else pd.concat([acc, pdf], ignore_index=True)
+            acc = (acc.sort_values([group_col, order_col], na_position="first", kind="mergesort")
+                   .groupby(group_col, sort=False, dropna=False).head(k))
+        if acc is not None and len(acc):
+            yield acc
+
+    x = sub.mapInPandas(keep_smallest, schema).withColumn("_b", F.spark_partition_id())
+    n = max(1, sub.rdd.getNumPartitions())
+    order = F.col(order_col).asc_nulls_first()
+    while n > 1:
+        x = x.withColumn("_b", F.floor(F.col("_b") / fan_in))
+        w = Window.partitionBy(group_col, "_b").orderBy(order)
+        x = x.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
+        n = -(-n // fan_in)
+    w = Window.partitionBy(group_col).orderBy(order)
+    return (x.withColumn(rank_col, F.row_number().over(w) - 1).filter(F.col(rank_col) < k)
+            .drop("_b"))

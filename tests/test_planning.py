@@ -149,3 +149,19 @@ def test_random_rank_helpers(spark):
     a = {x["rk"]: x["run"] for x in s.collect()}
     b = {x["rk"]: x["run2"] for x in ref.collect()}
     assert a == b
+
+
+def test_smallest_per_group_tree_matches_brute_force(spark):
+    from florafold.operators.ranking import smallest_per_group
+    rnd = random.Random(11)
+    # one hot group holding most rows, a few small ones, some null ids
+    rows = [("hot" if rnd.random() < 0.7 else f"g{rnd.randint(0, 4)}",
+             None if rnd.random() < 0.02 else f"id{rnd.randint(0, 5000):05d}") for _ in range(3000)]
+    df = spark.createDataFrame(rows, "g string, id string").repartition(17)
+    k = 25
+    got = {(r["g"], r["pos"]): r["id"] for r in smallest_per_group(df, "g", "id", k, fan_in=3).collect()}
+    exp = {}
+    for g in {r[0] for r in rows}:
+        vals = sorted((v for gg, v in rows if gg == g), key=lambda v: (v is not None, v or ""))[:k]
+        exp.update({(g, i): v for i, v in enumerate(vals)})
+    assert got == exp
