@@ -27,39 +27,41 @@ def predicate_to_column(predicate: Any) -> Column:
     if predicate is None or predicate == {}:
         return F.lit(True)
     kind = predicate.get("type")
-    if kind == "and":
+    if kind in ("and", "or"):
         parts = [predicate_to_column(p) for p in predicate.get("predicates", [])]
-        out = F.lit(True)
-        for p in parts:
-            out = out & p
-        return out
-    if kind == "or":
-        parts = [predicate_to_column(p) for p in predicate.get("predicates", [])]
-        out = F.lit(False)
-        for p in parts:
-            out = out | p
+        if not parts:
+            return F.lit(kind == "and")
+        out = parts[0]
+        for p in parts[1:]:
+            out = (out & p) if kind == "and" else (out | p)
         return out
     if kind == "not":
         return ~F.coalesce(predicate_to_column(predicate["predicate"]), F.lit(False))
     key = predicate.get("key")
     col = F.col(f"`{key}`") if key else None
+    # leaves stay plain comparisons so Parquet receives them as pushed filters;
+    # a null leaf filters the row out exactly like false, except under `not`,
+    # which treats null as false before negating
     if kind == "in":
-        return F.coalesce(col.isin(list(predicate.get("values", []))), F.lit(False))
+        return col.isin(list(predicate.get("values", [])))
     if kind == "equals":
-        return F.coalesce(col == F.lit(predicate["value"]), F.lit(False))
+        return col == F.lit(predicate["value"])
     if kind == "range":
-        cond = F.lit(True)
+        conds = []
         if predicate.get("from") is not None:
-            cond = cond & (col >= F.lit(predicate["from"]))
+            conds.append(col >= F.lit(predicate["from"]))
         if predicate.get("to") is not None:
-            cond = cond & (col <= F.lit(predicate["to"]))
-        return F.coalesce(cond, F.lit(False))
+            conds.append(col <= F.lit(predicate["to"]))
+        out = conds[0] if conds else F.lit(True)
+        for c in conds[1:]:
+            out = out & c
+        return out
     if kind == "isNull":
         return col.isNull()
     if kind == "isNotNull":
         return col.isNotNull()
     if kind == "like":
-        return F.coalesce(col.like(predicate["value"]), F.lit(False))
+        return col.like(predicate["value"])
     raise ValueError(f"unknown predicate type: {kind!r}")
 
 

@@ -91,3 +91,14 @@ def test_point_in_polygon_and_jackknife(spark):
     out = {r["v"]: r["is_outlier"] for r in EN.jackknife_outliers(df, "g", "v").collect()}
     # the far value is flagged; values whose gap toward the mean is small are not
     assert out[100.0] is True and not any(out[v] for v in vals[:10])
+
+
+def test_predicate_reaches_parquet_scan(spark):
+    from florafold.operators.export import predicate_filter
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    p = {"type": "and", "predicates": [{"type": "in", "key": "o_orderstatus", "values": ["F"]},
+                                       {"type": "in", "key": "o_orderpriority", "values": ["1-URGENT", "2-HIGH"]}]}
+    plan = predicate_filter(df, p).select("o_orderkey")._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "EqualTo(o_orderstatus,F)" in pushed and "In(o_orderpriority" in pushed
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_orderpriority:string>" in plan
