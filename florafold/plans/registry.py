@@ -897,3 +897,27 @@ def q_pivot_first(spark, sf_dir):
     e = FL.map_entries(rec, "strings").withColumn("key", FL.sanitize_key("key")) \
         .filter(F.col("key").isin("orderStatus", "order_priority"))
     return FL.pivot_first(e, ["orderStatus", "order_priority"])
+
+
+@register("sanitize_key", f"""{_KEY_ROWS_SQL}
+SELECT id, regexp_replace(key, '[^0-9a-zA-Z]+', '_', 'g') AS key FROM e""")
+def q_sanitize_key(spark, sf_dir):
+    e = FL.map_entries(D.index_records_by_order(spark, sf_dir), "strings")
+    return e.select("id", FL.sanitize_key("key").alias("key"))
+
+
+@register("delete_datasets", """SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority AS dataset_id
+FROM orders WHERE o_orderpriority NOT IN ('2-HIGH', '4-NOT SPECIFIED')""")
+def q_delete_datasets(spark, sf_dir):
+    table = scratch_dir(spark, "delete")
+    _orders_by_priority(spark, sf_dir).write.partitionBy("dataset_id").parquet(table)
+    SK.delete_datasets(spark, [table], ["2-HIGH", "4-NOT SPECIFIED", "9-NONE"])
+    return spark.read.parquet(table).select("o_orderkey", "o_custkey", "o_totalprice",
+                                            F.col("dataset_id").cast("string").alias("dataset_id"))
+
+
+@register("field_fill", f"""WITH {_iv_ctes()}
+SELECT id, CAST({_fill_sql(IV_FIELDS_NEW)} AS INTEGER) AS n_fields FROM new_iv""")
+def q_field_fill(spark, sf_dir):
+    new = D.index_version(spark, sf_dir, "new")
+    return new.select("id", CK.field_fill(new).alias("n_fields"))

@@ -28,13 +28,19 @@ ISO_UTC_SUFFIX = "+00:00"
 # ------------------------------------------------------------------------------
 
 
-def object_inventory(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
+def object_inventory(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True,
+                     modified_after: str | None = None, modified_before: str | None = None) -> DataFrame:
     """``(key, size, modified)`` for files under ``root`` matching ``glob``.
 
-    ``key`` is the path relative to ``root``. Only file metadata is read.
+    ``key`` is the path relative to ``root``. Only file metadata is read;
+    ``modified_after/before`` prune files during listing.
     """
     root_uri = root.rstrip("/")
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    if modified_before:
+        reader = reader.option("modifiedBefore", modified_before)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     df = reader.load(root_uri).select("path", "length", "modificationTime")
@@ -53,9 +59,14 @@ def in_time_range(df: DataFrame, col: str, lo: str | None = None, hi: str | None
     """Inclusive on both ends, either end open, compared as ISO text, so a
     date-only upper end ('2024-01-05') excludes that day's objects."""
     t = iso_text(col)
+    ts = F.col(col)
+    # pushable superset bounds first (whole days around the text bounds), then
+    # the exact text comparison
     if lo:
+        df = df.filter(ts >= F.lit(lo[:10]).cast("date").cast(df.schema[col].dataType))
         df = df.filter(t >= F.lit(lo))
     if hi:
+        df = df.filter(ts < F.date_add(F.lit(hi[:10]).cast("date"), 1).cast(df.schema[col].dataType))
         df = df.filter(t <= F.lit(hi))
     return df
 
@@ -81,7 +92,7 @@ def dataset_sizes(inv: DataFrame, key_regex: str, prefix: str, sub: str = "",
     The reference keeps the last matching object's size; we sum (documented).
     """
     key = F.col("key")
-    d = inv.withColumn("dataset_id", dataset_folder(key, prefix))
+    d = inv.filter(key.startswith(prefix)).withColumn("dataset_id", dataset_folder(key, prefix))
     d = valid_datasets(d, "dataset_id", excluded)
     d = d.filter(key.startswith(F.concat(F.lit(prefix), F.col("dataset_id"), F.lit("/" + sub))))
     d = d.filter(key.rlike(key_regex))
