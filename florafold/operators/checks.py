@@ -145,11 +145,15 @@ def facet_compare(old: DataFrame, new: DataFrame, field: str, check_size: int =
                     "old_count", "new_count", pct.cast("bigint").alias("drop_pct"), status.alias("status"))
 
 
-def facet_counts_many(df: DataFrame, fields: list[str]) -> DataFrame:
+ROWS_FIELD = "__rows__"
+
+
+def facet_counts_many(df: DataFrame, fields: list[str], include_rows: bool = False) -> DataFrame:
     """A3 for several fields in one pass: ``(field, value, count)``.
 
     One scan of the fields and one shuffle for all of them (partial counts
-    per map task), instead of one job per field. Values become text."""
+    per map task), instead of one job per field. Values become text. With
+    ``include_rows`` the row count rides along as field ``__rows__``."""
     parts = []
     for f in fields:
         c = F.col(f"`{f}`")
@@ -158,13 +162,15 @@ def facet_counts_many(df: DataFrame, fields: list[str]) -> DataFrame:
         else:
             vals = F.array(c.cast("string"))
         parts.append(F.struct(F.lit(f).alias("field"), vals.alias("vals")))
+    if include_rows:
+        parts.append(F.struct(F.lit(ROWS_FIELD).alias("field"), F.array(F.lit("*")).alias("vals")))
     e = df.select(F.explode(F.array(*parts)).alias("p")).select(
         F.col("p.field").alias("field"), F.explode("p.vals").alias("value"))
     return (e.filter(F.col("value").isNotNull()).groupBy("field", "value")
             .agg(F.count(F.lit(1)).alias("count")))
 
 
-def _limit_per_field(fc: DataFrame, specs: dict[str, tuple[int, str]]) -> DataFrame:
+def _limit_per_field(fc: DataFrame, specs: dict[str, tuple[int, str]], materialize: bool = True) -> DataFrame:
     """Top-k values per limited field: each is its own ``orderBy().limit(k)``
     (per-partition top-k, then a k-row merge); unlimited fields pass through."""
     limited = [f for f, (k, _) in specs.items() if k is not None and k >= 0]
@@ -172,8 +178,9 @@ def _limit_per_field(fc: DataFrame, specs: dict[str, tuple[int, str]]) -> DataFr
         return fc
     # one row per distinct value: written once, so the per-field top-k reads
     # it instead of re-running the facet scan and shuffle per field
-    ensure_checkpoint_dir(fc.sparkSession)
-    fc = fc.checkpoint()
+    if materialize:
+        ensure_checkpoint_dir(fc.sparkSession)
+        fc = fc.checkpoint()
     out = fc.filter(~F.col("field").isin(limited))
     for f in limited:
         k, srt = specs[f]
@@ -188,9 +195,19 @@ def facet_compare_many(old: DataFrame, new: DataFrame,
     fetch_size, sort). One facet pass per side; same rule and output as
     :func:`facet_compare` (values compared as text)."""
     fields = [s[0] for s in specs]
-    o = _limit_per_field(facet_counts_many(old, fields), {f: (cs, srt) for f, cs, _, srt in specs}) \
+    return facet_compare_counts(facet_counts_many(old, fields), facet_counts_many(new, fields), specs)
+
+
+def facet_compare_counts(fc_old: DataFrame, fc_new: DataFrame,
+                         specs: list[tuple[str, int, int, str]], materialized: bool = False) -> DataFrame:
+    """J2 over precomputed ``(field, value, count)`` tables of both versions
+    (``materialized``: they are already written, e.g. checkpointed)."""
+    fields = [s[0] for s in specs]
+    fc_old = fc_old.filter(F.col("field").isin(fields))
+    fc_new = fc_new.filter(F.col("field").isin(fields))
+    o = _limit_per_field(fc_old, {f: (cs, srt) for f, cs, _, srt in specs}, not materialized) \
         .select("field", "value", F.col("count").alias("old_count")).filter(F.col("old_count") > 0)
-    n = _limit_per_field(facet_counts_many(new, fields), {f: (fs, srt) for f, _, fs, srt in specs}) \
+    n = _limit_per_field(fc_new, {f: (fs, srt) for f, _, fs, srt in specs}, not materialized) \
         .select("field", "value", F.col("count").alias("new_count"))
     j = o.join(n, ["field", "value"], "left")
     pct = F.bround((F.col("old_count") - F.col("new_count")).cast("double") / F.col("old_count") * 100.0, 0)
@@ -203,6 +220,19 @@ def facet_compare_many(old: DataFrame, new: DataFrame,
                     status.alias("status"))
 
 
+def total_count_from_facets(fc_old: DataFrame, fc_new: DataFrame) -> DataFrame:
+    """A2 from the row counts carried by :func:`facet_counts_many` (``include_rows``)."""
+    r = (fc_old.filter(F.col("field") == ROWS_FIELD).select(F.col("count").alias("_o"), F.lit(0).alias("_n"))
+         .unionByName(fc_new.filter(F.col("field") == ROWS_FIELD).select(F.lit(0).alias("_o"),
+                                                                          F.col("count").alias("_n"))))
+    c = r.agg(F.coalesce(F.sum("_o"), F.lit(0)).cast("bigint").alias("old_count"),
+              F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("new_count"))
+    return c.select(F.lit("check_total_count").alias("check"), "old_count", "new_count",
+                    (F.col("new_count") - F.col("old_count")).alias("diff"),
+                    F.when(F.col("new_count") < F.col("old_count"), F.lit(FAIL)).otherwise(F.lit(PASS))
+                    .alias("status"))
+
+
 def facet_status(per_value: DataFrame, check: str | None = None) -> DataFrame:
     """Worst status of a J2 result; no old values → PASS."""
     agg = per_value.agg(F.max(severity(F.col("status"))).alias("_s"))
@@ -251,33 +281,43 @@ def sample_records(df: DataFrame, n: int = DEFAULT_SAMPLE_SIZE, seed: int = 42,
 
     Only the drawn datasets' ``(dataset, id)`` columns are read, and only their
     first ``max_offset`` ids per dataset are kept (tree top-k with bounded
-    groups), so a dataset holding a third of all rows is never sorted whole.
-    """
+    groups), so a dataset holding a third of all rows is never sorted whole."""
+    return sample_records_many(df, [(n, seed)], dataset_col, id_col, max_offset)[0]
+
+
+def sample_records_many(df: DataFrame, specs: list[tuple[int, int]], dataset_col: str = "dataResourceUid",
+                        id_col: str = "id", max_offset: int = SAMPLE_OFFSET_CAP) -> list[DataFrame]:
+    """Several independent W4 samples ``(n, seed)`` from one dataset ranking
+    and one top-k pass; the draws are materialised once (Σn rows)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    empty = "draw bigint, dataset_id string, offset bigint, id string"
     ds = dataset_counts(df, dataset_col)
     # one row per dataset; written to the checkpoint folder so the count and
     # the draws below read it instead of re-running the facet
     ds_ranked = with_global_rank(ds, [F.col("dataset_id").asc()], "ds_idx").checkpoint()
     n_ds = ds_ranked.count()  # one scalar
     if n_ds == 0:
-        return spark.createDataFrame([], "draw bigint, dataset_id string, offset bigint, id string")
-    draws = spark.range(n).withColumnRenamed("id", "draw") \
-        .withColumn("ds_idx", F.pmod(_draw(F.col("draw"), seed, 2654435761, 40503), F.lit(n_ds)))
-    # the draws are n rows (bounded by the parameter); the dataset table is not
+        return [spark.createDataFrame([], empty) for _ in specs]
+    draws = None
+    for i, (n, seed) in enumerate(specs):
+        d = spark.range(n).withColumnRenamed("id", "draw").withColumn("sample", F.lit(i)) \
+            .withColumn("ds_idx", F.pmod(_draw(F.col("draw"), seed, 2654435761, 40503), F.lit(n_ds))) \
+            .withColumn("_h2", _draw(F.col("draw"), seed, 1597334677, 69069))
+        draws = d if draws is None else draws.unionByName(d)
+    # the draws are Σn rows (bounded by the parameters); the dataset table is not
     draws = ds_ranked.join(F.broadcast(draws), "ds_idx") \
-        .withColumn("offset", F.pmod(_draw(F.col("draw"), seed, 1597334677, 69069),
-                                     F.least(F.col("count"), F.lit(max_offset))))
+        .withColumn("offset", F.pmod(F.col("_h2"), F.least(F.col("count"), F.lit(max_offset))))
     drawn = draws.select("dataset_id").distinct()
     recs = df.select(F.col(dataset_col).alias("dataset_id"), F.col(id_col).cast("string").alias("id")) \
         .join(F.broadcast(drawn), "dataset_id", "left_semi")
     # offsets are below max_offset: only each drawn dataset's first max_offset
     # ids (by id) are needed — an exact tree top-k, never a sort of the dataset
     first_ids = smallest_per_group(recs, "dataset_id", "id", max_offset, rank_col="pos")
-    want = draws.select("draw", "dataset_id", F.col("offset").alias("pos"), "offset")
-    picked = first_ids.join(F.broadcast(want), ["dataset_id", "pos"])
-    # n rows: materialised once so every check reuses the same draws
-    return picked.select("draw", "dataset_id", "offset", "id").checkpoint()
+    want = draws.select("sample", "draw", "dataset_id", F.col("offset").alias("pos"), "offset")
+    picked = first_ids.join(F.broadcast(want), ["dataset_id", "pos"]) \
+        .select("sample", "draw", "dataset_id", "offset", "id").checkpoint()
+    return [picked.filter(F.col("sample") == i).drop("sample") for i in range(len(specs))]
 
 
 # ---------------------------------------------------------------- J4

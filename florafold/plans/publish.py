@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from florafold.operators import checks as CK
+from florafold.operators.joins import bounded_broadcast
+from florafold.session import ensure_checkpoint_dir
 
 # ---- fixed values that must equal the reference's ----------------------------
 # (check name, field, old facet size, new facet size, sort)
@@ -51,26 +53,46 @@ def run_checks(old: DataFrame, new: DataFrame, checks: list[str] | None = None,
     """All (or the named) checks as one ``(check, status)`` frame."""
     wanted = set(checks or ALL_CHECKS)
     parts = []
+    spark = old.sparkSession
+    ensure_checkpoint_dir(spark)
     facet = [(n, f, cs, fs, srt) for n, f, cs, fs, srt in FACET_CHECKS
              if n in wanted and f in old.columns and f in new.columns]
+    fields = [f for _, f, *_ in facet]
+    # one narrow pass per version: every facet field plus the row count;
+    # the result is one row per distinct value, written once and reused
+    fc_old = CK.facet_counts_many(old, fields, include_rows=True).checkpoint()
+    fc_new = CK.facet_counts_many(new, fields, include_rows=True).checkpoint()
     if facet:
-        per_value = CK.facet_compare_many(old, new, [(f, cs, fs, srt) for _, f, cs, fs, srt in facet])
+        per_value = CK.facet_compare_counts(fc_old, fc_new, [(f, cs, fs, srt) for _, f, cs, fs, srt in facet],
+                                            materialized=True)
         worst = per_value.groupBy("field").agg(F.max(CK.severity(F.col("status"))).alias("_s"))
-        names = old.sparkSession.createDataFrame([(n, f) for n, f, *_ in facet], "check string, field string")
+        names = spark.createDataFrame([(n, f) for n, f, *_ in facet], "check string, field string")
         parts.append(names.join(worst, "field", "left").select(
             "check", CK.status_of(F.coalesce(F.col("_s"), F.lit(1))).alias("status")))
     if "check_total_count" in wanted:
-        parts.append(_row("check_total_count", CK.check_total_count(old, new)))
-    if "check_min_fields_for_random_records" in wanted:
-        sample = CK.sample_records(old, n=sample_size, seed=seed)
-        parts.append(_worst(CK.check_min_fields(sample, new, min_fields),
-                            "check_min_fields_for_random_records", CK.FAIL))
-    if "check_compare_random_records" in wanted:
-        sample = CK.sample_records(old, n=sample_size, seed=seed + 1)
-        per = CK.compare_records(old, new, ids=sample)
-        # a null / 'null' sampled id fails without a lookup
-        nulls = sample.filter(CK.is_null_id(F.col("id"))).select(F.lit(CK.FAIL).alias("status"))
-        parts.append(_worst(per.select("status").unionByName(nulls), "check_compare_random_records", CK.FAIL))
+        parts.append(_row("check_total_count", CK.total_count_from_facets(fc_old, fc_new)))
+    want_min = "check_min_fields_for_random_records" in wanted
+    want_cmp = "check_compare_random_records" in wanted
+    if want_min or want_cmp:
+        # two independent samples (as the two checks draw their own), one pass
+        s_min, s_cmp = CK.sample_records_many(old, [(sample_size, seed), (sample_size, seed + 1)])
+        s_min = s_min if want_min else None
+        s_cmp = s_cmp if want_cmp else None
+        ids = reduce(lambda a, b: a.unionByName(b),
+                     [s.select(F.col("id").cast("string").alias("id")) for s in (s_min, s_cmp) if s is not None])
+        keep = bounded_broadcast(ids.filter(F.col("id").isNotNull()).distinct())
+        # one wide pass per version: only the sampled records, written once
+        old_s = old.join(keep, old["id"].cast("string") == keep["id"], "left_semi").checkpoint()
+        new_s = new.join(keep, new["id"].cast("string") == keep["id"], "left_semi").checkpoint()
+        if want_min:
+            parts.append(_worst(CK.check_min_fields(s_min, new_s, min_fields),
+                                "check_min_fields_for_random_records", CK.FAIL))
+        if want_cmp:
+            per = CK.compare_records(old_s, new_s, ids=s_cmp)
+            # a null / 'null' sampled id fails without a lookup
+            nulls = s_cmp.filter(CK.is_null_id(F.col("id"))).select(F.lit(CK.FAIL).alias("status"))
+            parts.append(_worst(per.select("status").unionByName(nulls), "check_compare_random_records",
+                                CK.FAIL))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
