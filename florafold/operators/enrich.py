@@ -143,7 +143,8 @@ def assign_uuids(records: DataFrame, existing: DataFrame, keys: list[str],
     name-based id (reruns agree). Adds unique_key, uuid, is_new."""
     uk = F.concat_ws("|", F.col(dataset_col), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
     r = records.withColumn("unique_key", uk)
-    ex = existing.select("unique_key", F.col("uuid").alias("_known")).dropDuplicates(["unique_key"])
+    # one id per key, deterministic even if the existing table repeats a key
+    ex = existing.groupBy("unique_key").agg(F.min("uuid").alias("_known"))
     j = r.join(ex, "unique_key", "left")
     return (j.withColumn("is_new", F.col("_known").isNull())
             .withColumn("uuid", F.coalesce(F.col("_known"), uuid_from_key(F.col("unique_key")))).drop("_known"))
@@ -170,8 +171,7 @@ def lookup_vocabulary(df: DataFrame, vocab: DataFrame, field: str, out: str | No
     """Normalise ``field`` through a label list (exact match on
     lower-cased, trimmed text). Adds ``<out>`` (null when unmatched)."""
     out = out or f"{field}_norm"
-    v = vocab.select(_norm(F.col(label_col)).alias("_lbl"), F.col(value_col).alias(out)) \
-        .dropDuplicates(["_lbl"])
+    v = vocab.groupBy(_norm(F.col(label_col)).alias("_lbl")).agg(F.min(F.col(value_col)).alias(out))
     return df.join(bounded_broadcast(v), _norm(F.col(field)) == F.col("_lbl"), "left").drop("_lbl")
 
 
@@ -180,9 +180,8 @@ def match_names(df: DataFrame, taxa: DataFrame, name_col: str = "scientificName"
     else match of its first word (genus) to a genus name. Adds taxon_id,
     match_type ('exact' | 'genus' | 'none')."""
     t = taxa.select(_norm(F.col("name")).alias("_n"), F.col("rank"), F.col("taxon_id"))
-    exact = t.dropDuplicates(["_n"]).select(F.col("_n").alias("_e"), F.col("taxon_id").alias("_te"))
-    genus = t.filter(F.col("rank") == "genus").dropDuplicates(["_n"]) \
-        .select(F.col("_n").alias("_g"), F.col("taxon_id").alias("_tg"))
+    exact = t.groupBy(F.col("_n").alias("_e")).agg(F.min("taxon_id").alias("_te"))
+    genus = t.filter(F.col("rank") == "genus").groupBy(F.col("_n").alias("_g")).agg(F.min("taxon_id").alias("_tg"))
     n = _norm(F.col(name_col))
     g = F.element_at(F.split(n, r"\s+"), 1)
     j = df.withColumn("_nn", n).withColumn("_gg", g) \
@@ -204,10 +203,13 @@ def restrict_sensitive(df: DataFrame, rules: DataFrame, taxon_col: str = "scient
     public value is null (withhold) or the grid corner floor(x·10^k)/10^k
     (generalise); ``sensitive`` holds the action."""
     r = rules.select(_norm(F.col("taxon")).alias("_t"), F.col("zone").alias("_z"), "action", "k")
-    zoned = r.filter(F.col("_z").isNotNull()).select(F.col("_t").alias("_tz"), "_z",
-                                                     F.col("action").alias("_az"), F.col("k").alias("_kz"))
-    anyz = r.filter(F.col("_z").isNull()).select(F.col("_t").alias("_ta"), F.col("action").alias("_aa"),
-                                                 F.col("k").alias("_ka")).dropDuplicates(["_ta"])
+    # one rule per (taxon, zone): the most restrictive (withhold, else the coarsest grid)
+    strict = [F.when(F.max((F.col("action") == "withhold").cast("int")) == 1, F.lit("withhold"))
+              .otherwise(F.lit("generalise")).alias("_a"), F.min("k").alias("_k")]
+    zoned = r.filter(F.col("_z").isNotNull()).groupBy("_t", "_z").agg(*strict) \
+        .select(F.col("_t").alias("_tz"), "_z", F.col("_a").alias("_az"), F.col("_k").alias("_kz"))
+    anyz = r.filter(F.col("_z").isNull()).groupBy("_t").agg(*strict) \
+        .select(F.col("_t").alias("_ta"), F.col("_a").alias("_aa"), F.col("_k").alias("_ka"))
     t = _norm(F.col(taxon_col))
     j = df.withColumn("_tn", t) \
         .join(bounded_broadcast(zoned), (F.col("_tn") == F.col("_tz")) & (F.col(zone_col) == F.col("_z")), "left") \
@@ -311,14 +313,14 @@ def distribution_outliers(df: DataFrame, ranges: DataFrame, cache: DataFrame | N
         (F.col("x") < (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / (F.col("y2") - F.col("y1"))
          + F.col("x1"))
     inside = pb.join(eb, ["taxon", "_band"]).filter(cross).groupBy("taxon", "x", "y") \
-        .agg((F.count(F.lit(1)) % 2 == 1).alias("inside"))
+        .agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") % 2 == 1).select("taxon", "x", "y")
     verts = rg.select("taxon", F.explode("ring").alias("v")).select("taxon", F.col("v.x").alias("vx"),
                                                                      F.col("v.y").alias("vy"))
-    near = pts.join(verts, "taxon").groupBy("taxon", "x", "y") \
-        .agg(F.min(haversine_km("y", "x", "vy", "vx")).alias("_d"))
-    dist = near.join(inside, ["taxon", "x", "y"], "left") \
-        .select("taxon", "x", "y", F.when(F.coalesce(F.col("inside"), F.lit(False)), F.lit(0.0))
-                .otherwise(F.col("_d")).alias("distance"))
+    # vertex distances only for points outside their range (most are inside)
+    outside = pts.join(inside, ["taxon", "x", "y"], "left_anti")
+    near = outside.join(verts, "taxon").groupBy("taxon", "x", "y") \
+        .agg(F.min(haversine_km("y", "x", "vy", "vx")).alias("distance"))
+    dist = near.unionByName(inside.withColumn("distance", F.lit(0.0)))
     out = todo.join(dist, ["taxon", "x", "y"], "left").select("id", "distance", F.lit(False).alias("cached"))
     if cache is not None:
         kept = cache.join(df.select(F.col(id_col).alias("id")), "id", "left_semi") \
