@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from florafold.operators.joins import bounded_broadcast
 from florafold.operators.ranking import with_global_rank
+from florafold.session import ensure_checkpoint_dir
 
 # ---- our parameters (I-class) -------------------------------------------------
 ISSUE_INVALID = "_INVALID"                 # suffix: present but unparseable
@@ -303,7 +304,10 @@ def distribution_outliers(df: DataFrame, ranges: DataFrame, cache: DataFrame | N
                      F.col(lon).alias("x"), F.col(lat).alias("y"))
     if cache is not None:
         todo = todo.join(cache.select("id"), "id", "left_anti")
-    pts = todo.select("taxon", "x", "y").filter(F.col("x").isNotNull() & F.col("y").isNotNull()).distinct()
+    ensure_checkpoint_dir(df.sparkSession)
+    # distinct points, written once: both the inside test and the distances read them
+    pts = todo.select("taxon", "x", "y").filter(F.col("x").isNotNull() & F.col("y").isNotNull()) \
+        .distinct().checkpoint()
     rg = ranges.select("taxon", "ring")
     # point-in-range, blocked by taxon and band
     edges = polygon_edges(rg, ["taxon"]).filter(F.col("y1") != F.col("y2"))
@@ -379,7 +383,9 @@ def jackknife_outliers(df: DataFrame, group_col: str, value_col: str, id_col: st
     d = df.select(F.col(group_col).alias("g"), F.col(value_col).cast("double").alias("x")) \
         .filter(F.col("g").isNotNull() & F.col("x").isNotNull()).distinct()
     stats = d.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"), F.stddev("x").alias("s"))
-    r = with_global_rank(d, [F.col("g").asc(), F.col("x").asc()], "rk")
+    ensure_checkpoint_dir(df.sparkSession)
+    # ranked once and written: the rank feeds three joins (row, previous, next)
+    r = with_global_rank(d, [F.col("g").asc(), F.col("x").asc()], "rk").checkpoint()
     prev = r.select(F.col("g").alias("pg"), F.col("x").alias("px"), (F.col("rk") + 1).alias("rk"))
     nxt = r.select(F.col("g").alias("ng"), F.col("x").alias("nx"), (F.col("rk") - 1).alias("rk"))
     j = r.join(prev, "rk", "left").join(nxt, "rk", "left").join(stats, "g")

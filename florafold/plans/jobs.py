@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from florafold.operators import checks as CK
 from florafold.operators import enrich as EN
 from florafold.operators import flatten as FL
 from florafold.operators import planning as PL
