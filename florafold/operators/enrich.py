@@ -267,7 +267,7 @@ def points_in_polygons(points: DataFrame, polys: DataFrame, key_cols: list[str],
 
 
 def sample_layers(df: DataFrame, layers: DataFrame, lat: str = "decimalLatitude",
-                  lon: str = "decimalLongitude", band: float = 1.0) -> DataFrame:
+                  lon: str = "decimalLongitude", band: float = 1.0, max_layers: int = 10000) -> DataFrame:
     """Attach, per layer, the region containing each record's point.
 
     ``layers(layer_id, region_id, ring)``. Distinct coordinates are sampled
@@ -277,7 +277,11 @@ def sample_layers(df: DataFrame, layers: DataFrame, lat: str = "decimalLatitude"
         F.col("x").isNotNull() & F.col("y").isNotNull()).distinct()
     inside = points_in_polygons(pts, layers, ["layer_id", "region_id"], band=band)
     per_point = inside.groupBy("x", "y", "layer_id").agg(F.min("region_id").alias("region_id"))
-    layer_ids = sorted(r[0] for r in layers.select("layer_id").distinct().collect())  # layer names only
+    # layer names become columns: bounded by the layer table, enforced before collecting
+    names = layers.select("layer_id").distinct().limit(max_layers + 1).collect()
+    if len(names) > max_layers:
+        raise ValueError(f"more than {max_layers} layers")
+    layer_ids = sorted(r[0] for r in names)
     wide = per_point.groupBy("x", "y").pivot("layer_id", layer_ids).agg(F.first("region_id"))
     return df.join(wide, (df[lon] == wide["x"]) & (df[lat] == wide["y"]), "left").drop("x", "y")
 
