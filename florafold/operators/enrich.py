@@ -434,3 +434,68 @@ def assemble_index(index: DataFrame, sides: dict[str, DataFrame], flags: dict[st
         if flags.get(name, True):
             out = out.join(side, id_col, "left")
     return out
+
+
+def connected_blocks(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200) -> DataFrame:
+    """Connected components of a graph given as ``nodes(node)`` and
+    ``edges(a, b)``: every node gets the least node id of its component.
+
+    Min-label propagation; each round is one join + one aggregate, written to
+    the checkpoint folder, and the loop stops when no label changes (one
+    scalar count per round). It does not stop early: if ``max_rounds`` pass
+    without convergence it raises instead of returning partial labels."""
+    ensure_checkpoint_dir(nodes.sparkSession)
+    und = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    und = und.checkpoint()
+    # only nodes with an edge can change label; the rest are their own component
+    active = und.select(F.col("a").alias("node")).distinct()
+    alone = nodes.select("node").join(active, "node", "left_anti").select("node", F.col("node").alias("label"))
+    labels = active.select("node", F.col("node").alias("label")).checkpoint()
+    for _ in range(max_rounds):
+        offered = und.join(labels.select(F.col("node").alias("a"), "label"), "a") \
+            .select(F.col("b").alias("node"), "label")
+        new = labels.unionByName(offered).groupBy("node").agg(F.min("label").alias("label")).checkpoint()
+        changed = new.join(labels.select("node", F.col("label").alias("_old")), "node") \
+            .filter(F.col("label") != F.col("_old")).limit(1).count()
+        labels = new
+        if changed == 0:
+            return labels.unionByName(alone)
+    raise RuntimeError(f"components did not converge in {max_rounds} rounds")
+
+
+def cluster_records_near(df: DataFrame, id_col: str = "id", dataset_col: str = "dataset_id",
+                         taxon_col: str = "scientificName", date_col: str = "eventDate",
+                         lat: str = "decimalLatitude", lon: str = "decimalLongitude",
+                         cell: float = 0.01) -> DataFrame:
+    """J14 with neighbouring cells: blocks of the same taxon and date whose
+    grid cells touch (3×3) are linked, and the linked blocks form one
+    cluster (single linkage). Each block links to at most its 8 neighbour
+    cells, so no pairs of records are formed. A cluster is reported when its
+    records come from at least two datasets. Output: id, reason
+    ('location_near'), cluster_id (least id), cluster_size, n_datasets."""
+    base = df.select(F.col(id_col).cast("string").alias("id"), F.col(dataset_col).alias("_ds"),
+                     F.col(taxon_col).alias("_t"), F.col(date_col).cast("string").alias("_d"),
+                     F.floor(F.col(lat) / cell).cast("bigint").alias("_cy"),
+                     F.floor(F.col(lon) / cell).cast("bigint").alias("_cx")) \
+        .filter(F.col("_t").isNotNull() & F.col("_d").isNotNull() & F.col("_cy").isNotNull()
+                & F.col("_cx").isNotNull())
+
+    def key(cy, cx):
+        return F.concat_ws("|", F.col("_t"), F.col("_d"), cy.cast("string"), cx.cast("string"))
+
+    ensure_checkpoint_dir(df.sparkSession)
+    # one row per block, written once: neighbours, edges and nodes all read it
+    blocks = base.select(key(F.col("_cy"), F.col("_cx")).alias("node"), "_t", "_d", "_cy", "_cx") \
+        .distinct().checkpoint()
+    offsets = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if (dy, dx) > (0, 0)]
+    nbr = blocks.select("node", F.explode(F.array(*[
+        key(F.col("_cy") + dy, F.col("_cx") + dx) for dy, dx in offsets])).alias("other"))
+    edges = nbr.join(blocks.select(F.col("node").alias("other")), "other") \
+        .select(F.col("node").alias("a"), F.col("other").alias("b"))
+    comp = connected_blocks(edges, blocks.select("node"))
+    rec = base.select("id", "_ds", key(F.col("_cy"), F.col("_cx")).alias("node")).join(comp, "node")
+    stats = rec.groupBy("label").agg(F.min("id").alias("cluster_id"),
+                                     F.count(F.lit(1)).cast("bigint").alias("cluster_size"),
+                                     F.countDistinct("_ds").cast("bigint").alias("n_datasets"))
+    return rec.join(stats.filter(F.col("n_datasets") >= 2), "label").select(
+        "id", F.lit("location_near").alias("reason"), "cluster_id", "cluster_size", "n_datasets")

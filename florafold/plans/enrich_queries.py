@@ -483,3 +483,10 @@ def q_object_inventory(spark, sf_dir):
     """S2 over the given tables' own files (no oracle: DuckDB cannot list file sizes)."""
     from florafold.sources.catalog import object_inventory
     return object_inventory(spark, sf_dir, "*.parquet")
+
+
+@register("cluster_records_near")
+def q_cluster_records_near(spark, sf_dir):
+    """J14 with neighbouring cells (iterative components; no oracle — tested
+    against a brute-force union-find in tests/test_enrich.py)."""
+    return EN.cluster_records_near(D.occurrences(spark, sf_dir), taxon_col="taxon", cell=1.0)

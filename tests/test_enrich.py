@@ -85,3 +85,43 @@ def test_build_index_record_roundtrip(spark):
     flat = {r["id"]: r for r in flatten_index(rec, merge_duplicate_ids=False).collect()}
     assert flat["r1"]["s"] == "a" and flat["r1"]["d"] == 1.5 and flat["r1"]["i"] == 3
     assert flat["r1"]["dd"] == 86400000 and flat["r1"]["mv"] == ["x"]
+
+
+def test_cluster_records_near_matches_union_find(spark):
+    import random
+    rnd = random.Random(5)
+    d = dt.date(2024, 1, 1)
+    rows = []
+    for i in range(400):
+        t = f"Sp {rnd.randint(0, 2)}"
+        rows.append((f"r{i:03d}", f"dr{rnd.randint(0, 3)}", t, d, rnd.randint(0, 40) / 100.0 + 0.001,
+                     rnd.randint(0, 40) / 100.0 + 0.001))
+    df = spark.createDataFrame(rows, "id string, dataset_id string, scientificName string, eventDate date, "
+                                     "decimalLatitude double, decimalLongitude double")
+    got = {r["id"]: (r["cluster_id"], r["cluster_size"], r["n_datasets"])
+           for r in EN.cluster_records_near(df, cell=0.01).collect()}
+    # brute force: union records of the same taxon whose cells touch
+    import math
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+    cells = [(r[2], math.floor(r[4] / 0.01), math.floor(r[5] / 0.01)) for r in rows]
+    for i in range(len(rows)):
+        for j in range(i + 1, len(rows)):
+            if cells[i][0] == cells[j][0] and abs(cells[i][1] - cells[j][1]) <= 1 and abs(cells[i][2] - cells[j][2]) <= 1:
+                parent[find(i)] = find(j)
+    comps = {}
+    for i in range(len(rows)):
+        comps.setdefault(find(i), []).append(i)
+    exp = {}
+    for members in comps.values():
+        ds = {rows[i][1] for i in members}
+        if len(ds) >= 2:
+            cid = min(rows[i][0] for i in members)
+            for i in members:
+                exp[rows[i][0]] = (cid, len(members), len(ds))
+    assert got == exp
