@@ -369,7 +369,7 @@ def sql_checks() -> str:
 def _validate(spark, sf_dir):
     old = D.index_version(spark, sf_dir, "old")
     new = D.index_version(spark, sf_dir, "new")
-    return PB.validate_and_publish(old, new, "biocache", "biocache-2024-06-30-10-05")
+    return PB.validate_and_publish(old, new, "occindex", "occindex-2024-06-30-10-05")
 
 
 @register("validate_checks", f"{sql_checks()} SELECT * FROM checks")
@@ -392,7 +392,7 @@ def q_rollup_status(spark, sf_dir):
 
 
 @register("publish_decision", f"""{sql_checks()}, roll AS ({_ROLLUP_SQL})
-SELECT 'biocache' AS alias, 'biocache-2024-06-30-10-05' AS version, status AS checks_status,
+SELECT 'occindex' AS alias, 'occindex-2024-06-30-10-05' AS version, status AS checks_status,
   CASE WHEN publish THEN 'switch' ELSE 'blocked' END AS action,
   CASE WHEN publish THEN 'PASS' ELSE 'FAIL' END AS status FROM roll""")
 def q_publish_decision(spark, sf_dir):
@@ -400,31 +400,31 @@ def q_publish_decision(spark, sf_dir):
 
 
 _VERSIONS_SQL = """v AS (SELECT DISTINCT CASE WHEN day(o_orderdate) % 5 = 0
-      THEN 'biocache_' || strftime(o_orderdate, '%d_%m_%H_%M_%S')
-      ELSE 'biocache-' || strftime(o_orderdate, '%Y-%m-%d-%H-%M') END AS name FROM orders)"""
-PROTECTED = ["biocache-1999-01-02-00-00"]
-LIVE = "biocache-2001-07-31-00-00"
+      THEN 'occindex_' || strftime(o_orderdate, '%d_%m_%H_%M_%S')
+      ELSE 'occindex-' || strftime(o_orderdate, '%Y-%m-%d-%H-%M') END AS name FROM orders)"""
+PROTECTED = ["occindex-1999-01-02-00-00"]
+LIVE = "occindex-2001-07-31-00-00"
 
 
 @register("retain_versions", f"""WITH {_VERSIONS_SQL},
-c AS (SELECT name FROM v WHERE regexp_matches(name, '^biocache-[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}}$')
+c AS (SELECT name FROM v WHERE regexp_matches(name, '^occindex-[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}}$')
         AND name NOT IN ('{PROTECTED[0]}', '{LIVE}'))
 SELECT name, CAST(row_number() OVER (ORDER BY name DESC) - 1 AS BIGINT) AS rank,
   CASE WHEN row_number() OVER (ORDER BY name DESC) - 1 < 1 THEN 'keep' ELSE 'delete' END AS action FROM c""")
 def q_retain_versions(spark, sf_dir):
-    return RT.retain_versions(D.version_names(spark, sf_dir), "biocache", keep=1,
+    return RT.retain_versions(D.version_names(spark, sf_dir), "occindex", keep=1,
                               protected=PROTECTED, live=LIVE)
 
 
 @register("remove_all_except", f"""WITH {_VERSIONS_SQL}
-SELECT name, 'delete' AS action FROM v WHERE name <> 'biocache_05_01_00_00_00'
-  AND regexp_matches(name, 'biocache_[0-9]{{2}}_[0-9]{{2}}_[0-9]{{2}}_[0-9]{{2}}_[0-9]{{2}}')""")
+SELECT name, 'delete' AS action FROM v WHERE name <> 'occindex_05_01_00_00_00'
+  AND regexp_matches(name, 'occindex_[0-9]{{2}}_[0-9]{{2}}_[0-9]{{2}}_[0-9]{{2}}_[0-9]{{2}}')""")
 def q_remove_all_except(spark, sf_dir):
-    return RT.remove_all_except(D.version_names(spark, sf_dir), "biocache", "biocache_05_01_00_00_00")
+    return RT.remove_all_except(D.version_names(spark, sf_dir), "occindex", "occindex_05_01_00_00_00")
 
 
 @register("retain_by_size", """WITH d AS (
-  SELECT 'biocache-' || strftime(o_orderdate, '%Y-%m-%d-%H-%M') AS name,
+  SELECT 'occindex-' || strftime(o_orderdate, '%Y-%m-%d-%H-%M') AS name,
          CAST(count(*) * 1000000 + sum(o_custkey) AS BIGINT) AS size FROM orders GROUP BY o_orderdate),
 b AS (SELECT * FROM d WHERE size > 3000000)
 SELECT name, size, CAST(row_number() OVER (ORDER BY name DESC) - 1 AS BIGINT) AS rank,
@@ -607,7 +607,7 @@ def q_recent_image_counts(spark, sf_dir):
     return PL.recent_image_counts(D.image_uploads(spark, sf_dir), "2024-01-10", "2024-01-20")
 
 
-SYNC_VERSION = "biocache-2024-01-25-10-05"
+SYNC_VERSION = "occindex-2024-01-25-10-05"
 
 
 def _sync_cutoff() -> str:
@@ -795,11 +795,11 @@ def q_scalar_functions(spark, sf_dir):
 
 
 @register("version_name_date", """SELECT event_id,
-  'biocache-' || strftime(ts, '%Y-%m-%d-%H-%M') AS version,
+  'occindex-' || strftime(ts, '%Y-%m-%d-%H-%M') AS version,
   strftime(ts, '%Y-%m-%d') AS version_date FROM events""")
 def q_version_name_date(spark, sf_dir):
     e = D.load_table(spark, sf_dir, "events")
-    v = FN.version_name("biocache", F.col("ts"))
+    v = FN.version_name("occindex", F.col("ts"))
     return e.select("event_id", v.alias("version"), FN.version_date(v).alias("version_date"))
 
 

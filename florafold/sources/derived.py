@@ -129,8 +129,8 @@ def index_version(spark: SparkSession, sf_dir: str, which: str = "old") -> DataF
 def version_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Version names from order dates; old-style names when day % 5 = 0."""
     d = F.col("o_orderdate")
-    name = F.when(F.dayofmonth(d) % 5 == 0, F.concat(F.lit("biocache_"), F.date_format(d, "dd_MM_HH_mm_ss"))) \
-        .otherwise(F.concat(F.lit("biocache-"), F.date_format(d, "yyyy-MM-dd-HH-mm")))
+    name = F.when(F.dayofmonth(d) % 5 == 0, F.concat(F.lit("occindex_"), F.date_format(d, "dd_MM_HH_mm_ss"))) \
+        .otherwise(F.concat(F.lit("occindex-"), F.date_format(d, "yyyy-MM-dd-HH-mm")))
     return load_table(spark, sf_dir, "orders").select(name.alias("name")).distinct()
 
 
@@ -138,7 +138,7 @@ def version_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Version directories with sizes: one per order date."""
     o = load_table(spark, sf_dir, "orders")
     return o.groupBy("o_orderdate").agg(
-        F.concat(F.lit("biocache-"), F.date_format(F.first("o_orderdate"), "yyyy-MM-dd-HH-mm")).alias("name"),
+        F.concat(F.lit("occindex-"), F.date_format(F.first("o_orderdate"), "yyyy-MM-dd-HH-mm")).alias("name"),
         (F.count(F.lit(1)) * 1000000 + F.sum("o_custkey")).cast("bigint").alias("size")).drop("o_orderdate")
 
 

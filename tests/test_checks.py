@@ -83,9 +83,9 @@ def test_rollup_and_publish(spark):
     checks = spark.createDataFrame([("a", "PASS"), ("b", "WARN")], "check string, status string")
     roll = CK.rollup_status(checks)
     assert roll.first()["publish"] is True and roll.first()["status"] == "WARN"
-    dec = PB.publish_decision(roll, "biocache", "biocache-2024-01-01-00-00").first()
+    dec = PB.publish_decision(roll, "occindex", "occindex-2024-01-01-00-00").first()
     assert dec["action"] == "switch"
-    dec2 = PB.publish_decision(roll, "biocache", "v", checks_only=True).first()
+    dec2 = PB.publish_decision(roll, "occindex", "v", checks_only=True).first()
     assert dec2["action"] == "skip" and dec2["status"] == "SKIP"
     failing = spark.createDataFrame([("a", "FAIL")], "check string, status string")
     assert PB.publish_decision(CK.rollup_status(failing), "b", "v").first()["action"] == "blocked"
@@ -93,9 +93,9 @@ def test_rollup_and_publish(spark):
 
 def test_publish_version_writes_pointer(spark, tmp_path):
     checks = spark.createDataFrame([("a", "PASS")], "check string, status string")
-    dec = PB.publish_decision(CK.rollup_status(checks), "biocache", "biocache-2024-01-01-00-00")
+    dec = PB.publish_decision(CK.rollup_status(checks), "occindex", "occindex-2024-01-01-00-00")
     new = spark.createDataFrame([(1,)], "x int")
     row = PB.publish_version(spark, dec, str(tmp_path), new)
     assert row["action"] == "switch"
-    assert PB.current_version(spark, str(tmp_path), "biocache") == "biocache-2024-01-01-00-00"
-    assert spark.table("biocache").count() == 1
+    assert PB.current_version(spark, str(tmp_path), "occindex") == "occindex-2024-01-01-00-00"
+    assert spark.table("occindex").count() == 1

@@ -12,7 +12,7 @@ from florafold.sources import sinks as SK
 
 
 def test_scalars(spark):
-    df = spark.createDataFrame([(" YES ", "a/images/x.jpg", "s3://bkt/some/path.zip", "biocache-2024-01-31-10-05")],
+    df = spark.createDataFrame([(" YES ", "a/images/x.jpg", "s3://bkt/some/path.zip", "occindex-2024-01-31-10-05")],
                                "f string, p string, u string, v string")
     r = df.select(FN.parse_flag("f").alias("f"), FN.media_type("p").alias("m"), FN.file_name("p").alias("fn"),
                   FN.folder("p").alias("fo"), FN.split_uri("u").alias("s"), FN.version_date("v").alias("d"),

@@ -107,19 +107,19 @@ def test_catalog_filters_and_sums(spark):
 
 
 def test_retain_versions(spark):
-    names = ["biocache-2024-01-0%d-10-00" % d for d in range(1, 6)] + ["biocache_01_02_03_04_05", "other-2024-01-01-10-00"]
+    names = ["occindex-2024-01-0%d-10-00" % d for d in range(1, 6)] + ["occindex_01_02_03_04_05", "other-2024-01-01-10-00"]
     df = spark.createDataFrame([(n,) for n in names], "name string")
-    out = {r["name"]: r["action"] for r in RT.retain_versions(df, "biocache", keep=1,
-                                                              protected=["biocache-2024-01-02-10-00"],
-                                                              live="biocache-2024-01-05-10-00").collect()}
-    assert out == {"biocache-2024-01-04-10-00": "keep", "biocache-2024-01-03-10-00": "delete",
-                   "biocache-2024-01-01-10-00": "delete"}
-    dirs = spark.createDataFrame([(f"biocache-2024-0{i}", s) for i, s in
+    out = {r["name"]: r["action"] for r in RT.retain_versions(df, "occindex", keep=1,
+                                                              protected=["occindex-2024-01-02-10-00"],
+                                                              live="occindex-2024-01-05-10-00").collect()}
+    assert out == {"occindex-2024-01-04-10-00": "keep", "occindex-2024-01-03-10-00": "delete",
+                   "occindex-2024-01-01-10-00": "delete"}
+    dirs = spark.createDataFrame([(f"occindex-2024-0{i}", s) for i, s in
                                   zip(range(1, 8), [5e6, 1e6, 5e6, 5e6, 5e6, 5e6, 3e6])],
                                  "name string, size double")
     got = {r["name"]: r["action"] for r in RT.retain_by_size(dirs).collect()}
-    assert got["biocache-2024-01"] == "delete" and "biocache-2024-02" not in got
-    assert "biocache-2024-07" not in got  # exactly at the threshold is not above it
+    assert got["occindex-2024-01"] == "delete" and "occindex-2024-02" not in got
+    assert "occindex-2024-07" not in got  # exactly at the threshold is not above it
 
 
 def test_expand_providers_dp_must_be_alone(spark):
