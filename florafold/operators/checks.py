@@ -48,7 +48,7 @@ def status_of(sev: Column) -> Column:
 # ---------------------------------------------------------------- A3 / A4 / P8
 
 def facet_counts(df: DataFrame, field: str, q: Column | None = None, limit: int = -1,
-                 sort: str = "index") -> DataFrame:
+                 sort: str = "index", ordered: bool = True) -> DataFrame:
     """``(value, count)`` of non-null values of ``field``.
 
     A multi-valued (array) field counts each distinct value once per row.
@@ -64,8 +64,9 @@ def facet_counts(df: DataFrame, field: str, q: Column | None = None, limit: int
     out = (vals.filter(F.col("value").isNotNull())
            .groupBy("value").agg(F.count(F.lit(1)).alias("count")))
     order = [F.col("value").asc()] if sort == "index" else [F.col("count").desc(), F.col("value").asc()]
-    out = out.orderBy(*order)
-    return out.limit(limit) if limit is not None and limit >= 0 else out
+    if limit is not None and limit >= 0:
+        return out.orderBy(*order).limit(limit)  # TakeOrderedAndProject: no full sort
+    return out.orderBy(*order) if ordered else out
 
 
 def dataset_counts(df: DataFrame, dataset_col: str = "dataResourceUid") -> DataFrame:
@@ -130,9 +131,9 @@ def facet_compare(old: DataFrame, new: DataFrame, field: str, check_size: int =
     new → FAIL; drop > 2 % and not (old < 1000 and new > 0) → FAIL; new < old →
     WARN; else PASS. Both sides are aggregates, so the join is small.
     """
-    o = facet_counts(old, field, limit=check_size, sort=sort).filter(F.col("count") > 0) \
+    o = facet_counts(old, field, limit=check_size, sort=sort, ordered=False).filter(F.col("count") > 0) \
         .select(F.col("value"), F.col("count").alias("old_count"))
-    n = facet_counts(new, field, limit=fetch_size, sort=sort) \
+    n = facet_counts(new, field, limit=fetch_size, sort=sort, ordered=False) \
         .select(F.col("value"), F.col("count").alias("new_count"))
     j = o.join(n, "value", "left")
     pct = F.bround((F.col("old_count") - F.col("new_count")).cast("double") / F.col("old_count") * 100.0, 0)

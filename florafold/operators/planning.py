@@ -37,7 +37,9 @@ def size_class_as_batches(sizes: DataFrame) -> DataFrame:
     have no rows."""
     d = sizes.withColumn("size_class", size_class("size")).withColumn(
         "_co", F.when(F.col("size_class") == "small", 0).when(F.col("size_class") == "large", 1).otherwise(2))
-    ranked = with_global_rank(d, [F.col("_co").asc(), F.col("size").desc(), F.col("dataset_id").asc()], "_r")
+    ensure_checkpoint_dir(sizes.sparkSession)
+    ranked = with_global_rank(d, [F.col("_co").asc(), F.col("size").desc(), F.col("dataset_id").asc()], "_r") \
+        .checkpoint()  # one row per dataset, read twice below
     starts = ranked.groupBy("_co").agg(F.min("_r").alias("_s"))  # at most 3 rows
     return (ranked.join(F.broadcast(starts), "_co")
             .select("size_class", (F.col("_r") - F.col("_s")).alias("position"), "dataset_id", "size"))
@@ -64,11 +66,13 @@ def round_robin_batches(ids: DataFrame, min_per_batch: int, max_batches: int,
     id goes to batch ``i % n``; inside a batch later ids come first.
     Output: batch, position, dataset_id (plus n_batches)."""
     order = order or [F.col(id_col).asc()]
-    c = ids.count()  # one scalar
+    ensure_checkpoint_dir(ids.sparkSession)
+    # one row per dataset, ranked once and written: the count and the batches read it
+    r = with_global_rank(ids, order, "_i").checkpoint()
+    c = r.count()  # one scalar
     if c == 0:
         return ids.sparkSession.createDataFrame([], "batch int, position bigint, dataset_id string, n_batches int")
     n = min(-(-c // min_per_batch), max_batches)
-    r = with_global_rank(ids, order, "_i")
     batch = F.pmod(F.col("_i"), F.lit(n))
     in_batch = F.floor((F.lit(c - 1) - batch) / F.lit(n)) + 1
     pos = in_batch - 1 - F.floor(F.col("_i") / F.lit(n))
