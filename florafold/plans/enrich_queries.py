@@ -490,3 +490,22 @@ def q_cluster_records_near(spark, sf_dir):
     """J14 with neighbouring cells (iterative components; no oracle — tested
     against a brute-force union-find in tests/test_enrich.py)."""
     return EN.cluster_records_near(D.occurrences(spark, sf_dir), taxon_col="taxon", cell=1.0)
+
+
+@register("plan_dataset_load_batches", f"""WITH {_INV_SQL},
+ids AS (SELECT 'dr' || CAST(n_nationkey AS VARCHAR) AS dataset_id FROM nation WHERE n_regionkey = 2),
+d AS (SELECT *, CASE WHEN starts_with(key, 'dwca-imports/')
+        THEN regexp_extract(substr(key, 14), '^([^/]+)/', 1) ELSE '' END AS dataset_id FROM inv),
+s AS (SELECT dataset_id, CAST(sum(size) AS BIGINT) AS size FROM d
+      WHERE dataset_id IN (SELECT dataset_id FROM ids)
+        AND starts_with(key, 'dwca-imports/' || dataset_id || '/' || dataset_id || '.zip') GROUP BY dataset_id),
+r AS (SELECT dataset_id, row_number() OVER (ORDER BY size DESC, dataset_id ASC) - 1 AS i, count(*) OVER () AS c FROM s),
+nb AS (SELECT least(CAST(ceil(max(c) / 2.0) AS BIGINT), 3) AS n FROM r)
+SELECT CAST(i % n AS INTEGER) AS batch, CAST(floor((c - 1 - i % n) / n) - floor(i / n) AS BIGINT) AS position,
+  dataset_id, CAST(n AS INTEGER) AS n_batches FROM r, nb""")
+def q_plan_dataset_load_batches(spark, sf_dir):
+    r = D.load_table(spark, sf_dir, "region")
+    ids = r.filter(F.col("r_regionkey") == 2).select(
+        F.concat(F.lit("dp"), F.col("r_regionkey").cast("string")).alias("uid"))
+    _, batches = JB.plan_dataset_load(ids, D.provider_registry(spark, sf_dir), D.inventory(spark, sf_dir), 2, 3)
+    return batches

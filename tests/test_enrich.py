@@ -125,3 +125,14 @@ def test_cluster_records_near_matches_union_find(spark):
             for i in members:
                 exp[rows[i][0]] = (cid, len(members), len(ds))
     assert got == exp
+
+
+def test_assemble_index_flags_and_remove_records(spark):
+    from florafold.sources.sinks import remove_records
+    idx = spark.createDataFrame([("a", "dr1"), ("b", "dr2")], "id string, dataResourceUid string")
+    s1 = spark.createDataFrame([("a", 1)], "id string, x int")
+    s2 = spark.createDataFrame([("b", 2)], "id string, y int")
+    out = EN.assemble_index(idx, {"one": s1, "two": s2}, flags={"two": False})
+    assert out.columns == ["id", "dataResourceUid", "x"] and out.count() == 2
+    gone = remove_records(idx, spark.createDataFrame([("dr2",)], "ds string"))
+    assert [r["id"] for r in gone.collect()] == ["a"]

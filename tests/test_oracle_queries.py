@@ -18,7 +18,7 @@ def con():
 
 def test_every_query_has_an_oracle_or_a_reason():
     # queries without SQL: composite end-to-end job and a file listing
-    assert set(QUERIES) - set(ORACLE) == {"ingest_dataset", "object_inventory", "cluster_records_near"}
+    assert set(QUERIES) - set(ORACLE) == {"ingest_dataset", "object_inventory", "cluster_records_near"}  # noqa: E501
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
