@@ -49,7 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder the cluster names; set one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only a session without one (local tests) gets a fresh temp folder.
+    as is (without one a cluster session is refused). Only a local session
+    without one (tests) gets a fresh temp folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            # a driver-local folder is not visible to executors on a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (object store / HDFS)")
         conf_dir = tempfile.mkdtemp(prefix="florafold-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
