@@ -108,16 +108,12 @@ def build_index_record(df: DataFrame, id_col: str = "id") -> DataFrame:
             continue
         structs = [F.when(v.isNotNull(), F.struct(F.lit(k).alias("key"), v.alias("value"))) for k, v in entries]
         arr = F.array(*structs)
-        m = F.map_from_entries(F.array_except(arr, F.array(F.lit(None).cast(arr_type(df, entries)))))
+        elem = df.select(arr.alias("a")).schema["a"].dataType.elementType.simpleString()
+        m = F.map_from_entries(F.array_except(arr, F.array(F.lit(None).cast(elem))))
         out.append(m.alias(mname))
     return df.select(*out)
 
 
-def arr_type(df: DataFrame, entries) -> str:
-    sample = df.select(F.struct(F.lit(entries[0][0]).alias("key"), entries[0][1].alias("value")).alias("s"))
-    return sample.schema["s"].dataType.simpleString()
-
-
 def interpretation_metrics(df: DataFrame, dataset_col: str = "dataset_id", fields: list[str] = (),
                            issue_codes: list[str] = ()) -> DataFrame:
     """A10: per dataset: records, parsed values per field, and records per issue code."""

@@ -136,3 +136,9 @@ def test_assemble_index_flags_and_remove_records(spark):
     assert out.columns == ["id", "dataResourceUid", "x"] and out.count() == 2
     gone = remove_records(idx, spark.createDataFrame([("dr2",)], "ds string"))
     assert [r["id"] for r in gone.collect()] == ["a"]
+
+
+def test_build_index_record_mixed_float_types(spark):
+    df = spark.createDataFrame([("r1", 1.5, 2.5)], "id string, a float, b double")
+    rec = EN.build_index_record(df).first()
+    assert rec["doubles"] == {"a": 1.5, "b": 2.5}
