@@ -249,7 +249,12 @@ def points_in_polygons(points: DataFrame, polys: DataFrame, key_cols: list[str],
     Edges are indexed by the horizontal bands (height ``band``) they span;
     each point meets only the edges of its own band (equi-join on band), and
     a point is inside when the number of those edges its eastward ray
-    crosses is odd. ``points`` must be distinct coordinates (x, y)."""
+    crosses is odd. ``points`` must be distinct coordinates (x, y).
+
+    Sizing: a thin band meets only the edges where the boundary crosses that
+    latitude, so for detailed layers choose ``band`` near the typical edge
+    length; candidates per point then stay at the number of boundary
+    crossings, not the polygon's vertex count."""
     edges = polygon_edges(polys, key_cols).filter(F.col("y1") != F.col("y2"))
     eb = edges.withColumn("_band", F.explode(_bands(F.least("y1", "y2"), F.greatest("y1", "y2"), band)))
     pb = points.select(F.col(x).alias("_px"), F.col(y).alias("_py")) \
