@@ -360,10 +360,11 @@ def compare_records(old: DataFrame, new: DataFrame, ids: DataFrame | None = None
     absent on both sides. Output: id, n_old, n_new, missing, changed, added
     (comma-joined field names) and status.
 
-    Plan: each side is reduced to one row per id (count + the row) by a
-    partial aggregate, then one full outer join on id; comparisons are a
-    projection over the known columns. ``ids`` (e.g. a sample) is applied
-    first with a broadcast semi-join.
+    Plan: rows per id are counted on each side with aggregates over the id
+    column only; ids with exactly one row on both sides are joined one to
+    one (rows are never grouped, and repeated ids are never paired — they
+    fail on their counts). ``ids`` (e.g. a sample) is applied first with a
+    bounded broadcast semi-join.
     """
     fields_o = [c for c in old.columns if c != id_col]
     fields_n = [c for c in new.columns if c != id_col]
@@ -371,24 +372,21 @@ def compare_records(old: DataFrame, new: DataFrame, ids: DataFrame | None = None
         keep = bounded_broadcast(ids.select(F.col("id").cast("string").alias("_k")).distinct())
         old = old.join(keep, F.col(id_col).cast("string") == keep["_k"], "left_semi")
         new = new.join(keep, F.col(id_col).cast("string") == keep["_k"], "left_semi")
-
-    def reduce_side(df, fields, tag):
-        row = F.struct(*[F.col(f"`{f}`").alias(f) for f in fields]) if fields else F.lit(None)
-        return (df.filter(F.col(id_col).isNotNull())
-                .groupBy(F.col(id_col).cast("string").alias("id"))
-                .agg(F.count(F.lit(1)).alias(f"n_{tag}"), F.first(row).alias(f"r_{tag}")))
-
-    j = reduce_side(old, fields_o, "old").join(reduce_side(new, fields_n, "new"), "id", "full_outer")
+    o = old.filter(F.col(id_col).isNotNull()).withColumn("_id", F.col(id_col).cast("string"))
+    n = new.filter(F.col(id_col).isNotNull()).withColumn("_id", F.col(id_col).cast("string"))
+    cnt = (o.groupBy("_id").agg(F.count(F.lit(1)).alias("n_old"))
+           .join(n.groupBy("_id").agg(F.count(F.lit(1)).alias("n_new")), "_id", "full_outer"))
+    single = cnt.filter((F.col("n_old") == 1) & (F.col("n_new") == 1)).select("_id")
+    ro = o.join(single, "_id", "left_semi").select("_id", *[F.col(f"`{f}`").alias(f"o__{f}") for f in fields_o])
+    rn = n.join(single, "_id", "left_semi").select("_id", *[F.col(f"`{f}`").alias(f"n__{f}") for f in fields_n])
+    pairs = ro.join(rn, "_id")
     miss, chg, add = [], [], []
     ignore_l = {x.lower() for x in ignore}
     for f in sorted(set(fields_o) | set(fields_n)):
-        ov = F.col("r_old").getField(f) if f in fields_o else F.lit(None)
-        nv = F.col("r_new").getField(f) if f in fields_n else F.lit(None)
-        if f in fields_o and f in fields_n:
-            to = old.schema[f].dataType
-            tn = new.schema[f].dataType
-            if to != tn:
-                ov, nv = ov.cast("string"), nv.cast("string")
+        ov = F.col(f"`o__{f}`") if f in fields_o else F.lit(None)
+        nv = F.col(f"`n__{f}`") if f in fields_n else F.lit(None)
+        if f in fields_o and f in fields_n and old.schema[f].dataType != new.schema[f].dataType:
+            ov, nv = ov.cast("string"), nv.cast("string")
         if f.lower() not in ignore_l:
             miss.append(F.when(ov.isNotNull() & nv.isNull(), F.lit(f)))
         chg.append(F.when(changed_values(nv, ov), F.lit(f)))
@@ -397,13 +395,11 @@ def compare_records(old: DataFrame, new: DataFrame, ids: DataFrame | None = None
     def names(xs):
         return F.array_join(F.array(*xs), ",") if xs else F.lit("")
 
-    n_old = F.coalesce(F.col("n_old"), F.lit(0)).cast("bigint")
-    n_new = F.coalesce(F.col("n_new"), F.lit(0)).cast("bigint")
-    one = (n_old == 1) & (n_new == 1)
-    out = j.select("id", n_old.alias("n_old"), n_new.alias("n_new"),
-                   F.when(one, names(miss)).alias("missing"),
-                   F.when(one, names(chg)).alias("changed"),
-                   F.when(one, names(add)).alias("added"))
+    diffs = pairs.select("_id", names(miss).alias("missing"), names(chg).alias("changed"),
+                         names(add).alias("added"))
+    out = cnt.join(diffs, "_id", "left").select(
+        F.col("_id").alias("id"), F.coalesce(F.col("n_old"), F.lit(0)).cast("bigint").alias("n_old"),
+        F.coalesce(F.col("n_new"), F.lit(0)).cast("bigint").alias("n_new"), "missing", "changed", "added")
     status = (F.when(~((F.col("n_old") == 1) & (F.col("n_new") == 1)), F.lit(FAIL))
               .when(F.col("missing") != "", F.lit(FAIL))
               .when((F.col("changed") != "") | (F.col("added") != ""), F.lit(WARN))
