@@ -168,15 +168,18 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_cust = o.groupBy("o_custkey", "ds").agg(
         (F.sum(k % 1000 + 1) * 1000).cast("bigint").alias("zsize"), F.max("mod").alias("zmod"),
         F.max(F.when(k % 3 == 2, F.col("mod"))).alias("mmod"))
-    zips = per_cust.select(F.concat(F.lit("dwca-imports/"), F.col("ds"), F.lit("/"), F.col("ds"), F.lit(".zip")).alias("key"),
-                           F.col("zsize").alias("size"), F.col("zmod").alias("modified"))
-    notes = per_cust.filter(F.col("o_custkey") % 7 == 0).select(
-        F.concat(F.lit("dwca-imports/"), F.col("ds"), F.lit("/notes.txt")).alias("key"),
-        F.lit(10).cast("bigint").alias("size"), F.col("zmod").alias("modified"))
-    metrics = per_cust.filter(F.col("mmod").isNotNull()).select(
-        F.concat(F.lit("pipelines-data/"), F.col("ds"), F.lit("/1/interpretation-metrics.yml")).alias("key"),
-        (F.col("o_custkey") % 50 + 100).cast("bigint").alias("size"), F.col("mmod").alias("modified"))
-    return per_order.unionByName(zips).unionByName(notes).unionByName(metrics)
+    # archive, notes and metrics objects all come from the one per-customer aggregate
+    obj = F.explode(F.array(
+        F.struct(F.concat(F.lit("dwca-imports/"), F.col("ds"), F.lit("/"), F.col("ds"), F.lit(".zip")).alias("key"),
+                 F.col("zsize").alias("size"), F.col("zmod").alias("modified")),
+        F.when(F.col("o_custkey") % 7 == 0, F.struct(
+            F.concat(F.lit("dwca-imports/"), F.col("ds"), F.lit("/notes.txt")).alias("key"),
+            F.lit(10).cast("bigint").alias("size"), F.col("zmod").alias("modified"))),
+        F.when(F.col("mmod").isNotNull(), F.struct(
+            F.concat(F.lit("pipelines-data/"), F.col("ds"), F.lit("/1/interpretation-metrics.yml")).alias("key"),
+            (F.col("o_custkey") % 50 + 100).cast("bigint").alias("size"), F.col("mmod").alias("modified")))))
+    per_cust_objs = per_cust.select(obj.alias("o")).filter(F.col("o").isNotNull()).select("o.*")
+    return per_order.unionByName(per_cust_objs)
 
 
 def image_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
