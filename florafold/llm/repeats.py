@@ -290,7 +290,7 @@ def _places(joined: DataFrame, window: int, id_type: str) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13,
                    digest: bool = False) -> DataFrame:
     """One row for each document: id, n_words, n_removed and kept_text, or its kept_sha256 with ``digest``."""
-    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     id_type = docs.schema[id_col].dataType.simpleString()
     every = docs.select(id_col, text_col)
     docs = every.where(F.col(id_col).isNotNull())
