@@ -77,14 +77,6 @@ def licence(rights, license_type) -> Column:
     return F.coalesce(F.nullif(_c(rights), F.lit("")), F.nullif(_c(license_type), F.lit("")), F.lit(""))
 
 
-def size_label(nbytes) -> Column:
-    """F8: size in MiB rounded to 2 ('<x>MB'); above 1024 MiB shown as GB."""
-    mb = F.round(_c(nbytes).cast("double") / 1024.0 / 1024.0, 2)
-    gb = F.round(mb / 1024.0, 2)
-    return F.when(mb > 1024, F.concat(gb.cast("string"), F.lit("GB"))
-                  ).otherwise(F.concat(mb.cast("string"), F.lit("MB")))
-
-
 def days_between(lo, hi) -> Column:
     """inclusive list of days from lo to hi (empty when lo > hi)."""
     lo_d, hi_d = _c(lo).cast("date"), _c(hi).cast("date")

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from florafold.operators.components import connected_components
 from florafold.operators.joins import bounded_broadcast
 from florafold.operators.ranking import with_global_rank
 from florafold.session import ensure_checkpoint_dir
@@ -78,24 +79,37 @@ def drop_nulls(arr: Column) -> Column:
     return F.array_except(arr, F.array(F.lit(None).cast("string")))
 
 
-_MAP_OF_TYPE = [("strings", (T.StringType,)), ("doubles", (T.DoubleType, T.FloatType)),
+_MAP_OF_TYPE = [("strings", (T.StringType,)), ("doubles", (T.DoubleType, T.FloatType, T.DecimalType)),
                 ("ints", (T.IntegerType, T.ShortType, T.ByteType)), ("longs", (T.LongType,)),
                 ("booleans", (T.BooleanType,)), ("dates", (T.DateType, T.TimestampType, T.TimestampNTZType))]
 
 
 def build_index_record(df: DataFrame, id_col: str = "id") -> DataFrame:
     """typed columns → the index record's typed maps (inverse of flattening).
-    Dates become epoch milliseconds; arrays of strings go to ``multiValues``;
-    null values are left out of the maps."""
+    Dates and timestamps become epoch milliseconds; arrays go to
+    ``multiValues``; decimals to ``doubles``; structs and maps become JSON text
+    and binaries base64 text in ``strings``. Columns named ``sensitive_*`` (the
+    originals of restricted values) go to ``strings`` whatever their type, where
+    flattening drops them. Null values are left out of the maps."""
     maps = {}
     for f in df.schema.fields:
         if f.name == id_col:
             continue
+        col = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StructType, T.MapType)):
+            maps.setdefault("strings", []).append((f.name, F.to_json(col)))
+            continue
+        if isinstance(f.dataType, T.BinaryType):
+            maps.setdefault("strings", []).append((f.name, F.base64(col)))
+            continue
+        if f.name.startswith("sensitive_") and not isinstance(f.dataType, T.ArrayType):
+            maps.setdefault("strings", []).append((f.name, col.cast("string")))
+            continue
         for mname, types in _MAP_OF_TYPE:
             if isinstance(f.dataType, types):
-                v = F.col(f"`{f.name}`")
+                v = col.cast("double") if isinstance(f.dataType, T.DecimalType) else col
                 if mname == "dates":
-                    v = (F.unix_date(v.cast("date")).cast("bigint") * 86400000)
+                    v = F.unix_millis(v.cast("timestamp"))
                 maps.setdefault(mname, []).append((f.name, v))
                 break
         else:
@@ -133,13 +147,19 @@ def uuid_from_key(key: Column) -> Column:
                        F.substring(h, 17, 4), F.substring(h, 21, 12))
 
 
+def unique_key(*terms: Column) -> Column:
+    """The terms, each after its length, joined by '|': no two lists of terms
+    give the same key, whatever characters they hold. Null counts as empty."""
+    text = [F.coalesce(t.cast("string"), F.lit("")) for t in terms]
+    return F.concat_ws("|", *[F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in text])
+
+
 def assign_uuids(records: DataFrame, existing: DataFrame, keys: list[str],
                  dataset_col: str = "dataset_id") -> DataFrame:
-    """Unique key = dataset + key terms joined by '|'; a key already in
+    """Unique key = dataset + key terms (:func:`unique_key`); a key already in
     ``existing(unique_key, uuid)`` keeps its id, a new one gets the
     name-based id (reruns agree). Adds unique_key, uuid, is_new."""
-    uk = F.concat_ws("|", F.col(dataset_col), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
-    r = records.withColumn("unique_key", uk)
+    r = records.withColumn("unique_key", unique_key(F.col(dataset_col), *[F.col(k) for k in keys]))
     # one id per key, deterministic even if the existing table repeats a key
     ex = existing.groupBy("unique_key").agg(F.min("uuid").alias("_known"))
     j = r.join(ex, "unique_key", "left")
@@ -147,12 +167,13 @@ def assign_uuids(records: DataFrame, existing: DataFrame, keys: list[str],
             .withColumn("uuid", F.coalesce(F.col("_known"), uuid_from_key(F.col("unique_key")))).drop("_known"))
 
 
-def uuid_check(assigned: DataFrame, max_new_pct: float, override: bool = False) -> DataFrame:
+def uuid_check(assigned: DataFrame, existing: DataFrame, max_new_pct: float, override: bool = False) -> DataFrame:
     """J9 guard: FAIL when new ids exceed ``max_new_pct`` percent of all
-    records while some ids already existed, unless overridden."""
+    records while ids existed before (``existing`` has rows), unless overridden."""
+    known = not existing.isEmpty()
     a = assigned.agg(F.count(F.lit(1)).cast("bigint").alias("n_total"),
                      F.count(F.when(F.col("is_new"), 1)).cast("bigint").alias("n_new"))
-    too_many = (F.col("n_new") * 100 > F.lit(max_new_pct) * F.col("n_total")) & (F.col("n_new") < F.col("n_total"))
+    too_many = (F.col("n_new") * 100 > F.lit(max_new_pct) * F.col("n_total")) & F.lit(known)
     return a.select("n_total", "n_new",
                     F.when(too_many & F.lit(not override), F.lit("FAIL")).otherwise(F.lit("PASS")).alias("status"))
 
@@ -437,31 +458,14 @@ def assemble_index(index: DataFrame, sides: dict[str, DataFrame], flags: dict[st
     return out
 
 
-def connected_blocks(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200) -> DataFrame:
+def connected_blocks(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Connected components of a graph given as ``nodes(node)`` and
-    ``edges(a, b)``: every node gets the least node id of its component.
-
-    Min-label propagation; each round is one join + one aggregate, written to
-    the checkpoint folder, and the loop stops when no label changes (one
-    scalar count per round). It does not stop early: if ``max_rounds`` pass
-    without convergence it raises instead of returning partial labels."""
+    ``edges(a, b)``: every node gets the least node id of its component, in a
+    number of rounds that grows with the logarithm of the longest chain."""
     ensure_checkpoint_dir(nodes.sparkSession)
-    und = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    und = und.checkpoint()
-    # only nodes with an edge can change label; the rest are their own component
-    active = und.select(F.col("a").alias("node")).distinct()
-    alone = nodes.select("node").join(active, "node", "left_anti").select("node", F.col("node").alias("label"))
-    labels = active.select("node", F.col("node").alias("label")).checkpoint()
-    for _ in range(max_rounds):
-        offered = und.join(labels.select(F.col("node").alias("a"), "label"), "a") \
-            .select(F.col("b").alias("node"), "label")
-        new = labels.unionByName(offered).groupBy("node").agg(F.min("label").alias("label")).checkpoint()
-        changed = new.join(labels.select("node", F.col("label").alias("_old")), "node") \
-            .filter(F.col("label") != F.col("_old")).limit(1).count()
-        labels = new
-        if changed == 0:
-            return labels.unionByName(alone)
-    raise RuntimeError(f"components did not converge in {max_rounds} rounds")
+    parts = connected_components(edges, "a", "b").withColumnRenamed("component", "label")
+    return nodes.select("node").join(parts, "node", "left").select(
+        "node", F.coalesce("label", "node").alias("label"))
 
 
 def cluster_records_near(df: DataFrame, id_col: str = "id", dataset_col: str = "dataset_id",

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``
-    unchanged so Spark plans a shuffle join. The count is one small action on
-    the side table (vocabularies, lists, polygons), never on the big side."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its rows take at most ``max_bytes``, else ``df``
+    unchanged so Spark plans a shuffle join (and may still broadcast a small
+    side at run time). The size is one plain aggregate over the side table
+    (vocabularies, lists, polygons), never over the big side: the length of
+    each row as JSON, plus 64 bytes of overhead a row."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))) + 64)).first()[0]
+    return F.broadcast(df) if (size or 0) <= max_bytes else df

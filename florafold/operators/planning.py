@@ -155,6 +155,9 @@ def expand_providers(ids: DataFrame, registry: DataFrame, id_col: str = "uid") -
     members = registry.select(F.col("uid").alias("p_uid"), F.explode_outer("dataResources").alias("dr"))
     dp = req.filter(F.col("kind") == "dp").join(members, F.col("uid") == F.col("p_uid"), "left") \
         .select(F.col("dr.uid").alias("dataset_id"), F.col("uid").alias("via"))
+    bad = req.filter(F.coalesce(~F.col("kind").isin("dp", "dr"), F.lit(True))).select("uid").limit(5).collect()
+    if bad:
+        raise ValueError(f"neither dataset nor provider ids: {[r['uid'] for r in bad]}")
     dr = req.filter(F.col("kind") == "dr").select(F.col("uid").alias("dataset_id"),
                                                   F.lit(None).cast("string").alias("via"))
     out = dp.unionByName(dr).filter(F.col("dataset_id").isNotNull())

@@ -6,6 +6,10 @@ key is split because the order ends in a unique column), each partition
 numbers its own rows, and a per-partition count table — one row per
 partition, so its size is bounded by the partition count — gives the offsets.
 The same trick gives running sums per group.
+
+The partitioned rows are checkpointed, with the partition number as a column,
+before both uses: range bounds are sampled, so rows and offsets may only come
+from one and the same partitioning.
 """
 
 from __future__ import annotations
@@ -13,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from florafold.session import ensure_checkpoint_dir
+
 
 def _parts(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
@@ -30,9 +36,11 @@ def with_global_rank(df: DataFrame, order: list[Column | str], rank_col: str = "
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     n = _parts(df, num_partitions)
     # an explicit partition count keeps AQE from coalescing the range partitions
+    ensure_checkpoint_dir(df.sparkSession)
     srt = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
            .withColumn("_rk_p", F.spark_partition_id())
-           .withColumn("_rk_i", F.monotonically_increasing_id() - F.shiftleft(F.col("_rk_p").cast("bigint"), 33)))
+           .withColumn("_rk_i", F.monotonically_increasing_id() - F.shiftleft(F.col("_rk_p").cast("bigint"), 33))
+           .checkpoint())
     counts = srt.groupBy("_rk_p").agg(F.count(F.lit(1)).alias("_rk_n"))
     # one row per partition: this window is over the partition table, not the data
     offsets = counts.select(
@@ -55,9 +63,10 @@ def with_running_sum(df: DataFrame, rank_col: str, group_col: Column | str, valu
     """
     g = F.col(group_col) if isinstance(group_col, str) else group_col
     n = _parts(df, num_partitions)
+    ensure_checkpoint_dir(df.sparkSession)
     d = (df.withColumn("_rs_g", g)
          .repartitionByRange(n, F.col(rank_col)).sortWithinPartitions(rank_col)
-         .withColumn("_rs_p", F.spark_partition_id()))
+         .withColumn("_rs_p", F.spark_partition_id()).checkpoint())
     # the window groups are (partition slice, group): bounded by the slice size
     local = Window.partitionBy("_rs_p", "_rs_g").orderBy(rank_col).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_rs_local", F.sum(value_col).over(local))
@@ -66,7 +75,7 @@ def with_running_sum(df: DataFrame, rank_col: str, group_col: Column | str, valu
         "_rs_p", "_rs_g",
         F.sum("_rs_t").over(Window.partitionBy("_rs_g").orderBy("_rs_p")
                             .rowsBetween(Window.unboundedPreceding, -1)).alias("_rs_carry"))
-    return (d.join(F.broadcast(carry), ["_rs_p", "_rs_g"], "left")
+    return (d.join(carry, ["_rs_p", "_rs_g"], "left")
             .withColumn(out_col, F.col("_rs_local") + F.coalesce(F.col("_rs_carry"), F.lit(0)))
             .drop("_rs_p", "_rs_g", "_rs_local", "_rs_carry"))
 
@@ -90,12 +99,22 @@ def smallest_per_group(df: DataFrame, group_col: str, order_col: str, k: int, fa
 
     def keep_smallest(batches):
         acc = None
+        held, size = [], 0
         for pdf in batches:
-            acc = pdf if acc is None else pd.concat([acc, pdf], ignore_index=True)
-            acc = (acc.sort_values([group_col, order_col], na_position="first", kind="mergesort")
-                   .groupby(group_col, sort=False, dropna=False).head(k))
-        if acc is not None and len(acc):
-            yield acc
+            held.append(pdf)
+            size += len(pdf)
+            # merge when as many new rows have come as are kept already, so the sorts stay linear in all
+            if acc is None or size >= max(100_000, len(acc)):
+                acc, held, size = smallest([acc, *held] if acc is not None else held), [], 0
+        if acc is not None:
+            acc = smallest([acc, *held])
+            if len(acc):
+                yield acc
+
+    def smallest(frames):
+        return (pd.concat(frames, ignore_index=True)
+                .sort_values([group_col, order_col], na_position="first", kind="mergesort")
+                .groupby(group_col, sort=False, dropna=False).head(k))
 
     x = sub.mapInPandas(keep_smallest, schema).withColumn("_b", F.spark_partition_id())
     n = max(1, sub.rdd.getNumPartitions())

@@ -42,7 +42,11 @@ def retain_versions(versions: DataFrame, alias: str, keep: int = DEFAULT_KEEP,
 
 
 def remove_all_except(versions: DataFrame, alias: str, to_keep: str, name_col: str = "name") -> DataFrame:
-    """U4: old-style names ``<alias>_DD_MM_HH_MM_SS`` other than ``to_keep`` are deletable."""
+    """U4: old-style names ``<alias>_DD_MM_HH_MM_SS`` other than ``to_keep`` are deletable.
+
+    ``to_keep`` must be one of the names: otherwise every version would go."""
+    if versions.filter(F.col(name_col) == F.lit(to_keep)).isEmpty():
+        raise ValueError(f"{to_keep!r} is not among the versions; nothing would be kept")
     v = versions.select(F.col(name_col).alias("name")).filter(F.col("name") != F.lit(to_keep))
     return (v.filter(F.col("name").rlike(_quote(alias) + OLD_VERSION_SUFFIX_PATTERN))
             .select("name", F.lit("delete").alias("action")))

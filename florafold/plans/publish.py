@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from florafold.operators import checks as CK
+from florafold.operators import retention as RT
 from florafold.operators.joins import bounded_broadcast
 from florafold.session import ensure_checkpoint_dir
 
@@ -57,6 +58,10 @@ def run_checks(old: DataFrame, new: DataFrame, checks: list[str] | None = None,
     ensure_checkpoint_dir(spark)
     facet = [(n, f, cs, fs, srt) for n, f, cs, fs, srt in FACET_CHECKS
              if n in wanted and f in old.columns and f in new.columns]
+    # a facet that one side lacks can't pass
+    lacking = [c[0] for c in FACET_CHECKS if c[0] in wanted and c not in facet]
+    if lacking:
+        parts.append(spark.createDataFrame([(n, CK.FAIL) for n in lacking], "check string, status string"))
     fields = [f for _, f, *_ in facet]
     # one narrow pass per version: every facet field plus the row count;
     # the result is one row per distinct value, written once and reused
@@ -108,32 +113,44 @@ def publish_decision(rollup: DataFrame, alias: str, new_version: str, checks_onl
 
 
 def publish_version(spark, decision: DataFrame, root: str, new_df: DataFrame | None = None) -> dict:
-    """S9 side effect: when the decision is 'switch', append the pointer row to
-    ``root/_aliases`` (data first, pointer last, so readers never see a
-    pointer to a missing version) and repoint a temp view named after the
-    alias. Returns the decision row as a dict (one row, collected)."""
+    """S9 side effect: when the decision is 'switch', write the new version to
+    ``root/<version>`` and then append the pointer row to ``root/_aliases``
+    (data first, pointer last, so readers never see a pointer to a missing
+    version). A temp view named after the alias reads the written version.
+    Returns the decision row as a dict (one row, collected)."""
     row = decision.first().asDict()
     if row["action"] == "switch":
+        path = f"{root.rstrip('/')}/{row['version']}"
+        if new_df is not None:
+            new_df.write.mode("overwrite").parquet(path)
         decision.withColumn("switched_at", F.current_timestamp()) \
             .write.mode("append").parquet(f"{root.rstrip('/')}/_aliases")
         if new_df is not None:
-            new_df.createOrReplaceTempView(row["alias"])
+            spark.read.parquet(path).createOrReplaceTempView(row["alias"])
     return row
 
 
 def current_version(spark, root: str, alias: str) -> str | None:
     """Latest switched version of an alias, from the pointer table."""
-    try:
-        p = spark.read.parquet(f"{root.rstrip('/')}/_aliases")
-    except Exception:  # noqa: BLE001 - no pointer written yet
-        return None
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_aliases")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None  # no pointer written yet
+    p = spark.read.parquet(f"{root.rstrip('/')}/_aliases")
     r = p.filter(F.col("alias") == alias).orderBy(F.col("switched_at").desc()).select("version").first()
     return r["version"] if r else None
 
 
 def validate_and_publish(old: DataFrame, new: DataFrame, alias: str, new_version: str,
-                         checks_only: bool = False, **kw):
-    """(check table, rollup row, decision row) as DataFrames."""
-    checks = run_checks(old, new, **kw)
+                         checks_only: bool = False, root: str | None = None, versions: DataFrame | None = None,
+                         keep: int = RT.DEFAULT_KEEP, protected: tuple[str, ...] = (), **kw):
+    """(check table, rollup row, decision row, old versions) as DataFrames.
+
+    With ``root`` the decision is carried out (data, then pointer). Old versions
+    (W5: name, rank, action) are marked only after a switch; without a version
+    list or a switch that result is None."""
+    checks = run_checks(old, new, **kw).checkpoint()
     roll = CK.rollup_status(checks)
-    return checks, roll, publish_decision(roll, alias, new_version, checks_only)
+    decision = publish_decision(roll, alias, new_version, checks_only)
+    switched = (publish_version(old.sparkSession, decision, root, new) if root else decision.first().asDict())["action"] == "switch"
+    stale = RT.retain_versions(versions, alias, keep, protected, new_version) if switched and versions is not None else None
+    return checks, roll, decision, stale

@@ -377,6 +377,16 @@ def q_validate_checks(spark, sf_dir):
     return _validate(spark, sf_dir)[0]
 
 
+@register("validate_checks_missing_field", f"""{sql_checks()}
+SELECT "check", CASE WHEN "check" IN ('check_spatial_layer_country', 'check_sensitivity') THEN 'FAIL' ELSE status END AS status
+FROM checks WHERE "check" IN ('check_spatial_layer_country', 'check_sensitivity', 'check_data_resources', 'check_total_count')""")
+def q_validate_checks_missing_field(spark, sf_dir):
+    """A field that the new version (or the old one) lacks can't pass its check."""
+    old = D.index_version(spark, sf_dir, "old").drop("sensitive")
+    new = D.index_version(spark, sf_dir, "new").drop("country")
+    return PB.run_checks(old, new, ["check_spatial_layer_country", "check_sensitivity", "check_data_resources", "check_total_count"])
+
+
 _ROLLUP_SQL = """SELECT CASE max(CASE status WHEN 'FAIL' THEN 3 WHEN 'WARN' THEN 2 WHEN 'PASS' THEN 1 ELSE 0 END)
     WHEN 3 THEN 'FAIL' WHEN 2 THEN 'WARN' WHEN 1 THEN 'PASS' ELSE 'SKIP' END AS status,
   CAST(count(*) AS BIGINT) AS n_checks,

@@ -40,14 +40,38 @@ def test_distribution_outliers_inside_outside_cached(spark):
 
 def test_assign_uuids_is_stable_and_keeps_known(spark):
     recs = spark.createDataFrame([("dr1", "k1"), ("dr1", "k2")], "dataset_id string, occ string")
-    existing = spark.createDataFrame([("dr1|k1", "known-1"), ("dr1|k1", "known-0")], "unique_key string, uuid string")
+    existing = spark.createDataFrame([("3:dr1|2:k1", "known-1"), ("3:dr1|2:k1", "known-0")], "unique_key string, uuid string")
     a = {r["occ"]: (r["uuid"], r["is_new"]) for r in EN.assign_uuids(recs, existing, ["occ"]).collect()}
     b = {r["occ"]: r["uuid"] for r in EN.assign_uuids(recs, existing.limit(0), ["occ"]).collect()}
     assert a["k1"] == ("known-0", False)
     assert a["k2"][1] is True and a["k2"][0] == b["k2"] and len(a["k2"][0]) == 36
-    chk = EN.uuid_check(EN.assign_uuids(recs, existing, ["occ"]), 40).first()
+    chk = EN.uuid_check(EN.assign_uuids(recs, existing, ["occ"]), existing, 40).first()
     assert (chk["n_total"], chk["n_new"], chk["status"]) == (2, 1, "FAIL")
-    assert EN.uuid_check(EN.assign_uuids(recs, existing, ["occ"]), 40, override=True).first()["status"] == "PASS"
+    assert EN.uuid_check(EN.assign_uuids(recs, existing, ["occ"]), existing, 40, override=True).first()["status"] == "PASS"
+    # all keys new while ids existed: the worst case fails; without any earlier id it passes
+    other = spark.createDataFrame([("x", "u")], "unique_key string, uuid string")
+    assert EN.uuid_check(EN.assign_uuids(recs, other, ["occ"]), other, 5).first()["status"] == "FAIL"
+    assert EN.uuid_check(EN.assign_uuids(recs, other.limit(0), ["occ"]), other.limit(0), 5).first()["status"] == "PASS"
+
+
+def test_unique_keys_differ_whatever_the_terms_hold(spark):
+    recs = spark.createDataFrame([("dr1", "a|b", "c"), ("dr1", "a", "b|c"), ("dr1", "a", "1:b|c")], "dataset_id string, x string, y string")
+    none = spark.createDataFrame([], "unique_key string, uuid string")
+    assert EN.assign_uuids(recs, none, ["x", "y"]).select("uuid").distinct().count() == 3
+
+
+def test_index_record_keeps_all_types_and_hides_originals(spark):
+    import datetime
+    from florafold.operators import flatten as FL
+    df = spark.sql("""SELECT 'r1' AS id, CAST(1.25 AS DECIMAL(8,2)) AS price, named_struct('a', 1) AS s, map('k', 'v') AS m,
+      timestamp'2024-01-02 10:20:30' AS seen, 12.5D AS sensitive_decimalLatitude, X'4142' AS raw""")
+    r = EN.build_index_record(df).first()
+    assert r["doubles"] == {"price": 1.25} and r["strings"]["s"] == '{"a":1}' and r["strings"]["m"] == '{"k":"v"}'
+    assert r["strings"]["raw"] == "QUI=" and r["strings"]["sensitive_decimalLatitude"] == "12.5"
+    when = datetime.datetime(2024, 1, 2, 10, 20, 30, tzinfo=datetime.timezone.utc)
+    assert r["dates"]["seen"] == int(when.timestamp() * 1000)
+    flat = FL.flatten_index(EN.build_index_record(df))
+    assert not [c for c in flat.columns if c.lower().startswith("sensitive_")]
 
 
 def test_restrict_sensitive_zone_rule_wins_and_most_restrictive(spark):

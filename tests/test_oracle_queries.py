@@ -4,11 +4,12 @@
 import pytest
 
 import __spark_entry__ as E
+from florafold.plans import registry as R
 from oracle_harness import compare, duck
 
 SF = "/root/testdata/sf0.001"
-ORACLE = E.oracle_sql()
-QUERIES = E.queries()
+ORACLE = dict(R.ORACLE)
+QUERIES = dict(R.QUERIES)
 
 
 @pytest.fixture(scope="module")
