@@ -2,8 +2,10 @@
 
 1. The word n-grams of all benchmark items are counted over all documents (one
    narrow aggregation of at most one row for each of these n-grams and task).
-2. Each item keeps its rare n-grams as seeds, those in the fewest documents
-   first, so many that copies with some words changed still hold one.
+2. Each item keeps its rare n-grams as seeds: all that stand in at most
+   ``rare_documents`` documents, and of each ``n`` consecutive places the rarest
+   whatever its number, so that an item that is copied everywhere keeps seeds in
+   all its parts. Copies with some words changed still hold one.
 3. Documents that hold a seed are aligned with the item around each group of
    hits: Smith-Waterman over words with +1 for equal words, -1 for different
    ones and -1 for a gap. The score is the best alignment's share of the item's
@@ -55,13 +57,17 @@ class Seeds:
         order = np.lexsort((self.place, self.item, self.n, self.hash))
         self.hash, self.item, self.place, self.n = (x[order] for x in (self.hash, self.item, self.place, self.n))
 
-    def keep_rare(self, documents: dict[int, int], seeds_per_item: int) -> None:
-        """Keep, of each item, the n-grams in the fewest documents (none are kept that no document holds)."""
+    def keep_rare(self, documents: dict[int, int], rare_documents: int, n: int) -> None:
+        """Keep the rare n-grams, and the rarest of each ``n`` places (none that no document holds)."""
         df = np.array([documents.get(int(h), 0) for h in self.hash], dtype=np.int64)
-        order = np.lexsort((self.place, df, self.item))
-        rank = np.arange(len(order)) - np.searchsorted(self.item[order], self.item[order])
-        keep = np.zeros(len(order), dtype=bool)
-        keep[order] = rank < seeds_per_item
+        keep = df <= rare_documents
+        some = np.flatnonzero(df > 0)
+        part = self.place[some] // n
+        order = some[np.lexsort((df[some], part, self.item[some]))]
+        part = self.place[order] // n
+        first = np.ones(len(order), dtype=bool)
+        first[1:] = (part[1:] != part[:-1]) | (self.item[order][1:] != self.item[order][:-1])
+        keep[order[first]] = True
         keep &= df > 0
         self.hash, self.item, self.place, self.n = (x[keep] for x in (self.hash, self.item, self.place, self.n))
 
@@ -118,7 +124,7 @@ def _blocks(items: DataFrame, block_words: int, id_col: str, text_col: str):
 
 
 def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text", n: int = 4, seeds_per_item: int = 16,
+               item_col: str = "item_id", item_text_col: str = "text", n: int = 4, rare_documents: int = 1000,
                min_score: float = 0.6, block_words: int = 1_000_000) -> DataFrame:
     """One row for each item found in a document: id, item id, score, first_word, words (of the aligned part)."""
     spark = docs.sparkSession
@@ -131,7 +137,7 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         every = spark.sparkContext.broadcast(seeds)
         counts = _seed_documents(docs.select(text_col), every, text_col)
         seeds = Seeds(block, n)
-        seeds.keep_rare(counts, seeds_per_item)
+        seeds.keep_rare(counts, rare_documents, n)
         if len(seeds.hash):
             out = out.unionByName(_align(docs.select(id_col, text_col), spark.sparkContext.broadcast(seeds), schema,
                                          id_col, text_col, item_col, min_score))

@@ -14,8 +14,8 @@ of the id among all of them. Scoring reads whole texts and needs no exchange.
 
 Edge cases: null and empty texts hold no evidence and get the score of a text
 without any feature. Repeated rows get equal results. Labels that are null, or
-of ids without a text, train nothing; if only one label value occurs (or none),
-that value's share is every text's score. Other columns pass through; those
+of ids without a text, train nothing; if only one label value occurs,
+its share is every text's score, and without any label the score is near 0. Other columns pass through; those
 named like an output column are replaced.
 """
 
@@ -207,9 +207,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     got = got.take(pa.array(sorted(range(got.num_rows), key=got.column("features").to_pylist().__getitem__), pa.int64()))
     sets = [np.frombuffer(x, np.uint64) for x in got.column("features").to_pylist()]
     y = np.array([v > 0 for v in got.column("y").to_pylist()], dtype=float)
-    patterns = np.array([list(x) for x in got.column("patterns").to_pylist()], dtype=bool).reshape(len(y), -1)
     if not len(y):
         return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), -3.0)
+    patterns = np.array([list(x) for x in got.column("patterns").to_pylist()], dtype=bool).reshape(len(y), -1)
     doc = np.repeat(np.arange(len(y)), [len(x) for x in sets])
     return train(doc, np.concatenate(sets), patterns, y)
 
