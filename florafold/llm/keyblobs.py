@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-UNIT = 1 << 21  # entries that a map task holds before it packs them
+UNIT = 1 << 20  # entries that a map task holds before it packs them
 
 
 def planes(x: np.ndarray) -> bytes:

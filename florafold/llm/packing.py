@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
+from collections.abc import Sequence
 from itertools import chain, repeat
 
 import numpy as np
@@ -29,7 +31,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .words import slices
 
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
+CACHE_PARTS = 200_000
 _cache: dict[str, "WordIds"] = {}
 
 #: Fixed values of byte-level vocabularies: the character that stands for each byte.
@@ -45,7 +48,8 @@ class WordIds:
     characters below U+0250 are cut by the tokenizer's own pattern (``pattern``,
     after lower-casing) and each part goes to the tokenizer's model; any other
     word, and any that may hold a special token, goes through the whole
-    tokenizer. The cache starts anew when it has ``CACHE_WORDS`` words.
+    tokenizer. The caches of words and of parts start anew at ``CACHE_WORDS`` and
+    ``CACHE_PARTS`` entries, so a worker holds about 150 MB at most.
     """
 
     def __init__(self, path: str):
@@ -67,22 +71,24 @@ class WordIds:
 
     def _clear(self):
         self.known: dict[bytes, int] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
         self.first = np.zeros(1 << 14, dtype=np.int64)
         self.used = 0
 
-    def _word(self, word: bytes) -> list[int]:
+    def _word(self, word: bytes) -> Sequence[int]:
         text = word.decode()
         if not self.fast or b"<|" in word or max(text) >= "\u0250":
             return self.tokenizer.encode(text, add_special_tokens=False).ids
-        ids: list[int] = []
+        ids = array("I")
         for part in self.cut(text.lower()):
             got = self.parts.get(part)
             if got is None:
                 plain = part if part.isascii() and part.isalnum() else "".join(_CHAR_OF[b] for b in part.encode())
-                got = self.parts[part] = [t.id for t in self.model.tokenize(plain)]
-            ids += got
+                if len(self.parts) >= CACHE_PARTS:
+                    self.parts.clear()
+                got = self.parts[part] = array("I", [t.id for t in self.model.tokenize(plain)]).tobytes()
+            ids.frombytes(got)
         return ids
 
     def _learn(self, word: bytes) -> int:

@@ -223,7 +223,7 @@ def _distinct_spans(joined: DataFrame, window: int, buckets: int) -> DataFrame:
 
     def spans(batches):
         for b in batches:
-            for s in slices(b, b.schema.names[1], 1 << 22):
+            for s in slices(b, b.schema.names[1], 1 << 20):
                 words, h, start, count, anchor, key = _spans(s, window)
                 if not len(start):
                     continue

@@ -1,7 +1,7 @@
 """Vectorised words, word hashes and n-gram hashes of Arrow text columns.
 
 Words are the runs between the ASCII white space characters 0x20 and
-0x09-0x0D. Tasks work on slices of a few megabytes of text, so that the arrays
+0x09-0x0D. Tasks work on slices of half a megabyte of text, so that the arrays
 built here stay small whatever the batch size; only a single very long text
 makes a slice larger.
 """
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
