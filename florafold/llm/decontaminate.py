@@ -123,24 +123,28 @@ def _blocks(items: DataFrame, block_words: int, id_col: str, text_col: str):
             yield rows
 
 
+def _block_seeds(docs: DataFrame, items: DataFrame, text_col: str, item_col: str, item_text_col: str, n: int,
+                 rare_documents: int, block_words: int):
+    """The broadcast rare seeds of each block of items that has any."""
+    context = docs.sparkSession.sparkContext
+    for block in _blocks(items, block_words, item_col, item_text_col):
+        counts = _seed_documents(docs.select(text_col), context.broadcast(Seeds(block, n)), text_col)
+        seeds = Seeds(block, n)
+        seeds.keep_rare(counts, rare_documents, n)
+        if len(seeds.hash):
+            yield context.broadcast(seeds)
+
+
 def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", n: int = 4, rare_documents: int = 1000,
                min_score: float = 0.6, block_words: int = 1_000_000) -> DataFrame:
     """One row for each item found in a document: id, item id, score, first_word, words (of the aligned part)."""
-    spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     item_type = items.schema[item_col].dataType.simpleString()
     schema = f"`{id_col}` {id_type}, `{item_col}` {item_type}, score double, first_word bigint, words bigint"
-    out = spark.createDataFrame([], schema)
-    for block in _blocks(items, block_words, item_col, item_text_col):
-        seeds = Seeds(block, n)
-        every = spark.sparkContext.broadcast(seeds)
-        counts = _seed_documents(docs.select(text_col), every, text_col)
-        seeds = Seeds(block, n)
-        seeds.keep_rare(counts, rare_documents, n)
-        if len(seeds.hash):
-            out = out.unionByName(_align(docs.select(id_col, text_col), spark.sparkContext.broadcast(seeds), schema,
-                                         id_col, text_col, item_col, min_score))
+    out = docs.sparkSession.createDataFrame([], schema)
+    for seeds in _block_seeds(docs, items, text_col, item_col, item_text_col, n, rare_documents, block_words):
+        out = out.unionByName(_align(docs.select(id_col, text_col), seeds, schema, id_col, text_col, item_col, min_score))
     return out
 
 
@@ -164,6 +168,33 @@ def _seed_documents(texts: DataFrame, shared, text_col: str) -> dict[int, int]:
     return {r.seed % (1 << 64): r.n for r in rows}
 
 
+def _aligned(texts: pa.Array, seeds: Seeds, min_score: float) -> dict[tuple[int, int], tuple[int, int, int]]:
+    """(text, item) found: score in words, first word, and words of the aligned part."""
+    words = _words(texts)
+    h = words.hashes()
+    doc, at, seed = seeds.hits(words, h)
+    # hits of an item in a document, by where the item would begin
+    begin = at - seeds.place[seed]
+    order = np.lexsort((begin, seeds.item[seed], doc))
+    rows: dict[tuple[int, int], tuple[int, int, int]] = {}
+    last = None
+    for i in order.tolist():
+        d, k, first = int(doc[i]), int(seeds.item[seed[i]]), int(begin[i])
+        item = seeds.items[k]
+        size = len(item)
+        slack = size // 2 + 4
+        if last and last[:2] == (d, k) and first - last[2] <= slack // 2:
+            continue  # the window just aligned holds this place too
+        last = (d, k, first)
+        lo = max(int(words.first[d]), first - slack)
+        hi = min(int(words.first[d + 1]), first + size + slack)
+        best, end = smith_waterman(item, h[lo:hi])
+        if best / size >= min_score and best > rows.get((d, k), (0,))[0]:
+            start = smith_waterman(item[::-1], h[lo:lo + end][::-1])[1]
+            rows[d, k] = (best, lo + end - start - int(words.first[d]), start)
+    return rows
+
+
 def _align(docs: DataFrame, shared, schema: str, id_col: str, text_col: str, item_col: str, min_score: float) -> DataFrame:
     item_type = docs.sparkSession.createDataFrame([], schema).schema[item_col].dataType
 
@@ -173,28 +204,7 @@ def _align(docs: DataFrame, shared, schema: str, id_col: str, text_col: str, ite
         seeds = shared.value
         for b in batches:
             for s in slices(b, text_col):
-                words = _words(s.column(text_col))
-                h = words.hashes()
-                doc, at, seed = seeds.hits(words, h)
-                # hits of an item in a document, by where the item would begin
-                begin = at - seeds.place[seed]
-                order = np.lexsort((begin, seeds.item[seed], doc))
-                rows: dict[tuple[int, int], tuple] = {}
-                last = None
-                for i in order.tolist():
-                    d, k, first = int(doc[i]), int(seeds.item[seed[i]]), int(begin[i])
-                    item = seeds.items[k]
-                    size = len(item)
-                    slack = size // 2 + 4
-                    if last and last[:2] == (d, k) and first - last[2] <= slack // 2:
-                        continue  # the window just aligned holds this place too
-                    last = (d, k, first)
-                    lo = max(int(words.first[d]), first - slack)
-                    hi = min(int(words.first[d + 1]), first + size + slack)
-                    best, end = smith_waterman(item, h[lo:hi])
-                    if best / size >= min_score and best > rows.get((d, k), (0,))[0]:
-                        start = smith_waterman(item[::-1], h[lo:lo + end][::-1])[1]
-                        rows[d, k] = (best, lo + end - start - int(words.first[d]), start)
+                rows = _aligned(s.column(text_col), seeds, min_score)
                 keys = list(rows)
                 yield pa.RecordBatch.from_arrays(
                     [s.column(0).take(pa.array([d for d, _ in keys], pa.int64())),
@@ -206,7 +216,27 @@ def _align(docs: DataFrame, shared, schema: str, id_col: str, text_col: str, ite
     return docs.mapInArrow(align, schema)
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` without the documents that hold an item."""
-    held = find_items(docs.select(id_col, text_col), items, id_col, text_col, **how).select(id_col).distinct()
-    return docs.join(held, id_col, "left_anti")
+def _without(docs: DataFrame, shared, text_col: str, min_score: float) -> DataFrame:
+    def clean(batches):
+        seeds = shared.value
+        for b in batches:
+            for s in slices(b, text_col):
+                keep = np.ones(s.num_rows, dtype=bool)
+                keep[[d for d, _ in _aligned(s.column(text_col), seeds, min_score)]] = False
+                yield s.filter(pa.array(keep))
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                      item_text_col: str = "text", n: int = 4, rare_documents: int = 1000, min_score: float = 0.6,
+                      block_words: int = 1_000_000) -> DataFrame:
+    """``docs`` without the rows that hold an item.
+
+    Rows are filtered where they are read, with no exchange and whatever their
+    ids (null and repeated ones too); each further block of items is a further filter.
+    """
+    out = docs
+    for seeds in _block_seeds(docs, items, text_col, item_col, item_text_col, n, rare_documents, block_words):
+        out = _without(out, seeds, text_col, min_score)
+    return out

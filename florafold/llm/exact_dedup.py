@@ -38,10 +38,8 @@ def _groups(rows: DataFrame, keys: list[str], id_col: str) -> DataFrame:
     return per_salt(group_facts(rows, keys, id_col).where("group_size > 1")).withColumnRenamed("least_id", "keep_id")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 prefix_chars: int = 256) -> DataFrame:
-    """All columns of ``docs`` but the text, with keep_id, group_size and kept."""
-    docs = docs.drop(*OUTPUT)
+def _refined(docs: DataFrame, id_col: str, text_col: str, prefix_chars: int) -> tuple[DataFrame, DataFrame]:
+    """Rows alone in their length and prefix hash; the others with _full, keep_id and group_size. Both without texts."""
     norm = normalised(F.col(text_col))
     docs = docs.select("*", F.length(norm).alias("_length"),
                        F.xxhash64(F.substring(norm, 1, prefix_chars)).alias("_head"))
@@ -57,21 +55,48 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                        & (F.col("_head") == F.col("_h")), "left_semi")
              .withColumn("_full", F.unhex(F.sha2(norm, 256))).drop(text_col))
     groups = _groups(whole, ["_full"], id_col)
-    whole = whole.join(groups, ["_full", "_salt"], "left").drop("_full")
+    return alone, whole.join(groups, ["_full", "_salt"], "left")
+
+
+def _keep(id_col: str) -> Column:
+    return F.when(F.coalesce("group_size", F.lit(1)) > 1, F.col("keep_id")).otherwise(F.col(id_col))
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 prefix_chars: int = 256) -> DataFrame:
+    """All columns of ``docs`` but the text, with keep_id, group_size and kept."""
+    docs = docs.drop(*OUTPUT)
+    alone, whole = _refined(docs, id_col, text_col, prefix_chars)
     rows = alone.select("*", F.lit(None).cast(docs.schema[id_col].dataType).alias("keep_id"),
-                        F.lit(1).cast("long").alias("group_size")).unionByName(whole)
-    keep = F.when(F.coalesce("group_size", F.lit(1)) > 1, F.col("keep_id")).otherwise(F.col(id_col))
-    return rows.select(*[c for c in narrow.columns if not c.startswith("_")], keep.alias("keep_id"),
+                        F.lit(1).cast("long").alias("group_size")).unionByName(whole.drop("_full"))
+    keep = _keep(id_col)
+    return rows.select(*[c for c in alone.columns if not c.startswith("_")], keep.alias("keep_id"),
                        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
                        keep.eqNullSafe(F.col(id_col)).alias("kept"))
 
 
-def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    prefix_chars: int = 256) -> DataFrame:
     """``docs`` without the rows that are not kept; rows equal in id and text leave one.
 
-    Ids of rows that go are told from kept ones by an anti-join on the id, so
-    ids should name one text each.
+    Verdicts go back to rows by id, length and prefix hash, and by the whole
+    text's hash where these agree, so an id that names several texts, or a null
+    id, loses none of them.
     """
-    groups = exact_groups(docs.select(id_col, text_col), id_col, text_col)
-    gone = groups.where(~F.col("kept")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").dropDuplicates([id_col])
+    _, whole = _refined(docs.select(id_col, text_col), id_col, text_col, prefix_chars)
+    verdicts = (whole.select(F.col(id_col).alias("_i"), F.col("_length").alias("_l"), F.col("_head").alias("_h"),
+                             F.col("_full").alias("_f"), _keep(id_col).eqNullSafe(F.col(id_col)).alias("_kept"))
+                .groupBy("_i", "_l", "_h", "_f").agg(F.max("_kept").alias("_kept"), F.count(F.lit(1)).alias("_rows"))
+                .where("not _kept or _rows > 1").checkpoint())
+    norm = normalised(F.col(text_col))
+    # a residual condition, not a join key: whole texts are hashed only where the narrow keys agree
+    same = (F.col(id_col).eqNullSafe(F.col("_i")) & (F.length(norm) == F.col("_l"))
+            & (F.xxhash64(F.substring(norm, 1, prefix_chars)) == F.col("_h"))
+            & F.when(F.col("_f").isNotNull(), F.unhex(F.sha2(norm, 256)) == F.col("_f")))
+    out = docs.join(verdicts.where("not _kept"), same, "left_anti")
+    repeated = verdicts.where("_kept and _rows > 1")
+    if repeated.isEmpty():
+        return out
+    one = (out.join(repeated, same, "left_semi").withColumn("_f", F.sha2(norm, 256))
+           .dropDuplicates([id_col, "_f"]).drop("_f"))
+    return out.join(repeated, same, "left_anti").unionByName(one)

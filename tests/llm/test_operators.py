@@ -73,11 +73,23 @@ def test_exact_groups(spark, edges):
     kept = exact_dedup.drop_duplicates(edges)
     assert set(kept.columns) == set(edges.columns)
     assert sorted(r["doc_id"] for r in rows_of(kept.where("doc_id <> 15"))) == sorted(d for d, w in want.items() if w[0] == d)
+    assert [r["doc_id"] for r in rows_of(kept)].count(15) == 1
     nulls = spark.createDataFrame([(None, "a"), (None, "a"), (3, "a"), (None, "b")], "doc_id long, text string")
     got = [(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in rows_of(exact_dedup.exact_groups(nulls))]
     assert sorted(got, key=str) == [(3, 3, 3, True), (None, 3, 3, False), (None, 3, 3, False), (None, None, 1, True)]
 
 
+def test_drop_duplicates_of_null_and_reused_ids(spark):
+    head = "x" * 300  # same length and prefix hash, other texts
+    rows = [(None, "a"), (None, "a"), (3, "a"), (None, "b"), (None, "b"), (None, "c"), (None, head + "1"), (None, head + "2"),
+            (4, head + "1"), (5, "p"), (5, "q"), (5, "q"), (2, "q"), (6, "r"), (6, "r"), (6, "s"), (7, None), (8, " "), (9, "\n")]
+    got = rows_of(exact_dedup.drop_duplicates(table(spark, rows).repartition(4)))
+    want = [(3, "a"), (None, "b"), (None, "c"), (None, head + "2"), (4, head + "1"), (5, "p"), (2, "q"), (6, "r"), (6, "s"),
+            (7, None), (8, " ")]
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(want, key=str)
+    assert exact_dedup.drop_duplicates(empty(spark)).count() == 0
+
+
 @pytest.mark.parametrize("chunk, blocks, lead", [(512, 16, 64), (4, 2, 3), (3, 0, 2)])
 def test_near_duplicates(spark, monkeypatch, chunk, blocks, lead):
     """Small limits send clusters through blocks and through runs."""
@@ -351,6 +363,11 @@ def test_decontamination(spark, edges):
         assert got == want | {(300, 902)}
     clean = {r["doc_id"] for r in rows_of(decontaminate.drop_contaminated(docs, bench))}
     assert clean == {200 + i for i in range(20)} | {301, 302}
+    nameless = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    for words in (1_000_000, 500):
+        left = decontaminate.drop_contaminated(nameless, bench, block_words=words)
+        assert left.columns == docs.columns and left.count() == len(clean)
+    assert decontaminate.drop_contaminated(empty(spark), bench).count() == 0
     assert decontaminate.find_items(docs, bench.limit(0)).count() == 0
     assert decontaminate.find_items(empty(spark), bench).count() == 0
     assert decontaminate.find_items(edges, bench).count() == 0
