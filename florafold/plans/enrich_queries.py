@@ -379,7 +379,8 @@ FROM occ o LEFT JOIN s1 ON o.id = s1.id LEFT JOIN s2 ON o.id = s2.id LEFT JOIN s
 LEFT JOIN s4 ON o.id = s4.id""")
 def q_assemble_index(spark, sf_dir):
     from florafold.plans.jobs import full_index
-    return full_index(spark, D.occurrences(spark, sf_dir), _layers(spark, sf_dir), _ranges(spark, sf_dir)) \
+    return full_index(spark, D.occurrences(spark, sf_dir), _layers(spark, sf_dir), _ranges(spark, sf_dir),
+                      jackknife=("l_partkey", "l_extendedprice")) \
         .select("id", "dataset_id", "cl_region", "cl_band", "is_outlier", "n_dup_reasons",
                 F.round("distance", 3).alias("distance"))
 
@@ -468,6 +469,39 @@ def q_plan_dataset_load(spark, sf_dir):
     return classes
 
 
+_LOAD_SIZES_SQL = f"""{_INV_SQL},
+ids AS (SELECT 'dr' || CAST(n_nationkey AS VARCHAR) AS dataset_id FROM nation WHERE n_regionkey = 2),
+d AS (SELECT *, CASE WHEN starts_with(key, 'dwca-imports/')
+        THEN regexp_extract(substr(key, 14), '^([^/]+)/', 1) ELSE '' END AS dataset_id FROM inv),
+s AS (SELECT dataset_id, CAST(sum(size) AS BIGINT) AS size FROM d
+      WHERE dataset_id IN (SELECT dataset_id FROM ids)
+        AND starts_with(key, 'dwca-imports/' || dataset_id || '/' || dataset_id || '.zip') GROUP BY dataset_id),
+c AS (SELECT *, CASE WHEN size <= 5000000 THEN 'small' WHEN size < 5000000000 THEN 'large'
+  ELSE 'xlarge' END AS size_class FROM s)"""
+
+
+def _load_dispatch(spark, sf_dir):
+    ids = D.load_table(spark, sf_dir, "region").filter(F.col("r_regionkey") == 2).select(
+        F.concat(F.lit("dp"), F.col("r_regionkey").cast("string")).alias("uid"))
+    return JB.plan_load_dispatch(ids, D.provider_registry(spark, sf_dir), D.inventory(spark, sf_dir), 3)
+
+
+@register("plan_load_dispatch", f"""WITH {_LOAD_SIZES_SQL},
+n AS (SELECT k.size_class, CAST(count(c.dataset_id) AS BIGINT) AS n
+  FROM (VALUES ('small'), ('large'), ('xlarge')) k(size_class) LEFT JOIN c ON c.size_class = k.size_class
+  GROUP BY k.size_class)
+SELECT size_class, n, CASE WHEN n = 0 THEN 'skip' WHEN n > 3 THEN 'batch' ELSE 'direct' END AS mode FROM n""")
+def q_plan_load_dispatch(spark, sf_dir):
+    return _load_dispatch(spark, sf_dir)[0]
+
+
+@register("plan_load_class_lists", f"""WITH {_LOAD_SIZES_SQL}
+SELECT size_class, CAST(row_number() OVER (PARTITION BY size_class ORDER BY size DESC, dataset_id) - 1 AS BIGINT) AS position,
+  dataset_id, size FROM c""")
+def q_plan_load_class_lists(spark, sf_dir):
+    return _load_dispatch(spark, sf_dir)[1]
+
+
 @register("ingest_dataset")
 def q_ingest_dataset(spark, sf_dir):
     """C7 end to end into a fresh dataset-partitioned table, read back and flattened
@@ -488,17 +522,43 @@ def q_ingest_dataset(spark, sf_dir):
     return arrays_as_text(FL.flatten_index(spark.read.parquet(table).drop("dataset_id"), merge_duplicate_ids=False))
 
 
-@register("object_inventory")
+@register("object_inventory", """SELECT 'dr' || CAST(c_nationkey AS VARCHAR) AS dataset_id,
+  CAST(sum(strlen(CAST(c_custkey AS VARCHAR) || ' ' || c_name) + 1) AS BIGINT) AS bytes, true AS written_now
+FROM customer GROUP BY c_nationkey""")
 def q_object_inventory(spark, sf_dir):
-    """S2 over the given tables' own files (no oracle: DuckDB cannot list file sizes)."""
+    """S2 over text files of the customers, a folder per nation: bytes listed per dataset."""
+    from florafold.session import scratch_dir
     from florafold.sources.catalog import object_inventory
-    return object_inventory(spark, sf_dir, "*.parquet")
-
-
-@register("cluster_records_near")
+    root = scratch_dir(spark, "objects")
+    D.load_table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("dr"), F.col("c_nationkey").cast("string")).alias("dataset"),
+        F.concat_ws(" ", F.col("c_custkey").cast("string"), "c_name").alias("line")) \
+        .write.partitionBy("dataset").text(root)
+    listed = object_inventory(spark, root, "*.txt")
+    now = F.max("modified") > F.current_timestamp() - F.expr("INTERVAL 1 DAY")
+    return listed.groupBy(F.regexp_extract("key", "^dataset=([^/]+)/", 1).alias("dataset_id")).agg(
+        F.sum("size").cast("bigint").alias("bytes"), now.alias("written_now"))
+
+
+@register("cluster_records_near", f"""WITH RECURSIVE {OCC_SQL},
+nrec AS (SELECT id, dataset_id AS ds, taxon AS t, eventDate AS d, CAST(floor(decimalLatitude) AS BIGINT) AS cy,
+    CAST(floor(decimalLongitude) AS BIGINT) AS cx FROM occ WHERE taxon IS NOT NULL AND eventDate IS NOT NULL
+    AND decimalLatitude IS NOT NULL AND decimalLongitude IS NOT NULL),
+blocks AS (SELECT DISTINCT t, d, cy, cx FROM nrec),
+links AS (SELECT a.t, a.d, a.cy, a.cx, b.cy AS ny, b.cx AS nx FROM blocks a JOIN blocks b ON a.t = b.t AND a.d = b.d
+  WHERE abs(a.cy - b.cy) <= 1 AND abs(a.cx - b.cx) <= 1),
+reach AS (SELECT t, d, cy, cx, cy AS ly, cx AS lx FROM blocks
+  UNION SELECT r.t, r.d, l.ny, l.nx, r.ly, r.lx FROM reach r
+  JOIN links l ON r.t = l.t AND r.d = l.d AND r.cy = l.cy AND r.cx = l.cx),
+comp AS (SELECT t, d, cy, cx, min(ly * 1000 + lx) AS label FROM reach GROUP BY t, d, cy, cx),
+member AS (SELECT n.id, n.ds, c.t, c.d, c.label FROM nrec n
+  JOIN comp c ON n.t = c.t AND n.d = c.d AND n.cy = c.cy AND n.cx = c.cx),
+groups AS (SELECT t, d, label, min(id) AS cluster_id, count(*) AS cluster_size, count(DISTINCT ds) AS n_datasets
+  FROM member GROUP BY t, d, label HAVING count(DISTINCT ds) >= 2)
+SELECT m.id, 'location_near' AS reason, g.cluster_id, CAST(g.cluster_size AS BIGINT) AS cluster_size,
+  CAST(g.n_datasets AS BIGINT) AS n_datasets FROM member m JOIN groups g ON m.t = g.t AND m.d = g.d AND m.label = g.label""")
 def q_cluster_records_near(spark, sf_dir):
-    """J14 with neighbouring cells (iterative components; no oracle — tested
-    against a brute-force union-find in tests/test_enrich.py)."""
+    """J14 with neighbouring cells (also tested against a brute-force union-find)."""
     return EN.cluster_records_near(D.occurrences(spark, sf_dir), taxon_col="taxon", cell=1.0)
 
 

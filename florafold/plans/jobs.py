@@ -35,6 +35,21 @@ def plan_dataset_load(ids: DataFrame, registry: DataFrame, inventory: DataFrame,
     return classes, batches
 
 
+def plan_load_dispatch(ids: DataFrame, registry: DataFrame, inventory: DataFrame,
+                       min_per_batch: int) -> tuple[DataFrame, DataFrame]:
+    """C4, how the datasets are handed on: per size class the number of datasets
+    and the way of loading them (P11; a class without datasets is skipped), and
+    the classes as lists (P10). Returns (dispatch, class lists)."""
+    sizes = CT.named_dataset_sizes(inventory, PL.expand_providers(ids, registry))
+    lists = PL.size_class_as_batches(sizes.select("dataset_id", "size"))
+    classes = ids.sparkSession.createDataFrame([(c,) for c in PL.CLASS_ORDER], "size_class string")
+    n = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
+    counts = lists.groupBy("size_class").agg(F.count(F.lit(1)).alias("n"))
+    dispatch = classes.join(counts, "size_class", "left").select(
+        "size_class", n.alias("n"), PL.dispatch_mode(n, min_per_batch).alias("mode"))
+    return dispatch, lists
+
+
 def plan_image_sync(images: DataFrame, inventory: DataFrame, cutoff: str, min_per_batch: int,
                     max_batches: int) -> DataFrame:
     """Datasets with new images since the cutoff that were also re-indexed, in batches."""
@@ -64,19 +79,32 @@ def ingest_dataset(occ: DataFrame, rules: dict, vocab: DataFrame, vocab_field: s
 
 
 def full_index(spark: SparkSession, occ: DataFrame, layers: DataFrame, ranges: DataFrame,
-               annotations: DataFrame | None = None, flags: dict | None = None) -> DataFrame:
+               annotations: DataFrame | None = None, flags: dict | None = None,
+               jackknife: tuple[str, str] = ("taxon", "value")) -> DataFrame:
     """Sampling (J13), jackknife (W7), clusters (J14), range outliers (J15),
-    annotations (J17), assembled onto the records (J8). Side tables are
-    reduced to one row per id before joining."""
-    sampled = EN.sample_layers(occ, layers).groupBy("id").agg(
-        *[F.min(c).alias(c) for c in sorted(r[0] for r in layers.select("layer_id").distinct().collect())])
-    jk = EN.jackknife_outliers(occ, "l_partkey", "l_extendedprice")
-    jk_id = occ.select("id", "l_partkey", "l_extendedprice").join(jk, ["l_partkey", "l_extendedprice"]) \
-        .groupBy("id").agg(F.max(F.col("is_outlier").cast("int")).cast("boolean").alias("is_outlier"))
-    cl = EN.cluster_records(occ).groupBy("id").agg(F.count(F.lit(1)).cast("bigint").alias("n_dup_reasons"))
-    ou = EN.distribution_outliers(occ, ranges).groupBy("id").agg(F.min("distance").alias("distance"))
-    sides = {"sampling": sampled, "jackknife": jk_id, "clustering": cl, "outlier": ou}
-    base = occ
+    annotations (J17), assembled onto the records (J8).
+
+    ``flags`` switches a side off by name (``sampling``, ``jackknife``,
+    ``clustering``, ``outlier``); a side that is off is not computed.
+    ``jackknife`` names the group and the value column of W7. Regions are
+    attached by coordinates, without an exchange on id; the other sides are
+    reduced to one row per id first."""
+    flags = flags or {}
+    group, value = jackknife
+
+    def outlying_values():
+        jk = EN.jackknife_outliers(occ, group, value)
+        return occ.select("id", F.col(group), F.col(value).cast("double").alias(value)).join(jk, [group, value]) \
+            .groupBy("id").agg(F.max(F.col("is_outlier").cast("int")).cast("boolean").alias("is_outlier"))
+
+    def duplicates():
+        return EN.cluster_records(occ).groupBy("id").agg(F.count(F.lit(1)).cast("bigint").alias("n_dup_reasons"))
+
+    def out_of_range():
+        return EN.distribution_outliers(occ, ranges).groupBy("id").agg(F.min("distance").alias("distance"))
+
+    build = {"jackknife": outlying_values, "clustering": duplicates, "outlier": out_of_range}
+    base = EN.sample_layers(occ, layers) if flags.get("sampling", True) else occ
     if annotations is not None:
         base = EN.apply_annotations(base, annotations)
-    return EN.assemble_index(base, sides, flags)
+    return EN.assemble_index(base, {name: make() for name, make in build.items() if flags.get(name, True)})
