@@ -502,10 +502,38 @@ def q_plan_load_class_lists(spark, sf_dir):
     return _load_dispatch(spark, sf_dir)[1]
 
 
-@register("ingest_dataset")
+_INGEST_COLUMNS = "scientificName, taxon, catalogNumber, zone, l_partkey, l_extendedprice"
+
+
+@register("ingest_dataset", f"""WITH {OCC_SQL}, {INTERP_SQL.replace('SELECT id, dataset_id,', f'SELECT id, dataset_id, {_INGEST_COLUMNS},')},
+{SENS_SQL},
+taxa AS (SELECT p_name AS name, 'species' AS rank, 'sp:' || p_name AS taxon_id FROM part
+  UNION SELECT split_part(p_name, ' ', 1), 'genus', 'g:' || split_part(p_name, ' ', 1) FROM part),
+exact AS (SELECT lower(trim(name)) AS n, min(taxon_id) AS taxon_id FROM taxa GROUP BY 1),
+genus AS (SELECT lower(trim(name)) AS n, min(taxon_id) AS taxon_id FROM taxa WHERE rank = 'genus' GROUP BY 1),
+vocab AS (SELECT lower(trim(p_name)) AS n, min(upper(p_name)) AS canonical FROM part GROUP BY 1),
+keyed AS (SELECT *, CAST(length(dataset_id) AS VARCHAR) || ':' || dataset_id || '|' || CAST(length(id) AS VARCHAR)
+    || ':' || id AS k0, CAST(split_part(id, '-', 1) AS BIGINT) % 2 <> 0 AS is_new, lower(trim(scientificName)) AS n
+  FROM interp),
+named AS (SELECT i.*, CASE WHEN i.is_new THEN {_UUID_SQL.replace('(k)', '(i.k0)')} ELSE 'u-' || i.id END AS uuid, v.canonical,
+    coalesce(e.taxon_id, g.taxon_id) AS taxon_id,
+    CASE WHEN e.n IS NOT NULL THEN 'exact' WHEN g.n IS NOT NULL THEN 'genus' ELSE 'none' END AS match_type,
+    coalesce(z.action, a.action) AS act, coalesce(z.k, a.k) AS kk
+  FROM keyed i LEFT JOIN vocab v ON i.n = v.n LEFT JOIN exact e ON i.n = e.n
+  LEFT JOIN genus g ON split_part(i.n, ' ', 1) = g.n
+  LEFT JOIN (SELECT * FROM rules WHERE zone IS NOT NULL) z ON i.n = lower(trim(z.taxon)) AND i.zone = z.zone
+  LEFT JOIN (SELECT * FROM rules WHERE zone IS NULL) a ON i.n = lower(trim(a.taxon)))
+SELECT uuid AS id, catalogNumber, dataset_id, match_type, scientificName, canonical AS scientificName_norm,
+  act AS sensitive, taxon, taxon_id, k0 AS unique_key, uuid, zone,
+  CASE WHEN act = 'withhold' THEN NULL WHEN act = 'generalise'
+       THEN floor(decimalLatitude * pow(10.0, kk)) / pow(10.0, kk) + 0.0 ELSE decimalLatitude END AS decimalLatitude,
+  CASE WHEN act = 'withhold' THEN NULL WHEN act = 'generalise'
+       THEN floor(decimalLongitude * pow(10.0, kk)) / pow(10.0, kk) + 0.0 ELSE decimalLongitude END AS decimalLongitude,
+  l_extendedprice, individualCount, l_partkey, is_new,
+  CAST(date_diff('day', DATE '1970-01-01', eventDate) AS BIGINT) * 86400000 AS eventDate,
+  array_to_string(issues, '|') AS issues FROM named""")
 def q_ingest_dataset(spark, sf_dir):
-    """C7 end to end into a fresh dataset-partitioned table, read back and flattened
-    (no oracle: every stage has its own)."""
+    """C7 end to end into a fresh dataset-partitioned table, read back and flattened."""
     from florafold.plans.enrich_queries import RULES, _sens_rules
     from florafold.session import scratch_dir
     occ = D.occurrences(spark, sf_dir).drop("decimalLatitude", "decimalLongitude", "eventDate")
@@ -518,7 +546,8 @@ def q_ingest_dataset(spark, sf_dir):
     existing = occ.filter(F.split("id", "-")[0].cast("bigint") % 2 == 0).select(
         EN.unique_key(F.col("dataset_id"), F.col("id")).alias("unique_key"), F.concat(F.lit("u-"), F.col("id")).alias("uuid"))
     table = scratch_dir(spark, "ingest")
-    JB.ingest_dataset(occ, RULES, vocab, "scientificName", taxa, existing, ["id"], _sens_rules(spark, sf_dir), table)
+    JB.ingest_dataset(occ, RULES, vocab, "scientificName", taxa, existing, ["id"], _sens_rules(spark, sf_dir), table,
+                      max_new_pct=100)
     return arrays_as_text(FL.flatten_index(spark.read.parquet(table).drop("dataset_id"), merge_duplicate_ids=False))
 
 
@@ -541,7 +570,7 @@ def q_object_inventory(spark, sf_dir):
 
 
 @register("cluster_records_near", f"""WITH RECURSIVE {OCC_SQL},
-nrec AS (SELECT id, dataset_id AS ds, taxon AS t, eventDate AS d, CAST(floor(decimalLatitude) AS BIGINT) AS cy,
+nrec AS (SELECT id, dataset_id AS ds, taxon AS t, date_trunc('month', eventDate) AS d, CAST(floor(decimalLatitude) AS BIGINT) AS cy,
     CAST(floor(decimalLongitude) AS BIGINT) AS cx FROM occ WHERE taxon IS NOT NULL AND eventDate IS NOT NULL
     AND decimalLatitude IS NOT NULL AND decimalLongitude IS NOT NULL),
 blocks AS (SELECT DISTINCT t, d, cy, cx FROM nrec),
@@ -558,8 +587,9 @@ groups AS (SELECT t, d, label, min(id) AS cluster_id, count(*) AS cluster_size,
 SELECT m.id, 'location_near' AS reason, g.cluster_id, CAST(g.cluster_size AS BIGINT) AS cluster_size,
   CAST(g.n_datasets AS BIGINT) AS n_datasets FROM member m JOIN groups g ON m.t = g.t AND m.d = g.d AND m.label = g.label""")
 def q_cluster_records_near(spark, sf_dir):
-    """J14 with neighbouring cells (also tested against a brute-force union-find)."""
-    return EN.cluster_records_near(D.occurrences(spark, sf_dir), taxon_col="taxon", cell=1.0)
+    """J14 with neighbouring cells, per taxon and month (also tested against a brute-force union-find)."""
+    occ = D.occurrences(spark, sf_dir).withColumn("eventMonth", F.trunc("eventDate", "month"))
+    return EN.cluster_records_near(occ, taxon_col="taxon", date_col="eventMonth", cell=1.0)
 
 
 @register("plan_dataset_load_batches", f"""WITH {_INV_SQL},

@@ -61,15 +61,26 @@ def plan_image_sync(images: DataFrame, inventory: DataFrame, cutoff: str, min_pe
 
 def ingest_dataset(occ: DataFrame, rules: dict, vocab: DataFrame, vocab_field: str, taxa: DataFrame,
                    existing_ids: DataFrame, id_terms: list[str], sensitive_rules: DataFrame,
-                   table: str | None = None) -> DataFrame:
-    """Interpret → vocabulary → names → persistent ids → sensitive data →
-    index records; written per dataset (S7) when ``table`` is given."""
+                   table: str | None = None, max_new_pct: float | None = None,
+                   images: DataFrame | None = None, url_col: str = "identifier") -> DataFrame:
+    """Interpret → vocabulary → names → persistent ids → images → sensitive
+    data → index records; written per dataset (S7) when ``table`` is given.
+
+    With ``max_new_pct`` the guard of J9 runs before anything is written and
+    raises when it fails. With ``images(identifier, image_id)`` each record gets
+    the stored image of its ``url_col`` (J16)."""
     keep = [c for c in occ.columns if c not in {src for src, _ in rules.values()}]
     typed = EN.interpret(occ, rules, lat="decimalLatitude", lon="decimalLongitude",
                          keep=[c for c in keep if c not in rules])
     typed = EN.lookup_vocabulary(typed, vocab, vocab_field)
     typed = EN.match_names(typed, taxa)
     typed = EN.assign_uuids(typed, existing_ids, id_terms)
+    if max_new_pct is not None:
+        check = EN.uuid_check(typed, existing_ids, max_new_pct).first()
+        if check["status"] == "FAIL":
+            raise ValueError(f"{check['n_new']} of {check['n_total']} ids are new, above {max_new_pct} percent")
+    if images is not None:
+        typed = EN.image_sync(typed, images.withColumnRenamed("identifier", url_col), url_col)
     typed = EN.restrict_sensitive(typed, sensitive_rules)
     records = EN.build_index_record(typed.withColumn("id", F.col("uuid")))
     records = records.withColumn("dataset_id", F.element_at(F.col("strings"), F.lit("dataset_id")))

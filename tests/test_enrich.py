@@ -166,3 +166,23 @@ def test_build_index_record_mixed_float_types(spark):
     df = spark.createDataFrame([("r1", 1.5, 2.5)], "id string, a float, b double")
     rec = EN.build_index_record(df).first()
     assert rec["doubles"] == {"a": 1.5, "b": 2.5}
+
+
+def test_ingest_guard_stops_before_writing_and_images_are_attached(spark):
+    import pytest
+
+    from florafold.operators import enrich as EN
+    from florafold.plans.jobs import ingest_dataset
+    occ = spark.createDataFrame([("1", "dr1", "A b", "z", "10", "20", "http://i/1"), ("2", "dr1", None, None, "", "x", None)],
+                                "id string, dataset_id string, scientificName string, zone string, la string, lo string, identifier string")
+    rules = {"decimalLatitude": ("la", "double"), "decimalLongitude": ("lo", "double")}
+    vocab = spark.createDataFrame([("a b", "A B")], "label string, canonical string")
+    taxa = spark.createDataFrame([("A b", "species", "t1")], "name string, rank string, taxon_id string")
+    existing = occ.limit(1).select(EN.unique_key(F.lit("other"), F.col("id")).alias("unique_key"), F.lit("u").alias("uuid"))
+    sens = spark.createDataFrame([], "taxon string, zone string, action string, k int")
+    images = spark.createDataFrame([("http://i/1", "img-1")], "identifier string, image_id string")
+    args = (occ, rules, vocab, "scientificName", taxa, existing, ["id"], sens)
+    with pytest.raises(ValueError, match="2 of 2 ids are new"):
+        ingest_dataset(*args, max_new_pct=5)
+    rows = ingest_dataset(*args, max_new_pct=100, images=images).select("strings").collect()
+    assert sorted((r["strings"].get("image_id") or "") for r in rows) == ["", "img-1"]
