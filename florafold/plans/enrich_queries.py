@@ -413,6 +413,12 @@ SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-
   || '-' || CAST(l_suppkey AS VARCHAR), CAST(l_orderkey AS VARCHAR), 'occurrence', CAST(l_linenumber AS VARCHAR)
 FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)""")
 def q_event_documents(spark, sf_dir):
+    docs = _event_documents(spark, sf_dir)
+    key = F.coalesce(F.get_json_object("document", "$.o_orderstatus"), F.get_json_object("document", "$.l_linenumber"))
+    return docs.select("doc_id", "parent_id", "kind", key.alias("key_field"))
+
+
+def _event_documents(spark, sf_dir):
     from florafold.operators.export import event_documents
     ev = D.load_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("eventID"), "o_orderstatus",
                                                        "o_totalprice")
@@ -420,9 +426,91 @@ def q_event_documents(spark, sf_dir):
     occ = li.select(F.concat_ws("-", *[F.col(c).cast("string") for c in
                                        ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("id"),
                     F.col("l_orderkey").alias("eventID"), "l_linenumber", "l_quantity")
-    docs = event_documents(ev, occ)
-    key = F.coalesce(F.get_json_object("document", "$.o_orderstatus"), F.get_json_object("document", "$.l_linenumber"))
-    return docs.select("doc_id", "parent_id", "kind", key.alias("key_field"))
+    return event_documents(ev, occ)
+
+
+_NOTE_SQL = """CASE o_orderkey % 5 WHEN 0 THEN o_orderstatus || chr(10) || o_orderpriority
+    WHEN 1 THEN '"' || o_orderpriority || '" said' WHEN 2 THEN 'a' || chr(9) || 'b' || chr(92) || 'c ' WHEN 3 THEN '' END"""
+
+
+@register("archive_values", f"""SELECT 'core' AS resource, o_orderkey, {_NOTE_SQL} AS note,
+  CAST(NULL AS INTEGER) AS line_number, CAST(NULL AS DOUBLE) AS quantity FROM orders
+UNION ALL SELECT 'lineitem', l_orderkey, NULL, l_linenumber, l_quantity FROM lineitem
+  WHERE l_orderkey IN (SELECT o_orderkey FROM orders)""")
+def q_archive_values(spark, sf_dir):
+    """Field values of core and extension after export and read: line breaks, quotes, tabs,
+    backslashes, empty and null text."""
+    from florafold.session import scratch_dir
+    from florafold.sources.archive import read_archive
+    from florafold.sources.sinks import export_archive
+    k = F.col("o_orderkey") % 5
+    note = (F.when(k == 0, F.concat_ws("\n", "o_orderstatus", "o_orderpriority"))
+            .when(k == 1, F.concat(F.lit('"'), "o_orderpriority", F.lit('" said')))
+            .when(k == 2, F.lit("a\tb\\c ")).when(k == 3, F.lit("")))
+    o = D.load_table(spark, sf_dir, "orders").select(
+        "o_orderkey", note.alias("note"), F.concat(F.lit("dr"), (F.col("o_custkey") % 10).cast("string")).alias("dataset_id"))
+    li = D.load_table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey") \
+        .join(o.select("o_orderkey", "dataset_id"), "o_orderkey") \
+        .select("o_orderkey", "l_linenumber", "l_quantity", "dataset_id")
+    root = scratch_dir(spark, "archive")
+    export_archive(o, {"lineitem": li}, root)
+    core, ext = read_archive(spark, root, "core", ["lineitem"], "o_orderkey")
+    key = F.col("o_orderkey").cast("bigint").alias("o_orderkey")
+    return core.select(F.lit("core").alias("resource"), key, "note", F.lit(None).cast("int").alias("line_number"),
+                       F.lit(None).cast("double").alias("quantity")).unionByName(
+        ext["lineitem"].select(F.lit("lineitem").alias("resource"), key, F.lit(None).cast("string").alias("note"),
+                               F.col("l_linenumber").cast("int").alias("line_number"),
+                               F.col("l_quantity").cast("double").alias("quantity")))
+
+
+@register("event_document_bodies", """SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, o_orderkey AS event_id, o_orderstatus AS status,
+  o_totalprice AS total_price, CAST(NULL AS INTEGER) AS line_number, CAST(NULL AS DOUBLE) AS quantity,
+  'eventID,o_orderstatus,o_totalprice' AS fields FROM orders
+UNION ALL
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR)
+  || '-' || CAST(l_suppkey AS VARCHAR), l_orderkey, NULL, NULL, l_linenumber, l_quantity,
+  'eventID,id,l_linenumber,l_quantity'
+FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)""")
+def q_event_document_bodies(spark, sf_dir):
+    """Every field of every document, and the list of its field names."""
+    body = F.from_json("document", "eventID bigint, id string, o_orderstatus string, o_totalprice double, "
+                                   "l_linenumber int, l_quantity double").alias("b")
+    return _event_documents(spark, sf_dir).select(
+        "doc_id", body, F.array_join(F.array_sort(F.json_object_keys("document")), ",").alias("fields")).select(
+        "doc_id", F.col("b.eventID").alias("event_id"), F.col("b.o_orderstatus").alias("status"),
+        F.col("b.o_totalprice").alias("total_price"), F.col("b.l_linenumber").alias("line_number"),
+        F.col("b.l_quantity").alias("quantity"), "fields")
+
+
+@register("search_facet", """SELECT event_type AS value, CAST(count(*) AS BIGINT) AS count FROM events
+WHERE value > 50 AND event_type IS NOT NULL GROUP BY 1""")
+def q_search_facet(spark, sf_dir):
+    """The facet of a search."""
+    from florafold.operators.checks import search
+    ev = D.load_table(spark, sf_dir, "events")
+    return search(ev, fq=[F.col("value") > 50], facet="event_type")[2]
+
+
+@register("export_values", """SELECT o.o_orderkey, 'dr' || CAST(o.o_custkey % 10 AS VARCHAR) AS dataset_id, o.o_totalprice, l.l_linenumber,
+  l.l_quantity FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+WHERE o.o_orderstatus IN ('F') AND o.o_orderpriority IN ('1-URGENT', '2-HIGH')""")
+def q_export_values(spark, sf_dir):
+    """The written core and extension rows, joined again."""
+    from florafold.operators.export import export_download
+    from florafold.plans.registry import PREDICATE
+    from florafold.session import scratch_dir
+    from florafold.sources.archive import read_archive
+    o = D.load_table(spark, sf_dir, "orders").withColumn(
+        "dataset_id", F.concat(F.lit("dr"), (F.col("o_custkey") % 10).cast("string")))
+    li = D.load_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
+    dest = scratch_dir(spark, "export")
+    export_download(o, PREDICATE, {"lineitem": li}, dest, core_id="o_orderkey")
+    core, ext = read_archive(spark, dest, "core", ["lineitem"], "o_orderkey")
+    rows = core.select("o_orderkey", "dataset_id", "o_totalprice").join(ext["lineitem"].drop("dataset_id"), "o_orderkey", "left")
+    return rows.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "dataset_id",
+                       F.col("o_totalprice").cast("double").alias("o_totalprice"),
+                       F.col("l_linenumber").cast("int").alias("l_linenumber"),
+                       F.col("l_quantity").cast("double").alias("l_quantity"))
 
 
 # ---------------------------------------------------------------- composite planning jobs
