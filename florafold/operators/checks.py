@@ -76,13 +76,15 @@ def dataset_counts(df: DataFrame, dataset_col: str = "dataResourceUid") -> DataF
 
 
 def search(df: DataFrame, q: Column | None = None, fq: list[Column] | None = None,
-           facet: str | None = None, page_size: int = 0):
-    """Field:value search. Returns (count frame, page frame, facet frame or None)."""
+           facet: str | None = None, page_size: int = 0, order: list[Column] | None = None):
+    """Field:value search. Returns (count frame, page frame, facet frame or
+    None). The page is the first ``page_size`` rows in ``order``; give one that
+    ends in a unique column, without it any rows may make the page."""
     src = df.filter(q) if q is not None else df
     for f in fq or []:
         src = src.filter(f)
     count = src.agg(F.count(F.lit(1)).alias("count"))
-    page = src.limit(page_size)
+    page = (src.orderBy(*order) if order else src).limit(page_size)
     fac = facet_counts(src, facet) if facet else None
     return count, page, fac
 
@@ -374,8 +376,10 @@ def compare_records(old: DataFrame, new: DataFrame, ids: DataFrame | None = None
         new = new.join(keep, F.col(id_col).cast("string") == keep["_k"], "left_semi")
     o = old.filter(F.col(id_col).isNotNull()).withColumn("_id", F.col(id_col).cast("string"))
     n = new.filter(F.col(id_col).isNotNull()).withColumn("_id", F.col(id_col).cast("string"))
+    ensure_checkpoint_dir(new.sparkSession)
+    # counts per id, written once: both sides' single rows and the result read them
     cnt = (o.groupBy("_id").agg(F.count(F.lit(1)).alias("n_old"))
-           .join(n.groupBy("_id").agg(F.count(F.lit(1)).alias("n_new")), "_id", "full_outer"))
+           .join(n.groupBy("_id").agg(F.count(F.lit(1)).alias("n_new")), "_id", "full_outer")).checkpoint()
     single = cnt.filter((F.col("n_old") == 1) & (F.col("n_new") == 1)).select("_id")
     ro = o.join(single, "_id", "left_semi").select("_id", *[F.col(f"`{f}`").alias(f"o__{f}") for f in fields_o])
     rn = n.join(single, "_id", "left_semi").select("_id", *[F.col(f"`{f}`").alias(f"n__{f}") for f in fields_n])

@@ -254,6 +254,20 @@ def q_sample_layers(spark, sf_dir):
     return _sampled(spark, sf_dir)
 
 
+@register("sample_grids", f"""WITH {OCC_SQL},
+g AS (SELECT p_partkey % 8 - 4 AS cy, p_partkey % 20 - 10 AS cx, min(p_retailprice) AS price, min(p_size) AS size
+  FROM part GROUP BY 1, 2)
+SELECT o.id, g.price AS el_price, CAST(g.size AS DOUBLE) AS el_size FROM occ o
+LEFT JOIN g ON floor(o.decimalLatitude / 5.0) = g.cy AND floor(o.decimalLongitude / 5.0) = g.cx""")
+def q_sample_grids(spark, sf_dir):
+    p = D.load_table(spark, sf_dir, "part").select(
+        (F.col("p_partkey") % 8 - 4).alias("cy"), (F.col("p_partkey") % 20 - 10).alias("cx"),
+        F.explode(F.create_map(F.lit("el_price"), F.col("p_retailprice"), F.lit("el_size"), F.col("p_size").cast("double")))
+        .alias("layer_id", "value"))
+    occ = D.occurrences(spark, sf_dir).select("id", "decimalLatitude", "decimalLongitude")
+    return EN.sample_grids(occ, p, 5.0).select("id", "el_price", "el_size")
+
+
 def _ranges(spark, sf_dir):
     p = D.load_table(spark, sf_dir, "part")
     g = p.groupBy(F.pmod(F.col("p_partkey"), F.lit(30)).alias("t")).agg(
@@ -491,6 +505,15 @@ def q_search_facet(spark, sf_dir):
     return search(ev, fq=[F.col("value") > 50], facet="event_type")[2]
 
 
+@register("search_page", """SELECT * FROM events WHERE event_type = 'click' ORDER BY value DESC, event_id LIMIT 20""")
+def q_search_page(spark, sf_dir):
+    """One page of a search, in order."""
+    from florafold.operators.checks import search
+    ev = D.load_table(spark, sf_dir, "events")
+    return search(ev, q=F.col("event_type") == "click", page_size=20,
+                  order=[F.col("value").desc(), F.col("event_id").asc()])[1]
+
+
 @register("export_values", """SELECT o.o_orderkey, 'dr' || CAST(o.o_custkey % 10 AS VARCHAR) AS dataset_id, o.o_totalprice, l.l_linenumber,
   l.l_quantity FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
 WHERE o.o_orderstatus IN ('F') AND o.o_orderpriority IN ('1-URGENT', '2-HIGH')""")
