@@ -20,10 +20,9 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
-from array import array
-from collections.abc import Sequence
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,18 +40,20 @@ _CHAR = {b: chr(b) for b in _KEPT} | {b: chr(256 + i) for i, b in enumerate(b fo
 _CHAR_OF = [_CHAR[b] for b in range(256)]
 
 
-class WordIds:
-    """Token ids of texts, from a cache of the ids of words between white space.
+class WordIds(dict):
+    """Token ids of words between white space, as little-endian 32-bit numbers.
 
-    Valid for tokenizers whose tokens never hold ASCII white space. Words of
-    characters below U+0250 are cut by the tokenizer's own pattern (``pattern``,
-    after lower-casing) and each part goes to the tokenizer's model; any other
+    A dictionary that fills itself: ``b"".join(map(words.__getitem__, split))`` are
+    the ids of a text. Valid for tokenizers whose tokens never hold ASCII white
+    space. Words of characters below U+0250 are cut by the tokenizer's own pattern
+    (after lower-casing) and each part goes to the tokenizer's model; any other
     word, and any that may hold a special token, goes through the whole
-    tokenizer. The caches of words and of parts start anew at ``CACHE_WORDS`` and
-    ``CACHE_PARTS`` entries, so a worker holds about 150 MB at most.
+    tokenizer. Words and parts start anew at ``CACHE_WORDS`` and ``CACHE_PARTS``
+    entries, so a worker holds about 150 MB at most.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import json
 
@@ -67,56 +68,33 @@ class WordIds:
         cuts = [x["pattern"]["Regex"] for x in steps if x["type"] == "Split" and x["behavior"] == "Removed" and x["invert"]]
         self.fast = lowers and len(cuts) == 1 and [x["type"] for x in steps] == ["Split", "ByteLevel"]
         self.cut = regex.compile(cuts[0]).findall if self.fast else None
-        self._clear()
-
-    def _clear(self):
-        self.known: dict[bytes, int] = {}
         self.parts: dict[str, bytes] = {}
-        self.ids = np.zeros(1 << 16, dtype=np.uint32)
-        self.first = np.zeros(1 << 14, dtype=np.int64)
-        self.used = 0
 
-    def _word(self, word: bytes) -> Sequence[int]:
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
         text = word.decode()
-        if not self.fast or b"<|" in word or max(text) >= "\u0250":
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        ids = array("I")
-        for part in self.cut(text.lower()):
-            got = self.parts.get(part)
-            if got is None:
-                plain = part if part.isascii() and part.isalnum() else "".join(_CHAR_OF[b] for b in part.encode())
-                if len(self.parts) >= CACHE_PARTS:
-                    self.parts.clear()
-                got = self.parts[part] = array("I", [t.id for t in self.model.tokenize(plain)]).tobytes()
-            ids.frombytes(got)
+        if self.fast and b"<|" not in word and (text.isascii() or max(text) < "\u0250"):
+            ids = b"".join([self.parts.get(x) or self._part(x) for x in self.cut(text.lower())])
+        else:
+            ids = _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        self[word] = ids
+        return ids
+
+    def _part(self, part: str) -> bytes:
+        plain = part if part.isascii() and part.isalnum() else "".join(_CHAR_OF[b] for b in part.encode())
+        if len(self.parts) >= CACHE_PARTS:
+            self.parts.clear()
+        ids = self.parts[part] = _packed([t.id for t in self.model.tokenize(plain)])
         return ids
 
-    def _learn(self, word: bytes) -> int:
-        ids, k = self._word(word), len(self.known)
-        if k + 2 > len(self.first):
-            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used:self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.first[k + 1] = self.used
-        self.known[word] = k
-        return k
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after the other, and where each text's begin (and the end)."""
-        split = [t.encode().split() for t in texts]
-        words = list(chain.from_iterable(split))
-        if len(self.known) + len(words) > CACHE_WORDS and len(self.known) > CACHE_WORDS // 2:
-            self._clear()
-        at = np.fromiter(map(self.known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        for i in np.flatnonzero(at < 0).tolist():
-            k = self.known.get(words[i])
-            at[i] = self._learn(words[i]) if k is None else k
-        size = self.first[at + 1] - self.first[at]
-        end = np.concatenate([[0], np.cumsum(size)])
-        place = np.arange(end[-1]) + np.repeat(self.first[at] - end[:-1], size)
-        return self.ids[place], end[np.concatenate([[0], np.cumsum([len(x) for x in split], dtype=np.int64)])]
+    def encode(self, text: str) -> bytes:
+        """Ids of a whole text."""
+        return b"".join(map(self.__getitem__, text.encode().split()))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _tokenizer(path: str) -> WordIds:
@@ -132,17 +110,18 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end
     schema = f"`{id_col}` {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint"
     schema += ", ids array<int>" if with_ids else ""
 
+    end, width = _packed([end_id]), 4 * capacity
+
     def pieces(batches):
         words = _tokenizer(tokenizer_path)
         for batch in chain.from_iterable(slices(b, text_col) for b in batches):
             out: list[list] = [[] for _ in range(6)]
-            every, first = words.encode([t or "" for t in batch.column(1).to_pylist()])
-            for i in range(batch.num_rows):
-                ids = np.append(every[first[i]:first[i + 1]], np.uint32(end_id)).astype("<u4")
-                for k, start in enumerate(range(0, len(ids), capacity)):
-                    part = ids[start:start + capacity]
-                    for column, value in zip(out, (i, k, start, len(part), zlib.crc32(part.tobytes()),
-                                                   part.astype(np.int32) if with_ids else None)):
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                ids = words.encode(text or "") + end
+                for k, at in enumerate(range(0, len(ids), width)):
+                    part = ids[at:at + width]
+                    for column, value in zip(out, (i, k, at // 4, len(part) // 4, zlib.crc32(part),
+                                                   np.frombuffer(part, "<i4") if with_ids else None)):
                         column.append(value)
             columns = [batch.column(0).take(pa.array(out[0], pa.int64())), pa.array(out[1], pa.int32()),
                        *(pa.array(x, pa.int64()) for x in out[2:5])]
