@@ -37,7 +37,6 @@ _cache: dict[str, "WordIds"] = {}
 #: Fixed values of byte-level vocabularies: the character that stands for each byte.
 _KEPT = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _CHAR = {b: chr(b) for b in _KEPT} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _KEPT)}
-_CHAR_OF = [_CHAR[b] for b in range(256)]
 
 
 class WordIds(dict):
@@ -68,6 +67,9 @@ class WordIds(dict):
         cuts = [x["pattern"]["Regex"] for x in steps if x["type"] == "Split" and x["behavior"] == "Removed" and x["invert"]]
         self.fast = lowers and len(cuts) == 1 and [x["type"] for x in steps] == ["Split", "ByteLevel"]
         self.cut = regex.compile(cuts[0]).findall if self.fast else None
+        # whether the pattern keeps a run of letters whole: no earlier choice of it starts with a letter
+        choices = cuts[0].split("|") if self.fast else []
+        self.letters = r"[\p{L}]+" in choices and all(x[0] == "'" for x in choices[:choices.index(r"[\p{L}]+")])
         self.parts: dict[str, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
@@ -75,14 +77,16 @@ class WordIds(dict):
             self.clear()
         text = word.decode()
         if self.fast and b"<|" not in word and (text.isascii() or max(text) < "\u0250"):
-            ids = b"".join([self.parts.get(x) or self._part(x) for x in self.cut(text.lower())])
+            text = text.lower()
+            cut = [text] if self.letters and text.isalpha() else self.cut(text)
+            ids = b"".join([self.parts.get(x) or self._part(x) for x in cut])
         else:
             ids = _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         self[word] = ids
         return ids
 
     def _part(self, part: str) -> bytes:
-        plain = part if part.isascii() and part.isalnum() else "".join(_CHAR_OF[b] for b in part.encode())
+        plain = part if part.isascii() and part.isalnum() else part.encode().decode("latin-1").translate(_CHAR)
         if len(self.parts) >= CACHE_PARTS:
             self.parts.clear()
         ids = self.parts[part] = _packed([t.id for t in self.model.tokenize(plain)])
