@@ -1,18 +1,22 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, rare ones first, then Smith-Waterman alignment.
 
 1. The word n-grams of all benchmark items are counted over all documents (one
    narrow aggregation of at most one row for each of these n-grams and task).
-2. Each item keeps its rare n-grams as seeds: all that stand in at most
-   ``rare_documents`` documents, and of each ``n`` consecutive places the rarest
-   whatever its number, so that an item that is copied everywhere keeps seeds in
-   all its parts. Copies with some words changed still hold one.
+2. Every n-gram of an item that some document holds is a seed, however many
+   documents hold it.
 3. Documents that hold a seed are aligned with the item around each group of
    hits: Smith-Waterman over words with +1 for equal words, -1 for different
    ones and -1 for a gap. The score is the best alignment's share of the item's
-   words.
+   words. A window with only hits of seeds in more than ``rare_documents``
+   documents is aligned if it holds enough of the item's word pairs: an
+   alignment of M equal words and E others scores M - E and has at least
+   M - E - 1 pairs of neighbours, so fewer pairs cannot reach ``min_score``.
+   Seeds in few documents are mostly copies and save that test. The result
+   does not depend on ``rare_documents``.
 
-An item is in a document when its score is at least ``min_score``. Items of
-fewer than ``n`` words match only where they stand whole.
+An item is in a document when its score is at least ``min_score`` and ``n``
+consecutive words of it stand unchanged. Items of fewer than ``n`` words match
+only where they stand whole.
 
 Documents stay where they were read; texts are never exchanged. The benchmark is
 a bounded table: its items go to the tasks in blocks of at most ``block_words``
@@ -43,7 +47,7 @@ class Seeds:
         words = _words(pa.array([t for _, t in items], pa.string()))
         h = words.hashes()
         self.items = [h[words.first[k]:words.first[k + 1]] for k in range(len(items))]
-        self.sizes = {}
+        self.pairs = [np.unique(grams(item, 2), return_counts=True) for item in self.items]
         seeds = []
         for k, item in enumerate(self.items):
             m = min(n, len(item))
@@ -57,18 +61,11 @@ class Seeds:
         order = np.lexsort((self.place, self.item, self.n, self.hash))
         self.hash, self.item, self.place, self.n = (x[order] for x in (self.hash, self.item, self.place, self.n))
 
-    def keep_rare(self, documents: dict[int, int], rare_documents: int, n: int) -> None:
-        """Keep the rare n-grams, and the rarest of each ``n`` places (none that no document holds)."""
+    def rate(self, documents: dict[int, int], rare_documents: int) -> None:
+        """Leave out n-grams that no document holds, and say which of the others are rare."""
         df = np.array([documents.get(int(h), 0) for h in self.hash], dtype=np.int64)
-        keep = df <= rare_documents
-        some = np.flatnonzero(df > 0)
-        part = self.place[some] // n
-        order = some[np.lexsort((df[some], part, self.item[some]))]
-        part = self.place[order] // n
-        first = np.ones(len(order), dtype=bool)
-        first[1:] = (part[1:] != part[:-1]) | (self.item[order][1:] != self.item[order][:-1])
-        keep[order[first]] = True
-        keep &= df > 0
+        keep = df > 0
+        self.rare = df[keep] <= rare_documents
         self.hash, self.item, self.place, self.n = (x[keep] for x in (self.hash, self.item, self.place, self.n))
 
     def hits(self, words: Words, h: np.ndarray):
@@ -125,12 +122,12 @@ def _blocks(items: DataFrame, block_words: int, id_col: str, text_col: str):
 
 def _block_seeds(docs: DataFrame, items: DataFrame, text_col: str, item_col: str, item_text_col: str, n: int,
                  rare_documents: int, block_words: int):
-    """The broadcast rare seeds of each block of items that has any."""
+    """The broadcast seeds of each block of items that has any."""
     context = docs.sparkSession.sparkContext
     for block in _blocks(items, block_words, item_col, item_text_col):
         counts = _seed_documents(docs.select(text_col), context.broadcast(Seeds(block, n)), text_col)
         seeds = Seeds(block, n)
-        seeds.keep_rare(counts, rare_documents, n)
+        seeds.rate(counts, rare_documents)
         if len(seeds.hash):
             yield context.broadcast(seeds)
 
@@ -173,21 +170,29 @@ def _aligned(texts: pa.Array, seeds: Seeds, min_score: float) -> dict[tuple[int,
     words = _words(texts)
     h = words.hashes()
     doc, at, seed = seeds.hits(words, h)
+    pairs = grams(h, 2)
     # hits of an item in a document, by where the item would begin
     begin = at - seeds.place[seed]
     order = np.lexsort((begin, seeds.item[seed], doc))
+    doc, item_of, begin, rare = (x[order].tolist() for x in (doc, seeds.item[seed], begin, seeds.rare[seed]))
     rows: dict[tuple[int, int], tuple[int, int, int]] = {}
-    last = None
-    for i in order.tolist():
-        d, k, first = int(doc[i]), int(seeds.item[seed[i]]), int(begin[i])
+    i = 0
+    while i < len(doc):
+        d, k, first = doc[i], item_of[i], begin[i]
         item = seeds.items[k]
         size = len(item)
-        slack = size // 2 + 4
-        if last and last[:2] == (d, k) and first - last[2] <= slack // 2:
-            continue  # the window just aligned holds this place too
-        last = (d, k, first)
+        drift = int(size * (1 - min_score)) + 1  # an alignment through a hit has fewer gaps
+        slack = max(size // 2 + 4, drift)
+        direct = False
+        while i < len(doc) and doc[i] == d and item_of[i] == k and begin[i] - first <= slack - drift:
+            direct = direct or rare[i]  # this window holds all alignments through these hits
+            i += 1
         lo = max(int(words.first[d]), first - slack)
         hi = min(int(words.first[d + 1]), first + size + slack)
+        if not direct:
+            keys, count = seeds.pairs[k]
+            if (count[np.isin(keys, pairs[lo:hi - 1])].sum() + 1) / size < min_score:
+                continue
         best, end = smith_waterman(item, h[lo:hi])
         if best / size >= min_score and best > rows.get((d, k), (0,))[0]:
             start = smith_waterman(item[::-1], h[lo:lo + end][::-1])[1]

@@ -373,6 +373,37 @@ def test_decontamination(spark, edges):
     assert decontaminate.find_items(edges, bench).count() == 0
 
 
+def test_decontamination_does_not_depend_on_how_often_an_item_is_copied(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta"
+    words = item.split()
+    rows = [(i, f"x{i} {item} y{i}") for i in range(5)]
+    rows += [(10 + i, f"x{i} {' '.join(words[:6])} y{i}") for i in range(5)]  # the 4-grams at places 3 and 4 are the rarest
+    rows += [(20, "p q " + " ".join([*words[:5], "other", *words[6:]]) + " r s"), (21, " ".join(words[:4]) + " p q r s")]
+    docs, bench = table(spark, rows), spark.createDataFrame([(1, item)], "item_id long, text string")
+    want = {i: 1.0 for i in range(5)} | {10 + i: 0.75 for i in range(5)} | {20: 0.75}
+    for rare in (0, 4, 1000):
+        got = rows_of(decontaminate.find_items(docs, bench, rare_documents=rare))
+        assert {r["doc_id"]: r["score"] for r in got} == want and len(got) == len(want)
+        assert [r["doc_id"] for r in rows_of(decontaminate.drop_contaminated(docs, bench, rare_documents=rare))] == [21]
+
+
+@pytest.mark.parametrize("rare", [0, 3])
+def test_decontamination_finds_what_plain_alignment_finds(rare):
+    rng = random.Random(rare)
+    items = [[f"v{rng.randrange(60)}" for _ in range(rng.randrange(4, 30))] for _ in range(8)]
+    texts = []
+    for _ in range(300):
+        copy = [w for w in rng.choice(items) for w in ([w], [w], [w], [w], [], ["new"], [w, "new"])[rng.randrange(7)]]
+        texts.append([f"v{rng.randrange(60)}" for _ in range(20)] + copy + [f"v{rng.randrange(60)}" for _ in range(20)])
+    seeds = decontaminate.Seeds([(k, " ".join(x)) for k, x in enumerate(items)], 4)
+    seeds.rate({int(g): 2 for g in seeds.hash}, rare)
+    got = decontaminate._aligned(pa.array([" ".join(t) for t in texts]), seeds, 0.6)
+    grams_of = lambda x: {tuple(x[i:i + 4]) for i in range(len(x) - 3)}
+    want = {(d, k): s for d, t in enumerate(texts) for k, x in enumerate(items)
+            if grams_of(x) & grams_of(t) and (s := decontaminate.smith_waterman(*(np.array([hash(w) for w in y]) for y in (x, t)))[0]) >= 0.6 * len(x)}
+    assert {x: r[0] for x, r in got.items()} == want and len(want) > 20
+
+
 def plain_alignment(a, b):
     h = np.zeros((len(a) + 1, len(b) + 1), int)
     for i, j in itertools.product(range(1, len(a) + 1), range(1, len(b) + 1)):
