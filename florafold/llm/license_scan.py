@@ -2,10 +2,11 @@
 
 Words are the runs of lower-case letters, digits and non-ASCII characters after
 A-Z is lower-cased. Phrases are found where their words stand consecutively.
-A template is text with two kinds of regions, ``<<optional>> .. <</optional>>``
-(may be absent) and ``<<any N>>`` (up to N words of any kind). It is compiled to
-an automaton over words: one state for each word, a way around each optional
-region, a counted loop for each replaceable one. A template's label is given
+A template is text with three kinds of regions, ``<<optional>> .. <</optional>>``
+(may be absent), ``<<any N>>`` (up to N words of any kind) and ``<<any>>`` (any
+number of words, up to the next mandatory ones). It is compiled to an automaton
+over words: one state for each word, a way around each optional region, a counted
+loop for each replaceable one with a number and a free one for those without. A template's label is given
 where the automaton reaches its end, that is, where all mandatory words stand
 exactly and in order.
 
@@ -40,7 +41,7 @@ PHRASES = {
 TEMPLATES = {
     "apache-2.0-notice": """<<optional>>licensed under the apache license version 2 0 the license<</optional>>
         you may not use this file except in compliance with the license
-        <<optional>>you may obtain a copy of the license at <<any 8>><</optional>>
+        <<optional>>you may obtain a copy of the license at <<any>><</optional>>
         unless required by applicable law or agreed to in writing""",
     "gpl-notice": """this program is free software you can redistribute it and or modify it under the terms of the
         gnu <<optional>>lesser<</optional>> <<optional>>affero<</optional>> general public license as published by
@@ -52,11 +53,11 @@ TEMPLATES = {
         provided that the following conditions are met""",
     "isc-notice": """permission to use copy modify <<optional>>and or<</optional>> <<optional>>and<</optional>> distribute this
         software for any purpose with or without fee is hereby granted""",
-    "cc-notice": """licensed under a creative commons attribution <<any 3>> international license""",
+    "cc-notice": """licensed under a creative commons attribution <<any>> international license""",
     "spdx": """spdx license identifier <<any 1>>""",
 }
 
-_MARK = re.compile(r"<<optional>>|<</optional>>|<<any \d+>>|[^\s<]+")
+_MARK = re.compile(r"<<optional>>|<</optional>>|<<any(?: \d+)?>>|[^\s<]+")
 
 
 class Automaton:
@@ -65,12 +66,17 @@ class Automaton:
     def __init__(self, template: str):
         self.word: list[bytes | None] = []  # what leads from a state to the next; None: any word
         self.skip: dict[int, list[int]] = {}  # states that are reached without a word
+        self.loops: set[int] = set()  # states that stay with any word
         opened: list[int] = []
         for mark in _MARK.findall(template):
             if mark == "<<optional>>":
                 opened.append(len(self.word))
             elif mark == "<</optional>>":
                 self.skip.setdefault(opened.pop(), []).append(len(self.word))
+            elif mark == "<<any>>":  # a state of its own, so that a way around an optional region does not loop
+                self.skip.setdefault(len(self.word), []).append(len(self.word) + 1)
+                self.loops.add(len(self.word))
+                self.word.append(b"")  # no word is empty, so it is left without one
             elif mark.startswith("<<any"):
                 first, n = len(self.word), int(mark[6:-2])
                 self.word += [None] * n
@@ -90,16 +96,28 @@ class Automaton:
                     todo.append(t)
         return states
 
-    def run(self, words, at: int, stop: int) -> int | None:
-        """Where the shortest match that begins at ``at`` ends, or None."""
+    def run(self, words, at: int, stop: int, dead: dict[int, int] | None = None) -> int | None:
+        """Where the shortest match that begins at ``at`` ends, or None.
+
+        ``dead`` collects loops and the places from which they went on to ``stop``
+        in vain; a later run over the same words leaves them there.
+        """
+        dead = {} if dead is None else dead
+        since: dict[int, int] = {}
         states = self.closure({0})
         while states:
             if self.end in states:
                 return at
+            loops = states & self.loops
+            for s in loops:
+                since.setdefault(s, at)
             if at >= stop:
+                for s in loops:
+                    dead[s] = min(since[s], dead.get(s, stop))
                 return None
             w = words(at)
-            states = self.closure({s + 1 for s in states if s < self.end and self.word[s] in (None, w)})
+            after = {s + 1 for s in states if s < self.end and self.word[s] in (None, w)}
+            states = self.closure(after | {s for s in loops if at < dead.get(s, stop)})
             at += 1
         return None
 
@@ -146,9 +164,10 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
                         if d == words.doc[i + m - 1] and all(word(i + k) == parts[k] for k in range(m)):
                             base[d].append((label, i - int(words.first[d]), m))
                 for label, a, first in begins:
+                    dead: dict[int, dict[int, int]] = {}
                     for i in np.flatnonzero(np.isin(h, first)).tolist():
                         d = words.doc[i]
-                        end = a.run(word, i, int(words.first[d + 1]))
+                        end = a.run(word, i, int(words.first[d + 1]), dead.setdefault(d, {}))
                         if end is not None:
                             found[d].append((label, i - int(words.first[d]), end - i))
                 names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]

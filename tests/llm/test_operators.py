@@ -219,6 +219,39 @@ def test_template_regions():
     assert run("x p q r end") is None and run("x y") is None and run("y end") is None
 
 
+CC_NOTICES = ["Attribution", "Attribution-ShareAlike", "Attribution-NoDerivatives", "Attribution-NonCommercial",
+              "Attribution-NonCommercial-ShareAlike", "Attribution-NonCommercial-NoDerivatives"]
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+# with the License. You may obtain a copy of the License at
+#     {}
+# Unless required by applicable law or agreed to in writing, software"""
+
+
+def test_notices_with_long_regions(spark):
+    texts = [f"This work is licensed under a Creative Commons {x} 4.0 International License." for x in CC_NOTICES]
+    texts += ["licensed under a Creative Commons Attribution-Non-Commercial-Share-Alike 4.0 (CC-BY-NC-SA 4.0) International License"]
+    cc = len(texts)
+    texts += [APACHE.format(f"https://www.apache.org/licenses/LICENSE-2.0{x}") for x in ("", ".txt", ".html")]
+    texts += [APACHE.format("https://git.example.org/some/group/project/blob/main/third/party/licenses/apache/LICENSE-2.0.txt?raw=true&x=1")]
+    texts += ["licensed under a Creative Commons Attribution 4.0 license " + "and more words " * 20,
+              APACHE.format("x").replace("agreed", "consented"), "licensed under a Creative Commons Attribution " * 3000]
+    got = {r["doc_id"]: r for r in rows_of(license_scan.scan_licenses(table(spark, list(enumerate(texts)))))}
+    for i, t in enumerate(texts[:-3]):
+        label = "cc-notice" if i < cc else "apache-2.0-notice"
+        assert label in got[i]["labels"].split(",") and got[i]["score"] == 1.0, t
+    assert [got[len(texts) - k]["labels"] for k in (3, 2, 1)] == ["", "apache", ""]
+
+
+def test_free_loops():
+    a = license_scan.Automaton("x <<optional>>y <<any>><</optional>> p <<any>> end")
+    run = lambda text, dead=None: a.run(text.encode().split().__getitem__, 0, len(text.split()), dead)
+    assert run("x p end") == 3 and run("x y p end") == 4 and run("x y a b c p d e end end") == 9
+    assert run("x a p end") is None and run("x y a end") is None
+    dead = {}
+    assert run("x p a b", dead) is None and list(dead.values()) == [2]
+    assert license_scan.Automaton("<<any>> end").run(b"a b end".split().__getitem__, 0, 3) == 3
+
+
 PAGE = """<!DOCTYPE html><html><head><title>No title</title><style>p{}</style><script>var t="</p><p>not this</p>";</script></head><body class="page">
 <header><a href=/>Site name of some length here</a></header><nav><ul><li><a href=1>Home</a><li><a href=2>About us</a></ul></nav>
 <div class="cookie-notice">We use cookies to make this page work in the way you want it to work today.</div>
