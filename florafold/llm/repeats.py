@@ -12,10 +12,14 @@ so a passage goes only to the shard that can match it:
    smallest id lose every word that a window covers.
 2. Each window is named by its anchor, the k-word gram in it of the smallest
    hash, so equal windows have equal anchors. All anchors meet once, packed
-   (``keyblobs``); those of one class alone are dropped.
+   (``keyblobs``); those of one class alone are dropped. An anchor with
+   ``HOT_CLASSES`` classes or more in a part of a map task goes to the meeting as
+   one entry, since those classes know already that it is shared.
 3. The spans of text around the remaining anchors (the windows that the anchor
    names, 20 words at most) go to the shard of their anchor. Equal spans count once,
-   with their smallest id. A shard inserts its spans into suffix automata whose
+   with their smallest id. Spans of a hot anchor, one of ``HOT_CLASSES`` classes or
+   more, are cut into their windows first, and each goes to the shard of its own
+   hash: equal windows still meet, and no shard holds all texts around one line. A shard inserts its spans into suffix automata whose
    states know the smallest id of their occurrences, then streams the spans and
    reads at each word the state of the last ``window`` words.
 4. The smallest ids of a span's windows go back to its places by an equi-join
@@ -36,6 +40,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .hot import group_facts, per_salt, salt
@@ -43,6 +48,8 @@ from .keyblobs import SCHEMA, Packer, bucket_of, pack, shared_only, unpack
 from .words import _BASE, Words, _power_tables, grams, inside, mix, slices
 
 ANCHOR = 8  # words of an anchor
+HOT_CLASSES = 1000  # from so many classes on, the windows of an anchor are dealt one by one
+BUCKET_BYTES = 1 << 28  # of input for each bucket, where that makes more buckets than shuffle partitions
 SHARD_WORDS = 50_000  # an automaton takes whole groups of one anchor until it has so many words
 
 _none = np.zeros(0, np.int64)
@@ -161,11 +168,43 @@ def _names(words: Words, h: np.ndarray) -> np.ndarray:
     return sequences(h, words.first[:-1], words.first[1:])
 
 
+class _Anchors(Packer):
+    """Entries (anchor, class); those of anchors that are hot in a unit alone skip the meeting.
+
+    Their blobs are in the buckets of their classes, numbered from ``buckets`` on.
+    The meeting gets one entry for them: the anchor as its own owner, extra 1.
+    """
+
+    def __init__(self, buckets: int, hot: int):
+        super().__init__(buckets)
+        self.hot = hot
+
+    def flush(self):
+        if self.size:
+            key, name, _ = (np.concatenate(x) for x in zip(*self.parts))
+            order = np.lexsort((name, key))
+            key, name = key[order], name[order]
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
+            key, name = key[new], name[new]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            count = np.diff(np.append(first, len(key)))
+            hot = np.repeat(count >= self.hot, count)
+            some = key[first][count >= self.hot]
+            yield pack(np.concatenate([key[~hot], some]), np.concatenate([name[~hot], some]),
+                       np.concatenate([np.zeros(int((~hot).sum()), np.uint32), np.ones(len(some), np.uint32)]), self.buckets)
+            if len(some):
+                direct = pack(key[hot], name[hot], np.ones(int(hot.sum()), np.uint32), self.buckets, name[hot])
+                yield direct.set_column(0, "bucket", pc.add(direct.column(0), pa.scalar(self.buckets, pa.int32())))
+        self.parts, self.size = [], 0
+
+
 def _shared_anchors(docs: DataFrame, text_col: str, window: int, buckets: int) -> DataFrame:
-    """(class, anchors): the anchors of a class that another class has too, sorted."""
+    """(class, anchors, hot): the anchors of a class that another class has too, sorted, and the hot ones of them."""
+    hot_classes = HOT_CLASSES
 
     def entries(batches):
-        packer, known = Packer(buckets), set()
+        packer, known = _Anchors(buckets, hot_classes), set()
         for b in batches:
             for s in slices(b, text_col):
                 words = Words(s.column(0))
@@ -185,34 +224,57 @@ def _shared_anchors(docs: DataFrame, text_col: str, window: int, buckets: int) -
         yield from packer.flush()
 
     def shared(table: pa.Table) -> pa.Table:
-        key, name, _, _ = shared_only(*unpack(table, True))
-        batches = [pack(key, name, np.zeros(len(key), np.uint32), buckets, name)] if len(key) else []
+        bucket = table.column("bucket")
+        if bucket[0].as_py() >= buckets:  # known as shared already
+            return table.set_column(0, "bucket", pc.subtract(bucket, pa.scalar(buckets, pa.int32())))
+        key, name, told, number = shared_only(*unpack(table, True))
+        hot = (number >= hot_classes) | np.isin(key, key[told > 0])
+        # an anchor that one unit alone holds, and told of, has no other entry here
+        key, name, hot = key[told == 0], name[told == 0], hot[told == 0]
+        batches = [pack(key, name, hot.astype(np.uint32), buckets, name)] if len(key) else []
         return pa.Table.from_batches(batches, table.schema)
 
     def gather(table: pa.Table) -> pa.Table:
-        key, name, _ = unpack(table, False)
+        key, name, hot = unpack(table, False)
         order = np.lexsort((key, name))
-        key, name = key[order], name[order]
+        key, name, hot = key[order], name[order], hot[order] > 0
         cut = np.append(np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]])), len(name)).tolist()
+        parts = list(zip(cut[:-1], cut[1:]))
         return pa.table({"_class": pa.array(name[cut[:-1]].view(np.int64)),
-                         "_anchors": pa.array([key[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())})
+                         "_anchors": pa.array([key[a:b].tobytes() for a, b in parts], pa.binary()),
+                         "_hot": pa.array([key[a:b][hot[a:b]].tobytes() for a, b in parts], pa.binary())})
 
     blobs = docs.select(text_col).mapInArrow(entries, SCHEMA)
     back = blobs.groupBy("bucket").applyInArrow(shared, SCHEMA)
-    return back.groupBy("bucket").applyInArrow(gather, "_class bigint, _anchors binary")
+    return back.groupBy("bucket").applyInArrow(gather, "_class bigint, _anchors binary, _hot binary")
+
+
+def _listed(anchor: np.ndarray, doc: np.ndarray, lists: pa.Array) -> np.ndarray:
+    """Which anchors stand in the list of their text."""
+    arrays = [np.frombuffer(a or b"", np.uint64) for a in lists.to_pylist()]
+    salts = mix(np.arange(len(arrays), dtype=np.uint64) + np.uint64(1))
+    wanted = np.concatenate([mix(a ^ salts[i]) for i, a in enumerate(arrays)]) if arrays else np.zeros(0, np.uint64)
+    return np.isin(mix(anchor ^ salts[doc]), wanted) if len(anchor) else np.zeros(0, dtype=bool)
 
 
 def _spans(s: pa.RecordBatch, window: int):
-    """The spans of shared anchors in a slice of (id, text, anchors)."""
+    """The spans of shared anchors in a slice of (id, text, anchors, hot anchors).
+
+    A hot anchor gives a span for each window, dealt by the window's hash.
+    """
     words = Words(s.column(1))
     h = words.hashes()
     start, count, anchor = anchored(words, h, window)
-    lists = [np.frombuffer(a, np.uint64) for a in s.column(2).to_pylist()]
-    salts = mix(np.arange(s.num_rows, dtype=np.uint64) + np.uint64(1))
-    wanted = np.concatenate([mix(a ^ salts[i]) for i, a in enumerate(lists)]) if lists else np.zeros(0, np.uint64)
-    some = np.isin(mix(anchor ^ salts[words.doc[start]]), wanted) if len(start) else np.zeros(0, dtype=bool)
+    some = _listed(anchor, words.doc[start], s.column(2))
     start, count, anchor = start[some], count[some], anchor[some]
-    return words, h, start, count, anchor, sequences(h, start, start + count + window - 1)
+    hot = _listed(anchor, words.doc[start], s.column(3))
+    if hot.any():
+        number = np.where(hot, count, 1)
+        step = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+        start, anchor, count = np.repeat(start, number) + step, np.repeat(anchor, number), np.repeat(np.where(hot, 1, count), number)
+        hot = np.repeat(hot, number)
+    key = sequences(h, start, start + count + window - 1)
+    return words, h, start, count, np.where(hot, key, anchor), key
 
 
 _SPAN = "bucket int, anchors binary, keys binary, sizes binary, least binary, many binary, words binary"
@@ -287,10 +349,16 @@ def _places(joined: DataFrame, window: int, id_type: str) -> DataFrame:
     return joined.mapInArrow(places, f"_key bigint, _id {id_type}, _class bigint, _start int")
 
 
+def _buckets(docs: DataFrame) -> int:
+    """As many as shuffle partitions, more for an input of a known and larger size."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES if size < 1 << 60 else 0)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13,
                    digest: bool = False) -> DataFrame:
     """One row for each document: id, n_words, n_removed and kept_text, or its kept_sha256 with ``digest``."""
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = _buckets(docs)
     id_type = docs.schema[id_col].dataType.simpleString()
     every = docs.select(id_col, text_col)
     docs = every.where(F.col(id_col).isNotNull())
@@ -310,9 +378,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     anchors = _shared_anchors(docs, text_col, window, buckets)
     wanted = (anchors.join(facts.select("_class", "least_id"), "_class").groupBy(F.col("least_id").alias(id_col))
-              .agg(F.collect_list("_anchors").alias("_a")).select(id_col, F.array_join(F.transform("_a", F.hex), "").alias("_a")))
-    wanted = wanted.select(id_col, F.unhex("_a").alias("_anchors")).hint("shuffle_hash")
-    joined = docs.join(wanted, id_col).select(id_col, text_col, "_anchors")
+              .agg(F.collect_list("_anchors").alias("_anchors"), F.collect_list("_hot").alias("_hot")))
+    wanted = wanted.select(id_col, *[F.unhex(F.array_join(F.transform(c, F.hex), "")).alias(c) for c in ("_anchors", "_hot")]).hint("shuffle_hash")
+    joined = docs.join(wanted, id_col).select(id_col, text_col, "_anchors", "_hot")
     minima = _minima(_distinct_spans(joined, window, buckets), window)
     found = (_places(joined, window, id_type).join(minima, "_key").where(F.exists("_least", lambda x: x < F.col("_id")))
              .select("_id", "_class", "_start", "_least"))

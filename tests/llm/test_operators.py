@@ -139,6 +139,30 @@ def test_remove_repeats(spark, edges):
     assert sorted(r["n_removed"] for r in rows_of(repeats.remove_repeats(nulls))) == [0, 0, 0]
 
 
+@pytest.mark.parametrize("tasks", [2, 16])  # the line is hot in each task, or in all together
+def test_repeats_around_a_hot_line(spark, monkeypatch, tasks):
+    """A line in all documents amid different words: its texts are dealt to several shards, with the same result."""
+    rng = random.Random(12)
+    line = "this line of ten words stands in each of them"
+    other = [" ".join(rng.choices([f"h{i}" for i in range(400)], k=20)) for _ in range(12)]
+    rows = []
+    for i in range(200):
+        before, after = (" ".join(rng.choices([f"g{i}" for i in range(300)], k=rng.randrange(0, 12))) for _ in range(2))
+        rows.append((i, f"{before} {rng.choice(['', 'same three words', 'or two'])} {line} {rng.choice(['and on', 'so', ''])} {after} {rng.choice(other)}"))
+    want = brute.repeats(rows)
+    tables = []
+    minima = repeats._minima
+    monkeypatch.setattr(repeats, "_minima", lambda spans, window: minima(tables.append(spans) or spans, window))
+    monkeypatch.setattr(repeats, "HOT_CLASSES", 20, raising=False)
+    got = rows_of(repeats.remove_repeats(table(spark, rows).repartition(tasks), digest=True))
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == want
+    groups = {}  # words that meet under one anchor
+    for r in rows_of(tables[0]):
+        for a, n in zip(np.frombuffer(r["anchors"], np.uint64).tolist(), r["sizes"]):
+            groups[a] = groups.get(a, 0) + n
+    assert max(groups.values()) < 1000
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_automaton_finds_the_smallest_id_of_each_window(seed):
     rng = random.Random(seed)
