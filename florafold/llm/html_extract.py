@@ -7,6 +7,13 @@ sidebar or form; a class or id that names adverts, notices, comments and the
 like; a heading tag). A decision tree, grown on the small labelled table below,
 says which blocks are main text.
 
+What stands around a block counts for everything in it, with these exceptions.
+A name such as ``has-sidebar``, ``no-sidebar`` or ``page-with-menu`` says what an
+element has, not what it is. A form around the page and names of a layout that are
+part of a longer name (``sidebar-right``) end at an article or main element inside;
+at a main element all menus, sidebars and the like around it end. Adverts,
+comments and other parts that are never main text go on.
+
 One pass over each page, in the task that read it; no exchange.
 
 Edge cases: null or empty html gives an empty text. Unclosed comments, scripts
@@ -94,11 +101,26 @@ footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol opt
 td tfoot th thead title tr ul button""".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _CHROME = set("nav header footer aside form menu head title button dialog".split())
+_NAMED = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+))", re.I)
 _HINT = re.compile(
-    r"(?:class|id|role|aria-label)\s*=\s*[\"']?[^\"'>]*?(?<![a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|"
-    r"notice|popup|modal|newsletter|subscribe|sidebar|side|menu|nav\w*|breadcrumbs?|header|footer|masthead|toolbar|"
-    r"comments?|commentlist|disqus|replies|reply|respond|share|sharing|social|related|recommend\w*|widget|login|signup|"
-    r"search|contentinfo|banner|navigation|complementary)(?![a-z])", re.I)
+    r"(?<![a-z])(?:(?P<layout>side|sidebar|menu|nav\w*|header|footer|masthead|toolbar|banner|search)|ads?|advert\w*|sponsor\w*|promo\w*|"
+    r"cookies?|consent|notice|popup|modal|newsletter|subscribe|breadcrumbs?|comments?|commentlist|disqus|replies|reply|respond|"
+    r"share|sharing|social|related|recommend\w*|widget|login|signup|contentinfo|complementary)(?![a-z])", re.I)
+_HAS = re.compile(r"(?<![a-z])(?:has|no|with|without)(?![a-z])", re.I)
+
+#: How far chrome and hints reach: up to an article or main element, up to main, or to all that is inside.
+UP_TO_ARTICLE, UP_TO_MAIN, ALL = 1, 2, 3
+
+
+def _hint(attr: str) -> int:
+    """0, or how far the class, id, role or label of a tag makes its content something else than main text."""
+    reach = 0
+    for m in _NAMED.finditer(attr):
+        for token in (m[1] or m[2] or m[3] or "").split():
+            for h in _HINT.finditer(token):
+                if not _HAS.search(token, 0, h.start()):
+                    reach = max(reach, ALL if not h["layout"] else UP_TO_MAIN if h[0] == token else UP_TO_ARTICLE)
+    return reach
 
 
 @dataclass
@@ -110,8 +132,8 @@ class Block:
 def blocks(page: str) -> list[Block]:
     """The flat text blocks of a page with their features."""
     raw: list[tuple[str, int, int, tuple]] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, article, chrome, hint
-    state = (False, False, False)
+    stack: list[tuple[str, bool, int, int]] = []  # name, article, chrome, hint
+    state = (False, 0, 0)
     heading = False
     parts: list[str] = []
     linked: list[str] = []
@@ -120,7 +142,7 @@ def blocks(page: str) -> list[Block]:
     def flush():
         text = " ".join(_html.unescape("".join(parts)).split())
         if text:
-            raw.append((text, len(text.split()), len(_html.unescape(" ".join(linked)).split()), (*state, heading)))
+            raw.append((text, len(text.split()), len(_html.unescape(" ".join(linked)).split()), (*map(bool, state), heading)))
         parts.clear()
         linked.clear()
 
@@ -151,19 +173,22 @@ def blocks(page: str) -> list[Block]:
                     del stack[k:]
                     break
         elif name not in _VOID and not (m.group("attr") or "").endswith("/"):
-            hint = bool(_HINT.search(m.group("attr") or ""))
+            hint = _hint(m.group("attr") or "")
             if name == "p" or name == "li":  # they end where the next one begins
                 if stack and stack[-1][0] == name:
                     stack.pop()
             if name in _BLOCK or hint:
-                article, chrome, hinted = stack[-1][1:] if stack else (False, False, False)
+                article, chrome, hinted = stack[-1][1:] if stack else (False, 0, 0)
                 if name in ("article", "main"):
                     article = True
+                    ends = UP_TO_ARTICLE if name == "article" else UP_TO_MAIN
+                    chrome, hinted = (x if x > ends else 0 for x in (chrome, hinted))
                 if name in ("body", "html", "article", "main"):
-                    hint = False  # these hold the page; their classes say nothing about parts
-                stack.append((name, article, chrome or name in _CHROME, hinted or hint))
+                    hint = 0  # these hold the page; their classes say nothing about parts
+                own = 0 if name not in _CHROME else UP_TO_ARTICLE if name == "form" else UP_TO_MAIN
+                stack.append((name, article, max(chrome, own), max(hinted, hint)))
             heading = name in ("h1", "h2", "h3", "h4", "h5", "h6")
-        state = stack[-1][1:] if stack else (False, False, False)
+        state = stack[-1][1:] if stack else (False, 0, 0)
     put(page[at:])
     flush()
     size = [(float(w), k / w) for _, w, k, _ in raw]

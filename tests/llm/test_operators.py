@@ -294,6 +294,35 @@ def test_html(spark):
     assert html_extract.extract_text(df.limit(0)).count() == 0
 
 
+WRAPPERS = ["<div id=page class='site has-sidebar'>", '<div class="no-sidebar">', "<div class='with-menu'>", '<div id="wrap" class="has-header page">',
+            '<div class="page-with-sidebar">', '<div class="layout sidebar-right">', "<form id=aspnetForm class=page>", '<div class="site has_ads">',
+            "<div class='site has-sidebar'><div class='no-header'>"]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("inner", ["article", "main"])
+def test_html_in_wrappers(wrapper, inner):
+    tree = html_extract.train_tree()
+    page = PAGE.replace('<body class="page">', f'<body class="page">{wrapper}').replace("article>", f"{inner}>")
+    plain = html_extract.main_text(PAGE.replace("article>", f"{inner}>"), tree)
+    assert plain.startswith("A&B") and html_extract.main_text(page, tree) == plain
+
+
+def test_html_parts_around_and_inside_an_article():
+    tree = html_extract.train_tree()
+    text = "Some words of this part that go on for a while so that it looks like text of its own here"
+    for tag in ('<div id="comments">', '<section class="comments-area">', '<div class="ad-slot">', "<aside>", '<div class="sidebar">',
+                '<div class="related-posts">', "<div class='comment has-children'>", "<div class=ad-with-image>"):
+        end = tag[1:].split()[0].strip(">")
+        for page in (f"{tag}<article><p>{text}</article></{end}>", f"<article><h1>T</h1><p>{text} x</p>{tag}<article><p>{text}</p></article></{end}></article>",
+                     f"<article><p>{text} x</p>{tag}<p>{text}</p></{end}></article>"):
+            got = html_extract.main_text(page, tree)
+            assert text not in got.replace(f"{text} x", ""), (tag, page)
+            assert (f"{text} x" in got) == (f"{text} x" in page), (tag, page)
+    for tag in ('<div class="sidebar">', "<div class=search>"):
+        assert html_extract.main_text(f"{tag}<main><p>{text}</p></main></div>", tree) == text
+
+
 def test_html_of_all_pages(spark):
     import html
     import re
