@@ -37,7 +37,24 @@ PHRASES = {
     "mit license": "mit",
 }
 
-#: Notices that licences ask to be put into files, with their replaceable regions.
+_MIT = """permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation
+    files the software to deal in the software without restriction including without limitation the rights to use copy modify
+    merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is
+    furnished to do so subject to the following conditions the above copyright notice and this permission notice
+    <<optional>>including the next paragraph<</optional>> shall be included in all copies or substantial portions of the software
+    the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of
+    merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be
+    liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in
+    connection with the software or the use or other dealings in the software"""
+_ISC = """permission to use copy modify <<optional>>and or<</optional>> <<optional>>and<</optional>> distribute this software for any
+    purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all
+    copies the software is provided as is and <<any>> disclaims all warranties with regard to this software including all implied
+    warranties of merchantability and fitness in no event shall <<any>> be liable for any special direct indirect or consequential
+    damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or
+    other tortious action arising out of or in connection with the use or performance of this software"""
+
+#: Notices that licences ask to be put into files or begin with, and the whole wording of short licences, with their
+#: replaceable regions. The labels ``..-notice`` say that the opening stands there, whatever follows it.
 TEMPLATES = {
     "apache-2.0-notice": """<<optional>>licensed under the apache license version 2 0 the license<</optional>>
         you may not use this file except in compliance with the license
@@ -55,6 +72,8 @@ TEMPLATES = {
         software for any purpose with or without fee is hereby granted""",
     "cc-notice": """licensed under a creative commons attribution <<any>> international license""",
     "spdx": """spdx license identifier <<any 1>>""",
+    "mit-whole": _MIT,
+    "isc-whole": _ISC,
 }
 
 _MARK = re.compile(r"<<optional>>|<</optional>>|<<any(?: \d+)?>>|[^\s<]+")
@@ -132,7 +151,8 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
     """id, n_words, n_base, first_word, last_word, base_labels, labels, score and spans.
 
     ``spans`` lists each match as (label, first word, words). The score is 0
-    without a match, 0.5 with phrases alone and 1 with a whole template.
+    without a match, 0.5 with phrases alone and 1 with a whole template, be it a
+    notice, the opening of a licence (labels ``..-notice``) or a whole licence.
     """
     phrases = PHRASES if phrases is None else phrases
     templates = TEMPLATES if templates is None else templates
