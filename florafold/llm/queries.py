@@ -12,8 +12,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir, load_table
-from . import decontaminate, exact_dedup, html_extract, language_id, license_scan, ngram_join, packing
-from . import repeats, toxicity, url_filter
+from . import decontaminate, exact_dedup, filter_audit, html_extract, language_id, license_scan, multi_index, ngram_join
+from . import packing, repeats, toxicity, url_filter, whitening
 
 #: Host, path and verdict of the URL rules.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -108,6 +108,23 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_text(load_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    vectors = load_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors, whitening.fit(vectors)).withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    return filter_audit.audit(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "labels"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    vectors = load_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return multi_index.search(multi_index.build(vectors), vectors.where("vec_id % 100 = 0"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -116,7 +133,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: shipped(f) for f in (
     op1_url_filters, op2_ngram_jaccard, op3_substring_dedup, op4_toxicity, op5_decontamination, op6_exact_dedup,
-    op7_language_id, op8_packing, op9_license_scans, op10_html_extraction, pipeline)}
+    op7_language_id, op8_packing, op9_license_scans, op10_html_extraction, op11_embedding_whitening, op12_filter_audit,
+    op13_nearest_neighbours, pipeline)}
 
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
@@ -142,4 +160,47 @@ ORACLE = {
         with norm as (select doc_id, sha256({_NORM}) as text_sha256 from documents),
         groups as (select text_sha256, min(doc_id) as keep_id, count(*) as group_size from norm group by text_sha256)
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from norm join groups using (text_sha256)""",
+    "op12_filter_audit": r"""
+        with words as (
+            select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+            from documents),
+        sets as (
+            select doc_id, part,
+                   case when len(w) < 50 then 'A' else '' end
+                   || case when 100 * len(list_distinct(w)) < 65 * len(w) then 'B' else '' end
+                   || case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) then 'C' else '' end
+                   || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+                   || case when min(doc_id) over (partition by t) < doc_id then 'E' else '' end as fails
+            from words),
+        marks as (select doc_id, max(cast(quality = 1 as int)) as good, max(cast(toxic = 1 as int)) as toxic from labels group by doc_id),
+        cells as (
+            select part, fails, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic
+            from sets left join marks using (doc_id) group by part, fails),
+        letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as f),
+        orders as (
+            select a.f || b.f || c.f || d.f || e.f as filter_order
+            from letters a, letters b, letters c, letters d, letters e
+            where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+        steps as (
+            select filter_order, cast(step as int) as step, substr(filter_order, step, 1) as f, substr(filter_order, 1, step - 1) as before
+            from orders, (select unnest([1, 2, 3, 4, 5]) as step)),
+        hits as (
+            select part, filter_order, step, f, n, good, toxic, fails, contains(fails, f) as fail,
+                   length(translate(before, fails, '')) < length(before) as earlier
+            from cells, steps),
+        counted as (
+            select part, filter_order, step, f,
+                   coalesce(sum(n) filter (not fail and not earlier), 0) as kept,
+                   coalesce(sum(n) filter (fail and not earlier), 0) as removed,
+                   coalesce(sum(n) filter (fail and earlier), 0) as redundant,
+                   coalesce(sum(n) filter (fails = f), 0) as unique_fails,
+                   coalesce(sum(good) filter (fail and not earlier), 0) as good_lost,
+                   coalesce(sum(toxic) filter (fail and not earlier), 0) as toxic_lost
+            from hits group by part, filter_order, step, f)
+        select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+               cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+               cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+               cast(sum(removed) over (partition by part, f) as bigint) as shapley
+        from counted""",
 }
