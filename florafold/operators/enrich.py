@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from florafold.operators.components import connected_components
+from florafold.operators.geometry import haversine_km, nearest_edge_km, points_in_polygons, polygon_edges  # noqa: F401
 from florafold.operators.joins import bounded_broadcast
 from florafold.operators.ranking import with_global_rank
 from florafold.session import ensure_checkpoint_dir
@@ -251,73 +252,6 @@ def restrict_sensitive(df: DataFrame, rules: DataFrame, taxon_col: str = "scient
 
 # ---------------------------------------------------------------- J13 / J15 geometry
 
-def polygon_edges(polys: DataFrame, key_cols: list[str], ring_col: str = "ring") -> DataFrame:
-    """Polygon rings (array<struct<x,y>>, closed or not) → one row per edge."""
-    e = polys.select(*key_cols, F.col(ring_col).alias("_r"))
-    e = e.select(*key_cols, F.posexplode("_r").alias("_i", "_p"), F.size("_r").alias("_n"), "_r")
-    nxt = F.element_at(F.col("_r"), (F.pmod(F.col("_i") + 1, F.col("_n")) + 1).cast("int"))
-    return e.select(*key_cols, F.col("_p.x").alias("x1"), F.col("_p.y").alias("y1"),
-                    nxt["x"].alias("x2"), nxt["y"].alias("y2"))
-
-
-def _crossing(x1, y1, x2, y2, y) -> Column:
-    """Where the line through an edge meets height ``y``; null for a level edge."""
-    return (x2 - x1) * (y - y1) / F.nullif(y2 - y1, F.lit(0.0)) + x1
-
-
-def polygon_cells(polys: DataFrame, key_cols: list[str], cell: float) -> DataFrame:
-    """Grid index of polygons: one row per edge touching a cell, and one row
-    without an edge per cell wholly inside.
-
-    ``_odd`` is 1 when the cell's reference point (``_rx``, ``_ry``, off the
-    cell's corners and centre) lies inside by the even-odd rule."""
-    x1, y1, x2, y2, row = (F.col(c) for c in ("x1", "y1", "x2", "y2", "_row"))
-    low, high = F.least(y1, y2), F.greatest(y1, y2)
-    rows = polygon_edges(polys, key_cols).withColumn("_row", F.explode(F.sequence(
-        F.floor(low / cell).cast("bigint"), F.floor(high / cell).cast("bigint"))))
-    enter = F.coalesce(_crossing(x1, y1, x2, y2, F.greatest(low, row * cell)), x1)
-    leave = F.coalesce(_crossing(x1, y1, x2, y2, F.least(high, (row + 1) * cell)), x2)
-    rim = cell * 1e-9  # an edge on a cell's rim belongs to both cells
-    rows = rows.withColumn("_from", F.floor((F.least(enter, leave) - rim) / cell).cast("bigint")) \
-        .withColumn("_to", F.floor((F.greatest(enter, leave) + rim) / cell).cast("bigint"))
-    at = [*key_cols, "_row"]
-    cells = rows.groupBy(*at).agg(F.min("_from").alias("_a"), F.max("_to").alias("_b")) \
-        .select(*at, F.explode(F.sequence("_a", "_b")).alias("_col")) \
-        .withColumn("_rx", (F.col("_col") + 0.41421356) * cell).withColumn("_ry", (F.col("_row") + 0.57721566) * cell)
-    rx, ry = F.col("_rx"), F.col("_ry")
-    right = ((y1 > ry) != (y2 > ry)) & (rx < _crossing(x1, y1, x2, y2, ry))
-    refs = cells.join(rows, at).groupBy(*at, "_col", "_rx", "_ry").agg(
-        (F.count(F.when(right, 1)) % 2).alias("_odd"))
-    touching = rows.select(*at, F.explode(F.sequence("_from", "_to")).alias("_col"), "x1", "y1", "x2", "y2")
-    return refs.join(touching, [*at, "_col"], "left").filter(F.col("x1").isNotNull() | (F.col("_odd") == 1))
-
-
-def points_in_polygons(points: DataFrame, polys: DataFrame, key_cols: list[str], x: str = "x",
-                       y: str = "y", cell: float = 1.0, match: list[str] = ()) -> DataFrame:
-    """(point, polygon) pairs where the point lies inside (even-odd rule; a
-    point on a boundary counts as just right of and above itself).
-
-    Points and polygons meet by grid cell (equi-join on both cell numbers, and
-    on ``match``, key columns that the points carry too): a cell wholly inside
-    decides at once, any other cell by the edges touching it, crossed on the
-    way from the point, level and then upright, to the cell's reference point.
-    ``points`` must be distinct. Choose ``cell`` so that a cell is touched by
-    few edges; cells inside a polygon are listed once each."""
-    index = polygon_cells(polys, key_cols, cell)
-    placed = points.select(*match, F.col(x).alias("_px"), F.col(y).alias("_py")) \
-        .withColumn("_col", F.floor(F.col("_px") / cell).cast("bigint")) \
-        .withColumn("_row", F.floor(F.col("_py") / cell).cast("bigint"))
-    px, py, rx, ry, x1, y1, x2, y2 = (F.col(c) for c in ("_px", "_py", "_rx", "_ry", "x1", "y1", "x2", "y2"))
-    meet = _crossing(x1, y1, x2, y2, py)
-    level = ((y1 > py) != (y2 > py)) & ((px < meet) != (rx < meet))
-    height = _crossing(y1, x1, y2, x2, rx)
-    upright = ((x1 > rx) != (x2 > rx)) & ((height > py) != (height > ry))
-    keys = [k for k in key_cols if k not in match]
-    parity = (F.count(F.when(level, 1)) + F.count(F.when(upright, 1)) + F.max("_odd")) % 2
-    inside = placed.join(index, [*match, "_col", "_row"]).groupBy(*match, "_px", "_py", *keys).agg(parity.alias("_k"))
-    return inside.filter(F.col("_k") == 1).select(px.alias(x), py.alias(y), *key_cols)
-
-
 def sample_layers(df: DataFrame, layers: DataFrame, lat: str = "decimalLatitude",
                   lon: str = "decimalLongitude", cell: float = 1.0, max_layers: int = 10000) -> DataFrame:
     """Attach, per layer, the region containing each record's point.
@@ -353,46 +287,13 @@ def sample_grids(df: DataFrame, grids: DataFrame, res: float, lat: str = "decima
     return placed.join(wide, ["_cy", "_cx"], "left").drop("_cy", "_cx")
 
 
-def haversine_km(lat1, lon1, lat2, lon2) -> Column:
-    r1, r2 = F.radians(_c(lat1)), F.radians(_c(lat2))
-    dlat = r2 - r1
-    dlon = F.radians(_c(lon2)) - F.radians(_c(lon1))
-    a = F.pow(F.sin(dlat / 2), 2) + F.cos(r1) * F.cos(r2) * F.pow(F.sin(dlon / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
-
-
-def _nearest_vertex(points: DataFrame, verts: DataFrame, cell: float) -> DataFrame:
-    """(taxon, x, y, distance): km to the taxon's nearest vertex.
-
-    Vertices and points are first compared by cell: two points lie within two
-    cell widths of their cells' centre distance, so only cells of vertices within
-    four widths of the nearest one can hold the nearest vertex, and only their
-    vertices meet the points. Pairs of cells are bounded by the grid."""
-    def cell_of(c):
-        return F.floor(F.col(c) / cell).cast("bigint")
-
-    def mid(c):
-        return (F.col(c) + 0.5) * cell
-
-    p = points.select("taxon", "x", "y", cell_of("x").alias("_pc"), cell_of("y").alias("_pr"))
-    v = verts.distinct().select("taxon", "vx", "vy", cell_of("vx").alias("_vc"), cell_of("vy").alias("_vr"))
-    apart = p.select("taxon", "_pc", "_pr").distinct().join(v.select("taxon", "_vc", "_vr").distinct(), "taxon") \
-        .withColumn("_km", haversine_km(mid("_pr"), mid("_pc"), mid("_vr"), mid("_vc")))
-    least = F.min("_km").over(Window.partitionBy("taxon", "_pc", "_pr"))
-    near = apart.withColumn("_least", least).filter(
-        F.col("_km") <= F.col("_least") + 4 * math.radians(cell) * EARTH_RADIUS_KM + 0.001)
-    return p.join(near, ["taxon", "_pc", "_pr"]).join(v, ["taxon", "_vc", "_vr"]).groupBy("taxon", "x", "y") \
-        .agg(F.min(haversine_km("y", "x", "vy", "vx")).alias("distance"))
-
-
 def distribution_outliers(df: DataFrame, ranges: DataFrame, cache: DataFrame | None = None,
                           id_col: str = "id", taxon_col: str = "taxon", lat: str = "decimalLatitude",
                           lon: str = "decimalLongitude", cell: float = 1.0) -> DataFrame:
     """Distance (km) of a record outside its taxon's expert range.
 
-    0 inside the range polygon; outside, the least haversine distance to the
-    range's vertices — an upper bound on the distance to the polygon's edges.
-    Records without a range get null. Ids in ``cache(id, distance)`` reuse
+    0 inside the range polygon; outside, the least great-circle distance to the
+    range's edges (arcs between its vertices). Records without a range get null. Ids in ``cache(id, distance)`` reuse
     the cached value; only the others are computed (anti-join).
     Output: id, distance, cached."""
     todo = df.select(F.col(id_col).alias("id"), F.col(taxon_col).alias("taxon"),
@@ -403,12 +304,10 @@ def distribution_outliers(df: DataFrame, ranges: DataFrame, cache: DataFrame | N
     # distinct points, written once: both the inside test and the distances read them
     pts = todo.select("taxon", "x", "y").filter(F.col("x").isNotNull() & F.col("y").isNotNull()) \
         .distinct().checkpoint()
-    inside = points_in_polygons(pts, ranges.select("taxon", "ring"), ["taxon"], cell=cell, match=["taxon"])
-    verts = ranges.select("taxon", F.explode("ring").alias("v")).select(
-        "taxon", F.col("v.x").alias("vx"), F.col("v.y").alias("vy"))
-    # vertex distances only for points outside their range (most are inside)
+    inside = points_in_polygons(pts, ranges.select("taxon", "ring"), ["taxon"], cell=cell, match=["taxon"]).distinct().checkpoint()
+    # distances only for points outside their range (most are inside)
     outside = pts.join(inside, ["taxon", "x", "y"], "left_anti")
-    dist = _nearest_vertex(outside, verts, cell).unionByName(inside.withColumn("distance", F.lit(0.0)))
+    dist = nearest_edge_km(outside, polygon_edges(ranges, ["taxon"])).unionByName(inside.withColumn("distance", F.lit(0.0)))
     out = todo.join(dist, ["taxon", "x", "y"], "left").select("id", "distance", F.lit(False).alias("cached"))
     if cache is not None:
         kept = cache.join(df.select(F.col(id_col).alias("id")), "id", "left_semi") \

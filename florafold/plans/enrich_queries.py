@@ -254,6 +254,32 @@ def q_sample_layers(spark, sf_dir):
     return _sampled(spark, sf_dir)
 
 
+@register("sample_layers_date_line", f"""WITH {OCC_SQL},
+o AS (SELECT id, decimalLatitude AS y, (decimalLongitude + 535.0) % 360.0 - 180.0 AS x FROM occ),
+edges AS (SELECT n_nationkey AS k, x1 + s AS x1, y1, x2 + s AS x2, y2 FROM nation, LATERAL (VALUES
+    (140.0 + 2 * n_nationkey, -15.0, 178.0 + 2 * n_nationkey, -18.0), (178.0 + 2 * n_nationkey, -18.0, 179.0 + 2 * n_nationkey, 19.0),
+    (179.0 + 2 * n_nationkey, 19.0, 140.0 + 2 * n_nationkey, -15.0)) e(x1, y1, x2, y2), (VALUES (0.0), (-360.0)) t(s)),
+pts AS (SELECT DISTINCT x, y FROM o),
+inside AS (SELECT p.x, p.y, e.k FROM pts p JOIN edges e
+  ON ((e.y1 > p.y) <> (e.y2 > p.y)) AND p.x < (e.x2 - e.x1) * (p.y - e.y1) / (e.y2 - e.y1) + e.x1
+  GROUP BY p.x, p.y, e.k HAVING count(*) % 2 = 1),
+least AS (SELECT x, y, min('n' || CAST(k AS VARCHAR)) AS cl_triangle FROM inside GROUP BY x, y)
+SELECT o.id, l.cl_triangle FROM o LEFT JOIN least l ON o.x = l.x AND o.y = l.y""")
+def q_sample_layers_date_line(spark, sf_dir):
+    """Triangles on both sides of the date line and over it; longitudes of rings and records from -180 to 180."""
+    k = F.col("n_nationkey")
+
+    def pt(x, y):
+        return F.struct((F.pmod(x + 180.0, F.lit(360.0)) - 180.0).alias("x"), F.lit(y).alias("y"))
+
+    layers = D.load_table(spark, sf_dir, "nation").select(
+        F.lit("cl_triangle").alias("layer_id"), F.concat(F.lit("n"), k.cast("string")).alias("region_id"),
+        F.array(pt(140.0 + 2 * k, -15.0), pt(178.0 + 2 * k, -18.0), pt(179.0 + 2 * k, 19.0)).alias("ring"))
+    lon = F.pmod(F.col("decimalLongitude") + 535.0, F.lit(360.0)) - 180.0
+    occ = D.occurrences(spark, sf_dir).select("id", "decimalLatitude", lon.alias("decimalLongitude"))
+    return EN.sample_layers(occ, layers).select("id", "cl_triangle")
+
+
 @register("sample_grids", f"""WITH {OCC_SQL},
 g AS (SELECT p_partkey % 8 - 4 AS cy, p_partkey % 20 - 10 AS cx, min(p_retailprice) AS price, min(p_size) AS size
   FROM part GROUP BY 1, 2)
@@ -291,16 +317,24 @@ RANGES_SQL = """rg AS (SELECT 'sp' || CAST(t AS VARCHAR) AS taxon,
   FROM (SELECT p_partkey % 30 AS t, min(p_size) AS mn, max(p_size) AS mx FROM part GROUP BY 1)),
 redges AS (SELECT taxon, ring[i].x AS x1, ring[i].y AS y1, ring[(i % len(ring)) + 1].x AS x2,
     ring[(i % len(ring)) + 1].y AS y2 FROM rg, LATERAL generate_series(1, len(ring)) t(i)),
-rverts AS (SELECT taxon, ring[i].x AS vx, ring[i].y AS vy FROM rg, LATERAL generate_series(1, len(ring)) t(i)),
 opts AS (SELECT DISTINCT taxon, decimalLongitude AS x, decimalLatitude AS y FROM occ_todo
   WHERE decimalLongitude IS NOT NULL AND decimalLatitude IS NOT NULL),
 rin AS (SELECT p.taxon, p.x, p.y FROM opts p JOIN redges e ON p.taxon = e.taxon
   AND e.y1 <> e.y2 AND ((e.y1 > p.y) <> (e.y2 > p.y)) AND p.x < (e.x2 - e.x1) * (p.y - e.y1) / (e.y2 - e.y1) + e.x1
   GROUP BY p.taxon, p.x, p.y HAVING count(*) % 2 = 1),
-rnear AS (SELECT p.taxon, p.x, p.y, min(2 * 6371.0 * asin(least(1.0, sqrt(
-    pow(sin((radians(v.vy) - radians(p.y)) / 2), 2)
-    + cos(radians(p.y)) * cos(radians(v.vy)) * pow(sin((radians(v.vx) - radians(p.x)) / 2), 2))))) AS d
-  FROM opts p JOIN rverts v ON p.taxon = v.taxon GROUP BY p.taxon, p.x, p.y),
+rvec AS (SELECT *, cos(radians(y1)) * cos(radians(x1)) AS a_x, cos(radians(y1)) * sin(radians(x1)) AS a_y, sin(radians(y1)) AS a_z,
+    cos(radians(y2)) * cos(radians(x2)) AS b_x, cos(radians(y2)) * sin(radians(x2)) AS b_y, sin(radians(y2)) AS b_z FROM redges),
+rnorm AS (SELECT *, a_y * b_z - a_z * b_y AS nx, a_z * b_x - a_x * b_z AS ny, a_x * b_y - a_y * b_x AS nz FROM rvec),
+rpair AS (SELECT p.taxon, p.x, p.y, e.*, cos(radians(p.y)) * cos(radians(p.x)) AS px, cos(radians(p.y)) * sin(radians(p.x)) AS py,
+    sin(radians(p.y)) AS pz, sqrt(nx * nx + ny * ny + nz * nz) AS nn FROM opts p JOIN rnorm e ON p.taxon = e.taxon),
+rnear AS (SELECT taxon, x, y, min(CASE
+    WHEN nn > 0 AND (ny * a_z - nz * a_y) * px + (nz * a_x - nx * a_z) * py + (nx * a_y - ny * a_x) * pz >= 0
+      AND (b_y * nz - b_z * ny) * px + (b_z * nx - b_x * nz) * py + (b_x * ny - b_y * nx) * pz >= 0
+    THEN abs(asin(greatest(-1.0, least(1.0, (nx * px + ny * py + nz * pz) / nn)))) * 6371.0
+    ELSE 2 * 6371.0 * asin(least(1.0, sqrt(least(
+      pow(sin((radians(y1) - radians(y)) / 2), 2) + cos(radians(y)) * cos(radians(y1)) * pow(sin((radians(x1) - radians(x)) / 2), 2),
+      pow(sin((radians(y2) - radians(y)) / 2), 2) + cos(radians(y)) * cos(radians(y2)) * pow(sin((radians(x2) - radians(x)) / 2), 2)))))
+    END) AS d FROM rpair GROUP BY taxon, x, y),
 rdist AS (SELECT n.taxon, n.x, n.y, CASE WHEN i.taxon IS NOT NULL THEN 0.0 ELSE n.d END AS distance
   FROM rnear n LEFT JOIN rin i ON n.taxon = i.taxon AND n.x = i.x AND n.y = i.y),
 outl AS (SELECT o.id, round(r.distance, 3) AS distance, false AS cached FROM occ_todo o
