@@ -165,6 +165,81 @@ def q_match_names(spark, sf_dir):
     return EN.match_names(occ, taxa)
 
 
+# ---------------------------------------------------------------- names
+# a taxonomy with a species for each part: genus word + word with the key in letters
+BACKBONE_SQL = """sp AS (SELECT p_partkey AS k, split_part(p_name, ' ', 1) AS g,
+    split_part(p_name, ' ', 2) || translate(CAST(p_partkey AS VARCHAR), '0123456789', 'abcdefghij') AS e FROM part),
+taxa AS (SELECT 'sp:' || CAST(k AS VARCHAR) AS taxon_id, g || ' ' || e AS name, 'species' AS rank, 'g:' || g AS parent_id,
+    CASE WHEN k % 7 = 0 OR (k % 7 = 1 AND k % 3 = 0) THEN 'sp:' || CAST(k + 1 AS VARCHAR) END AS accepted_id FROM sp
+  UNION ALL SELECT DISTINCT 'g:' || g, g, 'genus', 'f:' || substr(g, 1, 1), NULL FROM sp
+  UNION ALL SELECT DISTINCT 'f:' || substr(g, 1, 1), substr(g, 1, 1) || 'idae', 'family', 'o:all', NULL FROM sp
+  UNION ALL SELECT 'o:all', 'Omnia', 'order', NULL, NULL)"""
+
+
+def _backbone(spark, sf_dir):
+    k = F.col("p_partkey")
+    word = F.split("p_name", " ")
+    sp = D.load_table(spark, sf_dir, "part").select(
+        k.alias("k"), word[0].alias("g"), F.concat(word[1], F.translate(k.cast("string"), "0123456789", "abcdefghij")).alias("e"))
+    text = lambda p, c: F.concat(F.lit(p), c.cast("string"))
+    none = F.lit(None).cast("string")
+    k = F.col("k")
+    species = sp.select(text("sp:", k).alias("taxon_id"), F.initcap(F.concat_ws(" ", "g", "e")).alias("name"), F.lit("species").alias("rank"),
+                        text("g:", F.col("g")).alias("parent_id"),
+                        F.when((k % 7 == 0) | ((k % 7 == 1) & (k % 3 == 0)), text("sp:", k + 1)).alias("accepted_id"))
+    letter = F.substring("g", 1, 1)
+    genera = sp.select(text("g:", F.col("g")), F.initcap("g"), F.lit("genus"), text("f:", letter), none).distinct()
+    families = sp.select(text("f:", letter), F.concat(letter, F.lit("idae")), F.lit("family"), F.lit("o:all"), none).distinct()
+    order = spark.range(1).select(F.lit("o:all"), F.lit("Omnia"), F.lit("order"), none, none)
+    return sp, species.union(genera).union(families).union(order)
+
+
+@register("match_taxa", f"""WITH RECURSIVE {BACKBONE_SQL},
+chain AS (SELECT t.taxon_id, t.taxon_id AS cur, 0 AS d FROM taxa t
+  UNION ALL SELECT c.taxon_id, t.accepted_id, c.d + 1 FROM chain c JOIN taxa t ON c.cur = t.taxon_id JOIN taxa u ON u.taxon_id = t.accepted_id),
+acc AS (SELECT taxon_id, arg_max(cur, d) AS to_id FROM chain GROUP BY taxon_id),
+names AS (SELECT name, taxon_id, to_id FROM taxa JOIN acc USING (taxon_id) WHERE rank = 'species'),
+li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linenumber % 7 AS how, g, e, (l_orderkey + l_partkey) % 97 AS gap
+  FROM lineitem JOIN sp ON l_partkey = k),
+texts AS (SELECT *, CASE WHEN gap <> 0 THEN CASE how WHEN 2 THEN g || ' ' || left(e, length(e) - 3) || right(e, 2) WHEN 3 THEN g || ' unknownx'
+    WHEN 4 THEN g || ' ' || e || ' minor' WHEN 5 THEN 'zzz ' || e ELSE g || ' ' || e END END AS canonical FROM li),
+wrong AS (SELECT DISTINCT canonical FROM texts LEFT JOIN names ON canonical = name WHERE name IS NULL AND canonical IS NOT NULL),
+near AS (SELECT canonical, min(struct_pack(d := levenshtein(canonical, name), n := name)) AS best FROM wrong JOIN names
+  ON abs(length(canonical) - length(name)) <= 1 AND levenshtein(canonical, name) <= 1 GROUP BY canonical),
+above AS (SELECT *, CASE WHEN gap = 0 OR how = 5 THEN 'f:' || substr(g, 1, 1) WHEN how <> 4 THEN 'g:' || g END AS up FROM texts)
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS id,
+  coalesce(n.to_id, f.to_id, t.up, b.to_id) AS taxon_id, coalesce(n.taxon_id, f.taxon_id, t.up, b.taxon_id) AS matched_id,
+  CASE WHEN n.taxon_id IS NOT NULL THEN CASE WHEN n.taxon_id <> n.to_id THEN 'accepted' ELSE 'exact' END
+    WHEN f.taxon_id IS NOT NULL THEN 'fuzzy' ELSE 'higher-rank' END AS match_type
+FROM above t LEFT JOIN names n ON t.canonical = n.name LEFT JOIN near ON t.canonical = near.canonical LEFT JOIN names f ON f.name = near.best.n
+LEFT JOIN names b ON b.name = t.g || ' ' || t.e""")
+def q_match_taxa(spark, sf_dir):
+    """Records whose names are written with authors, misspelt, of unknown species or genus, infraspecific, upper-case or missing."""
+    from florafold.operators.names import match_taxa
+    sp, taxa = _backbone(spark, sf_dir)
+    how, e, g = F.col("l_linenumber") % 7, F.col("e"), F.initcap("g")
+    name = F.concat_ws(" ", g, e)
+    misspelt = F.concat(e.substr(F.lit(1), F.length("e") - 3), e.substr(F.length("e") - 1, F.lit(2)))
+    text = (F.when(how == 1, F.concat(name, F.lit(" (L.) Smith ex de Vries, 1900"))).when(how == 2, F.concat_ws(" ", g, misspelt))
+            .when(how == 3, F.concat(g, F.lit("  cf. unknownx"))).when(how == 4, F.concat(name, F.lit(" subsp. minor Müll.")))
+            .when(how == 5, F.concat(F.lit("Zzz "), e)).when(how == 6, F.upper(name)).otherwise(name))
+    li = D.load_table(spark, sf_dir, "lineitem").join(sp.withColumnRenamed("k", "l_partkey"), "l_partkey")
+    occ = li.select(F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("id"),
+                    F.when((F.col("l_orderkey") + F.col("l_partkey")) % 97 != 0, text).alias("scientificName"),
+                    F.concat(F.substring("g", 1, 1), F.lit("idae")).alias("family"))
+    return match_taxa(occ, taxa, higher={"family": "family"}) \
+        .select("id", "taxon_id", "matched_id", "match_type")
+
+
+@register("taxon_classification", f"""WITH {BACKBONE_SQL}
+SELECT taxon_id, CASE rank WHEN 'species' THEN taxon_id END AS species_id, CASE rank WHEN 'species' THEN parent_id WHEN 'genus' THEN taxon_id END AS genus_id,
+  CASE WHEN rank IN ('species', 'genus') THEN 'f:' || substr(split_part(name, ' ', 1), 1, 1) WHEN rank = 'family' THEN taxon_id END AS family_id,
+  'o:all' AS order_id FROM taxa""")
+def q_taxon_classification(spark, sf_dir):
+    from florafold.operators.names import classification
+    return classification(_backbone(spark, sf_dir)[1], ["species", "genus", "family", "order"])
+
+
 SENS_SQL = """rules AS (SELECT p_name AS taxon,
     CASE WHEN min(p_size) = 10 THEN NULL ELSE 'zone' || CAST((min(p_size) // 10) % 5 AS VARCHAR) END AS zone,
     CASE WHEN min(p_size) = 50 THEN 'withhold' ELSE 'generalise' END AS action,
