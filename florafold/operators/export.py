@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from florafold.functions.predicate import predicate_to_column
@@ -77,3 +77,46 @@ def event_documents(events: DataFrame, occurrences: DataFrame, event_id: str = "
                     F.col(event_id).cast("string").alias("parent_id"), F.lit("occurrence").alias("kind"),
                     F.to_json(F.struct(*[F.col(c) for c in occurrences.columns])).alias("document"))
     return ev.unionByName(oc)
+
+
+def nested_documents(parents: DataFrame, children: DataFrame, key: str, order: list[str], child_name: str = "occurrences",
+                     max_bytes: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
+    """One JSON document per parent, holding its children.
+
+    Returns (documents, unplaced). Documents: the key, piece (from 0), n_pieces,
+    n_children and document, a JSON object of the parent's fields, the piece's number and the
+    array ``child_name`` of its children (without the key) in the order given. A parent's
+    children go into as many pieces as their bytes ask for: the piece ends with the child
+    that reaches ``max_bytes``. The pieces follow from running sums over range partitions, carried over
+    partition ends, so that a parent with a third of all children is never one group.
+
+    A parent without children has one piece with an empty array; a repeated
+    key gives each of its parents all pieces. ``unplaced``: the children whose
+    key is null or names no parent. ``order`` should tell a parent's children apart;
+    equal ones come in the order of their whole JSON."""
+    from florafold.operators.ranking import with_global_rank, with_running_sum
+
+    options = {"ignoreNullFields": "false"}
+    fields = [c for c in children.columns if c != key]
+    ids = parents.select(key).distinct()
+    unplaced = children.join(ids, key, "left_anti")
+    rows = children.join(ids, key, "left_semi").select(key, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                                                       F.struct(*fields).alias("_child"))
+    rows = rows.withColumn("_json", F.to_json("_child", options)).withColumn("_size", F.octet_length("_json").cast("bigint"))
+    ranked = with_global_rank(rows, [key, *[f"_o{i}" for i in range(len(order))], "_json"], "_rank").drop("_json")
+    summed = with_running_sum(ranked, "_rank", key, "_size", "_sum")
+    piece = F.floor((F.col("_sum") - F.col("_size")) / max_bytes).cast("int").alias("piece")
+    bodies = summed.select(key, piece, "_rank", "_child").groupBy(key, "piece").agg(
+        F.sort_array(F.collect_list(F.struct("_rank", "_child"))).alias("_c")).checkpoint()
+    number = F.row_number().over(Window.partitionBy(key).orderBy("piece")) - 1
+    # a child larger than a piece leaves numbers out
+    numbered = bodies.select(key, "piece").withColumn("_no", number)
+    per = numbered.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("n_pieces"))
+    # parents meet the narrow list of pieces; bodies come by (key, piece), which spreads a large parent
+    heads = parents.select(F.col(key), F.struct(*parents.columns).alias("_parent")).join(per, key, "left").join(numbered, key, "left")
+    docs = heads.join(bodies, [key, "piece"], "left")
+    kids = F.coalesce(F.transform("_c", lambda c: c["_child"]), F.array().cast(bodies.select(F.transform("_c", lambda c: c["_child"]).alias("x")).schema["x"].dataType))
+    docs = docs.select(F.col(key), F.coalesce("_no", F.lit(0)).cast("int").alias("piece"), F.coalesce("n_pieces", F.lit(1)).alias("n_pieces"),
+                       F.size(kids).alias("n_children"), "_parent", kids.alias("_kids"))
+    document = F.to_json(F.struct("_parent.*", "piece", F.col("_kids").alias(child_name)), options)
+    return docs.select(key, "piece", "n_pieces", "n_children", document.alias("document")), unplaced

@@ -605,6 +605,68 @@ def q_event_document_bodies(spark, sf_dir):
         F.col("b.l_quantity").alias("quantity"), "fields")
 
 
+NESTED_SQL = """ev AS (SELECT o_orderkey AS eventID, o_orderstatus AS status FROM orders WHERE o_orderkey % 10 <> 9),
+oc AS (SELECT CASE WHEN l_suppkey % 50 = 0 THEN NULL WHEN l_partkey % 3 = 0 THEN 1 ELSE l_orderkey END AS eventID,
+    CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS id,
+    l_linenumber AS line, CASE WHEN l_linenumber % 3 <> 0 THEN CAST(l_quantity AS INTEGER) END AS quantity FROM lineitem)"""
+
+
+@register("event_documents_nested", f"""WITH {NESTED_SQL},
+sized AS (SELECT oc.*, strlen(CAST(to_json(struct_pack(id := id, line := line, quantity := quantity)) AS VARCHAR)) AS bytes
+  FROM oc WHERE eventID IN (SELECT eventID FROM ev)),
+placed AS (SELECT *, (sum(bytes) OVER (PARTITION BY eventID ORDER BY id, line, quantity ROWS UNBOUNDED PRECEDING) - bytes) // 600 AS part FROM sized),
+pieces AS (SELECT eventID, part, list(struct_pack(id := id, line := line, quantity := quantity) ORDER BY id, line, quantity) AS kids
+  FROM placed GROUP BY eventID, part),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY eventID ORDER BY part) - 1 AS no, count(*) OVER (PARTITION BY eventID) AS n FROM pieces)
+SELECT ev.eventID AS event_id, CAST(coalesce(no, 0) AS INTEGER) AS piece, CAST(coalesce(n, 1) AS INTEGER) AS n_pieces,
+  CAST(coalesce(len(kids), 0) AS INTEGER) AS n_children,
+  '{{"eventID":' || CAST(ev.eventID AS VARCHAR) || ',"status":"' || status || '","piece":' || CAST(coalesce(no, 0) AS VARCHAR) || ',"occurrences":'
+    || coalesce(CAST(to_json(kids) AS VARCHAR), '[]') || '}}' AS document
+FROM ev LEFT JOIN numbered USING (eventID)""")
+def q_event_documents_nested(spark, sf_dir):
+    """Whole documents; a third of the occurrences belong to one event, which spans many pieces."""
+    return _nested(spark, sf_dir)[0].withColumnRenamed("eventID", "event_id")
+
+
+@register("event_documents_unplaced", f"""WITH {NESTED_SQL}
+SELECT eventID AS event_id, id FROM oc WHERE eventID IS NULL OR eventID NOT IN (SELECT eventID FROM ev)""")
+def q_event_documents_unplaced(spark, sf_dir):
+    return _nested(spark, sf_dir)[1].select(F.col("eventID").alias("event_id"), "id")
+
+
+def _nested(spark, sf_dir):
+    from florafold.operators.export import nested_documents
+    ev = D.load_table(spark, sf_dir, "orders").where("o_orderkey % 10 <> 9").select(
+        F.col("o_orderkey").alias("eventID"), F.col("o_orderstatus").alias("status"))
+    event = F.when(F.col("l_suppkey") % 50 != 0, F.when(F.col("l_partkey") % 3 == 0, 1).otherwise(F.col("l_orderkey")))
+    occ = D.load_table(spark, sf_dir, "lineitem").select(
+        event.alias("eventID"), F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("id"),
+        F.col("l_linenumber").alias("line"), F.when(F.col("l_linenumber") % 3 != 0, F.col("l_quantity").cast("int")).alias("quantity"))
+    return nested_documents(ev, occ, "eventID", ["id", "line", "quantity"], max_bytes=600)
+
+
+@register("archive_documents", """WITH li AS (SELECT l_orderkey AS k, CAST(l_linenumber AS VARCHAR) AS line, CAST(l_partkey AS VARCHAR) AS part FROM lineitem
+  WHERE l_orderkey IN (SELECT o_orderkey FROM orders))
+SELECT CAST(o_orderkey AS VARCHAR) AS core_id, CAST(count(k) AS INTEGER) AS n_children, CAST(coalesce(
+  to_json(list(struct_pack(line := line, part := part) ORDER BY line, part) FILTER (WHERE k IS NOT NULL)), '[]') AS VARCHAR) AS items
+FROM orders LEFT JOIN li ON k = o_orderkey GROUP BY o_orderkey""")
+def q_archive_documents(spark, sf_dir):
+    """Records of an archive that was written and read again, with their extension rows nested."""
+    from florafold.operators.export import nested_documents
+    from florafold.session import scratch_dir
+    from florafold.sources.archive import read_archive
+    from florafold.sources.sinks import export_archive
+    ds = F.concat(F.lit("dr"), (F.col("o_custkey") % 10).cast("string")).alias("dataset_id")
+    o = D.load_table(spark, sf_dir, "orders").select("o_orderkey", ds)
+    li = D.load_table(spark, sf_dir, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "o_orderkey", F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), "dataset_id")
+    root = scratch_dir(spark, "archive")
+    export_archive(o, {"lineitem": li}, root)
+    core, ext = read_archive(spark, root, "core", ["lineitem"], "o_orderkey")
+    docs, _ = nested_documents(core.select("o_orderkey"), ext["lineitem"].drop("dataset_id"), "o_orderkey", ["line", "part"], "items")
+    return docs.select(F.col("o_orderkey").alias("core_id"), "n_children", F.get_json_object("document", "$.items").alias("items"))
+
+
 @register("search_facet", """SELECT event_type AS value, CAST(count(*) AS BIGINT) AS count FROM events
 WHERE value > 50 AND event_type IS NOT NULL GROUP BY 1""")
 def q_search_facet(spark, sf_dir):
