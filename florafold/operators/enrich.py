@@ -91,8 +91,9 @@ def build_index_record(df: DataFrame, id_col: str = "id") -> DataFrame:
     Dates and timestamps become epoch milliseconds; arrays go to
     ``multiValues``; decimals to ``doubles``; structs and maps become JSON text
     and binaries base64 text in ``strings``. Columns named ``sensitive_*`` (the
-    originals of restricted values) go to ``strings`` whatever their type, where
-    flattening drops them. Null values are left out of the maps."""
+    originals of restricted values) go to ``strings`` whatever their type (arrays as JSON
+    text), where flattening drops them. Null values are left out of the maps, so a column of
+    type void has no entries. Types without a map (intervals) raise."""
     maps = {}
     for f in df.schema.fields:
         if f.name == id_col:
@@ -104,8 +105,11 @@ def build_index_record(df: DataFrame, id_col: str = "id") -> DataFrame:
         if isinstance(f.dataType, T.BinaryType):
             maps.setdefault("strings", []).append((f.name, F.base64(col)))
             continue
-        if f.name.startswith("sensitive_") and not isinstance(f.dataType, T.ArrayType):
-            maps.setdefault("strings", []).append((f.name, col.cast("string")))
+        if isinstance(f.dataType, T.NullType):
+            continue  # holds no value
+        if f.name.startswith("sensitive_"):
+            text = F.to_json(col) if isinstance(f.dataType, T.ArrayType) else col.cast("string")
+            maps.setdefault("strings", []).append((f.name, text))
             continue
         for mname, types in _MAP_OF_TYPE:
             if isinstance(f.dataType, types):
@@ -117,6 +121,10 @@ def build_index_record(df: DataFrame, id_col: str = "id") -> DataFrame:
         else:
             if isinstance(f.dataType, T.ArrayType):
                 maps.setdefault("multiValues", []).append((f.name, F.col(f"`{f.name}`").cast("array<string>")))
+            elif isinstance(f.dataType, T.StringType):  # char and varchar
+                maps.setdefault("strings", []).append((f.name, col))
+            else:
+                raise TypeError(f"column {f.name!r}: no map of an index record holds {f.dataType.simpleString()}")
     out = [F.col(id_col).cast("string").alias("id")]
     for mname in ["strings", "doubles", "ints", "longs", "booleans", "dates", "multiValues"]:
         entries = maps.get(mname)

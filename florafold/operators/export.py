@@ -52,14 +52,26 @@ def export_manifest(registry: DataFrame, archives: DataFrame, request_id: str) -
 
 
 def export_download(core: DataFrame, predicate, extensions: dict[str, DataFrame], dest: str,
-                    core_id: str, dataset_col: str = "dataset_id") -> DataFrame:
+                    core_id: str, dataset_col: str = "dataset_id", registry: DataFrame | None = None,
+                    request_id: str | None = None) -> DataFrame:
     """Filter the core by the predicate, keep extension rows of the kept
-    core records (semi-join), write the archive. Returns the descriptor."""
+    core records, write the archive. Returns the descriptor.
+
+    An extension with a dataset column is kept by a semi-join on id and dataset; one without
+    gets the dataset of its core record, once for each dataset that has the id. With ``registry`` the
+    manifest (A11) of the written files, a row per dataset, goes to ``dest/manifest`` as JSON."""
     kept = predicate_filter(core, predicate)
-    ext = {name: e.join(kept.select(F.col(core_id).alias("_cid"), F.col(dataset_col).alias("_ds")),
-                        e[core_id] == F.col("_cid"), "inner").drop("_cid").withColumnRenamed("_ds", dataset_col)
+    ids = kept.select(core_id, dataset_col).distinct()
+    ext = {name: e.join(ids, [core_id, dataset_col], "left_semi") if dataset_col in e.columns else e.join(ids, core_id)
            for name, e in extensions.items()}
-    return export_archive(kept, ext, dest, dataset_col)
+    desc = export_archive(kept, ext, dest, dataset_col)
+    if registry is not None:
+        from florafold.sources.catalog import object_inventory
+        files = object_inventory(core.sparkSession, dest).withColumn(
+            "dataset_id", F.regexp_extract("key", dataset_col + "=([^/]+)/", 1)).where("dataset_id <> ''")
+        sizes = files.groupBy("dataset_id").agg(F.sum("size").cast("bigint").alias("size"))
+        export_manifest(registry, sizes, request_id or "").write.mode("overwrite").json(f"{dest.rstrip('/')}/manifest")
+    return desc
 
 
 def event_documents(events: DataFrame, occurrences: DataFrame, event_id: str = "eventID",

@@ -140,18 +140,29 @@ def image_sync_candidates(recent: DataFrame, reindexed: DataFrame) -> DataFrame:
 
 
 def image_sync_cutoff(version_date: Column) -> Column:
-    """Version date − 7 days."""
+    """Version date − 7 days. See :func:`version_cutoff` for a version's name."""
     return F.date_sub(version_date.cast("date"), IMAGE_LOOKBACK_DAYS)
 
 
-def expand_providers(ids: DataFrame, registry: DataFrame, id_col: str = "uid") -> DataFrame:
+def version_cutoff(spark, version: str) -> str:
+    """The cutoff day of a version named ``<alias>-YYYY-MM-DD-HH-MM`` (one scalar row)."""
+    day = F.to_date(F.nullif(F.regexp_extract(F.lit(version), r"-(\d{4}-\d{2}-\d{2})-\d{2}-\d{2}$", 1), F.lit("")))
+    cutoff = spark.range(1).select(image_sync_cutoff(day).cast("string").alias("c")).first()["c"]
+    if cutoff is None:
+        raise ValueError(f"{version!r} does not end in a date and time")
+    return cutoff
+
+
+def expand_providers(ids: DataFrame, registry: DataFrame, id_col: str = "uid", mixed: str = "empty") -> DataFrame:
     """A provider uid ('dp…') becomes its member datasets; dataset uids
-    pass through. A provider must be requested alone: otherwise the result
-    carries ``valid = false`` and no datasets (the reference skips the run).
-    Output: dataset_id, via (provider uid or null), valid."""
+    pass through. A provider must be requested alone: otherwise there are no
+    datasets (the reference skips the run), or with ``mixed="raise"`` a ValueError.
+    Output: dataset_id, via (provider uid or null), valid (true)."""
     req = ids.select(F.col(id_col).alias("uid")).withColumn("kind", id_kind(F.col("uid"), strict=False))
     st = req.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("kind") == "dp", 1)).alias("ndp")).first()
     valid = st["ndp"] == 0 or st["n"] == 1  # one scalar row
+    if not valid and mixed == "raise":
+        raise ValueError("a provider must be requested alone")
     members = registry.select(F.col("uid").alias("p_uid"), F.explode_outer("dataResources").alias("dr"))
     dp = req.filter(F.col("kind") == "dp").join(members, F.col("uid") == F.col("p_uid"), "left") \
         .select(F.col("dr.uid").alias("dataset_id"), F.col("uid").alias("via"))
@@ -164,9 +175,15 @@ def expand_providers(ids: DataFrame, registry: DataFrame, id_col: str = "uid") -
     return out.withColumn("valid", F.lit(valid)).filter(F.col("valid"))
 
 
-def touch_registry(registry: DataFrame, ids: DataFrame, ts: str, id_col: str = "dataset_id") -> DataFrame:
-    """Set ``lastChecked`` to ``ts`` on the named datasets."""
-    hit = ids.select(F.col(id_col).alias("_uid")).distinct().withColumn("_hit", F.lit(True))
+def touch_registry(registry: DataFrame, ids: DataFrame, ts: str, id_col: str = "dataset_id",
+                   providers: DataFrame | None = None) -> DataFrame:
+    """Set ``lastChecked`` to ``ts`` on the named datasets, and with
+    ``providers(uid, dataResources)`` on the members of named providers."""
+    hit = ids.select(F.col(id_col).alias("_uid")).distinct()
+    if providers is not None:
+        members = providers.select(F.col("uid").alias("_uid"), F.explode("dataResources").alias("_dr"))
+        hit = hit.unionByName(members.join(hit, "_uid", "left_semi").select(F.col("_dr.uid").alias("_uid"))).distinct()
+    hit = hit.withColumn("_hit", F.lit(True))
     j = registry.join(hit, registry["uid"] == hit["_uid"], "left")
     return j.withColumn("lastChecked", F.when(F.col("_hit"), F.lit(ts)).otherwise(F.col("lastChecked"))) \
         .drop("_uid", "_hit")

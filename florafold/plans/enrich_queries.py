@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from florafold.operators import enrich as EN
 from florafold.operators import flatten as FL
-from florafold.plans.registry import arrays_as_text, register
+from florafold.plans.registry import ORACLE, arrays_as_text, register
 from florafold.sources import derived as D
 
 OCC_SQL = """occ AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-'
@@ -709,7 +709,7 @@ def q_export_values(spark, sf_dir):
 
 # ---------------------------------------------------------------- composite planning jobs
 from florafold.plans import jobs as JB  # noqa: E402
-from florafold.plans.registry import (_INV_SQL, _IMAGES_SQL, _sync_cutoff, sql_dataset_sizes,  # noqa: E402
+from florafold.plans.registry import (_INV_SQL, _IMAGES_SQL, SYNC_VERSION, _sync_cutoff, sql_dataset_sizes,  # noqa: E402
                                       sql_partition_by_size)
 
 ZIP_SPECS = [("small", 4, 50000000), ("large", 3, 200000000), ("xlarge", 2, None)]
@@ -731,7 +731,7 @@ nb AS (SELECT least(CAST(ceil(max(c) / 4.0) AS BIGINT), 3) AS n FROM ids)
 SELECT CAST(i % n AS INTEGER) AS batch, CAST(floor((c - 1 - i % n) / n) - floor(i / n) AS BIGINT) AS position,
   dataset_id, CAST(n AS INTEGER) AS n_batches FROM ids, nb""")
 def q_plan_image_sync(spark, sf_dir):
-    return JB.plan_image_sync(D.image_uploads(spark, sf_dir), D.inventory(spark, sf_dir), _sync_cutoff(), 4, 3)
+    return JB.plan_image_sync(D.image_uploads(spark, sf_dir), D.inventory(spark, sf_dir), None, 4, 3, version=SYNC_VERSION)
 
 
 @register("plan_dataset_load", f"""WITH {_INV_SQL},
@@ -816,8 +816,14 @@ SELECT uuid AS id, catalogNumber, dataset_id, match_type, scientificName, canoni
   array_to_string(issues, '|') AS issues FROM named""")
 def q_ingest_dataset(spark, sf_dir):
     """C7 end to end into a fresh dataset-partitioned table, read back and flattened."""
-    from florafold.plans.enrich_queries import RULES, _sens_rules
     from florafold.session import scratch_dir
+    occ, sides = _ingest_inputs(spark, sf_dir)
+    table = scratch_dir(spark, "ingest")
+    JB.ingest_dataset(occ, *sides, table, max_new_pct=100)
+    return arrays_as_text(FL.flatten_index(spark.read.parquet(table).drop("dataset_id"), merge_duplicate_ids=False))
+
+
+def _ingest_inputs(spark, sf_dir):
     occ = D.occurrences(spark, sf_dir).drop("decimalLatitude", "decimalLongitude", "eventDate")
     p = D.load_table(spark, sf_dir, "part")
     vocab = p.select(F.col("p_name").alias("label"), F.upper("p_name").alias("canonical")).distinct()
@@ -827,10 +833,61 @@ def q_ingest_dataset(spark, sf_dir):
         p.select(g.alias("name"), F.lit("genus").alias("rank"), F.concat(F.lit("g:"), g).alias("taxon_id"))).distinct()
     existing = occ.filter(F.split("id", "-")[0].cast("bigint") % 2 == 0).select(
         EN.unique_key(F.col("dataset_id"), F.col("id")).alias("unique_key"), F.concat(F.lit("u-"), F.col("id")).alias("uuid"))
-    table = scratch_dir(spark, "ingest")
-    JB.ingest_dataset(occ, RULES, vocab, "scientificName", taxa, existing, ["id"], _sens_rules(spark, sf_dir), table,
-                      max_new_pct=100)
-    return arrays_as_text(FL.flatten_index(spark.read.parquet(table).drop("dataset_id"), merge_duplicate_ids=False))
+    return occ, (RULES, vocab, "scientificName", taxa, existing, ["id"], _sens_rules(spark, sf_dir))
+
+
+@register("ingest_archive", ORACLE["ingest_dataset"].replace("AS issues FROM named", """AS issues,
+  CASE WHEN CAST(substr(catalogNumber, 4) AS BIGINT) % 2 = 0 THEN 'img-' || catalogNumber END AS image_id FROM named"""))
+def q_ingest_archive(spark, sf_dir):
+    """C7 from an archive's files on, with stored images; the guard against new ids fails first."""
+    from florafold.session import scratch_dir
+    from florafold.sources.sinks import export_archive
+    occ, sides = _ingest_inputs(spark, sf_dir)
+    root, table = scratch_dir(spark, "archive"), scratch_dir(spark, "ingest")
+    export_archive(occ, {}, root)
+    images = occ.where("cast(substr(catalogNumber, 4) as bigint) % 2 = 0").select(
+        F.col("catalogNumber").alias("identifier"), F.concat(F.lit("img-"), F.col("catalogNumber")).alias("image_id")).distinct()
+    how = {"images": images, "url_col": "catalogNumber", "table": table}
+    try:
+        JB.ingest_archive(spark, root, "core", "id", *sides, max_new_pct=10, **how)
+        raise AssertionError("half of the ids are new")
+    except ValueError:
+        pass
+    JB.ingest_archive(spark, root, "core", "id", *sides, max_new_pct=90, **how)
+    flat = FL.flatten_index(spark.read.parquet(table).drop("dataset_id"), merge_duplicate_ids=False)
+    return arrays_as_text(flat.withColumn("l_partkey", F.col("l_partkey").cast("bigint"))
+                          .withColumn("l_extendedprice", F.col("l_extendedprice").cast("double")))
+
+
+@register("index_and_publish", f"""WITH {OCC_SQL}, {LAYERS_SQL},
+s AS (SELECT o.*, p.cl_region AS cl959, p.cl_band AS cl1048 FROM occ o LEFT JOIN per_point p ON o.decimalLongitude = p.x AND o.decimalLatitude = p.y)
+SELECT CAST(number AS BIGINT) AS number, 'occindex-2024-0' || CAST(number AS VARCHAR) || '-01-00-00' AS version, count(*) AS n_rows, count(cl959) AS n_cl959,
+  count(cl1048) AS n_cl1048, CAST(count(*) FILTER (WHERE number = 2 AND zone = 'zone1') AS BIGINT) AS n_annotated, number = 2 AS live
+FROM s, (VALUES (1), (2)) v(number) WHERE number = 2 OR split_part(id, '-', 2) <> '1' GROUP BY number""")
+def q_index_and_publish(spark, sf_dir):
+    """A first index, a larger one with annotations that passes its checks, a smaller one that fails them."""
+    from florafold.plans import commits as CM
+    from florafold.session import scratch_dir
+    root, alias = scratch_dir(spark, "index"), "occindex"
+    occ = D.occurrences(spark, sf_dir).withColumn("dataResourceUid", F.col("dataset_id"))
+    layers = _layers(spark, sf_dir).replace({"cl_region": "cl959", "cl_band": "cl1048"}, subset=["layer_id"])
+    notes = occ.where("zone = 'zone1'").select("id", F.lit("checked").alias("annotation"))
+    flags = {"jackknife": False, "clustering": False, "outlier": False}
+    checks = ["check_data_resources", "check_total_count", "check_spatial_layer_cl959", "check_spatial_layer_cl1048"]
+    name = lambda k: f"occindex-2024-0{k}-01-00-00"
+    some = occ.where(F.split("id", "-")[1] != "1")
+    none = notes.where("false")
+    JB.index_and_publish(spark, some, layers, _ranges(spark, sf_dir), root, alias, name(1), none, flags)
+    JB.index_and_publish(spark, occ, layers, _ranges(spark, sf_dir), root, alias, name(2), notes, flags, checks=checks)
+    failed = JB.index_and_publish(spark, some.where("dataset_id = 'dr1'"), layers, _ranges(spark, sf_dir), root, alias, name(3), none, flags, checks=checks)
+    assert failed[2].first()["action"] == "blocked"
+    log, live = CM.history(spark, root, alias), CM.current(spark, root, alias)["number"]
+    data = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/data").withColumn(
+        "folder", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+    per = data.groupBy("folder").agg(F.count(F.lit(1)).alias("n_rows"), F.count("cl959").alias("n_cl959"), F.count("cl1048").alias("n_cl1048"),
+                                     F.count(F.when(F.size("annotations_applied") > 0, 1)).alias("n_annotated"))
+    return log.withColumn("folder", F.substring_index("path", "/", -1)).join(per, "folder").select(
+        "number", "version", "n_rows", "n_cl959", "n_cl1048", "n_annotated", (F.col("number") == live).alias("live"))
 
 
 @register("object_inventory", """SELECT 'dr' || CAST(c_nationkey AS VARCHAR) AS dataset_id,

@@ -1,5 +1,5 @@
 """Composite jobs a user calls (C1-C8). Each is a plain composition of the
-operators; nothing here collects data to the driver."""
+operators; at most single rows (a check, a cutoff, a decision) reach the driver."""
 
 from __future__ import annotations
 
@@ -10,10 +10,12 @@ from florafold.operators import enrich as EN
 from florafold.operators import flatten as FL
 from florafold.operators import planning as PL
 from florafold.sources import catalog as CT
+from florafold.sources.archive import read_archive
 from florafold.sources import sinks as SK
 
 # re-exports of the composite jobs defined next to their operators
 flatten_index = FL.flatten_index                     # C1
+from florafold.plans import commits  # noqa: E402
 from florafold.plans.publish import validate_and_publish  # noqa: E402,F401  C2
 
 
@@ -27,7 +29,7 @@ def plan_dataset_load(ids: DataFrame, registry: DataFrame, inventory: DataFrame,
                       min_per_batch: int, max_batches: int) -> tuple[DataFrame, DataFrame]:
     """C4: expand providers, look up archive sizes, classify; batches when there are many.
     Returns (per-dataset classes, round-robin batches)."""
-    expanded = PL.expand_providers(ids, registry)
+    expanded = PL.expand_providers(ids, registry, mixed="raise")
     sizes = CT.named_dataset_sizes(inventory, expanded)
     classes = sizes.withColumn("size_class", PL.size_class("size"))
     batches = PL.round_robin_batches(sizes.select("dataset_id", "size"), min_per_batch, max_batches,
@@ -40,7 +42,7 @@ def plan_load_dispatch(ids: DataFrame, registry: DataFrame, inventory: DataFrame
     """C4, how the datasets are handed on: per size class the number of datasets
     and the way of loading them (P11; a class without datasets is skipped), and
     the classes as lists (P10). Returns (dispatch, class lists)."""
-    sizes = CT.named_dataset_sizes(inventory, PL.expand_providers(ids, registry))
+    sizes = CT.named_dataset_sizes(inventory, PL.expand_providers(ids, registry, mixed="raise"))
     lists = PL.size_class_as_batches(sizes.select("dataset_id", "size"))
     classes = ids.sparkSession.createDataFrame([(c,) for c in PL.CLASS_ORDER], "size_class string")
     n = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
@@ -50,9 +52,11 @@ def plan_load_dispatch(ids: DataFrame, registry: DataFrame, inventory: DataFrame
     return dispatch, lists
 
 
-def plan_image_sync(images: DataFrame, inventory: DataFrame, cutoff: str, min_per_batch: int,
-                    max_batches: int) -> DataFrame:
-    """Datasets with new images since the cutoff that were also re-indexed, in batches."""
+def plan_image_sync(images: DataFrame, inventory: DataFrame, cutoff: str | None, min_per_batch: int,
+                    max_batches: int, version: str | None = None) -> DataFrame:
+    """Datasets with new images since the cutoff that were also re-indexed, in batches.
+    Without a cutoff it is seven days before the date in the name of ``version``."""
+    cutoff = cutoff or PL.version_cutoff(images.sparkSession, version or "")
     recent = PL.recent_image_counts(images, cutoff)
     reidx = CT.catalog(inventory, "index_avro", time_range=(cutoff, None))
     cand = PL.image_sync_candidates(recent, reidx)
@@ -89,6 +93,14 @@ def ingest_dataset(occ: DataFrame, rules: dict, vocab: DataFrame, vocab_field: s
     return records
 
 
+def ingest_archive(spark: SparkSession, root: str, core: str, core_id: str, *args, sep: str = "\t", **kw) -> DataFrame:
+    """C7 from an extracted archive on: read its core file (S11), then :func:`ingest_dataset` with the
+    remaining arguments. The core's id column becomes ``id``; all its fields are text until interpreted."""
+    occ, _ = read_archive(spark, root, core, [], core_id, sep)
+    occ = occ.drop("duplicate")
+    return ingest_dataset(occ if core_id == "id" else occ.withColumnRenamed(core_id, "id"), *args, **kw)
+
+
 def full_index(spark: SparkSession, occ: DataFrame, layers: DataFrame, ranges: DataFrame,
                annotations: DataFrame | None = None, flags: dict | None = None,
                jackknife: tuple[str, str] = ("taxon", "value")) -> DataFrame:
@@ -119,3 +131,20 @@ def full_index(spark: SparkSession, occ: DataFrame, layers: DataFrame, ranges: D
     if annotations is not None:
         base = EN.apply_annotations(base, annotations)
     return EN.assemble_index(base, {name: make() for name, make in build.items() if flags.get(name, True)})
+
+
+def index_and_publish(spark: SparkSession, occ: DataFrame, layers: DataFrame, ranges: DataFrame, root: str, alias: str, version: str,
+                      annotations: DataFrame | None = None, flags: dict | None = None, jackknife: tuple[str, str] = ("taxon", "value"),
+                      **checks):
+    """C8 followed by C2: the full index is written once, compared with the version readers follow, and
+    committed if no check fails; then old versions are marked (W5). The first version has nothing to be
+    compared with and is committed as it is. ``checks`` go to :func:`validate_and_publish`. Returns its result
+    (None, None, None, None for a first version)."""
+    base = commits.last_number(spark, root, alias)
+    index = full_index(spark, occ, layers, ranges, annotations, flags, jackknife)
+    folder = commits.stage(index, root, version)
+    new, live = spark.read.parquet(folder), commits.current(spark, root, alias)
+    if live is None:
+        commits.publish(new, root, alias, version, base, folder)
+        return None, None, None, None
+    return validate_and_publish(spark.read.parquet(live["path"]), new, alias, version, root=root, staged=folder, **checks)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from florafold.operators import checks as CK
 from florafold.operators import retention as RT
 from florafold.operators.joins import bounded_broadcast
+from florafold.plans import commits
 from florafold.session import ensure_checkpoint_dir
 
 # ---- fixed values that must equal the reference's ----------------------------
@@ -112,45 +113,47 @@ def publish_decision(rollup: DataFrame, alias: str, new_version: str, checks_onl
                          F.col("status").alias("checks_status"), action.alias("action"), status.alias("status"))
 
 
-def publish_version(spark, decision: DataFrame, root: str, new_df: DataFrame | None = None) -> dict:
-    """S9 side effect: when the decision is 'switch', write the new version to
-    ``root/<version>`` and then append the pointer row to ``root/_aliases``
-    (data first, pointer last, so readers never see a pointer to a missing
-    version). A temp view named after the alias reads the written version.
-    Returns the decision row as a dict (one row, collected)."""
+def publish_version(spark, decision: DataFrame, root: str, new_df: DataFrame | None = None, base: int | None = None,
+                    staged: str | None = None) -> dict:
+    """S9 side effect: when the decision is 'switch', write the new version and
+    commit it (``plans.commits``: data first, commit last and only if no other
+    publisher came first; ``base`` is the commit number the decision rests on). Without
+    ``new_df`` the version must have been published before, and becomes current again. A
+    temp view named after the alias reads the current version. Returns the decision row as a dict."""
     row = decision.first().asDict()
     if row["action"] == "switch":
-        path = f"{root.rstrip('/')}/{row['version']}"
         if new_df is not None:
-            new_df.write.mode("overwrite").parquet(path)
-        decision.withColumn("switched_at", F.current_timestamp()) \
-            .write.mode("append").parquet(f"{root.rstrip('/')}/_aliases")
-        if new_df is not None:
-            spark.read.parquet(path).createOrReplaceTempView(row["alias"])
+            commits.publish(new_df, root, row["alias"], row["version"], base, staged)
+        else:
+            commits.roll_back(spark, root, row["alias"], row["version"])
+        commits.read_current(spark, root, row["alias"]).createOrReplaceTempView(row["alias"])
     return row
 
 
 def current_version(spark, root: str, alias: str) -> str | None:
-    """Latest switched version of an alias, from the pointer table."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_aliases")
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return None  # no pointer written yet
-    p = spark.read.parquet(f"{root.rstrip('/')}/_aliases")
-    r = p.filter(F.col("alias") == alias).orderBy(F.col("switched_at").desc()).select("version").first()
-    return r["version"] if r else None
+    """The version readers follow, None before the first."""
+    row = commits.current(spark, root, alias)
+    return row["version"] if row else None
 
 
 def validate_and_publish(old: DataFrame, new: DataFrame, alias: str, new_version: str,
                          checks_only: bool = False, root: str | None = None, versions: DataFrame | None = None,
-                         keep: int = RT.DEFAULT_KEEP, protected: tuple[str, ...] = (), **kw):
+                         keep: int = RT.DEFAULT_KEEP, protected: tuple[str, ...] = (), staged: str | None = None, **kw):
     """(check table, rollup row, decision row, old versions) as DataFrames.
 
-    With ``root`` the decision is carried out (data, then pointer). Old versions
-    (W5: name, rank, action) are marked only after a switch; without a version
-    list or a switch that result is None."""
+    With ``root`` the decision is carried out (data, then commit; a publisher that committed since the
+    checks began makes it raise). Old versions (W5: name, rank, action) are marked only after a switch: those of
+    ``versions``, or with ``root`` the committed ones; without either that result is None. ``staged`` names
+    the folder that holds ``new`` already (``commits.stage``)."""
+    spark = old.sparkSession
+    base = commits.last_number(spark, root, alias) if root else None
     checks = run_checks(old, new, **kw).checkpoint()
     roll = CK.rollup_status(checks)
     decision = publish_decision(roll, alias, new_version, checks_only)
-    switched = (publish_version(old.sparkSession, decision, root, new) if root else decision.first().asDict())["action"] == "switch"
-    stale = RT.retain_versions(versions, alias, keep, protected, new_version) if switched and versions is not None else None
+    switched = (publish_version(spark, decision, root, new, base, staged) if root else decision.first().asDict())["action"] == "switch"
+    stale = None
+    if switched and versions is not None:
+        stale = RT.retain_versions(versions, alias, keep, protected, new_version)
+    elif switched and root:
+        stale = commits.stale_versions(spark, root, alias, keep, protected)
     return checks, roll, decision, stale

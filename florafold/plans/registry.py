@@ -409,6 +409,37 @@ def q_publish_decision(spark, sf_dir):
     return _validate(spark, sf_dir)[2]
 
 
+@register("publish_versions", """WITH v AS (SELECT event_id % 3 AS k, count(*) AS n FROM events GROUP BY 1)
+SELECT CAST(number AS BIGINT) AS number, 'occindex-2024-0' || CAST(k + 1 AS VARCHAR) || '-01-00-00' AS version, action,
+  number = 5 AS live, CAST((SELECT n FROM v WHERE v.k = c.k) AS BIGINT) AS n_rows, w5
+FROM (VALUES (1, 0, 'publish', 'delete'), (2, 1, 'publish', NULL), (4, 2, 'publish', 'keep'), (5, 1, 'roll back', NULL)) c(number, k, action, w5)""")
+def q_publish_versions(spark, sf_dir):
+    """Three versions of the events published, a publisher that comes too late, a broken commit, a
+    roll-back, W5 after it; per commit its version, whether readers follow it, and the rows of its data."""
+    from florafold.plans import commits as CM
+    root, alias = scratch_dir(spark, "publish"), "occindex"
+    e = D.load_table(spark, sf_dir, "events")
+    name = lambda k: f"occindex-2024-0{k + 1}-01-00-00"
+    for k in (0, 1):
+        CM.publish(e.where(F.col("event_id") % 3 == k), root, alias, name(k))
+    try:  # its decision rests on commit 1
+        CM.publish(e.limit(1), root, alias, name(7), base=1)
+        raise AssertionError("two publishers won")
+    except CM.PublishConflict:
+        pass
+    fs, p = CM._fs(spark, f"{root}/commits/{alias}/{3:020d}.json")
+    fs.create(p, False).close()  # a publisher that crashed
+    CM.publish(e.where(F.col("event_id") % 3 == 2), root, alias, name(2))
+    CM.roll_back(spark, root, alias, name(1))
+    log, stale = CM.history(spark, root, alias), CM.stale_versions(spark, root, alias)
+    # rows of each version's folder: read from the data the commits name
+    data = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/data").select(
+        F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("folder")).groupBy("folder").agg(F.count(F.lit(1)).alias("n_rows"))
+    log = log.withColumn("folder", F.substring_index("path", "/", -1)).join(data, "folder", "left")
+    return log.join(stale.select(F.col("name").alias("version"), F.col("action").alias("w5")), "version", "left").select(
+        "number", "version", "action", (F.col("number") == CM.current(spark, root, alias)["number"]).alias("live"), "n_rows", "w5")
+
+
 _VERSIONS_SQL = """v AS (SELECT DISTINCT CASE WHEN day(o_orderdate) % 5 = 0
       THEN 'occindex_' || strftime(o_orderdate, '%d_%m_%H_%M_%S')
       ELSE 'occindex-' || strftime(o_orderdate, '%Y-%m-%d-%H-%M') END AS name FROM orders)"""
@@ -660,11 +691,42 @@ def q_touch_registry(spark, sf_dir):
     return PL.touch_registry(reg, ids, "2024-02-01T00:00:00")
 
 
+@register("touch_registry_provider", """SELECT 'dr' || CAST(s_suppkey AS VARCHAR) AS uid,
+  CASE WHEN s_suppkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1) OR s_suppkey = 30 THEN '2024-02-01T00:00:00'
+       WHEN s_suppkey % 4 = 0 THEN '2023-12-01T00:00:00' END AS lastChecked FROM supplier""")
+def q_touch_registry_provider(spark, sf_dir):
+    """A provider's members and a dataset of its own are touched."""
+    reg, providers = D.dataset_registry(spark, sf_dir), D.provider_registry(spark, sf_dir)
+    ids = providers.where("uid = 'dp1'").select(F.col("uid").alias("dataset_id")).unionByName(
+        reg.where("uid = 'dr30'").select(F.col("uid").alias("dataset_id")))
+    return PL.touch_registry(reg, ids, "2024-02-01T00:00:00", providers=providers).select("uid", "lastChecked")
+
+
+@register("sensitive_columns", """SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status,
+  'id,multimedia,annotations,status,tags' AS published, o_orderstatus || '|' || o_orderpriority AS tags FROM orders""")
+def q_sensitive_columns(spark, sf_dir):
+    """Restricted originals of every type, in records and then flattened: none is published."""
+    from florafold.operators.enrich import build_index_record
+    from florafold.operators.flatten import flatten_index
+    o = D.load_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.array("o_orderstatus", "o_orderpriority").alias("tags"),
+        F.array("o_orderpriority").alias("sensitive_tags"), F.col("o_totalprice").alias("sensitive_price"), F.col("o_orderdate").alias("sensitive_date"),
+        F.struct("o_custkey").alias("sensitive_customer"), F.col("o_custkey").alias("sensitive_key"), F.lit(None).alias("nothing"))
+    rec = build_index_record(o)
+    # a record whose maker put a restricted value into another map
+    rec = rec.withColumn("multiValues", F.map_concat("multiValues", F.create_map(F.lit("sensitive_more"), F.array(F.lit("x"))))) \
+        .withColumn("longs", F.create_map(F.lit("sensitive_count"), F.lit(1).cast("bigint"))) \
+        .withColumn("multimedia", F.array().cast("array<string>")).withColumn("annotations", F.array().cast("array<string>"))
+    flat = flatten_index(rec, merge_duplicate_ids=False)
+    return flat.select("id", "status", F.lit(",".join(flat.columns)).alias("published"), F.array_join("tags", "|").alias("tags"))
+
+
 # ---------------------------------------------------------------- lifecycle / export / scalar
 from florafold import functions as FN  # noqa: E402
 from florafold.operators import export as EX  # noqa: E402
 from florafold.session import scratch_dir  # noqa: E402
 from florafold.sources import sinks as SK  # noqa: E402
+from florafold.sources.archive import read_text_table  # noqa: E402
 
 
 def _orders_by_priority(spark, sf_dir):
@@ -757,6 +819,24 @@ def q_export_download(spark, sf_dir):
     return parts[0].unionByName(parts[1]).select("resource", "dataset_id", "n_rows")
 
 
+@register("export_download_manifest", """WITH core AS (SELECT DISTINCT 'dr' || CAST(o_custkey % 10 AS VARCHAR) AS dataset_id FROM orders
+  WHERE o_orderstatus IN ('F') AND o_orderpriority IN ('1-URGENT', '2-HIGH'))
+SELECT dataset_id, CASE WHEN s_suppkey IS NULL OR s_suppkey % 10 = 9 THEN 'Untitled dataset' ELSE s_name END AS name,
+  'exports/req-7/' || dataset_id || '.zip' AS archive, true AS has_size, CAST((SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    WHERE o_orderstatus IN ('F') AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND 'dr' || CAST(o_custkey % 10 AS VARCHAR) = dataset_id) AS BIGINT) AS n_lineitem
+FROM core LEFT JOIN supplier ON 'dr' || CAST(s_suppkey AS VARCHAR) = dataset_id""")
+def q_export_download_manifest(spark, sf_dir):
+    """C6 with its manifest; every core row is there twice, extension rows are not repeated."""
+    ds = F.concat(F.lit("dr"), (F.col("o_custkey") % 10).cast("string"))
+    o = D.load_table(spark, sf_dir, "orders").withColumn("dataset_id", ds)
+    li = D.load_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity")
+    dest = scratch_dir(spark, "export")
+    EX.export_download(o.unionByName(o), PREDICATE, {"lineitem": li}, dest, "o_orderkey", registry=D.dataset_registry(spark, sf_dir), request_id="req-7")
+    n = read_text_table(spark, f"{dest}/lineitem").groupBy(F.col("dataset_id").cast("string").alias("dataset_id")).agg(F.count(F.lit(1)).alias("n_lineitem"))
+    return spark.read.json(f"{dest}/manifest").join(n, "dataset_id", "left").select(
+        "dataset_id", "name", "archive", F.col("size_label").rlike("^[0-9.]+(MB|GB)$").alias("has_size"), "n_lineitem")
+
+
 @register("export_manifest", f"""WITH {_INV_SQL},
 z AS ({sql_dataset_sizes('dwca')}),
 r AS (SELECT 'dr' || CAST(s_suppkey AS VARCHAR) AS uid, CASE WHEN s_suppkey % 10 = 9 THEN NULL ELSE s_name END AS name,
