@@ -84,8 +84,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
-    docs = docs.withColumn("text_sha256", F.sha2(exact_dedup.normalised(F.col("text")), 256))
-    return exact_dedup.exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exact_dedup.exact_groups(docs, hash_col="text_sha256").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,6 +79,36 @@ def test_exact_groups(spark, edges):
     assert sorted(got, key=str) == [(3, 3, 3, True), (None, 3, 3, False), (None, 3, 3, False), (None, None, 1, True)]
 
 
+def test_whole_texts_are_hashed_after_the_refinement(spark):
+    """No plan but that of the survivors holds sha2, and there it stands above their join; texts of rows
+    whose bit is not set leave the plan before any exchange."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    docs = spark.createDataFrame([(i, f"text {i % 90} of many" * 30) for i in range(100)], "doc_id long, text string")
+    plans, real = [], DataFrame.checkpoint
+    DataFrame.checkpoint = lambda self, *a, **k: plans.append(self._jdf.queryExecution()) or real(self, *a, **k)
+    try:
+        out = exact_dedup.exact_groups(docs)
+    finally:
+        DataFrame.checkpoint = real
+    optimised = [p.optimizedPlan().toString() for p in plans] + [out._jdf.queryExecution().optimizedPlan().toString()]
+    hashed = [p for p in optimised if "sha2(" in p]
+    assert len(hashed) == 1
+    lines = hashed[0].splitlines()
+    sha, join = next(i for i, x in enumerate(lines) if "sha2(" in x), next(i for i, x in enumerate(lines) if "Join LeftSemi" in x)
+    bits = next(i for i, x in enumerate(lines) if "getbit" in x or "bit_get" in x)
+    assert sha < join < bits and sum("sha2(" in x for x in lines) == 1
+    assert sorted(r["group_size"] for r in out.collect()) == [1] * 80 + [2] * 20
+
+
+def test_bitmap_misses_no_shared_key(spark):
+    rows = spark.range(5000).select(F.col("id"), (F.col("id") % 4000).cast("int").alias("_length"), F.lit(7).cast("long").alias("_head"))
+    keys = rows.groupBy(*exact_dedup.LEVEL).count().where("count > 1").drop("count")
+    bitmap = exact_dedup._Bitmap(keys)
+    there, gone = bitmap.split(rows, True), bitmap.split(rows, False)
+    assert there.join(keys, exact_dedup.LEVEL).count() == 2000 and there.count() + gone.count() == 5000
+    assert gone.count() > 2500  # few false ones
+
+
 def test_drop_duplicates_of_null_and_reused_ids(spark):
     head = "x" * 300  # same length and prefix hash, other texts
     rows = [(None, "a"), (None, "a"), (3, "a"), (None, "b"), (None, "b"), (None, "c"), (None, head + "1"), (None, head + "2"),
