@@ -12,16 +12,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
+def _with_least(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) with m, the smallest v of their u.
+
+    The edges of a node with many neighbours are dealt by a salt of the
+    neighbour: the least of each (node, salt) first, then of each node, sent back to the salts that occur."""
+    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = edges.withColumn("_s", F.pmod(F.xxhash64("v"), F.lit(n)).cast("int"))
+    least = salted.groupBy("u", "_s").agg(F.min("v").alias("m")).groupBy("u").agg(
+        F.min("m").alias("m"), F.collect_list("_s").alias("_ss")).select("u", "m", F.explode("_ss").alias("_s"))
+    return salted.join(least, ["u", "_s"]).drop("_s")
+
+
 def _stars(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star step over edges (u, v) with u > v."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    large = large.where("u <> v").distinct()
-    least = large.groupBy("u").agg(F.min("v").alias("m"))
-    hung = large.join(least, "u")
+    large = _with_least(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.least("u", "m").alias("m"))
+    large = large.select("u", F.col("m").alias("v")).where("u <> v").distinct()
+    hung = _with_least(large)
     moved = hung.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).where("u > v").distinct()
+    return moved.union(hung.select("u", F.col("m").alias("v")).distinct()).where("u > v").distinct()
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
