@@ -9,26 +9,33 @@ Shape (as in download requests)::
 (``or``, ``not``, ``equals``, ``range``, ``isNull``, ``isNotNull``, ``like``)
 are our own definition. Compiling happens once on the driver over the
 (small) predicate tree; the result is a built-in expression that Catalyst
-pushes down to the scan where it can.
+pushes down to the scan where it can. An ``in`` with a long list becomes a join
+with the list's values, wherever it stands in the tree (:func:`predicate_filter`).
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def predicate_to_column(predicate: Any) -> Column:
+#: Longer lists of an ``in`` are joined, not compared one by one.
+LONG_LIST = 1000
+
+
+def predicate_to_column(predicate: Any, long_list: Callable[[str, list], Column] | None = None) -> Column:
+    """``long_list(key, values)`` gives the column of an ``in`` with more than ``LONG_LIST`` values."""
     if isinstance(predicate, str):
         predicate = json.loads(predicate)
     if predicate is None or predicate == {}:
         return F.lit(True)
     kind = predicate.get("type")
     if kind in ("and", "or"):
-        parts = [predicate_to_column(p) for p in predicate.get("predicates", [])]
+        parts = [predicate_to_column(p, long_list) for p in predicate.get("predicates", [])]
         if not parts:
             return F.lit(kind == "and")
         out = parts[0]
@@ -36,13 +43,15 @@ def predicate_to_column(predicate: Any) -> Column:
             out = (out & p) if kind == "and" else (out | p)
         return out
     if kind == "not":
-        return ~F.coalesce(predicate_to_column(predicate["predicate"]), F.lit(False))
+        return ~F.coalesce(predicate_to_column(predicate["predicate"], long_list), F.lit(False))
     key = predicate.get("key")
     col = F.col(f"`{key}`") if key else None
     # leaves stay plain comparisons so Parquet receives them as pushed filters;
     # a null leaf filters the row out exactly like false, except under `not`,
     # which treats null as false before negating
     if kind == "in":
+        if long_list and len(predicate.get("values", [])) > LONG_LIST:
+            return long_list(key, predicate["values"])
         return col.isin(list(predicate.get("values", [])))
     if kind == "equals":
         return col == F.lit(predicate["value"])
@@ -65,6 +74,26 @@ def predicate_to_column(predicate: Any) -> Column:
     raise ValueError(f"unknown predicate type: {kind!r}")
 
 
-def predicate_filter(df, predicate):
-    """Rows of ``df`` matching the JSON predicate."""
-    return df.filter(predicate_to_column(predicate))
+def predicate_filter(df: DataFrame, predicate) -> DataFrame:
+    """Rows matching a JSON predicate tree.
+
+    Short nodes are pushed down to the scan where possible. A long list of values
+    is a table of its own, made distinct and left-joined on its key, so that rows are neither lost nor
+    repeated and the match counts like any other node under ``and``, ``or`` and
+    ``not``; Spark broadcasts a small list and shuffles a large one. Values are read as the key's type;
+    a null key matches no list."""
+    lists = []
+
+    def long_list(key: str, values: list) -> Column:
+        lists.append((key, values))
+        return F.when(F.col(f"`{key}`").isNotNull(), F.col(f"__in{len(lists) - 1}").isNotNull())
+
+    condition = predicate_to_column(predicate, long_list)
+    if not lists:
+        return df.filter(condition)
+    out = df
+    for i, (key, values) in enumerate(lists):
+        table = df.sparkSession.createDataFrame([(str(v),) for v in values if v is not None], "v string")
+        table = table.select(F.col("v").cast(df.schema[key].dataType).alias(f"__in{i}")).where(f"__in{i} is not null").distinct()
+        out = out.join(table, F.col(f"`{key}`") == F.col(f"__in{i}"), "left")
+    return out.filter(condition).select(*[f"`{c}`" for c in df.columns])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from florafold.functions.predicate import predicate_to_column
+from florafold.functions.predicate import predicate_filter
 from florafold.functions.scalar import licence
 from florafold.sources.sinks import export_archive
 
@@ -15,11 +15,6 @@ MIB = 1048576
 # ------------------------------------------------------------------------------
 
 
-def predicate_filter(df: DataFrame, predicate) -> DataFrame:
-    """Rows matching a JSON predicate tree (pushed down to the scan where possible)."""
-    return df.filter(predicate_to_column(predicate))
-
-
 def size_mb_label(nbytes) -> F.Column:
     """F8 with exact rounding of bytes / 2^20 to 2 decimals (half to even on
     the exact value, as Python's ``round`` does on a float), then 'MB', or

@@ -797,6 +797,17 @@ def q_predicate_filter_tree(spark, sf_dir):
     return EX.predicate_filter(D.load_table(spark, sf_dir, "events"), pred)
 
 
+@register("predicate_filter_long_list", """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
+WHERE ((o_orderkey % 3 = 0 AND o_orderkey < 600000) OR o_orderstatus = 'F') AND NOT (o_custkey % 2 = 0 AND o_custkey < 20000)""")
+def q_predicate_filter_long_list(spark, sf_dir):
+    """200,000 ids in one ``in`` under ``or``, and a long list under ``not``."""
+    pred = {"type": "and", "predicates": [
+        {"type": "or", "predicates": [{"type": "in", "key": "o_orderkey", "values": list(range(0, 600000, 3))},
+                                      {"type": "in", "key": "o_orderstatus", "values": ["F"]}]},
+        {"type": "not", "predicate": {"type": "in", "key": "o_custkey", "values": list(range(0, 20000, 2))}}]}
+    return EX.predicate_filter(D.load_table(spark, sf_dir, "orders"), pred).select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
 @register("export_download", """WITH core AS (
   SELECT o_orderkey, 'dr' || CAST(o_custkey % 10 AS VARCHAR) AS dataset_id FROM orders
   WHERE o_orderstatus IN ('F') AND o_orderpriority IN ('1-URGENT', '2-HIGH'))
