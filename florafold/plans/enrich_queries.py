@@ -63,6 +63,38 @@ ISSUE_CODES = ["DECIMALLATITUDE_INVALID", "DECIMALLONGITUDE_INVALID", "EVENTDATE
                "INDIVIDUALCOUNT_INVALID", "COORDINATE_OUT_OF_RANGE", "ZERO_COORDINATE"]
 
 
+@register("event_intervals", """WITH o AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders),
+p AS (SELECT *, k % 6 AS how, CAST(date_trunc('month', d) AS DATE) AS m, CAST(date_trunc('year', d) AS DATE) AS y FROM o)
+SELECT k AS id, CAST(CASE how WHEN 0 THEN y WHEN 1 THEN m WHEN 2 THEN d WHEN 3 THEN d END AS DATE) AS start,
+  CAST(CASE how WHEN 0 THEN y + INTERVAL 1 YEAR - INTERVAL 1 DAY WHEN 1 THEN m + INTERVAL 1 MONTH - INTERVAL 1 DAY WHEN 2 THEN d
+    WHEN 3 THEN d + INTERVAL 40 DAY END AS DATE) AS "end",
+  CASE how WHEN 0 THEN 'year' WHEN 1 THEN 'month' WHEN 2 THEN 'day' WHEN 3 THEN 'range' END AS precision,
+  CASE how WHEN 4 THEN 'EVENTDATE_REVERSED' WHEN 5 THEN 'EVENTDATE_INVALID' END AS issue FROM p""")
+def q_event_intervals(spark, sf_dir):
+    """Years, months, days, ranges, reversed ranges and days that do not exist."""
+    from florafold.functions.dates import event_interval
+    d, how = F.col("o_orderdate").cast("date"), F.col("o_orderkey") % 6
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd")
+    text = (F.when(how == 0, F.date_format(d, "yyyy")).when(how == 1, F.date_format(d, "yyyy-MM")).when(how == 2, iso(d))
+            .when(how == 3, F.concat_ws("/", iso(d), iso(F.date_add(d, 40)))).when(how == 4, F.concat_ws("/", iso(d), iso(F.date_add(d, -1))))
+            .otherwise(F.concat(F.date_format(d, "yyyy"), F.lit("-02-30"))))
+    return D.load_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), event_interval(text).alias("e")).select("id", "e.*")
+
+
+@register("written_coordinates", """WITH o AS (SELECT o_orderkey AS k, o_orderkey % 80 AS deg, o_custkey % 60 AS mi, o_orderkey % 59 AS se FROM orders)
+SELECT k AS id, CASE k % 4 WHEN 0 THEN deg + mi / 60.0 + se / 3600.0 WHEN 1 THEN -(deg + (mi + 0.5) / 60.0) WHEN 2 THEN -(deg + 0.25) END AS latitude
+FROM o""")
+def q_written_coordinates(spark, sf_dir):
+    """Degrees, minutes and seconds with signs and without, plain numbers, and more degrees than a latitude has."""
+    from florafold.functions.dates import degrees
+    k = F.col("o_orderkey")
+    t = lambda c: c.cast("string")
+    deg, mi, se = t(k % 80), t(F.col("o_custkey") % 60), t(k % 59)
+    text = (F.when(k % 4 == 0, F.concat(deg, F.lit("°"), mi, F.lit("'"), se, F.lit('"N'))).when(k % 4 == 1, F.concat(deg, F.lit(" "), mi, F.lit(".5 s")))
+            .when(k % 4 == 2, F.concat(F.lit("-"), deg, F.lit(".25"))).otherwise(F.concat(t(k % 80 + 91), F.lit("°N"))))
+    return D.load_table(spark, sf_dir, "orders").select(k.alias("id"), degrees(text, 90).alias("latitude"))
+
+
 @register("interpretation_metrics", f"""WITH {OCC_SQL}, {INTERP_SQL}
 SELECT dataset_id, CAST(count(*) AS BIGINT) AS records,
   CAST(count(decimalLatitude) AS BIGINT) AS parsed_decimalLatitude,
