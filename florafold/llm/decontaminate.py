@@ -1,22 +1,29 @@
 """Benchmark decontamination: n-gram seeds, rare ones first, then Smith-Waterman alignment.
 
-1. The word n-grams of all benchmark items are counted over all documents (one
-   narrow aggregation of at most one row for each of these n-grams and task).
-2. Every n-gram of an item that some document holds is a seed, however many
-   documents hold it.
-3. Documents that hold a seed are aligned with the item around each group of
-   hits: Smith-Waterman over words with +1 for equal words, -1 for different
-   ones and -1 for a gap. The score is the best alignment's share of the item's
-   words. A window with only hits of seeds in more than ``rare_documents``
-   documents is aligned if it holds enough of the item's word pairs: an
-   alignment of M equal words and E others scores M - E and has at least
-   M - E - 1 pairs of neighbours, so fewer pairs cannot reach ``min_score``.
-   Seeds in few documents are mostly copies and save that test. The result
-   does not depend on ``rare_documents``.
-
-An item is in a document when its score is at least ``min_score`` and ``n``
-consecutive words of it stand unchanged. Items of fewer than ``n`` words match
-only where they stand whole.
+1. Each item's words are cut into n-grams so short that no copy above
+   ``min_score`` is without one. The score is M - E for M equal words and E
+   others. Of an item of L words that must score c, E is at most L - c, and the
+   M >= c + E equal words stand in at most E + 1 runs; so one run has at least
+   L / (L - c + 1) words, and that, rounded up, is n (two or three words at 0.6).
+2. The n-grams of all items are counted over all documents (one narrow
+   aggregation of at most one row for each of these n-grams and task). Every
+   one that some document holds is a seed, however many documents hold it.
+3. A copy holds at least c - (n - 1) - (n - 2) * (L - c) of its item's seeds, and
+   where these would have the item begin differs by at most L - c words. Hits
+   without so many others near are left out.
+4. Documents are aligned with the item around each group of hits left:
+   Smith-Waterman over words with +1 for equal words, -1 for different ones and
+   -1 for a gap. The score is the best alignment's share of the item's words. A
+   window with only hits of seeds in more than ``rare_documents`` documents is
+   aligned if it holds enough of the item's word pairs: an alignment of M equal
+   words and E others has at least M - E - 1 pairs of neighbours, so fewer pairs
+   cannot reach ``min_score``. Seeds in few documents are mostly copies and save
+   that test. The result does not depend on ``rare_documents``.
+
+An item is in a document when its score is at least ``min_score``; with an ``n``
+given, only if ``n`` consecutive words of it stand unchanged as well. Items of
+fewer than ``WHOLE_BELOW`` words (of ``n`` words) match only where they stand
+whole.
 
 Documents stay where they were read; texts are never exchanged. The benchmark is
 a bounded table: its items go to the tasks in blocks of at most ``block_words``
@@ -35,22 +42,46 @@ from pyspark.sql import DataFrame, functions as F
 from .words import SYMBOLS, Words, grams, slices
 
 
+WHOLE_BELOW = 4
+
+
 def _words(texts: pa.Array) -> Words:
     return Words(texts, lower=True, breaks=SYMBOLS)
 
 
+def least_words(size: int, min_score: float) -> int:
+    """Smallest alignment score in words that is a share of at least ``min_score`` of an item of ``size`` words."""
+    scores = np.arange(1, size + 1)
+    return int(scores[scores / size >= min_score][0]) if min_score <= 1 else size + 1
+
+
+def seed_rule(size: int, min_score: float) -> tuple[int, int]:
+    """Words of a seed, and how many seeds every copy of an item of ``size`` words holds (points 1 and 3 above)."""
+    if size < WHOLE_BELOW:
+        return size, 1
+    c = least_words(size, min_score)
+    n = -(-size // max(1, size - c + 1))
+    return n, max(1, c - (n - 1) - max(0, n - 2) * (size - c))
+
+
 class Seeds:
-    """The words of a block of items and their n-grams, sorted by hash."""
+    """The words of a block of items and their n-grams, sorted by hash; the length of these follows from ``min_score``
+    for an ``n`` of None."""
 
-    def __init__(self, items: list[tuple[int, str]], n: int):
+    def __init__(self, items: list[tuple[int, str]], n: int | None, min_score: float = 0.6):
         self.ids = [i for i, _ in items]
         words = _words(pa.array([t for _, t in items], pa.string()))
         h = words.hashes()
         self.items = [h[words.first[k]:words.first[k + 1]] for k in range(len(items))]
         self.pairs = [np.unique(grams(item, 2), return_counts=True) for item in self.items]
         seeds = []
+        self.need = np.ones(len(items), dtype=np.int64)
+        self.drift = np.zeros(len(items), dtype=np.int64)  # an alignment through a hit has fewer gaps
         for k, item in enumerate(self.items):
-            m = min(n, len(item))
+            self.drift[k] = int(len(item) * (1 - min_score)) + 1
+            m = min(n or 0, len(item))
+            if n is None and len(item):
+                m, self.need[k] = seed_rule(len(item), min_score)
             if m:
                 seeds += [(int(g), k, p, m) for p, g in enumerate(grams(item, m))]
         self.hash = np.array([s[0] for s in seeds], dtype=np.uint64)
@@ -87,6 +118,19 @@ class Seeds:
         return [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
 
 
+def _crowded(doc: np.ndarray, item: np.ndarray, begin: np.ndarray, need: np.ndarray, drift: np.ndarray) -> np.ndarray:
+    """Which of the hits, sorted by document, item and begin, have ``need`` hits of that pair, themselves
+    included, within ``drift`` words."""
+    i = np.arange(len(doc))
+    last = i + need - 1
+    to = np.minimum(last, len(doc) - 1)
+    ok = (last < len(doc)) & (doc[to] == doc) & (item[to] == item) & (begin[to] - begin <= drift)
+    step = np.zeros(len(doc) + 1, dtype=np.int64)
+    np.add.at(step, i[ok], 1)
+    np.add.at(step, last[ok] + 1, -1)
+    return np.cumsum(step[:-1]) > 0
+
+
 def _maybe(keys: np.ndarray) -> np.ndarray:
     seen = np.zeros(1 << 16, dtype=bool)
     seen[(keys & np.uint64(0xFFFF)).astype(np.int64)] = True
@@ -120,27 +164,27 @@ def _blocks(items: DataFrame, block_words: int, id_col: str, text_col: str):
             yield rows
 
 
-def _block_seeds(docs: DataFrame, items: DataFrame, text_col: str, item_col: str, item_text_col: str, n: int,
-                 rare_documents: int, block_words: int):
+def _block_seeds(docs: DataFrame, items: DataFrame, text_col: str, item_col: str, item_text_col: str, n: int | None,
+                 rare_documents: int, min_score: float, block_words: int):
     """The broadcast seeds of each block of items that has any."""
     context = docs.sparkSession.sparkContext
     for block in _blocks(items, block_words, item_col, item_text_col):
-        counts = _seed_documents(docs.select(text_col), context.broadcast(Seeds(block, n)), text_col)
-        seeds = Seeds(block, n)
+        counts = _seed_documents(docs.select(text_col), context.broadcast(Seeds(block, n, min_score)), text_col)
+        seeds = Seeds(block, n, min_score)
         seeds.rate(counts, rare_documents)
         if len(seeds.hash):
             yield context.broadcast(seeds)
 
 
 def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               item_col: str = "item_id", item_text_col: str = "text", n: int = 4, rare_documents: int = 1000,
+               item_col: str = "item_id", item_text_col: str = "text", n: int | None = None, rare_documents: int = 1000,
                min_score: float = 0.6, block_words: int = 1_000_000) -> DataFrame:
     """One row for each item found in a document: id, item id, score, first_word, words (of the aligned part)."""
     id_type = docs.schema[id_col].dataType.simpleString()
     item_type = items.schema[item_col].dataType.simpleString()
     schema = f"`{id_col}` {id_type}, `{item_col}` {item_type}, score double, first_word bigint, words bigint"
     out = docs.sparkSession.createDataFrame([], schema)
-    for seeds in _block_seeds(docs, items, text_col, item_col, item_text_col, n, rare_documents, block_words):
+    for seeds in _block_seeds(docs, items, text_col, item_col, item_text_col, n, rare_documents, min_score, block_words):
         out = out.unionByName(_align(docs.select(id_col, text_col), seeds, schema, id_col, text_col, item_col, min_score))
     return out
 
@@ -174,14 +218,16 @@ def _aligned(texts: pa.Array, seeds: Seeds, min_score: float) -> dict[tuple[int,
     # hits of an item in a document, by where the item would begin
     begin = at - seeds.place[seed]
     order = np.lexsort((begin, seeds.item[seed], doc))
-    doc, item_of, begin, rare = (x[order].tolist() for x in (doc, seeds.item[seed], begin, seeds.rare[seed]))
+    doc, item_of, begin, rare = (x[order] for x in (doc, seeds.item[seed], begin, seeds.rare[seed]))
+    kept = _crowded(doc, item_of, begin, seeds.need[item_of], seeds.drift[item_of])
+    doc, item_of, begin, rare = (x[kept].tolist() for x in (doc, item_of, begin, rare))
     rows: dict[tuple[int, int], tuple[int, int, int]] = {}
     i = 0
     while i < len(doc):
         d, k, first = doc[i], item_of[i], begin[i]
         item = seeds.items[k]
         size = len(item)
-        drift = int(size * (1 - min_score)) + 1  # an alignment through a hit has fewer gaps
+        drift = int(seeds.drift[k])
         slack = max(size // 2 + 4, drift)
         direct = False
         while i < len(doc) and doc[i] == d and item_of[i] == k and begin[i] - first <= slack - drift:
@@ -234,7 +280,7 @@ def _without(docs: DataFrame, shared, text_col: str, min_score: float) -> DataFr
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                      item_text_col: str = "text", n: int = 4, rare_documents: int = 1000, min_score: float = 0.6,
+                      item_text_col: str = "text", n: int | None = None, rare_documents: int = 1000, min_score: float = 0.6,
                       block_words: int = 1_000_000) -> DataFrame:
     """``docs`` without the rows that hold an item.
 
@@ -242,6 +288,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
     ids (null and repeated ones too); each further block of items is a further filter.
     """
     out = docs
-    for seeds in _block_seeds(docs, items, text_col, item_col, item_text_col, n, rare_documents, block_words):
+    for seeds in _block_seeds(docs, items, text_col, item_col, item_text_col, n, rare_documents, min_score, block_words):
         out = _without(out, seeds, text_col, min_score)
     return out

@@ -541,6 +541,38 @@ def test_decontamination_finds_what_plain_alignment_finds(rare):
     assert {x: r[0] for x, r in got.items()} == want and len(want) > 20
 
 
+@pytest.mark.parametrize("min_score, rare", [(0.6, 0), (0.6, 3), (0.45, 1), (0.8, 0), (1.0, 0)])
+def test_decontamination_loses_no_copy_above_the_score(min_score, rare):
+    """Words dropped, put in and replaced at random: every (text, item) pair that plain alignment scores high enough."""
+    rng = random.Random(f"{min_score} {rare}")
+    items = [[f"v{rng.randrange(90)}" for _ in range(rng.randrange(1, 40))] for _ in range(12)]
+    texts = [[w for i, w in enumerate(items[k]) for w in ([w, "new"] if i % every == every - 1 else [w])] for k in range(12) for every in (2, 3, 4)]
+    for _ in range(500):
+        copy = [w for w in rng.choice(items) for w in ([w], [w], [w], [w], [w], [], ["new"], [w, "new"])[rng.randrange(8)]]
+        texts.append([f"v{rng.randrange(90)}" for _ in range(15)] + copy + [f"v{rng.randrange(90)}" for _ in range(15)])
+    seeds = decontaminate.Seeds([(k, " ".join(x)) for k, x in enumerate(items)], None, min_score)
+    seeds.rate({int(g): 2 for g in seeds.hash}, rare)
+    got = decontaminate._aligned(pa.array([" ".join(t) for t in texts]), seeds, min_score)
+    want = {}
+    for d, t in enumerate(texts):
+        for k, x in enumerate(items):
+            s = decontaminate.smith_waterman(*(np.array([hash(w) for w in y]) for y in (x, t)))[0]
+            if s / len(x) >= (min_score if len(x) >= decontaminate.WHOLE_BELOW else 1):
+                want[d, k] = s
+    assert {x: r[0] for x, r in got.items()} == want and len(want) > 20
+    fours = {(d, k) for d, k in want if any(" ".join(items[k][i:i + 4]) in " ".join(texts[d]) for i in range(len(items[k]) - 3))}
+    assert min_score > 0.7 or len(fours) < len(want)  # some have no four unchanged words
+
+
+def test_decontamination_finds_an_item_with_a_word_put_in_after_each_third(spark):
+    item = [f"w{i}" for i in range(30)]
+    copy = " ".join(w + " extra" if i % 3 == 2 else w for i, w in enumerate(item))
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = rows_of(decontaminate.find_items(table(spark, [(1, f"a b {copy} c d"), (2, "nothing of it")]), bench))
+    assert [(r["doc_id"], r["item_id"], r["score"], r["first_word"], r["words"]) for r in got] == [(1, 1, 0.7, 2, 39)]
+    assert rows_of(decontaminate.find_items(table(spark, [(1, copy)]), bench, n=4)) == []
+
+
 def plain_alignment(a, b):
     h = np.zeros((len(a) + 1, len(b) + 1), int)
     for i, j in itertools.product(range(1, len(a) + 1), range(1, len(b) + 1)):
