@@ -340,6 +340,47 @@ def q_compare_records(spark, sf_dir):
     return CK.compare_records(D.index_version(spark, sf_dir, "old"), D.index_version(spark, sf_dir, "new"))
 
 
+# ---------------------------------------------------------------- J3 / U2 whole versions, T2 top-k in two phases
+from florafold.operators import digests as DG  # noqa: E402
+from florafold.operators import topk as TK  # noqa: E402
+
+# the new version differs from the old one in the datasets of three users out of 25
+_TOUCHED = "(SELECT CAST(event_id AS VARCHAR) FROM events WHERE user_id % 25 < 3)"
+
+
+def _two_versions(spark, sf_dir):
+    old, new = (D.index_version(spark, sf_dir, w) for w in ("old", "new"))
+    touched = F.col("dataResourceUid").isin("dr0", "dr1", "dr2")
+    return old, new.where(touched).unionByName(old.where(~touched), allowMissingColumns=True)
+
+
+@register("compare_versions", f"""WITH {_iv_ctes()}, {sql_compare_records(f"AND id IN {_TOUCHED}")}
+SELECT *, CASE WHEN n_old = 0 THEN 'added' WHEN n_new = 0 THEN 'removed' WHEN n_old = 1 AND n_new = 1 THEN 'changed'
+  ELSE 'repeated' END AS kind FROM cmp_status WHERE status <> 'PASS'""")
+def q_compare_versions(spark, sf_dir):
+    return DG.compare_versions(*_two_versions(spark, sf_dir))
+
+
+@register("changed_datasets", f"""WITH {_iv_ctes()}, {sql_compare_records(f"AND id IN {_TOUCHED}")},
+hit AS (SELECT DISTINCT o.dataResourceUid AS dataset FROM cmp_status c JOIN old_iv o ON c.id = o.id WHERE status <> 'PASS'),
+o AS (SELECT dataResourceUid AS dataset, count(*) AS n FROM old_iv GROUP BY 1),
+n AS (SELECT dataResourceUid AS dataset, count(*) AS n FROM new_iv GROUP BY 1)
+SELECT dataset, CAST(o.n AS BIGINT) AS n_old,
+  CAST(CASE WHEN dataset IN ('dr0', 'dr1', 'dr2') THEN coalesce(n.n, 0) ELSE o.n END AS BIGINT) AS n_new,
+  dataset NOT IN (SELECT dataset FROM hit) AS same
+FROM o LEFT JOIN n USING (dataset)""")
+def q_changed_datasets(spark, sf_dir):
+    old, new = _two_versions(spark, sf_dir)
+    return DG.changed_datasets(DG.digest_tables(old, new))
+
+
+@register("facet_topk_two_phases", """
+SELECT l_partkey AS value, CAST(count(*) AS BIGINT) AS count FROM lineitem
+WHERE l_partkey IS NOT NULL GROUP BY 1 ORDER BY count DESC, value LIMIT 25""")
+def q_facet_topk_two_phases(spark, sf_dir):
+    return TK.facet_topk(D.load_table(spark, sf_dir, "lineitem"), "l_partkey", 25)
+
+
 # ---------------------------------------------------------------- C2 publish / retention
 from florafold.operators import retention as RT  # noqa: E402
 from florafold.plans import publish as PB  # noqa: E402
@@ -746,6 +787,25 @@ def q_replace_dataset(spark, sf_dir):
                                             F.col("dataset_id").cast("string").alias("dataset_id"))
 
 
+@register("replace_datasets_one_step", """SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority AS dataset_id
+FROM orders WHERE o_orderpriority NOT IN ('5-LOW', '4-NOT SPECIFIED') AND (o_orderpriority <> '1-URGENT' OR o_orderkey % 2 = 0)""")
+def q_replace_datasets_one_step(spark, sf_dir):
+    """One call replaces a dataset and empties another, a call that comes too late changes nothing, a third deletes."""
+    from florafold.plans import commits as CM
+    from florafold.plans import datasets as DS
+    root, base = scratch_dir(spark, "datasets"), _orders_by_priority(spark, sf_dir)
+    DS.replace_datasets(base, root)
+    asked = spark.createDataFrame([("1-URGENT",), ("4-NOT SPECIFIED",)], "id string")
+    DS.replace_datasets(base.where("dataset_id = '1-URGENT' and o_orderkey % 2 = 0"), root, asked)
+    try:  # decided on the first state
+        DS.replace_datasets(base.where("dataset_id = '2-HIGH' and o_orderkey % 3 = 0"), root, base=1)
+        raise AssertionError("a late call won")
+    except CM.PublishConflict:
+        pass
+    DS.delete_datasets(spark, root, spark.createDataFrame([("5-LOW",), ("none",)], "id string"))
+    return DS.read_datasets(spark, root)
+
+
 @register("write_timestamped", """SELECT o_orderkey, o_orderstatus FROM orders""")
 def q_write_timestamped(spark, sf_dir):
     import datetime as _dt
