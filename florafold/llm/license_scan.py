@@ -14,9 +14,10 @@ Words are compared by 64-bit hashes computed for whole slices at once; a hit of
 a phrase or of a template's first words is then compared word by word in bytes.
 Scanning needs no exchange.
 
-Edge cases: a null text is empty: no words, no labels, score 0. Repeated rows
-get equal results. Other columns pass through; those named like an output column
-are replaced.
+Edge cases: a null text is empty: no words, no labels, score 0. Texts are scanned
+whole, however long. Repeated rows get equal results; findings at the same word are
+ordered by label. The result holds the id and the scan's own columns only: other
+columns do not pass through, so their names cannot clash.
 """
 
 from __future__ import annotations
