@@ -98,3 +98,12 @@ def delete_datasets(spark: SparkSession, root: str, ids: DataFrame, base: int |
     gone = ids.select(F.col(ids.columns[0]).cast("string").alias("dataset_id"))
     manifest(spark, root).join(gone, "dataset_id", "left_anti").write.mode("errorifexists").parquet(path)
     return CM._commit(spark, root, ALIAS, base, token, "delete", path)
+
+
+def unused_folders(spark: SparkSession, root: str, dataset_col: str = "dataset_id") -> DataFrame:
+    """batch and dataset of each folder with files that the current manifest does not name: replaced or deleted
+    datasets, and calls that failed after their write. Readers of an earlier commit may still need the former."""
+    parts = T.StructType([T.StructField("batch", T.StringType()), T.StructField("_dataset", T.StringType())])
+    folders = spark.read.schema(parts).parquet(f"{root.rstrip('/')}/data").distinct()
+    live = manifest(spark, root.rstrip("/")).select("batch", F.col("dataset_id").alias("_dataset"))
+    return folders.join(live, ["batch", "_dataset"], "left_anti").withColumnRenamed("_dataset", dataset_col)

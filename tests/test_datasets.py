@@ -55,6 +55,10 @@ def test_a_call_that_fails_changes_nothing(spark, tmp_path):
         with pytest.raises(CM.PublishConflict):
             late()
     assert held(spark, root) == [(1, "a"), (7, "b")]
+    live = {r["batch"] for r in DS.manifest(spark, root).collect()}
+    unused = [(r["dataset_id"], r["batch"] in live) for r in DS.unused_folders(spark, root).collect()]
+    # the first "b" (its batch still holds "a"), and what was written before a call was refused
+    assert ("b", True) in unused and ("a", False) in unused and ("a", True) not in unused
 
 
 def test_the_table_can_be_its_own_input(spark, tmp_path):
