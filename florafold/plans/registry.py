@@ -868,6 +868,30 @@ def q_predicate_filter_long_list(spark, sf_dir):
     return EX.predicate_filter(D.load_table(spark, sf_dir, "orders"), pred).select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
+@register("predicate_filter_within", """WITH o AS (SELECT o_orderkey AS id, o_orderstatus AS status, CASE WHEN o_orderkey % 50 <> 0 THEN
+    (o_custkey * 7 + o_orderkey) % 3600 / 10.0 - 179.95 END AS x, (o_orderkey * 3) % 1800 / 10.0 - 89.95 AS y FROM orders),
+edges(p, x1, y1, x2, y2) AS (VALUES (0, 100.0, -40.0, 160.0, -40.0), (0, 160.0, -40.0, 130.0, 20.0), (0, 130.0, 20.0, 100.0, -40.0),
+  (0, 125.0, -30.0, 135.0, -30.0), (0, 135.0, -30.0, 130.0, -10.0), (0, 130.0, -10.0, 125.0, -30.0),
+  (1, 170.0, -50.0, 190.0, -50.0), (1, 190.0, -50.0, 190.0, -20.0), (1, 190.0, -20.0, 170.0, -20.0), (1, 170.0, -20.0, 170.0, -50.0)),
+crossed AS (SELECT o.id, o.status, e.p FROM o JOIN (SELECT p, x1 + s AS x1, y1, x2 + s AS x2, y2 FROM edges, (VALUES (0.0), (-360.0)) t(s)) e
+  ON ((e.y1 > o.y) <> (e.y2 > o.y)) AND o.x < (e.x2 - e.x1) * (o.y - e.y1) / (e.y2 - e.y1) + e.x1
+  GROUP BY o.id, o.status, o.x, o.y, e.p HAVING count(*) % 2 = 1)
+SELECT id, status FROM o WHERE (status = 'P' AND NOT id % 50 = 0) OR (id IN (SELECT id FROM crossed) AND NOT status = 'F')""")
+def q_predicate_filter_within(spark, sf_dir):
+    """Two polygons, one with a hole and one over the date line, under ``or`` and ``and``."""
+    pred = {"type": "or", "predicates": [
+        {"type": "and", "predicates": [{"type": "equals", "key": "status", "value": "P"}, {"type": "isNotNull", "key": "x"}]},
+        {"type": "and", "predicates": [
+            {"type": "within", "latitude": "y", "longitude": "x", "geometry": "MULTIPOLYGON (((100 -40, 160 -40, 130 20, 100 -40), "
+             "(125 -30, 135 -30, 130 -10, 125 -30)), ((170 -50, -170 -50, -170 -20, 170 -20, 170 -50)))"},
+            {"type": "not", "predicate": {"type": "equals", "key": "status", "value": "F"}}]}]}
+    k = F.col("o_orderkey")
+    x = F.when(k % 50 != 0, (F.col("o_custkey") * 7 + k) % 3600 / 10.0 - 179.95)
+    o = D.load_table(spark, sf_dir, "orders").select(k.alias("id"), F.col("o_orderstatus").alias("status"), x.alias("x"),
+                                                     ((k * 3) % 1800 / 10.0 - 89.95).alias("y"))
+    return EX.predicate_filter(o, pred).select("id", "status")
+
+
 @register("export_download", """WITH core AS (
   SELECT o_orderkey, 'dr' || CAST(o_custkey % 10 AS VARCHAR) AS dataset_id FROM orders
   WHERE o_orderstatus IN ('F') AND o_orderpriority IN ('1-URGENT', '2-HIGH'))
