@@ -317,6 +317,66 @@ def test_whole_licences_and_changed_ones(spark):
     assert got == {0: "mit-notice,mit-whole", 1: "isc-notice,isc-whole", 2: "mit-notice", 3: "isc-notice"}
 
 
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions
+are met:
+{0}Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+{1}Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.
+{2}
+THIS SOFTWARE IS PROVIDED BY THE {3} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE {3} BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR
+PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING
+NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+NEITHER = "Neither the name of the {0} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+BSD_2 = BSD.format("1. ", "2. ", "", "COPYRIGHT HOLDERS AND CONTRIBUTORS")
+BSD_3 = BSD.format("(a) ", "(b) ", "(c) " + NEITHER.format("Foo Bar Institute, Inc."), "REGENTS AND CONTRIBUTORS")
+GPL_3 = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that
+it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
+General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see
+<https://www.gnu.org/licenses/>."""
+APACHE_2 = APACHE.format("http://www.apache.org/licenses/LICENSE-2.0") + """ distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and
+limitations under the License."""
+MPL_2 = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages
+arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and
+to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must
+not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be
+appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original
+software. 3. This notice may not be removed or altered from any source distribution."""
+LICENCES = [(BSD_2, "bsd-2-whole", "with the distribution", "with the paid distribution"), (BSD_3, "bsd-3-whole", "specific prior", "prior"),
+            (GPL_3, "gpl-3.0-header", "either version 3", "only version 3"), (APACHE_2, "apache-2.0-header", "limitations", "further limitations"),
+            (MPL_2, "mpl-2.0-header", "v. 2.0. If", "v. 1.1. If"), (ZLIB, "zlib-whole", "including commercial", "excluding commercial")]
+
+
+def test_whole_wordings_and_changed_ones(spark):
+    whole = lambda labels: {x for x in labels.split(",") if x.endswith(("-whole", "-header"))}
+    texts = [t.replace(a, b) if changed else f"Some words. {t} And others." for t, _, a, b in LICENCES for changed in (False, True)]
+    assert len(set(texts)) == 2 * len(LICENCES)
+    got = {r["doc_id"]: r for r in rows_of(license_scan.scan_licenses(table(spark, list(enumerate(texts)))))}
+    for i, (_, label, _, _) in enumerate(LICENCES):
+        assert whole(got[2 * i]["labels"]) == {label} and got[2 * i]["score"] == 1.0, label
+        assert whole(got[2 * i + 1]["labels"]) == set(), label
+
+
+def test_listed_words():
+    a = license_scan.Automaton("x <<of p q>> end")
+    run = lambda text: a.run(text.encode().split().__getitem__, 0, len(text.split()))
+    assert run("x end") == 2 and run("x p q q p end") == 6 and run("x p r end") is None and run("x p") is None
+    b = license_scan.Automaton("<<of 1 a>> end")
+    assert b.starts - {b""} == {b"1", b"a", b"end"} and not b.prefix and a.prefix == [b"x"]
+    with pytest.raises(ValueError):
+        license_scan.Automaton("x <<some>> end")
+
+
+def test_cc_notice_holds_only_words_of_its_kind(spark):
+    far = "licensed under a Creative Commons Attribution license. " + "and more words " * 1700 + "international license"
+    assert rows_of(license_scan.scan_licenses(table(spark, [(1, far)])))[0]["labels"] == ""
+
+
 def test_free_loops():
     a = license_scan.Automaton("x <<optional>>y <<any>><</optional>> p <<any>> end")
     run = lambda text, dead=None: a.run(text.encode().split().__getitem__, 0, len(text.split()), dead)
@@ -374,6 +434,36 @@ def test_html_parts_around_and_inside_an_article():
         assert html_extract.main_text(f"{tag}<main><p>{text}</p></main></div>", tree) == text
 
 
+PARA = "The town council met on Tuesday to talk about the new bridge over the river, which has been closed since the flood of last spring. It stays so."
+
+
+def _news(parts, before="<div>", after="</div>"):
+    """A page without an article or main element around ``parts``."""
+    return ("<html><head><title>T - S</title></head><body><div id=top><a href=/>Site</a></div><ul><li><a href=1>Home</a></li><li><a href=2>News</a></li></ul>"
+            + before + "".join(parts) + after + "<ul><li><a href=4>Terms</a></li><li><a href=5>Privacy</a></li></ul><p>Copyright 2024 Site</p></body></html>")
+
+
+NEWS = ["<h1>Bridge to open again</h1>", "<p>After two years of work the bridge opens.</p>", *[f"<p>{PARA} {i}</p>" for i in range(4)], "<h2>What comes next</h2>",
+        f"<p>{PARA}</p>", "<p>It opens on Monday.</p>"]
+
+
+@pytest.mark.parametrize("before,after", [("<div>", "</div>"), ('<div class="sidebar-right">', "</div>"), ("<div id=page class='layout menu-left'><div>", "</div></div>"),
+                                          ("<div>", "</div><div class=sidebar-left><p>Other things that others have read in the last days here</p></div>")])
+def test_html_without_an_article(before, after):
+    want = "\n\n".join(p[p.index(">") + 1:p.rindex("<")] for p in NEWS)
+    assert html_extract.main_text(_news(NEWS, before, after), html_extract.train_tree()) == want
+
+
+def test_html_quotes_references_and_inline_adverts():
+    tree = html_extract.train_tree()
+    cases = [(f"<p data-x=it's>{PARA}</p>", PARA), (f'<p title="a>b" data-y=\'c>d\'>{PARA}</p>', PARA), (f"<p title = \"x>y\">{PARA}</p>", PARA),
+             (f"<p title='open>{PARA}</p>", PARA), (f"<p>{PARA} <span class=\"ad\">Buy this <b>now</b></span> and so on</p>", f"{PARA} and so on"),
+             (f"<p>{PARA} <a class=sponsored href=x>Buy this</a></p>", PARA), (f"<p>{PARA} &am<b>p;</b> &amp;amp; &#65;</p>", f"{PARA} &amp; &amp; A")]
+    for part, want in cases:
+        got = html_extract.main_text(f"<body><article><h1>T</h1>{part}<p>{PARA} z</p></article></body>", tree)
+        assert got == f"T\n\n{want}\n\n{PARA} z", part
+
+
 def test_html_of_all_pages(spark):
     import html
     import re
