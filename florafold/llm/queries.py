@@ -138,6 +138,21 @@ QUERIES = {f.__name__: shipped(f) for f in (
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words(text: str) -> str:
+    """SQL: table ``each`` with one row per word."""
+    return rf"""each as (
+            select doc_id, generate_subscripts(w, 1) as j, unnest(w) as word, len(w) as n
+            from (select doc_id, regexp_extract_all({text}, '[^\x20\x09-\x0D]+') as w from documents)),"""
+
+
+def _gram(n: int) -> str:
+    """SQL: the ``n`` words from this one on, null where the document ends before."""
+    return " || ' ' || ".join(["word"] + [f"lead(word, {k}) over (partition by doc_id order by j)" for k in range(1, n)])
+
+
 ORACLE = {
     "op1_url_filters": rf"""
         with parts as (
@@ -155,6 +170,33 @@ ORACLE = {
         select page_id, host, path, rule,
                case when rule in ('net/', 'example.com/de/') then 'block' else 'allow' end as verdict
         from ruled""",
+    "op2_ngram_jaccard": rf"""
+        with recursive {_words(_LOWER)}
+        shingles as (
+            select distinct doc_id, shingle from (select doc_id, {_gram(5)} as shingle from each) where shingle is not null
+            union all select doc_id, string_agg(word, ' ' order by j) from each where n < 5 group by doc_id),
+        sets as (select doc_id, count(*) as n, md5(string_agg(shingle, chr(10) order by shingle)) as s from shingles group by doc_id),
+        classes as (select s, n, min(doc_id) as class from sets group by s, n),
+        members as (select class, n, shingle from classes join shingles on doc_id = class),
+        links as (
+            select a.class as a, b.class as b
+            from members a join members b on a.shingle = b.shingle and a.class <> b.class
+            group by a.class, b.class, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+        reached as (select class as a, class as b from classes union select r.a, l.b from reached r join links l on r.b = l.a),
+        least as (select a, min(b) as component from reached group by a)
+        select doc_id, cast(coalesce(sets.n, 0) as bigint) as n_shingles, coalesce(component, doc_id) as component_id
+        from documents left join sets using (doc_id) left join classes using (s) left join least on class = a""",
+    "op3_substring_dedup": rf"""
+        with {_words("coalesce(text, '')")}
+        grams as (select doc_id, j, {_gram(13)} as g from each),
+        windows as (select doc_id, j, min(doc_id) over (partition by g) as owner from grams where g is not null),
+        covered as (select distinct doc_id, unnest(generate_series(j, j + 12)) as j from windows where owner < doc_id),
+        kept as (
+            select e.doc_id, count(*) as n_words, count(c.j) as n_removed, string_agg(word, ' ' order by e.j) filter (c.j is null) as t
+            from each e left join covered c on e.doc_id = c.doc_id and e.j = c.j group by e.doc_id)
+        select doc_id, cast(coalesce(n_words, 0) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+               sha256(coalesce(t, '')) as kept_sha256
+        from documents left join kept using (doc_id)""",
     "op6_exact_dedup": rf"""
         with norm as (select doc_id, sha256({_NORM}) as text_sha256 from documents),
         groups as (select text_sha256, min(doc_id) as keep_id, count(*) as group_size from norm group by text_sha256)
