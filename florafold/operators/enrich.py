@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from florafold.functions.dates import degrees, event_interval
 from florafold.operators.components import connected_components
 from florafold.operators.geometry import haversine_km, nearest_edge_km, points_in_polygons, polygon_edges  # noqa: F401
 from florafold.operators.joins import bounded_broadcast
@@ -44,7 +45,10 @@ def interpret(df: DataFrame, rules: dict[str, tuple[str, str]], lat: str | None
     """typed parse with issue flags; no row is dropped.
 
     ``rules``: output name → (source text column, type) with type one of
-    'double', 'int', 'date' (yyyy-MM-dd). Text is trimmed; empty = absent.
+    'double', 'int', 'date' (yyyy-MM-dd), 'latitude' and 'longitude' (decimal degrees, or
+    degrees, minutes and seconds) or 'interval' (a date, month, year or range: the first day, with
+    the last day and the precision in <name>End and <name>Precision; '<NAME>_REVERSED' when
+    it ends before it begins). Text is trimmed; empty = absent.
     Issues: '<NAME>_INVALID' when present but unparseable; with ``lat``/``lon``
     (output names) 'COORDINATE_OUT_OF_RANGE' (|lat| > 90 or |lon| > 180,
     value then nulled) and 'ZERO_COORDINATE' (both 0)."""
@@ -55,8 +59,12 @@ def interpret(df: DataFrame, rules: dict[str, tuple[str, str]], lat: str | None
     step1 = df.select(*[F.col(k) for k in keep],
                       *[t.alias(f"_t_{n}") for n, t in texts.items()],
                       *[_parse(t, rules[n][1]).alias(n) for n, t in texts.items()])
-    for name in rules:
+    for name, (_, typ) in rules.items():
         t, v = F.col(f"_t_{name}"), F.col(name)
+        if typ == "interval":
+            typed |= {name: v["start"], f"{name}End": v["end"], f"{name}Precision": v["precision"]}
+            issues.append(F.concat(F.lit(name.upper()), F.regexp_extract(v["issue"], "_[A-Z]+$", 0)))
+            continue
         typed[name] = v
         issues.append(F.when(t.isNotNull() & v.isNull(), F.lit(name.upper() + ISSUE_INVALID)))
     if lat and lon:
@@ -73,6 +81,10 @@ def interpret(df: DataFrame, rules: dict[str, tuple[str, str]], lat: str | None
 def _parse(t: Column, typ: str) -> Column:
     if typ == "date":
         return F.to_date(F.try_to_timestamp(t, F.lit("yyyy-MM-dd")))
+    if typ in ("latitude", "longitude"):
+        return degrees(t, 90 if typ == "latitude" else 180)
+    if typ == "interval":
+        return event_interval(t)
     return t.try_cast(typ)
 
 

@@ -95,6 +95,62 @@ def q_written_coordinates(spark, sf_dir):
     return D.load_table(spark, sf_dir, "orders").select(k.alias("id"), degrees(text, 90).alias("latitude"))
 
 
+@register("interpret_written", """WITH o AS (SELECT o_orderkey AS k, o_orderkey % 80 AS deg, o_custkey % 60 AS mi, o_orderkey % 59 AS se,
+    CAST(o_orderdate AS DATE) AS d, CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders)
+SELECT k AS id, CASE k % 4 WHEN 0 THEN deg + mi / 60.0 + se / 3600.0 WHEN 1 THEN -(deg + (mi + 0.5) / 60.0) WHEN 2 THEN -(deg + 0.25) END AS latitude,
+  CASE k % 5 WHEN 0 THEN -(100 + deg + mi / 60.0) WHEN 1 THEN deg + 0.5 END AS longitude,
+  CASE k % 3 WHEN 0 THEN m WHEN 1 THEN d END AS day, CASE k % 3 WHEN 0 THEN CAST(m + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) WHEN 1 THEN d + 9 END AS dayEnd,
+  CASE k % 3 WHEN 0 THEN 'month' WHEN 1 THEN 'range' END AS dayPrecision,
+  concat_ws('|', CASE WHEN k % 4 = 3 THEN 'LATITUDE_INVALID' END, CASE WHEN k % 5 = 2 THEN 'LONGITUDE_INVALID' END,
+    CASE WHEN k % 3 = 2 THEN CASE WHEN k % 2 = 0 THEN 'DAY_REVERSED' ELSE 'DAY_INVALID' END END) AS issues FROM o""")
+def q_interpret_written(spark, sf_dir):
+    """Coordinates in degrees, minutes and seconds, months and ranges of days, through F12."""
+    k, d = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    t = lambda c: c.cast("string")
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd")
+    deg, mi, se = t(k % 80), t(F.col("o_custkey") % 60), t(k % 59)
+    lat = (F.when(k % 4 == 0, F.concat(deg, F.lit("° "), mi, F.lit("' "), se, F.lit('" N '))).when(k % 4 == 1, F.concat(deg, F.lit(" "), mi, F.lit(".5 S")))
+           .when(k % 4 == 2, F.concat(F.lit(" -"), deg, F.lit(".25"))).otherwise(F.concat(deg, F.lit("°E"))))
+    lon = (F.when(k % 5 == 0, F.concat(t(k % 80 + 100), F.lit("°"), mi, F.lit("'W"))).when(k % 5 == 1, F.concat(deg, F.lit(".5E")))
+           .when(k % 5 == 2, F.lit("190 E")).when(k % 5 == 3, F.lit("  ")))
+    day = (F.when(k % 3 == 0, F.date_format(d, "yyyy-MM")).when(k % 3 == 1, F.concat_ws("/", iso(d), iso(F.date_add(d, 9))))
+           .when(k % 2 == 0, F.concat_ws("/", iso(d), iso(F.date_add(d, -1)))).otherwise(F.concat(F.date_format(d, "yyyy"), F.lit("-13"))))
+    o = D.load_table(spark, sf_dir, "orders").select(k.alias("id"), lat.alias("la"), lon.alias("lo"), day.alias("dd"))
+    rules = {"latitude": ("la", "latitude"), "longitude": ("lo", "longitude"), "day": ("dd", "interval")}
+    return arrays_as_text(EN.interpret(o, rules, keep=["id"]))
+
+
+_PLACED = """o AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 31 <> 0 THEN 'r' || CAST(o_custkey % 7 AS VARCHAR) END AS region,
+    (o_orderkey * 7 % 700) / 10.0 - 35.05 AS y, CASE WHEN o_orderkey % 37 <> 0 THEN (o_custkey * 11 + o_orderkey) % 900 / 10.0 - 45.05 END AS x FROM orders),
+edges AS (SELECT 'r' || CAST(r_regionkey AS VARCHAR) AS region, e.* FROM region, LATERAL (VALUES
+    (r_regionkey * 8.0, 5.0, r_regionkey * 8.0 + 12, 5.0), (r_regionkey * 8.0 + 12, 5.0, r_regionkey * 8.0 + 6, 30.0),
+    (r_regionkey * 8.0 + 6, 30.0, r_regionkey * 8.0, 5.0)) e(x1, y1, x2, y2)),
+v AS (SELECT DISTINCT region, x, y, way, vx, vy FROM o, LATERAL (VALUES (0, x, y), (1, x, -y), (2, -x, y), (3, -x, -y), (4, y, x)) t(way, vx, vy)),
+hit AS (SELECT region, x, y, way, vx, vy FROM v JOIN edges e USING (region) WHERE ((e.y1 > vy) <> (e.y2 > vy))
+  AND vx < (e.x2 - e.x1) * (vy - e.y1) / (e.y2 - e.y1) + e.x1 GROUP BY region, x, y, way, vx, vy HAVING count(*) % 2 = 1),
+best AS (SELECT region, x, y, min(way) AS way, arg_min(vx, way) AS vx, arg_min(vy, way) AS vy FROM hit GROUP BY region, x, y)"""
+
+
+@register("place_coordinates", f"""WITH {_PLACED}
+SELECT o.id, o.region, coalesce(b.vy, o.y) AS decimalLatitude, coalesce(b.vx, o.x) AS decimalLongitude,
+  CASE b.way WHEN 0 THEN 'SEEN' WHEN 1 THEN 'SEEN|PRESUMED_NEGATED_LATITUDE' WHEN 2 THEN 'SEEN|PRESUMED_NEGATED_LONGITUDE'
+    WHEN 3 THEN 'SEEN|PRESUMED_NEGATED_LATITUDE|PRESUMED_NEGATED_LONGITUDE' WHEN 4 THEN 'SEEN|PRESUMED_SWAPPED_COORDINATE'
+    ELSE CASE WHEN o.x IS NOT NULL AND o.region IN (SELECT region FROM edges) THEN 'SEEN|REGION_COORDINATE_MISMATCH' ELSE 'SEEN' END END AS issues
+FROM o LEFT JOIN best b ON o.region = b.region AND o.x = b.x AND o.y = b.y""")
+def q_place_coordinates(spark, sf_dir):
+    """Triangles as regions; two of the seven regions stated have none."""
+    from florafold.operators.coordinates import place_coordinates
+    k, x0 = F.col("o_orderkey"), F.col("r_regionkey") * 8.0
+    pt = lambda x, y: F.struct(x.alias("x"), F.lit(y).alias("y"))
+    regions = D.load_table(spark, sf_dir, "region").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("region"),
+                                                           F.array(pt(x0, 5.0), pt(x0 + 12, 5.0), pt(x0 + 6, 30.0)).alias("ring"))
+    o = D.load_table(spark, sf_dir, "orders").select(
+        k.alias("id"), F.when(k % 31 != 0, F.concat(F.lit("r"), (F.col("o_custkey") % 7).cast("string"))).alias("region"),
+        (k * 7 % 700 / 10.0 - 35.05).alias("decimalLatitude"),
+        F.when(k % 37 != 0, (F.col("o_custkey") * 11 + k) % 900 / 10.0 - 45.05).alias("decimalLongitude"), F.array(F.lit("SEEN")).alias("issues"))
+    return arrays_as_text(place_coordinates(o, regions, "region"))
+
+
 @register("interpretation_metrics", f"""WITH {OCC_SQL}, {INTERP_SQL}
 SELECT dataset_id, CAST(count(*) AS BIGINT) AS records,
   CAST(count(decimalLatitude) AS BIGINT) AS parsed_decimalLatitude,
