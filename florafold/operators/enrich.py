@@ -273,13 +273,15 @@ def restrict_sensitive(df: DataFrame, rules: DataFrame, taxon_col: str = "scient
 # ---------------------------------------------------------------- J13 / J15 geometry
 
 def sample_layers(df: DataFrame, layers: DataFrame, lat: str = "decimalLatitude",
-                  lon: str = "decimalLongitude", cell: float = 1.0, max_layers: int = 10000) -> DataFrame:
+                  lon: str = "decimalLongitude", cell: float = 1.0, max_layers: int = 10000,
+                  places: DataFrame | None = None) -> DataFrame:
     """Attach, per layer, the region containing each record's point.
 
-    ``layers(layer_id, region_id, ring)``. Distinct coordinates are sampled
+    ``layers(layer_id, region_id, ring)``. ``places`` may hold the records' coordinates
+    where that is cheaper to read than ``df``. Distinct coordinates are sampled
     once; a point inside several regions of a layer takes the least region
     id. Output: the records plus one column per layer id."""
-    pts = df.select(F.col(lon).alias("x"), F.col(lat).alias("y")).filter(
+    pts = (df if places is None else places).select(F.col(lon).alias("x"), F.col(lat).alias("y")).filter(
         F.col("x").isNotNull() & F.col("y").isNotNull()).distinct()
     inside = points_in_polygons(pts, layers, ["layer_id", "region_id"], cell=cell)
     per_point = inside.groupBy("x", "y", "layer_id").agg(F.min("region_id").alias("region_id"))
@@ -359,15 +361,13 @@ def cluster_records(df: DataFrame, id_col: str = "id", dataset_col: str = "datas
                & F.col("_cx").isNotNull())]
     if ident_col:
         blocks.append(("identifier", F.col("_i"), F.col("_i").isNotNull()))
-    outs = []
-    for reason, key, ok in blocks:
-        b = base.filter(ok).select("id", "_ds", key.alias("_k"))
-        stats = b.groupBy("_k").agg(F.min("id").alias("cluster_id"), F.count(F.lit(1)).cast("bigint").alias("cluster_size"),
-                                    F.countDistinct("_ds").cast("bigint").alias("n_datasets"))
-        dup = stats.filter(F.col("n_datasets") >= 2)
-        outs.append(b.join(dup, "_k").select("id", F.lit(reason).alias("reason"), "cluster_id", "cluster_size",
-                                             "n_datasets"))
-    return reduce(lambda a, c: a.unionByName(c), outs)
+    # a record's blocks side by side, so that one pass and one join serve both reasons
+    found = F.array(*[F.when(ok, F.struct(F.lit(reason).alias("reason"), key.alias("_k"))) for reason, key, ok in blocks])
+    b = base.select("id", "_ds", F.explode(found).alias("_b")).where("_b is not null").select("id", "_ds", "_b.*")
+    stats = b.groupBy("reason", "_k").agg(F.min("id").alias("cluster_id"), F.count(F.lit(1)).cast("bigint").alias("cluster_size"),
+                                          F.countDistinct("_ds").cast("bigint").alias("n_datasets"))
+    return b.drop("_ds").join(stats.filter(F.col("n_datasets") >= 2), ["reason", "_k"]) \
+        .select("id", "reason", "cluster_id", "cluster_size", "n_datasets")
 
 
 # ---------------------------------------------------------------- W7

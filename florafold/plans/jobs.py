@@ -3,12 +3,15 @@ operators; at most single rows (a check, a cutoff, a decision) reach the driver.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from florafold.operators import enrich as EN
 from florafold.operators import flatten as FL
 from florafold.operators import planning as PL
+from florafold.session import scratch_dir
 from florafold.sources import catalog as CT
 from florafold.sources.archive import read_archive
 from florafold.sources import sinks as SK
@@ -110,27 +113,43 @@ def full_index(spark: SparkSession, occ: DataFrame, layers: DataFrame, ranges: D
     ``flags`` switches a side off by name (``sampling``, ``jackknife``,
     ``clustering``, ``outlier``); a side that is off is not computed.
     ``jackknife`` names the group and the value column of W7. Regions are
-    attached by coordinates, without an exchange on id; the other sides are
-    reduced to one row per id first."""
+    attached by coordinates, without an exchange on id. What the sides read of the records is
+    written once as a narrow table; their findings are added up per id in one
+    aggregate and joined once, so the wide records are read and exchanged once."""
     flags = flags or {}
     group, value = jackknife
+    on = lambda name: flags.get(name, True)
+    used = {"jackknife": [group, value], "outlier": ["taxon"], "clustering": ["dataset_id", "scientificName", "eventDate", "catalogNumber"]}
+    used = {name: columns for name, columns in used.items() if on(name)}
+    narrow = None
+    if used:
+        path = scratch_dir(spark, "sides")
+        names = dict.fromkeys(["id", "decimalLatitude", "decimalLongitude", *(c for columns in used.values() for c in columns)])
+        occ.select(*[F.col(f"`{c}`") for c in names]).write.parquet(path)
+        narrow = spark.read.parquet(path)
 
     def outlying_values():
-        jk = EN.jackknife_outliers(occ, group, value)
-        return occ.select("id", F.col(group), F.col(value).cast("double").alias(value)).join(jk, [group, value]) \
-            .groupBy("id").agg(F.max(F.col("is_outlier").cast("int")).cast("boolean").alias("is_outlier"))
+        jk = EN.jackknife_outliers(narrow, group, value)
+        values = narrow.select("id", F.col(group), F.col(value).cast("double").alias(value))
+        return values.join(jk, [group, value]).select("id", "is_outlier")
 
     def duplicates():
-        return EN.cluster_records(occ).groupBy("id").agg(F.count(F.lit(1)).cast("bigint").alias("n_dup_reasons"))
+        return EN.cluster_records(narrow).select("id", F.lit(1).cast("bigint").alias("n_dup_reasons"))
 
     def out_of_range():
-        return EN.distribution_outliers(occ, ranges).groupBy("id").agg(F.min("distance").alias("distance"))
+        return EN.distribution_outliers(narrow, ranges).select("id", "distance")
 
-    build = {"jackknife": outlying_values, "clustering": duplicates, "outlier": out_of_range}
-    base = EN.sample_layers(occ, layers) if flags.get("sampling", True) else occ
+    build = {"jackknife": (outlying_values, F.max("is_outlier").alias("is_outlier")),
+             "clustering": (duplicates, F.sum("n_dup_reasons").alias("n_dup_reasons")),
+             "outlier": (out_of_range, F.min("distance").alias("distance"))}
+    base = EN.sample_layers(occ, layers, places=narrow) if on("sampling") else occ
     if annotations is not None:
         base = EN.apply_annotations(base, annotations)
-    return EN.assemble_index(base, {name: make() for name, make in build.items() if flags.get(name, True)})
+    if not used:
+        return base
+    findings = [build[name][0]() for name in build if name in used]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), findings)
+    return EN.assemble_index(base, {"findings": rows.groupBy("id").agg(*[build[name][1] for name in build if name in used])})
 
 
 def index_and_publish(spark: SparkSession, occ: DataFrame, layers: DataFrame, ranges: DataFrame, root: str, alias: str, version: str,
