@@ -35,3 +35,11 @@ def test_components_equal_union_find(spark, seed):
     got = connected_components(df, "a", "b").collect()
     assert {r["node"]: r["component"] for r in got} == _plain(edges) and len(got) == len({r["node"] for r in got})
     assert connected_components(df.where("false"), "a", "b").count() == 0
+
+
+def test_size_of_rounds_is_that_of_their_rows(spark):
+    """The planner's size of the result does not multiply from round to round."""
+    edges = spark.range(400).selectExpr("id a", "id + 1 b")
+    out = connected_components(edges, "a", "b")
+    assert len(str(out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 12
+    assert out.select("component").distinct().collect() == [(0,)]

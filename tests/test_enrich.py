@@ -186,3 +186,31 @@ def test_ingest_guard_stops_before_writing_and_images_are_attached(spark):
         ingest_dataset(*args, max_new_pct=5)
     rows = ingest_dataset(*args, max_new_pct=100, images=images).select("strings").collect()
     assert sorted((r["strings"].get("image_id") or "") for r in rows) == ["", "img-1"]
+
+
+def test_cluster_records_near_across_tiles(spark):
+    """A diagonal chain over many tiles, on both sides of zero, is one cluster; a gap of one cell parts it."""
+    d = dt.date(2024, 1, 1)
+    rows = [(f"r{i + 100:03d}", f"dr{i % 2}", "Sp a", d, i + 0.5, 0.5 - i) for i in range(-80, 80) if i != 40]
+    rows += [("z1", "dr0", "Sp|a", d, 0.5, 0.5), ("z2", "dr1", "Sp a", dt.date(2024, 1, 2), 0.5, 0.5), ("z3", None, "Sp b", d, 0.5, None)]
+    df = spark.createDataFrame(rows, "id string, dataset_id string, scientificName string, eventDate date, "
+                                     "decimalLatitude double, decimalLongitude double")
+    got = {(r["cluster_id"], r["cluster_size"], r["n_datasets"]) for r in EN.cluster_records_near(df, cell=1.0).collect()}
+    assert got == {("r020", 120, 2), ("r141", 39, 2)}
+
+
+def test_cluster_records_near_links_few_nodes(spark, monkeypatch):
+    """Blocks that touch inside a tile reach the graph as one node."""
+    seen = []
+    parts = EN.connected_blocks
+
+    def watched(edges, nodes):
+        seen.append((edges.count(), nodes.count()))
+        return parts(edges, nodes)
+    monkeypatch.setattr(EN, "connected_blocks", watched)
+    d = dt.date(2024, 1, 1)
+    rows = [(f"{y}-{x}", f"dr{x % 2}", "Sp a", d, y + 0.5, x + 0.5) for y in range(40) for x in range(40)]
+    df = spark.createDataFrame(rows, "id string, dataset_id string, scientificName string, eventDate date, "
+                                     "decimalLatitude double, decimalLongitude double")
+    got = EN.cluster_records_near(df, cell=1.0).select("cluster_size", "n_datasets").distinct().collect()
+    assert [tuple(r) for r in got] == [(1600, 2)] and seen[0][1] == 4
