@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from florafold.functions.predicate import predicate_filter
 from florafold.functions.scalar import licence
+from florafold.operators.joins import split_by_key
 from florafold.sources.sinks import export_archive
 
 # ---- fixed values that must equal the reference's ----------------------------
@@ -106,8 +107,8 @@ def nested_documents(parents: DataFrame, children: DataFrame, key: str, order: l
     options = {"ignoreNullFields": "false"}
     fields = [c for c in children.columns if c != key]
     ids = parents.select(key).distinct()
-    unplaced = children.join(ids, key, "left_anti")
-    rows = children.join(ids, key, "left_semi").select(key, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+    placed, unplaced = split_by_key(children, ids, key)
+    rows = placed.select(key, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                                                        F.struct(*fields).alias("_child"))
     rows = rows.withColumn("_json", F.to_json("_child", options)).withColumn("_size", F.octet_length("_json").cast("bigint"))
     ranked = with_global_rank(rows, [key, *[f"_o{i}" for i in range(len(order))], "_json"], "_rank").drop("_json")
