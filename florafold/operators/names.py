@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from florafold.session import ensure_checkpoint_dir
+from florafold.session import ensure_checkpoint_dir, written
 
 # ---- fixed values of the codes' name formats -----------------------------------
 INFRA_MARKERS = {"subsp": "subspecies", "ssp": "subspecies", "var": "variety", "subvar": "subvariety", "f": "form", "forma": "form",
@@ -133,7 +133,7 @@ def match_taxa(df: DataFrame, taxa: DataFrame, name_col: str = "scientificName",
     * ``none``.
 
     Of several taxa with one name the accepted one counts, then the least taxon_id. Each different name is
-    matched once, whatever the number of its records; candidates of misspelt names meet
+    parsed and matched once, whatever the number of its records; candidates of misspelt names meet
     by shared deletions (an equi-join), never all against all."""
     ensure_checkpoint_dir(df.sparkSession)
     higher = higher or {}
@@ -142,10 +142,13 @@ def match_taxa(df: DataFrame, taxa: DataFrame, name_col: str = "scientificName",
     t = taxa.join(accepted, "taxon_id").select(
         "_name", "rank", F.struct((F.col("accepted_taxon") != F.col("taxon_id")).alias("synonym"), F.col("taxon_id").alias("id"),
                                   F.col("accepted_taxon").alias("to")).alias("_t"))
-    by_name = t.where("_name is not null").groupBy("_name").agg(F.min("_t").alias("_t")).checkpoint()
-    parsed = df.withColumn("_p", parsed_name(F.col(name_col))).withColumn("_canonical", F.col("_p.canonical"))
-    names = parsed.where("_canonical is not null").groupBy("_canonical").agg(F.first("_p").alias("_p"))
-    exact = names.join(by_name.withColumnRenamed("_name", "_canonical"), "_canonical", "left").checkpoint()
+    by_name = written(t.where("_name is not null").groupBy("_name").agg(F.min("_t").alias("_t")), "taxa")
+    # each different text is parsed once, whatever the number of its records
+    texts = df.select(F.col(name_col).alias("_text")).where("_text is not null").distinct()
+    parsed = written(texts.select("_text", parsed_name(F.col("_text")).alias("_p")), "names") \
+        .select("_text", "_p", F.col("_p.canonical").alias("_canonical")).where("_canonical is not null")
+    names = parsed.groupBy("_canonical").agg(F.first("_p").alias("_p"))
+    exact = written(names.join(by_name.withColumnRenamed("_name", "_canonical"), "_canonical", "left"), "exact")
     left = exact.where("_t is null").select("_canonical")
     wide = lambda d, c: d.where(F.length(c) >= least_length - edits).withColumn("_key", F.explode(deletions(F.col(c), edits)))
     pairs = wide(left, "_canonical").where(F.length("_canonical") >= least_length).join(wide(by_name.select("_name"), "_name"), "_key") \
@@ -158,7 +161,7 @@ def match_taxa(df: DataFrame, taxa: DataFrame, name_col: str = "scientificName",
     found = exact.join(fuzzy, "_canonical", "left").withColumn("_binomial", binomial).withColumn("_genus", F.col("_p.genus")) \
         .join(by_name.select(F.col("_name").alias("_binomial"), F.col("_t").alias("_b")), "_binomial", "left").join(genera, "_genus", "left")
     found = found.select("_canonical", "_t", "_f", F.coalesce("_b", "_g").alias("_h"))
-    out = parsed.drop("_p").join(found, "_canonical", "left")
+    out = df.withColumn("_text", F.col(name_col)).join(parsed.select("_text", "_canonical").join(found, "_canonical").drop("_canonical"), "_text", "left")
     above = [F.col("_h")]
     for i, (rank, column) in enumerate(higher.items()):
         of = t.where(F.col("rank") == rank).groupBy(F.col("_name").alias(f"_n{i}")).agg(F.min("_t").alias(f"_h{i}"))
@@ -169,4 +172,4 @@ def match_taxa(df: DataFrame, taxa: DataFrame, name_col: str = "scientificName",
     kind = (F.when(F.col("_t").isNotNull(), F.when(F.col("_t.synonym"), "accepted").otherwise("exact"))
             .when(F.col("_f").isNotNull(), "fuzzy").when(up.isNotNull(), "higher-rank").otherwise("none"))
     return out.withColumn("_pick", pick).withColumn("match_type", kind).withColumn("taxon_id", F.col("_pick.to")) \
-        .withColumn("matched_id", F.col("_pick.id")).drop("_canonical", "_t", "_f", "_h", "_pick", *[f"_h{i}" for i in range(len(higher))])
+        .withColumn("matched_id", F.col("_pick.id")).drop("_text", "_t", "_f", "_h", "_pick", *[f"_h{i}" for i in range(len(higher))])

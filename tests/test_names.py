@@ -102,3 +102,12 @@ def test_match_order_and_repeated_rows(spark):
         ("Aus dus", "", "s1", "fuzzy", "s1"), ("Zus zzzz", "", "g1", "higher-rank", "g2"), ("Qus qqqq", "AUSIDAE ", "f1", "higher-rank", "f1"),
         ("", "Ausidae", "f1", "higher-rank", "f1"), ("Qus qqqq", "", None, "none", None), ("", "none", None, "none", None)], key=lambda r: (r[0], r[1]))
     assert N.match_taxa(df, taxa.where("false")).where("match_type <> 'none'").count() == 0
+
+
+def test_records_are_joined_by_text_and_not_parsed_again(spark):
+    taxa = spark.createDataFrame([("1", "Abies alba", "species", None, None)], "taxon_id string, name string, rank string, parent_id string, accepted_id string")
+    df = spark.createDataFrame([("Abies alba Mill.",), ("Abies  alba",), ("Abies  alba",), (None,), ("123",)], "scientificName string")
+    out = N.match_taxa(df, taxa)
+    assert "regexp_extract" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r[0] or "", r["match_type"]) for r in out.select("scientificName", "match_type").collect()) == [
+        ("", "none"), ("123", "none"), ("Abies  alba", "exact"), ("Abies  alba", "exact"), ("Abies alba Mill.", "exact")]
