@@ -214,3 +214,45 @@ def test_cluster_records_near_links_few_nodes(spark, monkeypatch):
                                      "decimalLatitude double, decimalLongitude double")
     got = EN.cluster_records_near(df, cell=1.0).select("cluster_size", "n_datasets").distinct().collect()
     assert [tuple(r) for r in got] == [(1600, 2)] and seen[0][1] == 4
+
+
+def test_index_record_compiles(spark, capsys):
+    """Wide records do not become one generated method of more than 8000 bytes, which the JVM never compiles."""
+    import re
+    df = spark.range(3).select(F.col("id"), *[F.when(F.col("id") % 2 == i % 2, F.concat(F.lit("v"), F.col("id"))).alias(f"c{i}") for i in range(40)])
+    rec = EN.build_index_record(df, keep=["c1"])
+    rec.explain("codegen")
+    assert all(int(n) <= 8000 for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out))
+    rows = {r["id"]: r for r in rec.collect()}
+    assert rows["1"]["strings"] == {f"c{i}": "v1" for i in range(1, 40, 2)} and rows["1"]["c1"] == "v1" and rows["0"]["c1"] is None
+
+
+def test_uuid_from_key_layout(spark):
+    import hashlib
+    import uuid
+    got = spark.createDataFrame([("2:dr|1:x",), ("",), (None,)], "k string").select("k", EN.uuid_from_key(F.col("k")).alias("u")).collect()
+    assert [r["u"] for r in got] == [str(uuid.UUID(hashlib.md5(r["k"].encode()).hexdigest())) if r["k"] is not None else "" for r in got]
+
+
+def test_ingest_writes_from_narrow_rows(spark, tmp_path, monkeypatch):
+    """The write exchanges typed rows, not records with maps, and the guard meets the known ids only."""
+    from florafold.plans import jobs
+    seen = []
+    spread = jobs.SK._spread
+    monkeypatch.setattr(jobs.SK, "_spread", lambda df, col: seen.append(df.columns) or spread(df, col))
+    check = EN.uuid_check
+    monkeypatch.setattr(EN, "uuid_check", lambda df, *a: seen.append(df.columns) or check(df, *a))
+    occ = spark.createDataFrame([("1", "dr1", "A b", "z", "10"), ("2", "dr2", "C", None, ""), ("3", None, "C", None, "x")],
+                                "id string, dataset_id string, scientificName string, zone string, la string")
+    vocab = spark.createDataFrame([("a b", "A B")], "label string, canonical string")
+    taxa = spark.createDataFrame([("A b", "species", "t1")], "name string, rank string, taxon_id string")
+    existing = occ.limit(1).select(EN.unique_key(F.col("dataset_id"), F.col("id")).alias("unique_key"), F.lit("u").alias("uuid"))
+    sens = spark.createDataFrame([], "taxon string, zone string, action string, k int")
+    occ = occ.withColumn("lo", F.col("la"))
+    rules = {"decimalLatitude": ("la", "double"), "decimalLongitude": ("lo", "double")}
+    made = jobs.ingest_dataset(occ, rules, vocab, "scientificName", taxa, existing, ["id"], sens, str(tmp_path / "t"), max_new_pct=100)
+    assert "taxon_id" not in seen[0] and "strings" not in seen[1]
+    back = spark.read.parquet(str(tmp_path / "t"))
+    key = lambda r: (r["id"], r["dataset_id"], sorted(r["strings"].items()), sorted(r["doubles"].items()))
+    assert sorted(map(key, back.collect()), key=str) == sorted(map(key, made.collect()), key=str)
+    assert {(r["dataset_id"], r["strings"].get("taxon_id")) for r in made.collect()} == {("dr1", "t1"), ("dr2", None), (None, None)}
