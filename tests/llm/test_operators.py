@@ -141,6 +141,22 @@ def test_near_duplicates(spark, monkeypatch, chunk, blocks, lead):
     assert len(got) == len(rows)
 
 
+def test_size_of_turns_is_that_of_their_rows(spark, monkeypatch):
+    """The planner's size of a turn's rows does not come from the plans behind it."""
+    for name, value in (("CHUNK", 3), ("BLOCKS", 0), ("ALL_LEAD", 1)):
+        monkeypatch.setattr(ngram_join, name, value)
+    sizes, plain = [], ngram_join._with_leaders
+
+    def spied(*args):
+        sizes.append(int(str((out := plain(*args))._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
+        return out
+
+    monkeypatch.setattr(ngram_join, "_with_leaders", spied)
+    rows = [(i, " ".join([f"u{i}_{k}" for k in range(8)] + [f"b{k}" for k in range(40)])) for i in range(24)]
+    assert {r["component_id"] for r in rows_of(ngram_join.near_duplicates(table(spark, rows)))} == set(range(24))
+    assert len(sizes) > 3 and max(sizes) < 1e15
+
+
 def test_near_duplicates_edges(spark, edges):
     got = rows_of(ngram_join.near_duplicates(edges))
     assert len(got) == edges.count()
