@@ -256,3 +256,32 @@ def test_ingest_writes_from_narrow_rows(spark, tmp_path, monkeypatch):
     key = lambda r: (r["id"], r["dataset_id"], sorted(r["strings"].items()), sorted(r["doubles"].items()))
     assert sorted(map(key, back.collect()), key=str) == sorted(map(key, made.collect()), key=str)
     assert {(r["dataset_id"], r["strings"].get("taxon_id")) for r in made.collect()} == {("dr1", "t1"), ("dr2", None), (None, None)}
+
+
+def _exchanged_joins(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin")
+
+
+def test_jackknife_of_hot_groups_equals_windows(spark):
+    """Groups above ``hot_rows`` take the ranked way, with the same findings; the others are not ranked."""
+    import random
+    rng = random.Random(4)
+    rows = [(f"g{i % 3}", float(rng.randrange(50))) for i in range(300)] + [("g0", 900.0), ("g1", -700.0), ("g1", None), (None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    some = EN.jackknife_outliers(df, "g", "x")
+    got = {(r["g"], r["x"]): (r["n"], r["is_outlier"]) for r in some.collect()}
+    assert got == {(r["g"], r["x"]): (r["n"], r["is_outlier"]) for r in EN.jackknife_outliers(df, "g", "x", hot_rows=100).collect()}
+    assert got == {(r["g"], r["x"]): (r["n"], r["is_outlier"]) for r in EN.jackknife_outliers(df, "g", "x", hot_rows=101).collect()}
+    assert {k for k, v in got.items() if v[1]} == {("g0", 900.0), ("g1", -700.0)} and _exchanged_joins(some) == 0
+
+
+def test_clusters_exchange_few_rows(spark):
+    """Blocks of one record and of one dataset give no clusters; the records meet the clusters without an exchange."""
+    rows = [(f"i{k}", f"d{k % 2}", "t", "2020-01-01", float(k // 2), 1.0, "c" if k < 3 else None) for k in range(20)]
+    rows += [("i99", "d0", "t", "2020-01-02", 1.0, 1.0, None), ("i98", "d0", "t", "2020-01-02", 1.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "id string, dataset_id string, scientificName string, eventDate string, "
+                                     "decimalLatitude double, decimalLongitude double, catalogNumber string")
+    out = EN.cluster_records(df)
+    got = sorted((r["id"], r["reason"], r["cluster_id"], r["cluster_size"], r["n_datasets"]) for r in out.collect())
+    want = [(f"i{k}", "location", min(f"i{k}", f"i{k ^ 1}"), 2, 2) for k in range(20)]
+    assert got == sorted(want + [(f"i{k}", "identifier", "i0", 3, 2) for k in range(3)]) and _exchanged_joins(out) == 0
