@@ -5,7 +5,7 @@ trigrams of its words (with word ends); a linear layer and a softmax follow.
 Embeddings and layer are trained together by stochastic gradient descent in
 numpy on the driver, on a sample of at most about ``max_rows`` labelled rows
 (chosen by a hash of the id among all labelled rows, by language); what reaches
-the driver is one count vector of ``buckets`` numbers for each sampled row. A
+the driver is one compressed count vector of ``buckets`` numbers for each sampled row. A
 tenth of the sample calibrates a temperature and the score below which a
 prediction is rejected. Scoring reads whole texts and needs no exchange.
 
@@ -17,6 +17,7 @@ Other columns pass through; columns named like an output column are replaced.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,8 +50,8 @@ def trigram_counts(texts: pa.Array, buckets: int) -> np.ndarray:
     return np.bincount(at, minlength=len(texts) * buckets).reshape(len(texts), buckets).astype(np.float32)
 
 
-def _means(counts: np.ndarray) -> np.ndarray:
-    return counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+def _means(counts: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    return np.divide(counts, np.maximum(counts.sum(axis=1, keepdims=True), 1), out=out)
 
 
 @dataclass
@@ -62,25 +63,25 @@ class LanguageModel:
     temperature: float = 1.0
     reject_below: float = 0.0
 
-    def logits(self, counts: np.ndarray) -> np.ndarray:
-        return _means(counts) @ self.embedding @ self.weight + self.bias
+    def logits(self, means: np.ndarray) -> np.ndarray:
+        return means @ self.embedding @ self.weight + self.bias
 
-    def probabilities(self, counts: np.ndarray) -> np.ndarray:
-        z = self.logits(counts).astype(np.float64) / self.temperature
+    def probabilities(self, means: np.ndarray) -> np.ndarray:
+        z = self.logits(means).astype(np.float64) / self.temperature
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
 
 def train(counts: np.ndarray, labels: list[str], dims: int = 16, epochs: int = 30, rate: float = 0.5,
           batch: int = 64, seed: int = 1, keep: float = 0.999) -> LanguageModel:
-    """Fit on count vectors; ``keep`` of the right calibration rows are accepted."""
+    """Fit on count vectors, which become means in place; ``keep`` of the right calibration rows are accepted."""
     languages = sorted(set(labels))
     y = np.searchsorted(languages, labels)
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))
     held = order[:len(y) // 10]
     rest = order[len(y) // 10:]
-    x = _means(counts)
+    x = _means(counts, out=counts)
     m = LanguageModel(languages, rng.normal(0, 0.1, (counts.shape[1], dims)).astype(np.float32),
                       rng.normal(0, 0.1, (dims, len(languages))).astype(np.float32),
                       np.zeros(len(languages), np.float32))
@@ -99,7 +100,7 @@ def train(counts: np.ndarray, labels: list[str], dims: int = 16, epochs: int = 3
             m.bias -= step * p.sum(axis=0)
             m.embedding -= step * scale * (x[part].T @ back)
     if len(held):
-        z = m.logits(counts[held]).astype(np.float64)
+        z = m.logits(x[held]).astype(np.float64)
 
         def loss(t: float) -> float:
             a = z / t
@@ -107,7 +108,7 @@ def train(counts: np.ndarray, labels: list[str], dims: int = 16, epochs: int = 3
             return float(-(a[np.arange(len(held)), y[held]] - np.log(np.exp(a).sum(axis=1))).mean())
 
         m.temperature = min(np.geomspace(0.05, 5, 60), key=loss)
-        p = m.probabilities(counts[held])
+        p = m.probabilities(x[held])
         right = p.max(axis=1)[p.argmax(axis=1) == y[held]]
         m.reject_below = float(min(0.5, np.quantile(right, 1 - keep))) if len(right) else 0.0
     return m
@@ -131,15 +132,24 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
             for s in slices(b, text_col):
                 c = trigram_counts(s.column(text_col), buckets).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
-                    [s.column("_label"), pa.array([r.tobytes() for r in c], pa.binary())], names=["label", "counts"])
+                    [s.column("_label"), pa.array([zlib.compress(r.tobytes(), 1) for r in c], pa.binary())], names=["label", "counts"])
 
     rows = sample.select("_label", text_col).mapInArrow(features, "label string, counts binary").toArrow()
     if not rows.num_rows:
         return None
-    counts = np.stack([np.frombuffer(b, np.uint32) for b in rows.column("counts").to_pylist()]).astype(np.float32)
-    labels = rows.column("label").to_pylist()
-    order = np.lexsort((counts[:, :64] @ np.arange(1, 65), counts.sum(axis=1), labels))  # the same for any order of rows
-    return train(counts[order], [labels[i] for i in order])
+    labels, packed = (rows.column(c).to_pylist() for c in ("label", "counts"))
+    del rows
+
+    def unpacked(order) -> np.ndarray:
+        out = np.empty((len(order), buckets), np.float32)
+        for i, k in enumerate(order):
+            out[i] = np.frombuffer(zlib.decompress(packed[k]), np.uint32)
+        return out
+
+    counts = unpacked(range(len(packed)))
+    order = np.lexsort((counts[:, :64] @ np.arange(1, 65), counts.sum(axis=1), labels)).tolist()  # the same for any order of rows
+    del counts  # one matrix at a time: the driver holds what a whole pipeline needs beside it
+    return train(unpacked(order), [labels[i] for i in order])
 
 
 def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text", keep_text: bool = True) -> DataFrame:
@@ -160,7 +170,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
                     best, top = np.zeros(len(texts), np.int64), np.zeros(len(texts))
                     names = np.array(["und"], dtype=object)
                 else:
-                    p = m.probabilities(trigram_counts(texts, len(m.embedding)))
+                    p = m.probabilities(_means(trigram_counts(texts, len(m.embedding))))
                     best, top, names = p.argmax(axis=1), p.max(axis=1), np.array(m.languages, dtype=object)
                 columns = [s.column(f.name) for f in kept]
                 columns += [pa.array(np.where(letter, names[best], "und"), pa.string()),

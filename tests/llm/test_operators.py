@@ -556,6 +556,20 @@ def test_language_id(spark, edges):
     assert none is None and {r["lang_pred"] for r in rows_of(language_id.predict(edges, none))} == {"und"}
 
 
+def test_language_training_holds_one_matrix(spark):
+    """The driver's Python holds the sample's count vectors once, and less than them on the way."""
+    import tracemalloc
+    rng, letters = random.Random(2), ["abcdefg", "mnopqrs"]
+    rows = [(i, " ".join("".join(rng.choices(letters[i % 2], k=5)) for _ in range(20)), "xy"[i % 2]) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    language_id.fit(docs)
+    tracemalloc.start()
+    model = language_id.fit(docs)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.languages == ["x", "y"] and most < 2 * 1200 * 2048 * 4
+
+
 def test_toxicity(spark, edges):
     sf = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["toxic"] for r in load_table(spark, sf, "labels").collect()}
