@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from florafold.functions.predicate import predicate_filter
 from florafold.functions.scalar import licence
-from florafold.operators.joins import split_by_key
+from florafold.operators.joins import hot_keys, split_by_hot_key
+from florafold.session import written
 from florafold.sources.sinks import export_archive
 
 # ---- fixed values that must equal the reference's ----------------------------
@@ -88,43 +89,76 @@ def event_documents(events: DataFrame, occurrences: DataFrame, event_id: str = "
 
 
 def nested_documents(parents: DataFrame, children: DataFrame, key: str, order: list[str], child_name: str = "occurrences",
-                     max_bytes: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
+                     max_bytes: int = 1 << 20, hot_rows: int = 100_000) -> tuple[DataFrame, DataFrame]:
     """One JSON document per parent, holding its children.
 
     Returns (documents, unplaced). Documents: the key, piece (from 0), n_pieces,
     n_children and document, a JSON object of the parent's fields, the piece's number and the
     array ``child_name`` of its children (without the key) in the order given. A parent's
     children go into as many pieces as their bytes ask for: the piece ends with the child
-    that reaches ``max_bytes``. The pieces follow from running sums over range partitions, carried over
-    partition ends, so that a parent with a third of all children is never one group.
+    that reaches ``max_bytes``. Children are written once and meet their parents in one exchange by key;
+    the pieces of a key with more than ``hot_rows`` children follow from running sums over range partitions,
+    carried over partition ends, so that a parent with a third of all children is never one group.
 
     A parent without children has one piece with an empty array; a repeated
     key gives each of its parents all pieces. ``unplaced``: the children whose
     key is null or names no parent. ``order`` should tell a parent's children apart;
     equal ones come in the order of their whole JSON."""
+    children = written(children, "children")
+    hot = hot_keys(children, key, hot_rows)
+    options = {"ignoreNullFields": "false"}
+
+    def documents(heads: DataFrame, bodies: DataFrame, at: list[str]) -> DataFrame:
+        docs = heads.join(bodies, at, "left")
+        kids = F.coalesce(F.transform("_c", lambda c: c["_child"]), F.array().cast(bodies.select(F.transform("_c", lambda c: c["_child"]).alias("x")).schema["x"].dataType))
+        docs = docs.select(F.col(key), F.coalesce("_no", F.lit(0)).cast("int").alias("piece"), F.coalesce("n_pieces", F.lit(1)).alias("n_pieces"),
+                           F.size(kids).alias("n_children"), "_parent", kids.alias("_kids"))
+        document = F.to_json(F.struct("_parent.*", "piece", F.col("_kids").alias(child_name)), options)
+        return docs.select(key, "piece", "n_pieces", "n_children", document.alias("document"))
+
+    heads, rare = parents.select(F.col(key), F.struct(*parents.columns).alias("_parent")), children.where(F.col(key).isNotNull())
+    if hot is None:
+        docs = documents(heads, _pieces(rare, key, order, max_bytes, options), [key])
+    else:
+        docs = documents(heads.join(hot, key, "left_anti"), _pieces(rare.join(hot, key, "left_anti"), key, order, max_bytes, options), [key])
+        heads = heads.join(hot, key, "left_semi")
+        named = F.broadcast(heads.select(key).distinct())  # hot keys alone
+        bodies = _ranked_pieces(rare.join(hot, key, "left_semi").join(named, key, "left_semi"), key, order, max_bytes, options)
+        # parents meet the narrow list of pieces; bodies come by (key, piece), which spreads a large parent
+        heads = heads.join(bodies.select(key, "piece", "_no", "n_pieces"), key, "left")
+        docs = docs.unionByName(documents(heads, bodies.drop("_no", "n_pieces"), [key, "piece"]))
+    return docs, split_by_hot_key(children, parents.select(key).distinct(), key, hot)[1]
+
+
+def _collected(rows: DataFrame, key: str, piece: Column) -> DataFrame:
+    return rows.select(key, piece.cast("int").alias("piece"), "_rank", "_child").groupBy(key, "piece").agg(
+        F.sort_array(F.collect_list(F.struct("_rank", "_child"))).alias("_c"))
+
+
+def _numbered(pieces: DataFrame, key: str) -> DataFrame:
+    """With _no and n_pieces: a child larger than a piece leaves numbers out."""
+    by = Window.partitionBy(key)
+    return pieces.withColumn("_no", F.row_number().over(by.orderBy("piece")) - 1).withColumn(
+        "n_pieces", F.count(F.lit(1)).over(by).cast("int"))
+
+
+def _pieces(children: DataFrame, key: str, order: list[str], max_bytes: int, options: dict) -> DataFrame:
+    """key, piece, _c, _no and n_pieces: all steps within the one exchange by key, which moves the bare fields."""
+    fields = F.struct(*[c for c in children.columns if c != key])
+    rows = children.repartition(key).withColumn("_json", F.to_json(fields, options)).withColumn("_size", F.octet_length("_json").cast("bigint"))
+    upto = Window.partitionBy(key).orderBy(*order, "_json").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_sum", F.sum("_size").over(upto)).withColumn("_rank", F.row_number().over(upto)).withColumn("_child", fields)
+    return _numbered(_collected(rows, key, F.floor((F.col("_sum") - F.col("_size")) / max_bytes)), key)
+
+
+def _ranked_pieces(children: DataFrame, key: str, order: list[str], max_bytes: int, options: dict) -> DataFrame:
+    """The same for keys of any number of children."""
     from florafold.operators.ranking import with_global_rank, with_running_sum
 
-    options = {"ignoreNullFields": "false"}
-    fields = [c for c in children.columns if c != key]
-    ids = parents.select(key).distinct()
-    placed, unplaced = split_by_key(children, ids, key)
-    rows = placed.select(key, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-                                                       F.struct(*fields).alias("_child"))
+    rows = children.select(key, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                           F.struct(*[c for c in children.columns if c != key]).alias("_child"))
     rows = rows.withColumn("_json", F.to_json("_child", options)).withColumn("_size", F.octet_length("_json").cast("bigint"))
     ranked = with_global_rank(rows, [key, *[f"_o{i}" for i in range(len(order))], "_json"], "_rank").drop("_json")
     summed = with_running_sum(ranked, "_rank", key, "_size", "_sum")
-    piece = F.floor((F.col("_sum") - F.col("_size")) / max_bytes).cast("int").alias("piece")
-    bodies = summed.select(key, piece, "_rank", "_child").groupBy(key, "piece").agg(
-        F.sort_array(F.collect_list(F.struct("_rank", "_child"))).alias("_c")).checkpoint()
-    number = F.row_number().over(Window.partitionBy(key).orderBy("piece")) - 1
-    # a child larger than a piece leaves numbers out
-    numbered = bodies.select(key, "piece").withColumn("_no", number)
-    per = numbered.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("n_pieces"))
-    # parents meet the narrow list of pieces; bodies come by (key, piece), which spreads a large parent
-    heads = parents.select(F.col(key), F.struct(*parents.columns).alias("_parent")).join(per, key, "left").join(numbered, key, "left")
-    docs = heads.join(bodies, [key, "piece"], "left")
-    kids = F.coalesce(F.transform("_c", lambda c: c["_child"]), F.array().cast(bodies.select(F.transform("_c", lambda c: c["_child"]).alias("x")).schema["x"].dataType))
-    docs = docs.select(F.col(key), F.coalesce("_no", F.lit(0)).cast("int").alias("piece"), F.coalesce("n_pieces", F.lit(1)).alias("n_pieces"),
-                       F.size(kids).alias("n_children"), "_parent", kids.alias("_kids"))
-    document = F.to_json(F.struct("_parent.*", "piece", F.col("_kids").alias(child_name)), options)
-    return docs.select(key, "piece", "n_pieces", "n_children", document.alias("document")), unplaced
+    bodies = _collected(summed, key, F.floor((F.col("_sum") - F.col("_size")) / max_bytes)).checkpoint()
+    return bodies.join(_numbered(bodies.select(key, "piece"), key), [key, "piece"])

@@ -113,6 +113,32 @@ def test_nested_documents_equal_grouping(spark):
     assert none.count() == len(parents) and lost.count() == 0
 
 
+@pytest.mark.parametrize("hot_rows", [0, 40, 150])
+def test_nested_documents_of_hot_keys_equal_others(spark, hot_rows):
+    rng = random.Random(4)
+    kids = [(3 if i % 3 == 0 else 5 if i % 3 == 1 and i < 300 else rng.choice([*range(9), 77, 78, None]), f"c{rng.randrange(500):03}", i % 7) for i in range(600)]
+    kids += [(77, f"d{i}", 1) for i in range(60)]
+    p = spark.createDataFrame([(k, f"p{k}") for k in range(12)] + [(None, "no key"), (3, "again")], "k long, name string")
+    c = spark.createDataFrame(kids, "k long, id string, n long").repartition(5)
+    rows = lambda x: sorted(map(str, x.collect()))
+    want = [rows(x) for x in nested_documents(p, c, "k", ["id", "n"], "kids", max_bytes=300)]
+    assert [rows(x) for x in nested_documents(p, c, "k", ["id", "n"], "kids", max_bytes=300, hot_rows=hot_rows)] == want
+    assert len(want[1]) == sum(k in (None, 77, 78) for k, _, _ in kids)
+
+
+def test_nested_documents_read_children_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    c = spark.range(600).selectExpr("id % 50 as k", "cast(id as string) as id").mapInArrow(counted, "k long, id string")
+    docs, unplaced = nested_documents(spark.range(40).toDF("k"), c, "k", ["id"])
+    assert docs.count() == 40 and unplaced.count() == 120 and seen.value == 600
+
+
 def test_sensitive_arrays_and_types_without_a_map(spark):
     from florafold.operators import enrich as EN
     df = spark.range(1).select("id", F.array(F.lit("x")).alias("sensitive_tags"), F.array(F.lit("y")).alias("tags"), F.lit(None).alias("nothing"))
