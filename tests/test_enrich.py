@@ -38,6 +38,24 @@ def test_distribution_outliers_inside_outside_cached(spark):
     assert out["cached"] == (123.0, True)
 
 
+def test_distribution_outliers_make_records_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    schema = "id string, taxon string, decimalLatitude double, decimalLongitude double"
+    recs = spark.createDataFrame([(str(i), "t", i / 10, 0.5) for i in range(30)] + [(None, "t", 0.5, 0.5), ("3", "t", 9.0, 9.0)], schema)
+    ranges = spark.createDataFrame([("t", [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)])], "taxon string, ring array<struct<x:double,y:double>>")
+    cache = spark.createDataFrame([("3", 7.0), ("3", 8.0), ("77", 1.0), (None, 2.0)], "id string, distance double")
+    out = EN.distribution_outliers(recs.mapInArrow(counted, schema), ranges, cache).collect()
+    assert sorted(r["distance"] for r in out if r["cached"]) == [7.0, 8.0]
+    rest = [r["id"] for r in out if not r["cached"]]
+    assert len(rest) == 30 and None in rest and not {"3", "77"} & set(rest) and seen.value == 32
+
+
 def test_assign_uuids_is_stable_and_keeps_known(spark):
     recs = spark.createDataFrame([("dr1", "k1"), ("dr1", "k2")], "dataset_id string, occ string")
     existing = spark.createDataFrame([("3:dr1|2:k1", "known-1"), ("3:dr1|2:k1", "known-0")], "unique_key string, uuid string")
