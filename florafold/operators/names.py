@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from florafold.operators.joins import bounded_broadcast, exchanged
 from florafold.session import ensure_checkpoint_dir, written
 
 # ---- fixed values of the codes' name formats -----------------------------------
@@ -21,6 +22,8 @@ QUALIFIERS = ["cf", "aff", "nr", "sp", "spp"]
 AUTHOR_WORDS = ["de", "del", "della", "der", "den", "di", "du", "da", "la", "le", "van", "von", "zu", "ex", "et", "in", "and", "fil", "emend", "non", "nom", "auct"]
 # --------------------------------------------------------------------------------
 
+SMALL_BYTES = 8 << 20  # of taxa that are broadcast
+
 _LETTERS = r"\p{L}[\p{L}\-]+"
 _NOT_A_NAME = r"(?!(?:" + "|".join([*INFRA_MARKERS, *QUALIFIERS, *AUTHOR_WORDS]) + r")(?:\.|\s|$))"
 #: A part of the name is lower-case, or all of the text is upper-case (which has been lowered before).
@@ -38,9 +41,16 @@ def parsed_name(name: Column) -> Column:
     are passed over. rank is that of the lowest part: uninomial, species,
     subspecies (also a third word without a marker), or the marker's. All are null for text that
     does not begin with a word; missing parts are null."""
-    text = F.trim(F.regexp_replace(F.regexp_replace(name, r"[×✕]|(?<=^|\s)[xX](?=\s)", " "), r"\s+", " "))
-    text = F.when(text.rlike(r"\p{Ll}"), text).otherwise(F.lower(text))
-    group = lambda i: F.nullif(F.regexp_extract(text, _NAME, i), F.lit(""))
+    text = F.array(F.trim(F.regexp_replace(F.regexp_replace(name, r"[×✕]|(?<=^|\s)[xX](?=\s)", " "), r"\s+", " ")))
+    # arrays of one, so that the text and its groups are each worked out once, however often they are used below
+    text = F.transform(text, lambda t: F.when(t.rlike(r"\p{Ll}"), t).otherwise(F.lower(t)))
+    groups = F.transform(text, lambda t: F.array(*[F.nullif(F.regexp_extract(t, _NAME, i), F.lit("")) for i in range(1, 7)]))
+    return F.transform(groups, _parts)[0]
+
+
+def _parts(groups: Column) -> Column:
+    """Parts of a name by the groups of ``_NAME``."""
+    group = lambda i: groups[i - 1]
     genus, epithet, infra = F.lower(group(1)), group(3), group(5)
     markers = F.create_map(*[F.lit(x) for kv in INFRA_MARKERS.items() for x in kv])
     rank = (F.when(infra.isNotNull() & group(4).isNotNull(), F.element_at(markers, group(4))).when(infra.isNotNull(), "subspecies")
@@ -65,7 +75,7 @@ def _links(taxa: DataFrame, col: str) -> DataFrame:
     """(id, to) of links to other known taxa."""
     known = taxa.select(F.col("taxon_id").alias("to")).distinct()
     return taxa.where(f"{col} is not null and {col} <> taxon_id").groupBy(F.col("taxon_id").alias("id")) \
-        .agg(F.min(col).alias("to")).join(known, "to", "left_semi").select("id", "to")
+        .agg(F.min(col).alias("to")).join(exchanged(known), "to", "left_semi").select("id", "to")
 
 
 def accepted_taxa(taxa: DataFrame) -> DataFrame:
@@ -79,13 +89,13 @@ def accepted_taxa(taxa: DataFrame) -> DataFrame:
     n = links.count()
     for _ in range(max(1, n.bit_length() + 1)):
         after = jump.select(F.col("id").alias("to"), F.col("to").alias("_end"))
-        step = jump.join(after, "to", "left")
+        step = jump.join(exchanged(after), "to", "left")
         if step.where("_end is not null").isEmpty():
             break
         jump = step.select("id", F.coalesce("_end", "to").alias("to")).checkpoint()
     # an end that has a link itself lies on a circle
-    ends = jump.join(links.select(F.col("id").alias("to")), "to", "left_anti").select(F.col("id").alias("taxon_id"), F.col("to").alias("_to"))
-    return taxa.select("taxon_id").distinct().join(ends, "taxon_id", "left") \
+    ends = jump.join(exchanged(links.select(F.col("id").alias("to"))), "to", "left_anti").select(F.col("id").alias("taxon_id"), F.col("to").alias("_to"))
+    return taxa.select("taxon_id").distinct().join(exchanged(ends), "taxon_id", "left") \
         .select("taxon_id", F.coalesce("_to", "taxon_id").alias("accepted_taxon"))
 
 
@@ -139,29 +149,33 @@ def match_taxa(df: DataFrame, taxa: DataFrame, name_col: str = "scientificName",
     higher = higher or {}
     taxa = taxa.select("taxon_id", F.lower(F.trim(F.regexp_replace("name", r"\s+", " "))).alias("_name"), "rank", "parent_id", "accepted_id")
     accepted = accepted_taxa(taxa)
-    t = taxa.join(accepted, "taxon_id").select(
+    t = taxa.join(exchanged(accepted), "taxon_id").select(
         "_name", "rank", F.struct((F.col("accepted_taxon") != F.col("taxon_id")).alias("synonym"), F.col("taxon_id").alias("id"),
                                   F.col("accepted_taxon").alias("to")).alias("_t"))
     by_name = written(t.where("_name is not null").groupBy("_name").agg(F.min("_t").alias("_t")), "taxa")
+    known = bounded_broadcast(by_name, SMALL_BYTES)
     # each different text is parsed once, whatever the number of its records
     texts = df.select(F.col(name_col).alias("_text")).where("_text is not null").distinct()
     parsed = written(texts.select("_text", parsed_name(F.col("_text")).alias("_p")), "names") \
         .select("_text", "_p", F.col("_p.canonical").alias("_canonical")).where("_canonical is not null")
     names = parsed.groupBy("_canonical").agg(F.first("_p").alias("_p"))
-    exact = written(names.join(by_name.withColumnRenamed("_name", "_canonical"), "_canonical", "left"), "exact")
+    exact = written(names.join(known.withColumnRenamed("_name", "_canonical"), "_canonical", "left"), "exact")
     left = exact.where("_t is null").select("_canonical")
-    wide = lambda d, c: d.where(F.length(c) >= least_length - edits).withColumn("_key", F.explode(deletions(F.col(c), edits)))
-    pairs = wide(left, "_canonical").where(F.length("_canonical") >= least_length).join(wide(by_name.select("_name"), "_name"), "_key") \
+    wide = lambda d, c: d.where(F.length(c) >= least_length - edits).withColumn("_key", F.explode(deletions(F.col(c), edits))).withColumn("_key", F.xxhash64("_key"))
+    # some twenty keys a name: exchanged, however small the names themselves
+    keys = exchanged(wide(by_name.select("_name"), "_name"))
+    pairs = wide(left, "_canonical").where(F.length("_canonical") >= least_length).join(keys, "_key") \
         .select("_canonical", "_name").distinct().withColumn("_d", F.levenshtein("_canonical", "_name")).where(F.col("_d") <= edits)
     near = pairs.groupBy("_canonical").agg(F.min(F.struct("_d", "_name")).alias("_n")).select("_canonical", F.col("_n._name").alias("_name"))
-    fuzzy = near.join(by_name, "_name").select("_canonical", F.col("_t").alias("_f"))
+    fuzzy = near.join(known, "_name").select("_canonical", F.col("_t").alias("_f"))
     # names above: the species of an infraspecific name, then the genus
     genera = t.where("rank = 'genus'").groupBy(F.col("_name").alias("_genus")).agg(F.min("_t").alias("_g"))
     binomial = F.when(F.col("_p.infra_epithet").isNotNull(), F.concat_ws(" ", "_p.genus", "_p.epithet"))
     found = exact.join(fuzzy, "_canonical", "left").withColumn("_binomial", binomial).withColumn("_genus", F.col("_p.genus")) \
-        .join(by_name.select(F.col("_name").alias("_binomial"), F.col("_t").alias("_b")), "_binomial", "left").join(genera, "_genus", "left")
+        .join(known.select(F.col("_name").alias("_binomial"), F.col("_t").alias("_b")), "_binomial", "left").join(genera, "_genus", "left")
     found = found.select("_canonical", "_t", "_f", F.coalesce("_b", "_g").alias("_h"))
-    out = df.withColumn("_text", F.col(name_col)).join(parsed.select("_text", "_canonical").join(found, "_canonical").drop("_canonical"), "_text", "left")
+    of_text = exchanged(parsed.select("_text", "_canonical")).join(exchanged(found), "_canonical").drop("_canonical")
+    out = df.withColumn("_text", F.col(name_col)).join(of_text, "_text", "left")
     above = [F.col("_h")]
     for i, (rank, column) in enumerate(higher.items()):
         of = t.where(F.col("rank") == rank).groupBy(F.col("_name").alias(f"_n{i}")).agg(F.min("_t").alias(f"_h{i}"))

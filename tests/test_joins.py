@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from florafold.operators.joins import split_by_key
+from florafold.operators.joins import bounded_broadcast, exchanged, split_by_key
+from florafold.session import written
 
 
 @pytest.mark.parametrize("hot_rows", [0, 3, 50, 10 ** 6])
@@ -23,3 +24,14 @@ def test_rows_of_a_frequent_key_stay_where_they_are(spark):
     rows = rows.withColumn("k", F.when(F.col("id") % 10 != 0, F.col("k")))
     for df in split_by_key(rows, spark.createDataFrame([(1,)], "k long"), "k", 1000):
         assert df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] <= 1000
+
+
+def test_a_side_over_the_bound_is_never_broadcast(spark):
+    """Its files may look small: here 20,000 rows of one text."""
+    side = written(spark.range(20_000).select(F.col("id").alias("k"), F.lit("x" * 100).alias("v")), "side")
+    joins = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    rows = spark.range(50).withColumnRenamed("id", "k")
+    assert "BroadcastHashJoin" in joins(rows.join(bounded_broadcast(side), "k"))
+    for one in (bounded_broadcast(side, 1 << 20), exchanged(side)):
+        out = rows.join(one.withColumn("w", F.explode(F.array("v", "v"))), "k")
+        assert "SortMergeJoin" in joins(out) and "Broadcast" not in joins(out) and out.count() == 100

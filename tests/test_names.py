@@ -111,3 +111,12 @@ def test_records_are_joined_by_text_and_not_parsed_again(spark):
     assert "regexp_extract" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert sorted((r[0] or "", r["match_type"]) for r in out.select("scientificName", "match_type").collect()) == [
         ("", "none"), ("123", "none"), ("Abies  alba", "exact"), ("Abies  alba", "exact"), ("Abies alba Mill.", "exact")]
+
+
+def test_keys_of_misspelt_names_are_not_broadcast(spark):
+    """Each name has some twenty keys, which Spark's sizes leave out of account."""
+    taxa = spark.createDataFrame([("1", "Aus busius", "species", None, None), ("2", "Aus", "genus", None, None)], TAXA)
+    out = N.match_taxa(spark.createDataFrame([("Aus busiuss",), ("Aus busius",)], "scientificName string"), taxa)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [_key" in plan and "BroadcastHashJoin [_key" not in plan
+    assert {r["scientificName"]: (r["taxon_id"], r["match_type"]) for r in out.collect()} == {"Aus busiuss": ("1", "fuzzy"), "Aus busius": ("1", "exact")}
