@@ -217,6 +217,16 @@ def test_cluster_records_near_across_tiles(spark):
     assert got == {("r020", 120, 2), ("r141", 39, 2)}
 
 
+def test_cluster_records_near_keeps_blocks_out_of_the_driver(spark):
+    """Files of blocks are a small part of their rows, and were broadcast for their size."""
+    rows = [(f"{y}-{x}", f"dr{x % 2}", "Sp a", dt.date(2024, 1, 1), y + 0.5, x + 0.5) for y in range(40) for x in range(40)]
+    df = spark.createDataFrame(rows, "id string, dataset_id string, scientificName string, eventDate date, "
+                                     "decimalLatitude double, decimalLongitude double")
+    plan = EN.cluster_records_near(df, cell=1.0)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [node" in plan and "SortMergeJoin [_t" in plan
+    assert "BroadcastHashJoin [node" not in plan and "BroadcastHashJoin [_t" not in plan
+
+
 def test_cluster_records_near_links_few_nodes(spark, monkeypatch):
     """Blocks that touch inside a tile reach the graph as one node."""
     seen = []
