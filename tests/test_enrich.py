@@ -313,3 +313,20 @@ def test_clusters_exchange_few_rows(spark):
     got = sorted((r["id"], r["reason"], r["cluster_id"], r["cluster_size"], r["n_datasets"]) for r in out.collect())
     want = [(f"i{k}", "location", min(f"i{k}", f"i{k ^ 1}"), 2, 2) for k in range(20)]
     assert got == sorted(want + [(f"i{k}", "identifier", "i0", 3, 2) for k in range(3)]) and _exchanged_joins(out) == 0
+
+
+def test_records_are_not_exchanged_for_few_names_or_images(spark):
+    """Whatever Spark's estimates of them: here no side is broadcast by its estimate."""
+    from florafold.operators import enrich as EN
+    rows = spark.createDataFrame([("1", "A b", "u1"), ("2", "C", None), ("3", "A x", "u2")], "id string, scientificName string, identifier string")
+    taxa = spark.createDataFrame([("A b", "species", "t1"), ("A", "genus", "t2"), ("A b", "species", "t3")], "name string, rank string, taxon_id string")
+    images = spark.createDataFrame([("u1", "i2"), ("u1", "i1")], "identifier string, image_id string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = EN.image_sync(EN.match_names(rows, taxa), images)
+        assert _exchanged_joins(out) == 0
+        assert {(r["id"], r["taxon_id"], r["match_type"], r["image_id"]) for r in out.collect()} == {
+            ("1", "t1", "exact", "i1"), ("2", None, "none", None), ("3", "t2", "genus", None)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
